@@ -78,21 +78,32 @@ def histogram(scored: DataFrame, value: str = "polarity", bins: int = 5) -> Data
     """
     spark = scored.sparkSession
     rng = scored.agg(F.struct(F.min(value).alias("mn"), F.max(value).alias("mx"))).scalar()
-    mn, mx = rng["mn"], rng["mx"]
-    lo = F.when(mn == mx, mn - 0.5).otherwise(mn)
-    hi = F.when(mn == mx, mx + 0.5).otherwise(mx)
+    # Each step is its own projection and each value is used several times by
+    # the next one, so Catalyst keeps them apart: the range subquery runs once
+    # and the bin expression does not grow with every correction.
     x = F.col(value)
-    step = (hi - lo) / bins
+    b1 = scored.where(x.isNotNull()).select(x.alias("_x"), rng.alias("_r"))
+    b2 = b1.select("_x", F.when(F.col("_r.mn") == F.col("_r.mx"), F.col("_r.mn") - 0.5)
+                   .otherwise(F.col("_r.mn")).alias("_lo"),
+                   F.when(F.col("_r.mn") == F.col("_r.mx"), F.col("_r.mx") + 0.5)
+                   .otherwise(F.col("_r.mx")).alias("_hi"))
+    lo, hi, xx = F.col("_lo"), F.col("_hi"), F.col("_x")
 
     def edge(i):
-        return F.when(i >= bins, hi).otherwise(lo + i * step)
-
-    raw = F.least(F.floor((x - lo) * (F.lit(float(bins)) / (hi - lo))).cast("int"), F.lit(bins - 1))
-    idx = F.when(x < edge(raw), raw - 1).otherwise(raw)
-    idx = F.when((x >= edge(idx + 1)) & (idx != bins - 1), idx + 1).otherwise(idx)
-    counts = (scored.where(x.isNotNull()).select(idx.alias("bin")).groupBy("bin")
-              .agg(F.count(F.lit(1)).alias("n")))
+        return F.when(i >= bins, hi).otherwise(lo + i * ((hi - lo) / bins))
+
+    b3 = b2.select("_x", "_lo", "_hi", F.least(F.floor((xx - lo) * (F.lit(float(bins)) / (hi - lo))).cast("int"),
+                                                F.lit(bins - 1)).alias("_raw"))
+    b4 = b3.select("_x", "_lo", "_hi", F.when(xx < edge(F.col("_raw")), F.col("_raw") - 1)
+                   .otherwise(F.col("_raw")).alias("_i"))
+    i = F.col("_i")
+    b5 = b4.select(F.when((xx >= edge(i + 1)) & (i != bins - 1), i + 1).otherwise(i).alias("bin"), "_lo", "_hi")
+    counts = b5.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.first("_lo").alias("_lo"),
+                                   F.first("_hi").alias("_hi"))
     table = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return (table.join(F.broadcast(counts), "bin", "left")
+    rng_lo = F.when(rng["mn"] == rng["mx"], rng["mn"] - 0.5).otherwise(rng["mn"])
+    rng_hi = F.when(rng["mn"] == rng["mx"], rng["mx"] + 0.5).otherwise(rng["mx"])
+    edges = table.select("bin", rng_lo.alias("_lo"), rng_hi.alias("_hi"))
+    return (edges.join(F.broadcast(counts.select("bin", "n")), "bin", "left")
             .select("bin", edge(F.col("bin")).alias("lo"), edge(F.col("bin") + 1).alias("hi"),
                     F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))

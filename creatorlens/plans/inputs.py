@@ -71,3 +71,33 @@ def features(spark: SparkSession, d: str) -> DataFrame:
         engagement_rate_expr(F.col("followers"), F.col("sum_likes"), F.col("n_posts")).alias("engagement_rate"),
         collapse_above(F.col("avg_amount"), ALIGNMENT_COLLAPSE).alias("alignment_genZ"),
         (F.col("n_click") * 100.0 / F.col("n_posts")).alias("hashtag_score"))
+
+
+# ---------------------------------------------------------------- text inputs
+# test lexicons: words and markers that occur in the generated texts
+TEST_KEYWORDS = ["that", "with", "this", "from"]
+TEST_MARKERS = ["***", "%%%"]                      # stand-ins for emoji sequences
+TEST_HASHTAGS = ["###", "$$$", "@mail", ".com"]
+TEST_SENTIMENT = {
+    "the": 0.3, "and": 0.5, "of": -0.2, "de": -0.4, "der": 0.6, "is": 0.1,
+    "la": -0.7, "die": -0.5, "que": 0.4, "und": 0.2, "good": 0.7, "bad": -0.7,
+}
+TEST_NEGATORS = ("not", "to", "in")
+
+
+def documents(spark: SparkSession, d: str) -> DataFrame:
+    return read_table(spark, d, "documents")
+
+
+def conversation_texts(spark: SparkSession, d: str) -> DataFrame:
+    """conversations as texts: conv_id = user, user turns = captions,
+    assistant turns = comments, system turns ignored (U4)."""
+    c = read_table(spark, d, "conversations").where(F.col("role").isin("user", "assistant"))
+    return c.select(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("text_id"),
+                    F.col("conv_id").alias("username"),
+                    F.when(F.col("role") == "user", F.lit("caption")).otherwise(F.lit("comment")).alias("kind"),
+                    F.col("text"))
+
+
+def sentiment_lexicon(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(sorted(TEST_SENTIMENT.items()), "word string, polarity double")

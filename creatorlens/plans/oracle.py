@@ -136,3 +136,154 @@ WHERE rank <= 15
 
 SQL["p20_display"] = "SELECT username, concat('https://instagram.com/', username) AS profile_url, " \
                      "round(similarity_score, 2) AS score_display FROM (" + SQL["r1_rank_category"] + ")"
+
+
+# ---------------------------------------------------------------- text
+SP = r"\t-\r \x1c-\x1f\x{85}\p{Z}"
+CLEAN = (r"lower(regexp_replace(regexp_replace(regexp_replace({t}, 'http[^" + SP + r"]+', '', 'g'), "
+         r"'@[\p{L}\p{N}_]+', '', 'g'), '[^a-zA-Z" + SP + r"]', '', 'g'))")
+TOKENS = "list_filter(regexp_split_to_array({c}, '[" + SP + "]+'), lambda x: x <> '')"
+
+
+def _clean(t: str) -> str:
+    return CLEAN.replace("{t}", t)
+
+
+def _tokens(c: str) -> str:
+    return TOKENS.replace("{c}", c)
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _in_list(terms) -> str:
+    return "(" + ", ".join(_q(t) for t in sorted(set(terms))) + ")"
+
+
+def _present(t: str, terms) -> str:
+    terms = list(dict.fromkeys(x for x in terms if x))
+    return "(" + " + ".join(f"(CASE WHEN contains({t}, {_q(x)}) THEN 1 ELSE 0 END)" for x in terms) + ")"
+
+
+def _occ(t: str, term: str) -> str:
+    return f"CAST((strlen({t}) - strlen(replace({t}, {_q(term)}, ''))) / {len(term.encode())} AS INTEGER)"
+
+
+def _occ_total(t: str, terms) -> str:
+    terms = list(dict.fromkeys(x for x in terms if x))
+    return "(" + " + ".join(_occ(t, x) for x in terms) + ")"
+
+
+from creatorlens import lexicons as _LX  # noqa: E402
+from creatorlens.plans import inputs as _I  # noqa: E402
+
+_KW = _in_list(_I.TEST_KEYWORDS)
+
+SQL["t1_clean_text"] = f"SELECT doc_id, {_clean('text')} AS clean FROM documents"
+
+SQL["t2_tokens"] = f"""
+SELECT doc_id, CAST(len(tk) AS INTEGER) AS n_tokens, array_to_string(tk, ' ') AS token_text
+FROM (SELECT doc_id, {_tokens(_clean('text'))} AS tk FROM documents)
+"""
+
+SQL["j4_keyword_tokens"] = f"""
+SELECT doc_id, CAST(len(list_filter({_tokens(_clean('text'))}, lambda x: x IN {_KW})) AS INTEGER) AS n_keywords
+FROM documents
+"""
+
+SQL["j5_hashtag_presence"] = f"SELECT doc_id, {_present('lower(text)', _I.TEST_HASHTAGS)} AS n_hashtags FROM documents"
+
+SQL["f15_sequence_occurrences"] = (
+    f"SELECT doc_id, {_occ_total('lower(text)', _LX.GENZ_EMOJIS + _I.TEST_MARKERS)} AS n_sequences FROM documents")
+
+_TRAITS = (f"(CAST(len(list_filter({_tokens(_clean('text'))}, lambda x: x IN {_KW})) AS INTEGER) + "
+           f"{_occ_total('lower(text)', _I.TEST_MARKERS)} + {_present('lower(text)', _I.TEST_HASHTAGS)})")
+
+SQL["t3_trait_count"] = f"SELECT doc_id, {_TRAITS} AS traits FROM documents"
+
+
+def _a10() -> str:
+    from creatorlens.operators.lexicon import lexicon_union
+    terms = [t for _, t in lexicon_union(_I.TEST_KEYWORDS, _I.TEST_MARKERS, _I.TEST_HASHTAGS)]
+    vals = ", ".join(f"({_q(t)}, {len(t.encode())})" for t in terms)
+    return f"""
+WITH lex(term, nb) AS (VALUES {vals}),
+d AS (SELECT lower(text) AS t FROM documents)
+SELECT term, CAST(sum((strlen(t) - strlen(replace(t, term, ''))) // nb) AS BIGINT) AS n
+FROM d, lex GROUP BY term HAVING sum((strlen(t) - strlen(replace(t, term, ''))) // nb) > 0
+"""
+
+
+SQL["a10_term_frequency"] = _a10()
+
+_LEX_VALUES = ", ".join(f"({_q(w)}, CAST({p} AS DOUBLE))" for w, p in sorted(_I.TEST_SENTIMENT.items()))
+_NEG = _in_list(_I.TEST_NEGATORS)
+
+SCORED = f"""
+texts AS (
+  SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS text_id, conv_id AS username,
+         CASE WHEN role = 'user' THEN 'caption' ELSE 'comment' END AS kind, text
+  FROM conversations WHERE role IN ('user', 'assistant')),
+prep AS (
+  SELECT text_id, username, kind, {_TRAITS} AS traits, {_present('lower(text)', _I.TEST_HASHTAGS)} AS hashtags,
+         {_tokens(_clean('text'))} AS tk
+  FROM texts),
+lexicon(word, polarity) AS (VALUES {_LEX_VALUES}),
+pos AS (SELECT text_id, tk, unnest(generate_series(1, len(tk))) AS i FROM prep WHERE len(tk) > 0),
+hits AS (
+  SELECT p.text_id,
+         avg(l.polarity * CASE WHEN p.i > 1 AND p.tk[p.i - 1] IN {_NEG} THEN -0.5 ELSE 1.0 END) AS pol
+  FROM pos p JOIN lexicon l ON l.word = p.tk[p.i]
+  GROUP BY p.text_id),
+scored AS (
+  SELECT prep.text_id, username, kind, traits, hashtags, coalesce(hits.pol, CAST(0 AS DOUBLE)) AS polarity
+  FROM prep LEFT JOIN hits USING (text_id))
+"""
+
+SQL["t6_polarity"] = "WITH " + SCORED + """
+SELECT text_id, round(polarity, 6) + 0.0 AS polarity, polarity > 0 AS positive FROM scored
+"""
+
+SQL["a4_text_counts"] = """
+SELECT conv_id AS username, count(*) FILTER (WHERE role = 'user') AS n_captions,
+       count(*) FILTER (WHERE role = 'assistant') AS n_comments, count(*) AS n_texts
+FROM conversations WHERE role IN ('user', 'assistant') GROUP BY conv_id
+"""
+
+SQL["a6_alignment"] = "WITH " + SCORED + """,
+g AS (SELECT username, sum(traits) AS tr, count(*) AS n, count(*) FILTER (WHERE polarity > 0) AS pos
+      FROM scored GROUP BY username),
+s AS (SELECT username, (tr + pos / CAST(greatest(n, 1) AS DOUBLE) * 100.0) / CAST(n AS DOUBLE) AS a FROM g)
+SELECT username, round(CASE WHEN a > 30 THEN 1.0 ELSE a END, 6) AS alignment_genZ FROM s
+"""
+
+SQL["a7_hashtag_score"] = "WITH " + SCORED + """,
+g AS (SELECT username, sum(hashtags) AS tg, count(*) AS n, count(*) FILTER (WHERE polarity > 0) AS pos
+      FROM scored WHERE kind = 'caption' GROUP BY username)
+SELECT username, round((tg + pos / CAST(greatest(n, 1) AS DOUBLE) * 100.0) / CAST(n AS DOUBLE), 6) AS hashtag_score
+FROM g
+"""
+
+SQL["a8_mean_sentiment"] = "WITH " + SCORED + """
+SELECT round(avg(polarity), 6) AS mean_polarity, count(*) AS n FROM scored
+"""
+
+SQL["a9_sentiment_histogram"] = "WITH " + SCORED + """,
+r AS (SELECT CASE WHEN min(polarity) = max(polarity) THEN min(polarity) - 0.5 ELSE min(polarity) END AS lo,
+             CASE WHEN min(polarity) = max(polarity) THEN max(polarity) + 0.5 ELSE max(polarity) END AS hi
+      FROM scored),
+e AS (SELECT lo, hi, (hi - lo) / 5 AS step FROM r),
+raw AS (SELECT polarity AS x, least(CAST(floor((polarity - lo) * (5.0 / (hi - lo))) AS INTEGER), 4) AS b,
+               lo, hi, step FROM scored, e WHERE polarity IS NOT NULL),
+d1 AS (SELECT x, lo, hi, step,
+              CASE WHEN x < (CASE WHEN b >= 5 THEN hi ELSE lo + b * step END) THEN b - 1 ELSE b END AS b FROM raw),
+d2 AS (SELECT CASE WHEN x >= (CASE WHEN b + 1 >= 5 THEN hi ELSE lo + (b + 1) * step END) AND b <> 4 THEN b + 1
+                   ELSE b END AS b FROM d1),
+c AS (SELECT b, count(*) AS n FROM d2 GROUP BY b),
+bins AS (SELECT CAST(range AS INTEGER) AS bin FROM range(5))
+SELECT bin, round(CASE WHEN bin >= 5 THEN hi ELSE lo + bin * step END, 6) AS lo,
+       round(CASE WHEN bin + 1 >= 5 THEN hi ELSE lo + (bin + 1) * step END, 6) AS hi,
+       coalesce(c.n, 0) AS n
+FROM bins LEFT JOIN c ON c.b = bins.bin, e
+"""

@@ -120,3 +120,108 @@ def p20_display(spark, d):
     r1 = rank.rank_in_category(I.features(spark, d), I.RANK_CATEGORY, domain=I.test_categories(),
                                digits=I.ROUND)
     return rank.display_rows(r1)
+
+
+# ------------------------------------------------------------------ text
+from creatorlens.functions import text as T  # noqa: E402
+from creatorlens.operators import lexicon as lex  # noqa: E402
+from creatorlens.operators import sentiment as sent  # noqa: E402
+
+
+@register("t1_clean_text")
+def t1_clean_text(spark, d):
+    """T1 (F1-F4): URLs, mentions and non-letters removed, lower-cased."""
+    return I.documents(spark, d).select("doc_id", T.clean_text(F.col("text")).alias("clean"))
+
+
+@register("t2_tokens")
+def t2_tokens(spark, d):
+    """White-space tokens of the cleaned text."""
+    toks = T.tokens(T.clean_text(F.col("text")))
+    return I.documents(spark, d).select("doc_id", F.size(toks).alias("n_tokens"),
+                                         F.array_join(toks, " ").alias("token_text"))
+
+
+@register("j4_keyword_tokens")
+def j4_keyword_tokens(spark, d):
+    """J4 (T3 literal mode): tokens that are lexicon keywords, per document."""
+    return I.documents(spark, d).select(
+        "doc_id", feat.trait_count(F.col("text"), keywords=I.TEST_KEYWORDS, mode="literal").alias("n_keywords"))
+
+
+@register("j5_hashtag_presence")
+def j5_hashtag_presence(spark, d):
+    """Distinct lexicon terms present in the lower-cased raw text."""
+    return I.documents(spark, d).select(
+        "doc_id", feat.hashtag_count(F.col("text"), hashtags=I.TEST_HASHTAGS).alias("n_hashtags"))
+
+
+@register("f15_sequence_occurrences")
+def f15_sequence_occurrences(spark, d):
+    """occurrences of whole multi-character sequences (emoji lexicon + markers)."""
+    from creatorlens import lexicons as LX
+    return I.documents(spark, d).select(
+        "doc_id", T.occurrence_total(F.lower(F.col("text")), LX.GENZ_EMOJIS + I.TEST_MARKERS).alias("n_sequences"))
+
+
+@register("t3_trait_count")
+def t3_trait_count(spark, d):
+    """T3 intent mode: keyword tokens + sequence occurrences + distinct hashtags."""
+    return I.documents(spark, d).select(
+        "doc_id", feat.trait_count(F.col("text"), keywords=I.TEST_KEYWORDS, emojis=I.TEST_MARKERS,
+                                   hashtags=I.TEST_HASHTAGS).alias("traits"))
+
+
+@register("a10_term_frequency")
+def a10_term_frequency(spark, d):
+    """Corpus frequency of the union lexicon, zero counts dropped."""
+    terms = [t for _, t in lex.lexicon_union(I.TEST_KEYWORDS, I.TEST_MARKERS, I.TEST_HASHTAGS)]
+    return lex.term_frequency(I.documents(spark, d), terms)
+
+
+# ------------------------------------------------------------------ sentiment / alignment
+def _scored_conversations(spark, d):
+    return feat.scored_texts(I.conversation_texts(spark, d), I.sentiment_lexicon(spark),
+                             keywords=I.TEST_KEYWORDS, emojis=I.TEST_MARKERS, hashtags=I.TEST_HASHTAGS,
+                             negators=I.TEST_NEGATORS)
+
+
+@register("t6_polarity")
+def t6_polarity(spark, d):
+    """Lexicon polarity per text (negator before a word flips it by -0.5)."""
+    s = _scored_conversations(spark, d)
+    return s.select("text_id", _r("polarity").alias("polarity"), sent.is_positive("polarity").alias("positive"))
+
+
+@register("a4_text_counts")
+def a4_text_counts(spark, d):
+    """A4/U4/A2: captions, comments and texts per user."""
+    return feat.text_counts(I.conversation_texts(spark, d))
+
+
+@register("a6_alignment")
+def a6_alignment(spark, d):
+    """Alignment per user, collapsed to 1 above 30."""
+    s = feat.alignment_scores(_scored_conversations(spark, d))
+    return s.select("username", _r("alignment_genZ").alias("alignment_genZ"))
+
+
+@register("a7_hashtag_score")
+def a7_hashtag_score(spark, d):
+    """Hashtag score per user over captions."""
+    s = feat.hashtag_scores(_scored_conversations(spark, d))
+    return s.select("username", _r("hashtag_score").alias("hashtag_score"))
+
+
+@register("a8_mean_sentiment")
+def a8_mean_sentiment(spark, d):
+    """Mean polarity over captions and comments."""
+    s = sent.mean_sentiment(_scored_conversations(spark, d))
+    return s.select(_r("mean_polarity").alias("mean_polarity"), "n")
+
+
+@register("a9_sentiment_histogram")
+def a9_sentiment_histogram(spark, d):
+    """5 equal-width bins over the polarity range, empty bins kept."""
+    s = sent.histogram(_scored_conversations(spark, d), "polarity", 5)
+    return s.select("bin", _r("lo").alias("lo"), _r("hi").alias("hi"), "n")
