@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from creatorlens import lexicons as L
 from creatorlens.functions.text import count_occurrences
+from creatorlens.session import literal_frame
 
 
 def lexicon_union(keywords: Sequence[str] = L.GENZ_KEYWORDS, emojis: Sequence[str] = L.GENZ_EMOJIS,
@@ -30,7 +31,7 @@ def lexicon_union(keywords: Sequence[str] = L.GENZ_KEYWORDS, emojis: Sequence[st
 
 def lexicon_frame(spark: SparkSession, entries: Sequence[tuple[str, str]]) -> DataFrame:
     """U1 as a DataFrame ``(kind, term)``."""
-    return spark.createDataFrame(list(entries), "kind string, term string")
+    return literal_frame(spark, list(entries), "kind string, term string")
 
 
 def term_frequency(texts: DataFrame, terms: Sequence[str], text_col: str = "text",

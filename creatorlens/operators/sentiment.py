@@ -18,14 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creatorlens.functions.text import clean_text, tokens
-from creatorlens.session import checked_broadcast
+from creatorlens.session import checked_broadcast, literal_frame
 
 DEFAULT_NEGATORS = ("not",)
 
 
 def lexicon_frame(spark, entries: dict[str, float] | Sequence[tuple[str, float]]) -> DataFrame:
     rows = list(entries.items()) if isinstance(entries, dict) else list(entries)
-    return spark.createDataFrame(rows, "word string, polarity double")
+    return literal_frame(spark, rows, "word string, polarity double")
 
 
 def _dedup_lexicon(lexicon: DataFrame, max_broadcast_rows: int) -> DataFrame:

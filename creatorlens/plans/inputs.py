@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from creatorlens.functions.json import json_double
 from creatorlens.operators.features import collapse_above, engagement_rate_expr, engagement_rates
+from creatorlens.session import literal_frame
 from creatorlens.sources.readers import read_table
 
 # test-data parameters (see FIXTURES.md §2)
@@ -100,4 +101,42 @@ def conversation_texts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sentiment_lexicon(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(sorted(TEST_SENTIMENT.items()), "word string, polarity double")
+    return literal_frame(spark, sorted(TEST_SENTIMENT.items()), "word string, polarity double")
+
+
+# ---------------------------------------------------------------- catalogue inputs
+TREE_CHUNK = 64          # suppliers per tree document (bounds each document)
+TEST_RULES = [(1, "fitness", "ring"), (1, "fitness", "Gear"), (2, "beauty", "red"), (2, "beauty", "gizmo"),
+              (2, "beauty", "PLATE")]
+TEST_EXCLUSIONS = ["small ring", "red widget", "blue bolt", "hot gear"]
+
+
+def category_trees(spark: SparkSession, d: str) -> DataFrame:
+    """region -> nation -> supplier as JSON tree documents ``(doc_id, json)``.
+
+    One document per (nation, block of TREE_CHUNK supplier keys), so every
+    document - and every collect_list building it - has a bounded size.
+    """
+    sup = read_table(spark, d, "supplier").select(
+        "s_suppkey", "s_name", "s_nationkey", F.floor(F.col("s_suppkey") / TREE_CHUNK).alias("chunk"))
+    leaves = sup.groupBy("s_nationkey", "chunk").agg(
+        F.array_sort(F.collect_list(F.struct("s_suppkey", "s_name"))).alias("sups"))
+    nation = read_table(spark, d, "nation")
+    region = read_table(spark, d, "region")
+    j = leaves.join(nation, leaves.s_nationkey == nation.n_nationkey).join(region, nation.n_regionkey == region.r_regionkey)
+
+    def node(alias, title, children=None):
+        fields = [alias.alias("alias"), F.struct(title.alias("title")).alias("content")]
+        if children is not None:
+            fields.append(children.alias("children"))
+        return F.struct(*fields)
+
+    sup_nodes = F.transform(F.col("sups"), lambda s: node(s["s_name"], s["s_name"]))
+    tree = F.struct(F.array(node(F.col("r_name"), F.col("r_name"),
+                                 F.array(node(F.col("n_name"), F.col("n_name"), sup_nodes)))).alias("navigation"))
+    return j.select(F.concat_ws("-", F.col("s_nationkey").cast("string"), F.col("chunk").cast("string")).alias("doc_id"),
+                    F.to_json(tree).alias("json"))
+
+
+def part_titles(spark: SparkSession, d: str) -> DataFrame:
+    return read_table(spark, d, "part").select(F.col("p_partkey"), F.col("p_name").alias("title"))

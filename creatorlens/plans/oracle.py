@@ -287,3 +287,33 @@ SELECT bin, round(CASE WHEN bin >= 5 THEN hi ELSE lo + bin * step END, 6) AS lo,
        coalesce(c.n, 0) AS n
 FROM bins LEFT JOIN c ON c.b = bins.bin, e
 """
+
+
+# ---------------------------------------------------------------- catalogue
+SQL["n1_flatten_tree"] = """
+WITH s AS (SELECT s_suppkey, s_name, s_nationkey, CAST(floor(s_suppkey / 64) AS BIGINT) AS chunk FROM supplier),
+docs AS (SELECT DISTINCT s_nationkey, chunk FROM s),
+top AS (
+  SELECT CAST(d.s_nationkey AS VARCHAR) || '-' || CAST(d.chunk AS VARCHAR) AS doc_id, r.r_name, n.n_name
+  FROM docs d JOIN nation n ON n.n_nationkey = d.s_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey),
+leaf AS (
+  SELECT CAST(s_nationkey AS VARCHAR) || '-' || CAST(chunk AS VARCHAR) AS doc_id, s_name,
+         row_number() OVER (PARTITION BY s_nationkey, chunk ORDER BY s_suppkey, s_name) + 1 AS pos
+  FROM s)
+SELECT doc_id, CAST(0 AS BIGINT) AS pos, 0 AS depth, r_name AS title FROM top WHERE r_name IS NOT NULL AND r_name <> ''
+UNION ALL
+SELECT doc_id, CAST(1 AS BIGINT), 1, n_name FROM top WHERE n_name IS NOT NULL AND n_name <> ''
+UNION ALL
+SELECT doc_id, CAST(pos AS BIGINT), 2, s_name FROM leaf WHERE s_name IS NOT NULL AND s_name <> ''
+"""
+
+_CLASSIFY = """CASE WHEN contains(lower(p_name), 'ring') OR contains(lower(p_name), 'gear') THEN 'fitness'
+     WHEN contains(lower(p_name), 'red') OR contains(lower(p_name), 'gizmo') OR contains(lower(p_name), 'plate')
+     THEN 'beauty' ELSE 'fashion' END"""
+
+SQL["n2_classify_titles"] = f"SELECT p_partkey, p_name AS title, {_CLASSIFY} AS category FROM part"
+SQL["n2_category_counts"] = f"SELECT {_CLASSIFY} AS category, count(*) AS n FROM part GROUP BY 1"
+SQL["p14_exclude_titles"] = """
+SELECT p_partkey, p_name AS title FROM part
+WHERE p_name IS NULL OR p_name NOT IN ('small ring', 'red widget', 'blue bolt', 'hot gear')
+"""

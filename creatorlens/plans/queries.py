@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from creatorlens.operators import features as feat
 from creatorlens.operators import rank
 from creatorlens.plans import inputs as I
+from creatorlens.session import literal_frame
 from creatorlens.sources.readers import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,8 +103,8 @@ BRANDS = [(1, "building", 0.5, 1), (2, "furniture", 0.3, 0), (3, "automobile", 0
 @register("r4_many_brands")
 def r4_many_brands(spark, d):
     """R1 for three brands at once: equi-join on category, top 15 per brand."""
-    brands = spark.createDataFrame(BRANDS, "brand_id int, category string, intended_engagement_rate double, "
-                                           "target_audience_genZ int")
+    brands = literal_frame(spark, BRANDS, "brand_id int, category string, intended_engagement_rate double, "
+                                          "target_audience_genZ int")
     return rank.rank_for_brands(I.features(spark, d), brands, digits=I.ROUND).select(
         "brand_id", "username", "similarity_score", F.col("rank").cast("bigint").alias("rank"))
 
@@ -225,3 +226,34 @@ def a9_sentiment_histogram(spark, d):
     """5 equal-width bins over the polarity range, empty bins kept."""
     s = sent.histogram(_scored_conversations(spark, d), "polarity", 5)
     return s.select("bin", _r("lo").alias("lo"), _r("hi").alias("hi"), "n")
+
+
+# ------------------------------------------------------------------ catalogue
+from creatorlens.operators import catalog as cat  # noqa: E402
+
+
+@register("n1_flatten_tree")
+def n1_flatten_tree(spark, d):
+    """Titles of every tree node in pre-order, with depth."""
+    nodes = cat.titled(cat.flatten_tree(I.category_trees(spark, d)))
+    return nodes.select("doc_id", F.col("pos").cast("bigint").alias("pos"), F.col("depth").cast("int").alias("depth"),
+                        "title")
+
+
+@register("n2_classify_titles")
+def n2_classify_titles(spark, d):
+    """Rule labels (first matching priority group, default fashion)."""
+    return cat.classify_titles(I.part_titles(spark, d), "title", I.TEST_RULES).select("p_partkey", "title", "category")
+
+
+@register("n2_category_counts")
+def n2_category_counts(spark, d):
+    """N2 summary: titles per rule label."""
+    lab = cat.classify_titles(I.part_titles(spark, d), "title", I.TEST_RULES)
+    return lab.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("p14_exclude_titles")
+def p14_exclude_titles(spark, d):
+    """Titles not on the exclusion list."""
+    return cat.exclude_titles(I.part_titles(spark, d), "title", I.TEST_EXCLUSIONS).select("p_partkey", "title")

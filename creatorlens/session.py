@@ -76,3 +76,18 @@ def checked_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def literal_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """A small DataFrame from Python literals, built JVM-side (``inline`` of a
+    literal array) so that no Python worker is needed to scan it.
+
+    ``schema`` is a DDL string such as ``"word string, polarity double"``.
+    """
+    fields = [f.strip().split()[:2] for f in schema.split(",")]
+    rows = list(rows)
+    if not rows:
+        return spark.createDataFrame([], schema)
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for (n, t), v in zip(fields, row, strict=True)])
+               for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
