@@ -317,3 +317,98 @@ SQL["p14_exclude_titles"] = """
 SELECT p_partkey, p_name AS title FROM part
 WHERE p_name IS NULL OR p_name NOT IN ('small ring', 'red widget', 'blue bolt', 'hot gear')
 """
+
+
+# ---------------------------------------------------------------- evaluation
+SQL["a11_quantiles"] = """
+SELECT round(quantile_cont(c_acctbal, 0.1), 6) AS q10, round(quantile_cont(c_acctbal, 0.5), 6) AS q50,
+       round(quantile_cont(c_acctbal, 0.9), 6) AS q90
+FROM customer
+"""
+
+_R2 = "(" + _r2() + ")"
+
+SQL["p17_self_labels"] = f"""
+WITH r2 AS {_R2}, t AS (SELECT quantile_cont(similarity_score, 0.9) AS thr FROM r2)
+SELECT username, similarity_score, CAST(similarity_score >= thr AS INTEGER) AS label FROM r2, t
+"""
+
+_DECILE = f"""
+r2 AS {_R2},
+t AS (SELECT quantile_cont(similarity_score, 0.9) AS thr FROM r2),
+dg AS (SELECT count(*) AS n, count(*) FILTER (WHERE similarity_score >= thr) AS tp, thr FROM r2, t GROUP BY thr),
+m AS (SELECT thr, tp, n * 0.1 - tp AS fp, n - tp - (n * 0.1 - tp) AS fn,
+             tp / (tp + (n * 0.1 - tp)) AS p, tp / (tp + (n - tp - (n * 0.1 - tp))) AS r FROM dg)
+"""
+
+SQL["a12_decile_metrics"] = "WITH " + _DECILE + """
+SELECT round(thr, 6) AS threshold, tp, round(fp, 6) AS fp, round(fn, 6) AS fn, round(p, 6) AS precision,
+       round(r, 6) AS recall, round(2 * p * r / (p + r), 6) AS f1
+FROM m
+"""
+
+_CURVE = """
+g AS (SELECT {score} AS threshold, count(*) FILTER (WHERE {label} = 1) AS pos,
+             count(*) FILTER (WHERE {label} <> 1 OR {label} IS NULL) AS neg
+      FROM {src} WHERE {score} IS NOT NULL GROUP BY {score}),
+c AS (SELECT *, sum(pos) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS tps,
+             sum(neg) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS fps FROM g),
+tot AS (SELECT sum(pos) AS np, sum(neg) AS nn FROM g),
+summ AS (SELECT sum(neg * (2 * tps - pos)) / (2.0 * np * nn) AS auc, sum(pos * tps / (tps + fps)) / np AS ap,
+                np, nn FROM c, tot GROUP BY np, nn)
+"""
+
+
+def _curve(score, label, src):
+    return _CURVE.replace("{score}", score).replace("{label}", label).replace("{src}", src)
+
+
+SQL["r5_ranking_evaluation"] = "WITH " + _DECILE + ", lab AS (SELECT similarity_score, CAST(similarity_score >= thr AS INTEGER) AS label FROM r2, t)," + \
+    _curve("similarity_score", "label", "lab") + """
+SELECT round(thr, 6) AS threshold, round(p, 6) AS precision, round(r, 6) AS recall,
+       round(2 * p * r / (p + r), 6) AS f1, round(auc, 6) AS auc, round(ap, 6) AS ap
+FROM m, summ
+"""
+
+_DOCS = "(SELECT l.quality AS y, d.n_chars FROM labels l JOIN documents d USING (doc_id))"
+
+SQL["a16_roc_pr"] = "WITH " + _curve("n_chars", "y", _DOCS) + """
+SELECT round(auc, 6) AS auc, round(ap, 6) AS ap, CAST(np AS BIGINT) AS n_pos, CAST(nn AS BIGINT) AS n_neg FROM summ
+"""
+
+SQL["w1_roc_curve"] = "WITH " + _curve("n_chars", "y", _DOCS) + """
+SELECT threshold, CAST(tps AS BIGINT) AS tps, CAST(fps AS BIGINT) AS fps, round(tps / np, 6) AS tpr,
+       round(fps / nn, 6) AS fpr, round(tps / (tps + fps), 6) AS precision, round(tps / np, 6) AS recall
+FROM c, tot
+"""
+
+_PRED = "(SELECT l.quality AS y, CAST(d.n_chars >= 1500 AS INTEGER) AS yhat FROM labels l JOIN documents d USING (doc_id))"
+
+SQL["a13_accuracy"] = f"SELECT round(avg(CAST(y = yhat AS DOUBLE)), 6) AS accuracy, count(*) AS n FROM {_PRED}"
+
+SQL["a14_confusion_matrix"] = f"""
+WITH p AS {_PRED}, cls(label, class_order) AS (VALUES ('0', 0), ('1', 1))
+SELECT cls.label, cls.class_order,
+       count(p.y) FILTER (WHERE p.yhat = 0) AS pred_0, count(p.y) FILTER (WHERE p.yhat = 1) AS pred_1
+FROM cls LEFT JOIN p ON CAST(p.y AS VARCHAR) = cls.label
+GROUP BY cls.label, cls.class_order
+"""
+
+SQL["a15_classification_report"] = f"""
+WITH p AS {_PRED}, cls(label, c, row_order) AS (VALUES ('0', 0, 0), ('1', 1, 1)),
+k AS (SELECT cls.label, cls.row_order,
+             count(*) FILTER (WHERE p.y = cls.c AND p.yhat = cls.c) AS tp,
+             count(*) FILTER (WHERE p.yhat = cls.c) AS pp, count(*) FILTER (WHERE p.y = cls.c) AS sp
+      FROM cls, p GROUP BY cls.label, cls.row_order),
+m AS (SELECT label, row_order,
+             CASE WHEN pp = 0 THEN 0.0 ELSE tp / pp END AS precision,
+             CASE WHEN sp = 0 THEN 0.0 ELSE tp / sp END AS recall, sp AS support FROM k),
+f AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2 * precision * recall / (precision + recall) END AS f1 FROM m)
+SELECT label, row_order, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
+       CAST(support AS BIGINT) AS support FROM f
+UNION ALL
+SELECT 'macro avg', 2, round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), CAST(sum(support) AS BIGINT) FROM f
+UNION ALL
+SELECT 'weighted avg', 3, round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
+       round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f
+"""

@@ -257,3 +257,85 @@ def n2_category_counts(spark, d):
 def p14_exclude_titles(spark, d):
     """Titles not on the exclusion list."""
     return cat.exclude_titles(I.part_titles(spark, d), "title", I.TEST_EXCLUSIONS).select("p_partkey", "title")
+
+
+# ------------------------------------------------------------------ evaluation
+from creatorlens.operators import evaluate as ev  # noqa: E402
+
+PRED_THRESHOLD = 1500   # yhat = n_chars >= 1500 for the classifier-metric queries
+
+
+def _labelled_docs(spark, d):
+    lab = read_table(spark, d, "labels")
+    docs = read_table(spark, d, "documents").select("doc_id", "n_chars")
+    return lab.join(docs, "doc_id").select(
+        "doc_id", F.col("quality").alias("y"), "n_chars",
+        (F.col("n_chars") >= PRED_THRESHOLD).cast("int").alias("yhat"))
+
+
+def _rounded(df, cols):
+    return df.select(*[_r(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+@register("a11_quantiles")
+def a11_quantiles(spark, d):
+    """Exact linear quantiles 0.1 / 0.5 / 0.9 of customer balances."""
+    c = read_table(spark, d, "customer")
+    return spark.range(1).select(*[_r(ev.quantile(c, "c_acctbal", q)).alias(f"q{int(q * 100)}")
+                                   for q in (0.1, 0.5, 0.9)])
+
+
+@register("p17_self_labels")
+def p17_self_labels(spark, d):
+    """0/1 label = R2 score >= its 0.9 quantile."""
+    r2 = rank.rank_all(I.features(spark, d), I.BRAND_CATEGORY, digits=I.ROUND)
+    return ev.self_labels(r2, "similarity_score").select("username", "similarity_score", "label")
+
+
+@register("a12_decile_metrics")
+def a12_decile_metrics(spark, d):
+    """Top-decile precision / recall / F1 of the R2 ranking."""
+    r2 = rank.rank_all(I.features(spark, d), I.BRAND_CATEGORY, digits=I.ROUND)
+    m = ev.decile_metrics(r2, "similarity_score")
+    return _rounded(m, {"threshold", "fp", "fn", "precision", "recall", "f1"})
+
+
+@register("r5_ranking_evaluation")
+def r5_ranking_evaluation(spark, d):
+    """Decile metrics + ROC AUC + AP of R2 against its self-labels."""
+    r2 = rank.rank_all(I.features(spark, d), I.BRAND_CATEGORY, digits=I.ROUND)
+    m = ev.ranking_evaluation(r2, "similarity_score")
+    return _rounded(m, set(m.columns))
+
+
+@register("a16_roc_pr")
+def a16_roc_pr(spark, d):
+    """ROC AUC and average precision of n_chars as a quality score."""
+    s = ev.roc_pr_summary(_labelled_docs(spark, d), "y", "n_chars")
+    return _rounded(s, {"auc", "ap"})
+
+
+@register("w1_roc_curve")
+def w1_roc_curve(spark, d):
+    """Cumulative TP/FP per distinct score, descending (range-partitioned prefix sums)."""
+    c = ev.roc_pr_curve(_labelled_docs(spark, d), "y", "n_chars")
+    return _rounded(c, {"tpr", "fpr", "precision", "recall"})
+
+
+@register("a13_accuracy")
+def a13_accuracy(spark, d):
+    """Accuracy of the n_chars threshold rule against quality."""
+    return _rounded(ev.accuracy(_labelled_docs(spark, d), "y", "yhat"), {"accuracy"})
+
+
+@register("a14_confusion_matrix")
+def a14_confusion_matrix(spark, d):
+    """Confusion matrix in the fixed class order [0, 1]."""
+    return ev.confusion_matrix(_labelled_docs(spark, d), "y", "yhat", [0, 1])
+
+
+@register("a15_classification_report")
+def a15_classification_report(spark, d):
+    """Per-class precision / recall / f1 / support with macro and weighted averages."""
+    rep = ev.classification_report(_labelled_docs(spark, d), "y", "yhat", [0, 1])
+    return _rounded(rep, {"precision", "recall", "f1"})

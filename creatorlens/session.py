@@ -91,3 +91,15 @@ def literal_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
     structs = [F.struct(*[F.lit(v).cast(t).alias(n) for (n, t), v in zip(fields, row, strict=True)])
                for row in rows]
     return spark.range(1).select(F.inline(F.array(*structs)))
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a result that later steps scan several times.
+
+    Reliable ``checkpoint()`` into the shared folder named by
+    ``spark.checkpoint.dir`` (executor loss cannot lose it, unlike
+    ``localCheckpoint``); the returned DataFrame reads the written copy, so the
+    upstream plan runs once.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
