@@ -412,3 +412,47 @@ UNION ALL
 SELECT 'weighted avg', 3, round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
        round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f
 """
+
+
+# ---------------------------------------------------------------- TF-IDF
+_TOK = r"regexp_extract_all(lower({t}), '[\p{L}\p{N}_]{2,}')"
+
+
+def _tfidf_sql(src: str, idc: str, textc: str, *, bigrams: bool, stops, min_df=None, max_df=None,
+               max_features=None, out: str = "weights") -> str:
+    stop = ("list_filter(tk, lambda x: x NOT IN " + _in_list(stops) + ")") if stops else "tk"
+    grams = ("list_concat(st, list_transform(generate_series(1, greatest(len(st) - 1, 0)), "
+             "lambda i: st[i] || ' ' || st[i + 1]))") if bigrams else "st"
+    prune = []
+    if min_df is not None:
+        prune.append(f"df >= {min_df} * (SELECT n FROM nd)")
+    if max_df is not None:
+        prune.append(f"df <= {max_df} * (SELECT n FROM nd)")
+    where = ("WHERE " + " AND ".join(prune)) if prune else ""
+    limit = f"ORDER BY ctf DESC, term LIMIT {max_features}" if max_features else ""
+    tok = _TOK.replace("{t}", textc)
+    return f"""
+WITH src AS ({src}),
+nd AS (SELECT count(*) AS n FROM src),
+a AS (SELECT {idc} AS doc_id, {tok} AS tk FROM src),
+b AS (SELECT doc_id, {stop} AS st FROM a),
+c AS (SELECT doc_id, {grams} AS terms FROM b),
+e AS (SELECT doc_id, unnest(terms) AS term FROM c),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM e GROUP BY doc_id, term),
+dfs AS (SELECT term, count(*) AS df, sum(tf) AS ctf FROM tf GROUP BY term),
+vocab AS (SELECT * FROM dfs {where} {limit}),
+w AS (SELECT tf.doc_id, tf.term, tf.tf * (ln((1.0 + (SELECT n FROM nd)) / (1.0 + vocab.df)) + 1.0) AS x
+      FROM tf JOIN vocab USING (term)),
+weights AS (SELECT doc_id, term, x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)) AS tfidf FROM w)
+SELECT * FROM {out}"""
+
+
+SQL["t7_tfidf_titles"] = ("SELECT doc_id, term, round(tfidf, 6) AS tfidf FROM (" + _tfidf_sql(
+    "SELECT p_partkey, p_name FROM part", "p_partkey", "p_name", bigrams=True, stops=["and", "the", "of", "new", "old"],
+    min_df=0.01, max_df=0.5) + ")")
+SQL["t7_tfidf_documents"] = ("SELECT doc_id, term, round(tfidf, 6) AS tfidf FROM (" + _tfidf_sql(
+    "SELECT doc_id, text FROM documents WHERE lang = 'en'", "doc_id", "text", bigrams=False, stops=None,
+    max_features=1000) + ")")
+SQL["a19_document_frequency"] = ("SELECT term, df, CAST(ctf AS BIGINT) AS ctf FROM (" + _tfidf_sql(
+    "SELECT p_partkey, p_name FROM part", "p_partkey", "p_name", bigrams=True, stops=["and", "the", "of", "new", "old"],
+    min_df=0.01, max_df=0.5, out="vocab") + ")")

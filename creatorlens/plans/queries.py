@@ -339,3 +339,34 @@ def a15_classification_report(spark, d):
     """Per-class precision / recall / f1 / support with macro and weighted averages."""
     rep = ev.classification_report(_labelled_docs(spark, d), "y", "yhat", [0, 1])
     return _rounded(rep, {"precision", "recall", "f1"})
+
+
+# ------------------------------------------------------------------ TF-IDF
+from creatorlens.operators import vectorize as vec  # noqa: E402
+
+TITLE_STOP_WORDS = ["and", "the", "of", "new", "old"]
+
+
+@register("t7_tfidf_titles")
+def t7_tfidf_titles(spark, d):
+    """T7 (clustering setup): uni+bigrams, stop words, df in [0.01, 0.5] of part names."""
+    w = vec.tfidf(I.part_titles(spark, d), "p_partkey", "title", ngram_range=(1, 2),
+                  stop_words=TITLE_STOP_WORDS, min_df=0.01, max_df=0.5)
+    return w.select("doc_id", "term", _r("tfidf").alias("tfidf"))
+
+
+@register("t7_tfidf_documents")
+def t7_tfidf_documents(spark, d):
+    """T7 (classifier setup): unigrams, 1000 most frequent terms, English documents."""
+    docs = I.documents(spark, d).where(F.col("lang") == "en")
+    w = vec.tfidf(docs, "doc_id", "text", max_features=1000)
+    return w.select("doc_id", "term", _r("tfidf").alias("tfidf"))
+
+
+@register("a19_document_frequency")
+def a19_document_frequency(spark, d):
+    """Document frequency of kept terms (df in [0.01, 0.5]) of part names."""
+    docs = I.part_titles(spark, d)
+    tf = vec.term_counts(docs, "p_partkey", "title", ngram_range=(1, 2), stop_words=TITLE_STOP_WORDS)
+    n = docs.agg(F.count(F.lit(1))).scalar()
+    return vec.vocabulary(tf, n, min_df=0.01, max_df=0.5).select("term", "df", "ctf")
