@@ -456,3 +456,35 @@ SQL["t7_tfidf_documents"] = ("SELECT doc_id, term, round(tfidf, 6) AS tfidf FROM
 SQL["a19_document_frequency"] = ("SELECT term, df, CAST(ctf AS BIGINT) AS ctf FROM (" + _tfidf_sql(
     "SELECT p_partkey, p_name FROM part", "p_partkey", "p_name", bigrams=True, stops=["and", "the", "of", "new", "old"],
     min_df=0.01, max_df=0.5, out="vocab") + ")")
+
+
+# ---------------------------------------------------------------- clustering
+_SIL = """
+p AS (SELECT vec_id AS id, label AS cluster, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+comp AS (SELECT cluster, generate_subscripts(x, 1) AS i, unnest(x) AS v FROM p),
+vs AS (SELECT cluster, i, sum(v) AS v FROM comp GROUP BY cluster, i),
+st AS (SELECT cluster, list(v ORDER BY i) AS s FROM vs GROUP BY cluster),
+sc AS (SELECT cluster, count(*) AS n, sum(list_dot_product(x, x)) AS q FROM p GROUP BY cluster),
+stats AS (SELECT sc.cluster, sc.n, st.s, sc.q FROM sc JOIN st USING (cluster)),
+d AS (SELECT p.id, p.cluster AS own, stats.cluster, stats.n,
+             stats.n * list_dot_product(p.x, p.x) - 2.0 * list_dot_product(p.x, stats.s) + stats.q AS ss
+      FROM p, stats),
+ab AS (SELECT id, own AS cluster,
+              max(CASE WHEN cluster = own AND n > 1 THEN ss / (n - 1) END) AS a,
+              max(CASE WHEN cluster = own THEN n END) AS n_own,
+              min(CASE WHEN cluster <> own THEN ss / n END) AS b
+       FROM d GROUP BY id, own),
+sil AS (SELECT id, cluster, CASE WHEN n_own <= 1 THEN 0.0
+                                 ELSE coalesce((b - a) / greatest(a, b), 0.0) END AS silhouette FROM ab)
+"""
+
+SQL["a17_silhouette"] = "WITH " + _SIL + "SELECT id, cluster, round(silhouette, 6) AS silhouette FROM sil"
+SQL["a17_silhouette_summary"] = "WITH " + _SIL + """
+SELECT cluster, round(avg(silhouette), 6) AS mean_silhouette, count(*) AS n FROM sil GROUP BY cluster"""
+SQL["a18_cluster_membership"] = """
+SELECT label AS cluster, count(*) AS n, (SELECT count(DISTINCT label) FROM embeddings) AS n_clusters
+FROM embeddings GROUP BY label"""
+SQL["w2_sorted_silhouette"] = "WITH " + _SIL + """
+SELECT id, cluster, round(silhouette, 6) AS silhouette,
+       CAST(row_number() OVER (PARTITION BY cluster ORDER BY silhouette, id) AS INTEGER) AS rank
+FROM sil"""

@@ -370,3 +370,53 @@ def a19_document_frequency(spark, d):
     tf = vec.term_counts(docs, "p_partkey", "title", ngram_range=(1, 2), stop_words=TITLE_STOP_WORDS)
     n = docs.agg(F.count(F.lit(1))).scalar()
     return vec.vocabulary(tf, n, min_df=0.01, max_df=0.5).select("term", "df", "ctf")
+
+
+# ------------------------------------------------------------------ clustering
+from creatorlens.operators import cluster as clu  # noqa: E402
+
+
+def _embeddings(spark, d):
+    return read_table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").alias("cluster"),
+                                                      F.col("embedding").alias("features"))
+
+
+@register("a17_silhouette")
+def a17_silhouette(spark, d):
+    """Per-point squared-Euclidean silhouette of the labelled embeddings."""
+    s = clu.silhouette(_embeddings(spark, d), "id")
+    return s.select("id", "cluster", _r("silhouette").alias("silhouette"))
+
+
+@register("a17_silhouette_summary")
+def a17_silhouette_summary(spark, d):
+    """Mean silhouette and size per cluster."""
+    s = clu.silhouette_summary(clu.silhouette(_embeddings(spark, d), "id"))
+    return s.select("cluster", _r("mean_silhouette").alias("mean_silhouette"), "n")
+
+
+@register("a18_cluster_membership")
+def a18_cluster_membership(spark, d):
+    """Cluster sizes and number of clusters."""
+    return clu.cluster_membership(_embeddings(spark, d))
+
+
+@register("w2_sorted_silhouette")
+def w2_sorted_silhouette(spark, d):
+    """Silhouette rank inside each cluster."""
+    s = clu.sorted_within_cluster(clu.silhouette(_embeddings(spark, d), "id"), "id")
+    return s.select("id", "cluster", _r("silhouette").alias("silhouette"), "rank")
+
+
+@register("m2_pca_projection")
+def m2_pca_projection(spark, d):
+    """M2: 2-D PCA projection of the embeddings (rows-only check)."""
+    p = clu.project(_embeddings(spark, d), k=2)
+    return p.select("id", F.col("projection")[0].alias("pc1"), F.col("projection")[1].alias("pc2"))
+
+
+@register("m1_kmeans")
+def m1_kmeans(spark, d):
+    """M1: k-means (k=3, seed 42) on the 2-D projection (rows-only check)."""
+    p = clu.project(_embeddings(spark, d), k=2).drop("cluster")
+    return clu.kmeans(p, "projection").select("id", "cluster")
