@@ -420,3 +420,51 @@ def m1_kmeans(spark, d):
     """M1: k-means (k=3, seed 42) on the 2-D projection (rows-only check)."""
     p = clu.project(_embeddings(spark, d), k=2).drop("cluster")
     return clu.kmeans(p, "projection").select("id", "cluster")
+
+
+# ------------------------------------------------------------------ classification
+from creatorlens.operators import classify as cls  # noqa: E402
+
+
+def _labelled_titles(spark, d):
+    t = I.part_titles(spark, d)
+    return cls.hash_split(cat.classify_titles(t, "title", I.TEST_RULES), "p_partkey")
+
+
+@register("m3_train_test_split")
+def m3_train_test_split(spark, d):
+    """M3: stable 80/20 split of the labelled titles (rows-only check)."""
+    return _labelled_titles(spark, d).select("p_partkey", "title", "category", "is_test")
+
+
+@register("m4_svm_test_predictions")
+def m4_svm_test_predictions(spark, d):
+    """M4/M6: one-vs-rest linear SVM on TF-IDF, predictions for the test rows (rows-only)."""
+    data = _labelled_titles(spark, d)
+    train = data.where(~F.col("is_test"))
+    model = cls.fit_svm(train)
+    return cls.predict(model, data.where(F.col("is_test"))).select("p_partkey", "title", "category", "prediction")
+
+
+@register("m4_svm_report")
+def m4_svm_report(spark, d):
+    """M4 + A13-A15: classification report of the SVM on the test rows (rows-only)."""
+    preds = m4_svm_test_predictions(spark, d)
+    return ev.classification_report(preds, "category", "prediction", ["beauty", "fashion", "fitness"])
+
+
+@register("m5_grid_search")
+def m5_grid_search(spark, d):
+    """M5: 5-fold cross-validated C in {0.1, 1, 10}; mean accuracy per C (rows-only)."""
+    data = _labelled_titles(spark, d)
+    train = data.where(~F.col("is_test"))
+    _, scores = cls.grid_search(train, key="p_partkey")
+    return literal_frame(spark, [(float(c), float(a)) for c, a in scores], "c double, cv_accuracy double")
+
+
+@register("m6_predict_titles")
+def m6_predict_titles(spark, d):
+    """M6: the fitted pipeline scores every part title in batch (rows-only)."""
+    data = _labelled_titles(spark, d)
+    model = cls.fit_svm(data.where(~F.col("is_test")))
+    return cls.predict(model, I.part_titles(spark, d)).select("p_partkey", "title", "prediction")
