@@ -488,3 +488,21 @@ SQL["w2_sorted_silhouette"] = "WITH " + _SIL + """
 SELECT id, cluster, round(silhouette, 6) AS silhouette,
        CAST(row_number() OVER (PARTITION BY cluster ORDER BY silhouette, id) AS INTEGER) AS rank
 FROM sil"""
+
+
+# ---------------------------------------------------------------- sources and sinks
+SQL["s1_influencer_csv"] = """
+SELECT c_name AS username, lower(c_mktsegment) AS category, CAST(trunc(c_acctbal) AS INTEGER) AS followers
+FROM customer
+"""
+SQL["s2_feature_csv"] = _with(BASE) + """
+SELECT username, round(engagement_rate, 6) AS engagement_rate, round(alignment_genZ, 6) AS alignment_genZ,
+       category, round(hashtag_score, 6) AS hashtag_score
+FROM feat
+"""
+SQL["s4_post_files"] = _with(BASE) + """
+SELECT username, round(engagement_rate, 6) AS engagement_rate FROM eng
+"""
+SQL["s5_tree_documents"] = SQL["n1_flatten_tree"]
+SQL["s10_records"] = ("SELECT to_json(struct_pack(username := username, similarity_score := similarity_score)) "
+                      "AS record FROM (" + SQL["r1_rank_category"] + ")")

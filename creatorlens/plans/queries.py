@@ -468,3 +468,68 @@ def m6_predict_titles(spark, d):
     data = _labelled_titles(spark, d)
     model = cls.fit_svm(data.where(~F.col("is_test")))
     return cls.predict(model, I.part_titles(spark, d)).select("p_partkey", "title", "prediction")
+
+
+# ------------------------------------------------------------------ sources and sinks
+from creatorlens.session import scratch_path  # noqa: E402
+from creatorlens.sources import readers as rd  # noqa: E402
+from creatorlens.sources import sinks as sk  # noqa: E402
+
+
+@register("s1_influencer_csv")
+def s1_influencer_csv(spark, d):
+    """Influencers written as header CSV (third header ``_c2``) and
+    read back with a declared schema; followers text -> int."""
+    c = read_table(spark, d, "customer").select(
+        F.col("c_name").alias("username"), F.lower("c_mktsegment").alias("category"),
+        F.col("c_acctbal").cast("string").alias("_c2"))
+    path = scratch_path(spark, "influencers-csv")
+    sk.write_csv(c, path)
+    return rd.read_influencers(spark, path)
+
+
+@register("s2_feature_csv")
+def s2_feature_csv(spark, d):
+    """The feature table through a header CSV, read with a declared schema."""
+    f = I.features(spark, d).select(F.col("username"), _r("engagement_rate").alias("engagement_rate"),
+                                    _r("alignment_genZ").alias("alignment_genZ"), "category",
+                                    _r("hashtag_score").alias("hashtag_score"))
+    path = scratch_path(spark, "features-csv")
+    sk.write_csv(f, path)
+    return rd.read_features_csv(spark, path)
+
+
+@register("s4_post_files")
+def s4_post_files(spark, d):
+    """Posts written as JSON-line files, one folder per user, then
+    ONE text scan with the user taken from the path, and the engagement rate."""
+    posts = I.posts(spark, d).select(F.col("username").cast("string").alias("owner"), "value")
+    path = scratch_path(spark, "post-files")
+    posts.write.mode("overwrite").partitionBy("owner").text(path)
+    files = rd.read_post_files(spark, path, key_pattern=r"owner=([^/]+)/").select(
+        F.col("file_key").cast("bigint").alias("username"), "value")
+    rates = feat.engagement_rates(I.influencers(spark, d), files, like_path=I.LIKE_PATH)
+    return rates.select("username", _r("engagement_rate").alias("engagement_rate"))
+
+
+@register("s5_tree_documents")
+def s5_tree_documents(spark, d):
+    """Tree documents written as JSON lines and read back as raw text."""
+    trees = I.category_trees(spark, d)
+    path = scratch_path(spark, "trees-jsonl")
+    # one JSON document per line: {"doc_id": ..., "navigation": [...]}
+    line = F.concat(F.lit('{"doc_id":'), F.to_json(F.array("doc_id")).substr(F.lit(2), F.length(F.to_json(F.array("doc_id"))) - 2),
+                    F.lit(","), F.expr("substring(json, 2)"))
+    trees.select(line.alias("value")).write.mode("overwrite").text(path)
+    raw = rd.read_json_documents(spark, path, whole_file=False)
+    docs = raw.select(F.get_json_object("json", "$.doc_id").alias("doc_id"), "json")
+    nodes = cat.titled(cat.flatten_tree(docs))
+    return nodes.select("doc_id", F.col("pos").cast("bigint").alias("pos"), F.col("depth").cast("int").alias("depth"),
+                        "title")
+
+
+@register("s10_records")
+def s10_records(spark, d):
+    """The R1 result as JSON records."""
+    r1 = rank.rank_in_category(I.features(spark, d), I.RANK_CATEGORY, domain=I.test_categories(), digits=I.ROUND)
+    return sk.as_records(r1)

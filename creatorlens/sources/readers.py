@@ -39,11 +39,12 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
 
 def read_influencers(spark: SparkSession, path: str, schema: StructType = INFLUENCER_SCHEMA) -> DataFrame:
     """S1 + P2 + P3: header CSV of influencers; the third column becomes
-    ``followers`` whatever its header says, cast with ``try_cast`` (malformed -> NULL)."""
+    ``followers`` whatever its header says.  Numeric text (also ``"12.0"``) is
+    truncated to an int; malformed or out-of-range text becomes NULL."""
     raw = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
     third = raw.columns[2]
     return raw.withColumnRenamed(third, "followers").withColumn(
-        "followers", F.trim(F.col("followers")).try_cast(IntegerType()))
+        "followers", F.trim(F.col("followers")).try_cast("double").try_cast(IntegerType()))
 
 
 def read_features_csv(spark: SparkSession, path: str, schema: StructType | None = FEATURE_SCHEMA,
