@@ -506,3 +506,4 @@ SELECT username, round(engagement_rate, 6) AS engagement_rate FROM eng
 SQL["s5_tree_documents"] = SQL["n1_flatten_tree"]
 SQL["s10_records"] = ("SELECT to_json(struct_pack(username := username, similarity_score := similarity_score)) "
                       "AS record FROM (" + SQL["r1_rank_category"] + ")")
+SQL["st1_engagement_stream"] = SQL["a1_engagement_rate"]

@@ -533,3 +533,19 @@ def s10_records(spark, d):
     """The R1 result as JSON records."""
     r1 = rank.rank_in_category(I.features(spark, d), I.RANK_CATEGORY, domain=I.test_categories(), digits=I.ROUND)
     return sk.as_records(r1)
+
+
+# ------------------------------------------------------------------ streaming
+from creatorlens.streaming import run_engagement_stream  # noqa: E402
+
+
+@register("st1_engagement_stream")
+def st1_engagement_stream(spark, d):
+    """A1 as Structured Streaming: post files -> stateful per-user sums -> rates."""
+    posts = I.posts(spark, d).select(F.col("username").cast("string").alias("owner"), "value")
+    src = scratch_path(spark, "stream-posts")
+    posts.write.mode("overwrite").partitionBy("owner").text(src)
+    out = scratch_path(spark, "stream-rates")
+    run_engagement_stream(spark, f"{src}/*/", I.influencers(spark, d), out, key_pattern=r"owner=([^/]+)/",
+                          like_path=I.LIKE_PATH, key_type="bigint")
+    return spark.read.parquet(out).select("username", _r("engagement_rate").alias("engagement_rate"))
