@@ -47,7 +47,7 @@ def score_texts(texts: DataFrame, lexicon: DataFrame, *, id_col: str, text_col:
                             tokens(clean_text(F.col(text_col))).alias("_toks"))
     pairs = F.zip_with(F.col("_toks"), F.concat(F.array(F.lit(None).cast("string")), F.col("_toks")),
                        lambda w, p: F.struct(w.alias("w"), p.alias("prev")))
-    exploded = prepared.select(*keep, *extra.keys(), F.explode(pairs).alias("_t")).select(
+    exploded = prepared.select(*keep, *extra.keys(), F.explode_outer(pairs).alias("_t")).select(
         *keep, *extra.keys(), F.col("_t.w").alias("_w"), F.col("_t.prev").alias("_prev"))
     lex = _dedup_lexicon(lexicon, max_broadcast_rows)
     joined = exploded.join(lex, exploded["_w"] == lex["_lex_word"], "left")
