@@ -64,51 +64,80 @@ def keyword_token_count(token_array, keywords: Sequence[str]) -> Column:
     return F.size(F.filter(_col(token_array), lambda x: x.isin(words)))
 
 
+def _caseless(term: str) -> bool:
+    """True when lower-casing any text cannot create or destroy an occurrence
+    of ``term``: it has no letters (and not the combining dot that the
+    lower-case of a dotted capital I produces)."""
+    return all(not ch.isalpha() and ch != "\u0307" for ch in term)
+
+
+def _char_ranges(chars: Sequence[str], gap: int = 512) -> list[tuple[int, int]]:
+    """Code points merged into few ranges (neighbours closer than ``gap``
+    join), a superset of ``chars`` that a regex class tests quickly."""
+    out: list[list[int]] = []
+    for cp in sorted({ord(c) for c in chars}):
+        if out and cp - out[-1][1] <= gap:
+            out[-1][1] = cp
+        else:
+            out.append([cp, cp])
+    return [(a, b) for a, b in out]
+
+
 def _prefilter(text: Column, terms: Sequence[str]) -> Column | None:
     """A cheap exact pre-test: false only when no term can occur in ``text``.
 
-    One regex scan for any of the terms' first characters (a character class
-    of code points) replaces one scan per term on texts that cannot match.
+    One scan for any of the terms' first characters replaces one scan per
+    term on texts that cannot match.  Many first characters become a regex
+    class of a few code-point ranges (a superset, so the test stays exact).
     """
     firsts = sorted({t[0] for t in terms if t})
     if not firsts:
         return None
     if len(firsts) <= 4:
         return F.greatest(*[F.instr(text, ch) for ch in firsts], F.lit(0)) > 0
-    cls = "".join(f"\\x{{{ord(ch):X}}}" for ch in firsts)
+    cls = "".join(f"\\x{{{a:X}}}" if a == b else f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in _char_ranges(firsts))
     return text.rlike(f"[{cls}]")
 
 
+def _lexicon_sum(text, terms: Sequence[str], per_term, case_insensitive: bool) -> Column:
+    """Sum of ``per_term(target, term)`` over distinct terms.
+
+    With ``case_insensitive`` the terms are searched in the lower-cased text
+    (terms are used as given, so a term with capitals never matches) - but
+    only terms that contain letters need it; caseless terms (``#``, ``$$$``,
+    emoji) are searched in the raw text, which gives the same counts.  The pre-test runs on the raw text when every
+    first character is caseless, so texts that cannot match never pay for
+    ``lower``.
+    """
+    raw = _col(text)
+    terms = [x for x in dict.fromkeys(terms) if x]
+    if not terms:
+        return F.lit(0)
+    low = F.lower(raw) if case_insensitive else raw
+    parts = [per_term(raw if (not case_insensitive or _caseless(x)) else low, x) for x in terms]
+    total = sum(parts[1:], parts[0])
+    raw_ok = not case_insensitive or all(_caseless(x[0]) for x in terms)
+    pre = _prefilter(raw if raw_ok else low, terms)
+    return total if pre is None else F.when(pre, total).otherwise(F.lit(0))
+
+
 def count_occurrences(text, term: str) -> Column:
     """non-overlapping occurrences of ``term`` (left to right), measured in
     bytes so multi-code-point sequences count as one."""
     t = _col(text)
     n = len(term.encode("utf-8"))
-    return F.try_divide(F.octet_length(t) - F.octet_length(F.replace(t, F.lit(term), F.lit(""))),
-                        F.lit(n)).cast("int")
+    return ((F.octet_length(t) - F.octet_length(F.replace(t, F.lit(term), F.lit("")))) / F.lit(n)).cast("int")
 
 
-def occurrence_total(text, terms: Sequence[str]) -> Column:
+def occurrence_total(text, terms: Sequence[str], case_insensitive: bool = False) -> Column:
     """total occurrences of every (distinct) term - an emoji sequence is
     matched as a whole, not per character."""
-    t = _col(text)
-    terms = [x for x in dict.fromkeys(terms) if x]
-    if not terms:
-        return F.lit(0)
-    total = sum((count_occurrences(t, x) for x in terms), F.lit(0))
-    pre = _prefilter(t, terms)
-    return total if pre is None else F.when(pre, total).otherwise(F.lit(0))
+    return _lexicon_sum(text, terms, count_occurrences, case_insensitive)
 
 
-def count_present(text, terms: Sequence[str]) -> Column:
+def count_present(text, terms: Sequence[str], case_insensitive: bool = False) -> Column:
     """Number of distinct lexicon terms that occur as substrings."""
-    t = _col(text)
-    terms = [x for x in dict.fromkeys(terms) if x]
-    if not terms:
-        return F.lit(0)
-    total = sum((F.when(F.instr(t, x) > 0, 1).otherwise(0) for x in terms), F.lit(0))
-    pre = _prefilter(t, terms)
-    return total if pre is None else F.when(pre, total).otherwise(F.lit(0))
+    return _lexicon_sum(text, terms, lambda t, x: F.when(F.instr(t, x) > 0, 1).otherwise(0), case_insensitive)
 
 
 def profile_url(username, prefix: str = "https://instagram.com/") -> Column:

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creatorlens import lexicons as L
+from creatorlens.operators.ordered import running_sums
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -80,9 +81,14 @@ def cluster_membership(assigned: DataFrame, cluster: str = "cluster") -> DataFra
 
 
 def sorted_within_cluster(sil: DataFrame, id_col: str = "id") -> DataFrame:
-    """Silhouette values ranked inside each cluster (ascending)."""
-    w = Window.partitionBy("cluster").orderBy(F.col("silhouette"), F.col(id_col))
-    return sil.withColumn("rank", F.row_number().over(w))
+    """Silhouette values ranked inside each cluster (ascending, ``id`` breaks ties).
+
+    A row number per cluster is a running count; computing it over
+    silhouette-quantile buckets keeps a dominant cluster from landing in a
+    single task (``ordered.running_sums``)."""
+    one = sil.withColumn("_one", F.lit(1))
+    ranked = running_sums(one, "silhouette", ["_one"], partition_by=["cluster"], tiebreak=[id_col])
+    return ranked.select(*sil.columns, F.col("cum__one").cast("int").alias("rank"))
 
 
 def project(points: DataFrame, features: str = "features", k: int = 2, out: str = "projection") -> DataFrame:

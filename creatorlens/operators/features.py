@@ -127,14 +127,15 @@ def trait_count(text: Column, *, keywords: Sequence[str] = L.GENZ_KEYWORDS,
         return kw
     if mode != "intent":
         raise ValueError("mode must be 'intent' or 'literal'")
-    low = F.lower(text)
-    return kw + occurrence_total(low, emojis) + count_present(low, hashtags)
+    return (kw + occurrence_total(text, emojis, case_insensitive=True)
+            + count_present(text, hashtags, case_insensitive=True))
 
 
 def hashtag_count(text: Column, *, hashtags: Sequence[str] = L.GENZ_HASHTAGS, mode: str = "intent") -> Column:
     """T4: distinct hashtags present (``literal`` mode searches the cleaned text)."""
-    target = F.lower(text) if mode == "intent" else clean_text(text)
-    return count_present(target, hashtags)
+    if mode == "intent":
+        return count_present(text, hashtags, case_insensitive=True)
+    return count_present(clean_text(text), hashtags)
 
 
 # ---------------------------------------------------------------- A5 / A6 / A7 / P7

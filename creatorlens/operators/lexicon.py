@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creatorlens import lexicons as L
-from creatorlens.functions.text import count_occurrences
+from creatorlens.functions.text import _caseless, count_occurrences
 from creatorlens.session import literal_frame
 
 
@@ -44,8 +44,10 @@ def term_frequency(texts: DataFrame, terms: Sequence[str], text_col: str = "text
     ``len(terms)`` rows per partition before the shuffle.
     """
     terms = [t for t in dict.fromkeys(terms) if t]
-    t = F.lower(F.col(text_col)) if lower else F.col(text_col)
-    pairs = F.array(*[F.struct(F.lit(term).alias("term"), count_occurrences(t, term).alias("n")) for term in terms])
+    raw = F.col(text_col)
+    low = F.lower(raw) if lower else raw
+    pairs = F.array(*[F.struct(F.lit(term).alias("term"),
+                               count_occurrences(raw if _caseless(term) else low, term).alias("n")) for term in terms])
     hits = texts.select(F.explode(F.filter(pairs, lambda p: p["n"] > 0)).alias("p"))
     return (hits.groupBy(F.col("p.term").alias("term"))
             .agg(F.sum(F.col("p.n").cast("bigint")).alias("n")))

@@ -17,11 +17,15 @@ from pyspark.sql import functions as F
 
 
 def running_sums(df: DataFrame, key: str, cols: Sequence[str], *, descending: bool = False,
+                 partition_by: Sequence[str] = (), tiebreak: Sequence[str] = (),
                  prefix: str = "cum_", num_buckets: int | None = None, accuracy: int = 10_000) -> DataFrame:
-    """Adds ``prefix + c`` = inclusive running sum of ``c`` ordered by ``key``.
+    """Adds ``prefix + c`` = inclusive running sum of ``c`` ordered by ``key``
+    (then ``tiebreak``), restarting for every ``partition_by`` group.
 
-    Rows are expected to have distinct keys (group by the key first); equal
-    keys always fall into the same bucket.
+    Buckets come from approximate quantiles of ``key`` over all rows, so a
+    group holding a third of the data is still spread over many buckets.
+    Equal keys always share a bucket; rows that tie on ``key`` and
+    ``tiebreak`` are summed in an arbitrary but consistent order.
     """
     spark = df.sparkSession
     n = max(1, num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -37,13 +41,16 @@ def running_sums(df: DataFrame, key: str, cols: Sequence[str], *, descending: bo
         staged, bucket = df, F.lit(0)
     if descending:
         bucket = F.lit(n - 1) - bucket
-    order = F.desc(key) if descending else F.asc(key)
+    direction = F.desc if descending else F.asc
+    order = [direction(key), *[direction(t) for t in tiebreak]]
+    groups = list(partition_by)
     b = staged.select(*df.columns, bucket.alias("_bucket"))
-    w_local = Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w_local = (Window.partitionBy(*groups, "_bucket").orderBy(*order)
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = b.select("*", *[F.sum(c).over(w_local).alias(f"_lc_{c}") for c in cols])
-    totals = b.groupBy("_bucket").agg(*[F.sum(c).alias(f"_pt_{c}") for c in cols])
-    w_prev = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_bucket", *[F.coalesce(F.sum(f"_pt_{c}").over(w_prev), F.lit(0)).alias(f"_off_{c}")
-                                         for c in cols])
-    out = local.join(F.broadcast(offsets), "_bucket")
-    return out.select(*df.columns, *[(F.col(f"_lc_{c}") + F.col(f"_off_{c}")).alias(prefix + c) for c in cols])
+    totals = b.groupBy(*groups, "_bucket").agg(*[F.sum(c).alias(f"_pt_{c}") for c in cols])
+    w_prev = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*groups, "_bucket", *[F.coalesce(F.sum(f"_pt_{c}").over(w_prev), F.lit(0))
+                                                  .alias(f"_off_{c}") for c in cols])
+    joined = local.join(F.broadcast(offsets) if not groups else offsets, [*groups, "_bucket"])
+    return joined.select(*df.columns, *[(F.col(f"_lc_{c}") + F.col(f"_off_{c}")).alias(prefix + c) for c in cols])

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creatorlens.functions.text import clean_text, tokens
-from creatorlens.session import checked_broadcast, literal_frame
+from creatorlens.session import checked_broadcast, literal_frame, materialize
 
 DEFAULT_NEGATORS = ("not",)
 
@@ -67,7 +67,8 @@ def mean_sentiment(scored: DataFrame, polarity: str = "polarity") -> DataFrame:
     return scored.agg(F.avg(polarity).alias("mean_polarity"), F.count(F.lit(1)).alias("n"))
 
 
-def histogram(scored: DataFrame, value: str = "polarity", bins: int = 5) -> DataFrame:
+def histogram(scored: DataFrame, value: str = "polarity", bins: int = 5,
+              materialize_input: bool = True) -> DataFrame:
     """Equal-width histogram over [min, max] with the last bin closed,
     empty bins kept.  Degenerate range (min = max) uses [v - 0.5, v + 0.5].
 
@@ -77,6 +78,8 @@ def histogram(scored: DataFrame, value: str = "polarity", bins: int = 5) -> Data
     aggregate over at most ``bins`` keys, joined to the ``bins``-row bin table.
     """
     spark = scored.sparkSession
+    if materialize_input:        # two passes (range, then bins): score the texts once
+        scored = materialize(scored.select(value))
     rng = scored.agg(F.struct(F.min(value).alias("mn"), F.max(value).alias("mx"))).scalar()
     # Each step is its own projection and each value is used several times by
     # the next one, so Catalyst keeps them apart: the range subquery runs once

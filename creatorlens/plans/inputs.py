@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from creatorlens.functions.json import json_double
 from creatorlens.operators.features import collapse_above, engagement_rate_expr, engagement_rates
-from creatorlens.session import literal_frame
+from creatorlens.session import literal_frame, materialize, spread
 from creatorlens.sources.readers import read_table
 
 # test-data parameters (see FIXTURES.md §2)
@@ -54,6 +54,12 @@ def hashtag_from_events(spark: SparkSession, d: str) -> DataFrame:
             .agg((F.count_if(F.col("event_type") == "click") * 100.0 / F.count(F.lit(1))).alias("hashtag_score")))
 
 
+def feature_table(spark: SparkSession, d: str) -> DataFrame:
+    """The feature table written once (checkpoint in the shared folder) - the
+    ranking queries scan it more than once (maximum, then scores)."""
+    return materialize(features(spark, d))
+
+
 def features(spark: SparkSession, d: str) -> DataFrame:
     """The merged feature table: customers with events only, keyed by c_name.
 
@@ -87,13 +93,15 @@ TEST_NEGATORS = ("not", "to", "in")
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
-    return read_table(spark, d, "documents")
+    """documents, spread over all cores when the file has few row groups
+    (text work is CPU-bound; large inputs are left as scanned)."""
+    return spread(read_table(spark, d, "documents"))
 
 
 def conversation_texts(spark: SparkSession, d: str) -> DataFrame:
     """conversations as texts: conv_id = user, user turns = captions,
     assistant turns = comments, system turns ignored (U4)."""
-    c = read_table(spark, d, "conversations").where(F.col("role").isin("user", "assistant"))
+    c = spread(read_table(spark, d, "conversations").where(F.col("role").isin("user", "assistant")))
     return c.select(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("text_id"),
                     F.col("conv_id").alias("username"),
                     F.when(F.col("role") == "user", F.lit("caption")).otherwise(F.lit("comment")).alias("kind"),

@@ -74,26 +74,26 @@ def j2_exact_match(spark, d):
 @register("r1_rank_category")
 def r1_rank_category(spark, d):
     """Top 15 of one category."""
-    return rank.rank_in_category(I.features(spark, d), I.RANK_CATEGORY, domain=I.test_categories(),
+    return rank.rank_in_category(I.feature_table(spark, d), I.RANK_CATEGORY, domain=I.test_categories(),
                                  digits=I.ROUND)
 
 
 @register("r2_rank_all")
 def r2_rank_all(spark, d):
     """R2: whole table against one brand, learned one-hot."""
-    return rank.rank_all(I.features(spark, d), I.BRAND_CATEGORY, digits=I.ROUND)
+    return rank.rank_all(I.feature_table(spark, d), I.BRAND_CATEGORY, digits=I.ROUND)
 
 
 @register("r3_rank_baseline")
 def r3_rank_baseline(spark, d):
     """(engagement, hashtag score) baseline."""
-    return rank.rank_baseline(I.features(spark, d), digits=I.ROUND)
+    return rank.rank_baseline(I.feature_table(spark, d), digits=I.ROUND)
 
 
 @register("r4_brand_search")
 def r4_brand_search(spark, d):
     """Search form - machinery, 40 % engagement, Gen-Z audience yes."""
-    return rank.brand_search(I.features(spark, d), "machinery", 40, "yes", domain=I.test_categories(),
+    return rank.brand_search(I.feature_table(spark, d), "machinery", 40, "yes", domain=I.test_categories(),
                              digits=I.ROUND)
 
 
@@ -105,20 +105,20 @@ def r4_many_brands(spark, d):
     """R1 for three brands at once: equi-join on category, top 15 per brand."""
     brands = literal_frame(spark, BRANDS, "brand_id int, category string, intended_engagement_rate double, "
                                           "target_audience_genZ int")
-    return rank.rank_for_brands(I.features(spark, d), brands, digits=I.ROUND).select(
+    return rank.rank_for_brands(I.feature_table(spark, d), brands, digits=I.ROUND).select(
         "brand_id", "username", "similarity_score", F.col("rank").cast("bigint").alias("rank"))
 
 
 @register("k3_page")
 def k3_page(spark, d):
     """K3: second page (rows 16-30) of the R2 ranking."""
-    return rank.page(rank.rank_all(I.features(spark, d), I.BRAND_CATEGORY, digits=I.ROUND), 1)
+    return rank.page(rank.rank_all(I.feature_table(spark, d), I.BRAND_CATEGORY, digits=I.ROUND), 1)
 
 
 @register("p20_display")
 def p20_display(spark, d):
     """Profile link and two-decimal score of the R1 rows."""
-    r1 = rank.rank_in_category(I.features(spark, d), I.RANK_CATEGORY, domain=I.test_categories(),
+    r1 = rank.rank_in_category(I.feature_table(spark, d), I.RANK_CATEGORY, domain=I.test_categories(),
                                digits=I.ROUND)
     return rank.display_rows(r1)
 
@@ -162,7 +162,7 @@ def f15_sequence_occurrences(spark, d):
     """occurrences of whole multi-character sequences (emoji lexicon + markers)."""
     from creatorlens import lexicons as LX
     return I.documents(spark, d).select(
-        "doc_id", T.occurrence_total(F.lower(F.col("text")), LX.GENZ_EMOJIS + I.TEST_MARKERS).alias("n_sequences"))
+        "doc_id", T.occurrence_total(F.col("text"), LX.GENZ_EMOJIS + I.TEST_MARKERS, case_insensitive=True).alias("n_sequences"))
 
 
 @register("t3_trait_count")
@@ -288,14 +288,14 @@ def a11_quantiles(spark, d):
 @register("p17_self_labels")
 def p17_self_labels(spark, d):
     """0/1 label = R2 score >= its 0.9 quantile."""
-    r2 = rank.rank_all(I.features(spark, d), I.BRAND_CATEGORY, digits=I.ROUND)
+    r2 = rank.rank_all(I.feature_table(spark, d), I.BRAND_CATEGORY, digits=I.ROUND)
     return ev.self_labels(r2, "similarity_score").select("username", "similarity_score", "label")
 
 
 @register("a12_decile_metrics")
 def a12_decile_metrics(spark, d):
     """Top-decile precision / recall / F1 of the R2 ranking."""
-    r2 = rank.rank_all(I.features(spark, d), I.BRAND_CATEGORY, digits=I.ROUND)
+    r2 = rank.rank_all(I.feature_table(spark, d), I.BRAND_CATEGORY, digits=I.ROUND)
     m = ev.decile_metrics(r2, "similarity_score")
     return _rounded(m, {"threshold", "fp", "fn", "precision", "recall", "f1"})
 
@@ -303,7 +303,7 @@ def a12_decile_metrics(spark, d):
 @register("r5_ranking_evaluation")
 def r5_ranking_evaluation(spark, d):
     """Decile metrics + ROC AUC + AP of R2 against its self-labels."""
-    r2 = rank.rank_all(I.features(spark, d), I.BRAND_CATEGORY, digits=I.ROUND)
+    r2 = rank.rank_all(I.feature_table(spark, d), I.BRAND_CATEGORY, digits=I.ROUND)
     m = ev.ranking_evaluation(r2, "similarity_score")
     return _rounded(m, set(m.columns))
 
@@ -505,7 +505,8 @@ def s4_post_files(spark, d):
     ONE text scan with the user taken from the path, and the engagement rate."""
     posts = I.posts(spark, d).select(F.col("username").cast("string").alias("owner"), "value")
     path = scratch_path(spark, "post-files")
-    posts.write.mode("overwrite").partitionBy("owner").text(path)
+    # cluster each user's posts into one task so every user folder gets one file
+    posts.repartition("owner").write.mode("overwrite").partitionBy("owner").text(path)
     files = rd.read_post_files(spark, path, key_pattern=r"owner=([^/]+)/").select(
         F.col("file_key").cast("bigint").alias("username"), "value")
     rates = feat.engagement_rates(I.influencers(spark, d), files, like_path=I.LIKE_PATH)
@@ -531,7 +532,7 @@ def s5_tree_documents(spark, d):
 @register("s10_records")
 def s10_records(spark, d):
     """The R1 result as JSON records."""
-    r1 = rank.rank_in_category(I.features(spark, d), I.RANK_CATEGORY, domain=I.test_categories(), digits=I.ROUND)
+    r1 = rank.rank_in_category(I.feature_table(spark, d), I.RANK_CATEGORY, domain=I.test_categories(), digits=I.ROUND)
     return sk.as_records(r1)
 
 
@@ -544,7 +545,7 @@ def st1_engagement_stream(spark, d):
     """A1 as Structured Streaming: post files -> stateful per-user sums -> rates."""
     posts = I.posts(spark, d).select(F.col("username").cast("string").alias("owner"), "value")
     src = scratch_path(spark, "stream-posts")
-    posts.write.mode("overwrite").partitionBy("owner").text(src)
+    posts.repartition("owner").write.mode("overwrite").partitionBy("owner").text(src)
     out = scratch_path(spark, "stream-rates")
     run_engagement_stream(spark, f"{src}/*/", I.influencers(spark, d), out, key_pattern=r"owner=([^/]+)/",
                           like_path=I.LIKE_PATH, key_type="bigint")

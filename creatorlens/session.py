@@ -103,3 +103,12 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over at least the cluster's default parallelism when
+    the scan produced fewer partitions (a few large row groups).  Large inputs
+    already have more splits than cores and are returned unchanged, so no
+    shuffle is added where it cannot help."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
