@@ -7,4 +7,4 @@ from creatorlens.functions.text import (  # noqa: F401
     clean_text, count_occurrences, count_present, keyword_token_count, occurrence_total,
     remove_mentions, remove_urls, keep_letters, tokens, format_score, profile_url,
 )
-from creatorlens.functions.vector import cosine, dot, norm, safe_divide  # noqa: F401
+from creatorlens.functions.vector import cosine, dot, lookup, norm, one_hot, safe_divide  # noqa: F401

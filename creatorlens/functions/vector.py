@@ -43,3 +43,15 @@ def cosine(a: Sequence, b: Sequence) -> Column:
     d = dot(a, b)
     den = norm(a) * norm(b)
     return F.when(den == 0.0, F.lit(0.0)).otherwise(d / den)
+
+
+def lookup(col, mapping: dict) -> Column:
+    """Dictionary value mapping; keys not in ``mapping`` give NULL."""
+    pairs = [F.lit(x) for kv in mapping.items() for x in kv]
+    return F.try_element_at(F.create_map(*pairs), _c(col) if not isinstance(col, str) else F.col(col))
+
+
+def one_hot(col, categories: Sequence[str], prefix: str = "") -> list[Column]:
+    """one 0/1 double column per category (fixed order); unknown -> all 0."""
+    c = F.col(col) if isinstance(col, str) else col
+    return [F.coalesce((c == F.lit(v)).cast("double"), F.lit(0.0)).alias(f"{prefix}{v}") for v in categories]

@@ -507,3 +507,16 @@ SQL["s5_tree_documents"] = SQL["n1_flatten_tree"]
 SQL["s10_records"] = ("SELECT to_json(struct_pack(username := username, similarity_score := similarity_score)) "
                       "AS record FROM (" + SQL["r1_rank_category"] + ")")
 SQL["st1_engagement_stream"] = SQL["a1_engagement_rate"]
+
+
+# ---------------------------------------------------------------- mapping / encoding
+SQL["p15_category_codes"] = _with(BASE, "m AS (SELECT max(engagement_rate) AS m FROM feat)") + f"""
+SELECT username, lower(trim(category)) AS category,
+       CASE lower(trim(category)) WHEN 'building' THEN 1 WHEN 'household' THEN 2 WHEN 'machinery' THEN 3 END
+         AS category_code,
+       round({_div('engagement_rate', 'm')}, 6) AS normalized_engagement_rate
+FROM feat, m
+"""
+SQL["f18_one_hot"] = _with(BASE) + "SELECT username, " + ", ".join(
+    f"CASE WHEN lower(trim(category)) = '{c}' THEN 1.0 ELSE 0.0 END AS is_{c}"
+    for c in ["automobile", "building", "furniture", "household", "machinery"]) + " FROM feat"

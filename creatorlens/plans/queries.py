@@ -550,3 +550,25 @@ def st1_engagement_stream(spark, d):
     run_engagement_stream(spark, f"{src}/*/", I.influencers(spark, d), out, key_pattern=r"owner=([^/]+)/",
                           like_path=I.LIKE_PATH, key_type="bigint")
     return spark.read.parquet(out).select("username", _r("engagement_rate").alias("engagement_rate"))
+
+
+# ------------------------------------------------------------------ mapping / encoding
+from creatorlens.functions import vector as V  # noqa: E402
+
+CATEGORY_CODES = {"building": 1, "household": 2, "machinery": 3}
+
+
+@register("p15_category_codes")
+def p15_category_codes(spark, d):
+    """Category mapped to a code (unmapped -> NULL) next to the normalised rate."""
+    f = rank.normalize_category(I.feature_table(spark, d))
+    m = f.agg(F.max("engagement_rate")).scalar()
+    return f.select("username", "category", V.lookup("category", CATEGORY_CODES).alias("category_code"),
+                    _r(V.safe_divide(F.col("engagement_rate"), m)).alias("normalized_engagement_rate"))
+
+
+@register("f18_one_hot")
+def f18_one_hot(spark, d):
+    """one-hot block over the test category domain."""
+    f = rank.normalize_category(I.feature_table(spark, d))
+    return f.select("username", *V.one_hot("category", I.test_categories(), prefix="is_"))

@@ -75,3 +75,14 @@ def test_score_texts_keeps_texts_without_tokens(spark):
     texts = spark.createDataFrame([("a", "!!!"), ("b", None)], "text_id string, text string")
     out = score_texts(texts, lexicon_frame(spark, {"x": 1.0}), id_col="text_id").collect()
     assert sorted((r["text_id"], r["polarity"]) for r in out) == [("a", 0.0), ("b", 0.0)]
+
+
+def test_post_texts_caption_and_comments(spark):
+    posts = spark.createDataFrame([
+        ("u1", '{"caption": "Hi", "comments": ["a", "b"]}'), ("u1", '{"caption": null, "comments": []}'),
+        ("u2", "bad json"), ("u2", '{"comments": ["only"]}')], "username string, value string")
+    t = feat.post_texts(posts).collect()
+    got = sorted((r["username"], r["kind"], r["text"]) for r in t)
+    assert got == [("u1", "caption", "Hi"), ("u1", "comment", "a"), ("u1", "comment", "b"), ("u2", "comment", "only")]
+    counts = {r["username"]: tuple(r[1:]) for r in feat.text_counts(feat.post_texts(posts)).collect()}
+    assert counts == {"u1": (1, 2, 3), "u2": (0, 1, 1)}
