@@ -44,19 +44,21 @@ def quantile(df: DataFrame, col: str, q: float) -> Column:
 
 
 # ---------------------------------------------------------------- P17 / A12 / R5
-def self_labels(df: DataFrame, score: str, q: float = L.DECILE_QUANTILE, out: str = "label") -> DataFrame:
+def self_labels(df: DataFrame, score: str, q: float = L.DECILE_QUANTILE, out: str = "label",
+                threshold: Column | None = None) -> DataFrame:
     """``(score >= quantile(score, q)).cast(int)``."""
-    thr = quantile(df, score, q)
+    thr = quantile(df, score, q) if threshold is None else threshold
     return df.withColumn(out, (F.col(score) >= thr).cast("int"))
 
 
 def decile_metrics(df: DataFrame, score: str, q: float = L.DECILE_QUANTILE,
-                   recommended_fraction: float = 0.1, materialize_input: bool = True) -> DataFrame:
+                   recommended_fraction: float = 0.1, materialize_input: bool = True,
+                   threshold: Column | None = None) -> DataFrame:
     """TP = rows with score >= quantile; TP + FP = fraction * n; FN = n - TP - FP.
     One row: ``threshold, tp, fp, fn, precision, recall, f1``."""
     if materialize_input:
         df = materialize(df.select(score))
-    thr = quantile(df, score, q)
+    thr = quantile(df, score, q) if threshold is None else threshold
     g = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(score) >= thr).alias("tp"))
     tp = F.col("tp").cast("double")
     fp = F.col("n") * F.lit(float(recommended_fraction)) - tp
@@ -109,8 +111,9 @@ def roc_pr_summary(df: DataFrame, label: str, score: str, pos_label=1) -> DataFr
 def ranking_evaluation(scored: DataFrame, score: str = "similarity_score", q: float = L.DECILE_QUANTILE) -> DataFrame:
     """Decile P/R/F1 plus ROC AUC and AP against the self-labels."""
     scored = materialize(scored.select(score))
-    labelled = self_labels(scored, score, q)
-    m = decile_metrics(scored, score, q, materialize_input=False)
+    thr = quantile(scored, score, q)
+    labelled = self_labels(scored, score, q, threshold=thr)
+    m = decile_metrics(scored, score, q, materialize_input=False, threshold=thr)
     s = roc_pr_summary(labelled, "label", score)
     return _one_row_join(m.select("threshold", "precision", "recall", "f1"), s.select("auc", "ap"))
 
@@ -132,7 +135,9 @@ def confusion_matrix(df: DataFrame, y: str, yhat: str, classes: Sequence) -> Dat
     """Wide confusion matrix in a fixed class order: one row per true
     class (all classes listed, zero-filled), one ``pred_<c>`` column per class."""
     spark = df.sparkSession
-    wide = df.groupBy(F.col(y).cast("string").alias("label")).pivot(yhat, list(classes)).agg(F.count(F.lit(1)))
+    # only listed classes are counted, so the broadcast side has at most len(classes) rows
+    known = df.where(F.col(y).isin(list(classes)))
+    wide = known.groupBy(F.col(y).cast("string").alias("label")).pivot(yhat, list(classes)).agg(F.count(F.lit(1)))
     rows = literal_frame(spark, [(str(c), i) for i, c in enumerate(classes)], "label string, class_order int")
     out = rows.join(F.broadcast(wide), "label", "left")
     return out.select("label", "class_order",

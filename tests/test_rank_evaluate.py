@@ -132,3 +132,18 @@ def test_classification_report_and_confusion(spark):
     cm = {r["label"]: (r["pred_a"], r["pred_b"], r["pred_c"]) for r in ev.confusion_matrix(df, "y", "p", ["a", "b", "c"]).collect()}
     assert cm == {"a": (1, 1, 0), "b": (1, 2, 0), "c": (1, 0, 0)}
     assert ev.accuracy(df, "y", "p").first()["accuracy"] == pytest.approx(3 / 6)
+
+
+def test_running_sums_per_group_with_skew(spark):
+    rng = np.random.default_rng(9)
+    groups = np.where(rng.random(3000) < 0.7, 0, rng.integers(1, 4, 3000))    # one hot group
+    keys = np.round(rng.random(3000), 3)                                          # many ties
+    ids = np.arange(3000)
+    df = spark.createDataFrame([(int(g), float(k), int(i)) for g, k, i in zip(groups, keys, ids)],
+                               "g int, k double, id long").withColumn("one", F.lit(1))
+    got = {r["id"]: r["cum_one"] for r in
+           running_sums(df, "k", ["one"], partition_by=["g"], tiebreak=["id"]).collect()}
+    for g in np.unique(groups):
+        sel = np.where(groups == g)[0]
+        order = sorted(sel, key=lambda i: (keys[i], ids[i]))
+        assert [got[int(ids[i])] for i in order] == list(range(1, len(order) + 1))
