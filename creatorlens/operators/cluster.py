@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from creatorlens import lexicons as L
 from creatorlens.operators.ordered import running_sums
+from creatorlens.session import materialize
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -86,7 +87,7 @@ def sorted_within_cluster(sil: DataFrame, id_col: str = "id") -> DataFrame:
     A row number per cluster is a running count; computing it over
     silhouette-quantile buckets keeps a dominant cluster from landing in a
     single task (``ordered.running_sums``)."""
-    one = sil.withColumn("_one", F.lit(1))
+    one = materialize(sil).withColumn("_one", F.lit(1))     # scanned three times below
     ranked = running_sums(one, "silhouette", ["_one"], partition_by=["cluster"], tiebreak=[id_col])
     return ranked.select(*sil.columns, F.col("cum__one").cast("int").alias("rank"))
 

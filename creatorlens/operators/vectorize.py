@@ -48,7 +48,9 @@ def analyze(text: Column, *, ngram_range: tuple[int, int] = (1, 1), stop_words:
 def term_counts(docs: DataFrame, id_col: str, text_col: str, **kw) -> DataFrame:
     """Raw term frequency per (doc, term)."""
     terms = docs.select(F.col(id_col).alias("doc_id"), F.explode(analyze(F.col(text_col), **kw)).alias("term"))
-    return terms.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    # the explicit not-null filter keeps the vocabulary branch and the weighting
+    # branch identical, so Spark reuses one shuffle of the counts for both
+    return terms.where(F.col("term").isNotNull()).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def _bound(v, n: Column) -> Column:
