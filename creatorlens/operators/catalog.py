@@ -32,7 +32,7 @@ FROM nodes
 """
 
 
-def flatten_tree(docs: DataFrame, *, with_position: bool = True) -> DataFrame:
+def flatten_tree(docs: DataFrame, *, with_position: bool = True, row_limit: int = -1) -> DataFrame:
     """Every node of every tree document.
 
     ``docs``: ``doc_id, json`` where json is ``{"navigation": [node...]}`` and a
@@ -40,8 +40,13 @@ def flatten_tree(docs: DataFrame, *, with_position: bool = True) -> DataFrame:
     may be missing.  Output ``doc_id, path, depth, alias, title`` (+ ``pos``, the
     0-based pre-order position inside the document).  Nodes without a title are
     kept (their children are visited); filter with :func:`titled`.
+    ``row_limit`` sets ``spark.sql.cteRecursionRowLimit`` (-1: unlimited).
     """
     spark = docs.sparkSession
+    # Spark stops a recursive CTE after 1,000,000 produced rows by default; a
+    # catalogue of many documents legitimately produces more.  JSON trees
+    # have no cycles, and the depth limit (100 levels) still applies.
+    spark.conf.set("spark.sql.cteRecursionRowLimit", str(row_limit))
     out = spark.sql(_RECURSIVE_WALK, docs=docs.select("doc_id", "json"))
     if with_position:
         w = Window.partitionBy("doc_id").orderBy("path")
