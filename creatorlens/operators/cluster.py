@@ -105,3 +105,22 @@ def kmeans(points: DataFrame, features: str = "features", k: int = L.KMEANS_K, s
     v = points.withColumn("_vec", array_to_vector(F.col(features).cast("array<double>")))
     model = KMeans(k=k, seed=seed, featuresCol="_vec", predictionCol=out).fit(v)
     return model.transform(v).drop("_vec")
+
+
+def silhouette_vectors(points: DataFrame, id_col: str = "id", cluster: str = "cluster",
+                       features: str = "features") -> DataFrame:
+    """A17 for an ML vector column (converted to arrays first)."""
+    return silhouette(points.withColumn("_arr", vector_to_array(F.col(features))), id_col, cluster, "_arr")
+
+
+def cluster_titles(titles: DataFrame, *, text_col: str = "title", id_col: str = "id",
+                   stop_words=None, min_df: float = 0.01, max_df: float = 0.5,
+                   k: int = L.KMEANS_K, seed: int = L.KMEANS_SEED) -> DataFrame:
+    """The title clustering flow: TF-IDF (uni+bigrams, stop words, df limits)
+    -> 2-D PCA (M2) -> k-means (M1).  Output ``id, title, projection, cluster``."""
+    from creatorlens.operators.vectorize import tfidf_vectors_pipeline
+    vec = tfidf_vectors_pipeline(text_col, ngram_range=(1, 2), stop_words=stop_words, min_df=min_df,
+                                 max_df=max_df).fit(titles).transform(titles)
+    proj = PCA(k=2, inputCol="features", outputCol="_pca").fit(vec).transform(vec)
+    km = KMeans(k=k, seed=seed, featuresCol="_pca", predictionCol="cluster").fit(proj).transform(proj)
+    return km.select(id_col, text_col, vector_to_array("_pca").alias("projection"), "cluster")

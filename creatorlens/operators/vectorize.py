@@ -81,3 +81,40 @@ def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
         l2 = F.sqrt(F.sum(F.col("tfidf") * F.col("tfidf")).over(Window.partitionBy("doc_id")))
         w = w.select("doc_id", "term", (F.col("tfidf") / l2).alias("tfidf"))
     return w
+
+
+def stop_word_union(*word_sets: Sequence[str]) -> list[str]:
+    """Union of stop-word lists (first occurrence order)."""
+    return list(dict.fromkeys(w for ws in word_sets for w in ws))
+
+
+def default_stop_words(spark=None, extra: Sequence[str] = ()) -> list[str]:
+    """Spark's English stop-word list united with ``extra`` (U2).  Entries are
+    compared with lower-cased tokens, so capitalised extras never match."""
+    from pyspark.ml.feature import StopWordsRemover
+    return stop_word_union(StopWordsRemover.loadDefaultStopWords("english"), extra)
+
+
+def tfidf_vectors_pipeline(text_col: str = "title", *, ngram_range: tuple[int, int] = (1, 2),
+                           stop_words: Sequence[str] | None = None, min_df: float = 1.0, max_df: float = 1.0,
+                           vocab_size: int = 1 << 18, out: str = "features"):
+    """T7 in MLlib form (sparse vectors for clustering / classification):
+    tokens -> stop words -> n-grams -> counts with df limits -> IDF -> L2.
+    MLlib's IDF is ln((n + 1) / (df + 1)) (no ``+ 1``)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import CountVectorizer, IDF, NGram, Normalizer, RegexTokenizer, SQLTransformer
+    from pyspark.ml.feature import StopWordsRemover
+    stages = [RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=TOKEN_PATTERN, gaps=False),
+              StopWordsRemover(inputCol="_tok", outputCol="_tok1", stopWords=list(stop_words or []))]
+    lo, hi = ngram_range
+    cols = []
+    for n in range(lo, hi + 1):
+        if n == 1:
+            cols.append("_tok1")
+        else:
+            stages.append(NGram(n=n, inputCol="_tok1", outputCol=f"_ng{n}"))
+            cols.append(f"_ng{n}")
+    stages.append(SQLTransformer(statement=f"SELECT *, concat({', '.join(cols)}) AS _terms FROM __THIS__"))
+    stages += [CountVectorizer(inputCol="_terms", outputCol="_tf", minDF=min_df, maxDF=max_df, vocabSize=vocab_size),
+               IDF(inputCol="_tf", outputCol="_idf"), Normalizer(inputCol="_idf", outputCol=out, p=2.0)]
+    return Pipeline(stages=stages)

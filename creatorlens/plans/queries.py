@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from creatorlens.operators import features as feat
 from creatorlens.operators import rank
 from creatorlens.plans import inputs as I
-from creatorlens.session import literal_frame
+from creatorlens.session import literal_frame, materialize
 from creatorlens.sources.readers import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -572,3 +572,42 @@ def f18_one_hot(spark, d):
     """one-hot block over the test category domain."""
     f = rank.normalize_category(I.feature_table(spark, d))
     return f.select("username", *V.one_hot("category", I.test_categories(), prefix="is_"))
+
+
+# ------------------------------------------------------------------ title clustering flow
+from creatorlens.lexicons import IRRELEVANT_TITLES  # noqa: E402
+
+
+def _catalog_titles(spark, d):
+    """N1 -> P13 -> P14: titles of the test catalogue trees, exclusions removed."""
+    nodes = cat.titled(cat.flatten_tree(I.category_trees(spark, d)))
+    t = nodes.select(F.concat_ws("/", "doc_id", F.col("pos").cast("string")).alias("id"), "title")
+    return cat.exclude_titles(t, "title", IRRELEVANT_TITLES)
+
+
+@register("m1_title_clusters")
+def m1_title_clusters(spark, d):
+    """Title clustering: catalogue titles -> TF-IDF (U2 stop words) -> PCA(2) -> k-means(3) (rows-only)."""
+    titles = materialize(_catalog_titles(spark, d))
+    stops = vec.default_stop_words(spark, IRRELEVANT_TITLES)
+    out = clu.cluster_titles(titles, stop_words=stops, min_df=0.01, max_df=0.5)
+    return out.select("id", "title", "cluster")
+
+
+@register("a17_title_cluster_silhouette")
+def a17_title_cluster_silhouette(spark, d):
+    """A17/A18 on the title clusters in the projected space (rows-only)."""
+    titles = materialize(_catalog_titles(spark, d))
+    stops = vec.default_stop_words(spark, IRRELEVANT_TITLES)
+    pts = materialize(clu.cluster_titles(titles, stop_words=stops, min_df=0.01, max_df=0.5))
+    s = clu.silhouette(pts, "id", "cluster", "projection")
+    return clu.silhouette_summary(s)
+
+
+@register("s8_titles_csv")
+def s8_titles_csv(spark, d):
+    """Labelled titles written as header CSV and read back."""
+    lab = cat.classify_titles(I.part_titles(spark, d), "title", I.TEST_RULES).select("p_partkey", "title", "category")
+    path = scratch_path(spark, "titles-csv")
+    sk.write_csv(lab, path)
+    return spark.read.schema("p_partkey bigint, title string, category string").option("header", True).csv(path)

