@@ -153,7 +153,8 @@ def test_domain_filter_empty_result_and_default(spark, feats):
     kept = [r["username"] for r in rank.in_domain(rank.normalize_category(feats), ["fashion", "pet"]).collect()]
     assert sorted(kept) == ["a", "b", "c", "e", "f"]
     assert rank.rank_in_category(feats, "travel").collect() == []          # P12: empty, not an error
-    assert rank.validate_category(None, case_insensitive=True) if False else True
+    with pytest.raises(ValueError):
+        rank.validate_category(None)
     with pytest.raises(ValueError):
         rank.validate_category("Fashion", case_insensitive=False)
     assert rank.validate_category("Fashion") == "fashion"
