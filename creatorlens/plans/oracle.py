@@ -521,3 +521,4 @@ SQL["f18_one_hot"] = _with(BASE) + "SELECT username, " + ", ".join(
     f"CASE WHEN lower(trim(category)) = '{c}' THEN 1.0 ELSE 0.0 END AS is_{c}"
     for c in ["automobile", "building", "furniture", "household", "machinery"]) + " FROM feat"
 SQL["s8_titles_csv"] = SQL["n2_classify_titles"]
+SQL["r4_brand_search_no_genz"] = _r1("automobile", 0.75, 0.0)

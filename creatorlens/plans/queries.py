@@ -611,3 +611,10 @@ def s8_titles_csv(spark, d):
     path = scratch_path(spark, "titles-csv")
     sk.write_csv(lab, path)
     return spark.read.schema("p_partkey bigint, title string, category string").option("header", True).csv(path)
+
+
+@register("r4_brand_search_no_genz")
+def r4_brand_search_no_genz(spark, d):
+    """Automobile, 75 % engagement, Gen-Z audience no (target 0)."""
+    return rank.brand_search(I.feature_table(spark, d), "Automobile", 75, "no", domain=I.test_categories(),
+                             digits=I.ROUND)
