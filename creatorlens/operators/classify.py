@@ -24,6 +24,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from creatorlens.session import materialize
+
 
 def hash_split(df: DataFrame, key: str, *, test_percent: int = 20, seed: int = 42, col: str = "is_test") -> DataFrame:
     """M3: ``is_test`` for about ``test_percent`` % of rows, stable per key."""
@@ -60,7 +62,9 @@ def with_label_names(model: PipelineModel, scored: DataFrame, out: str = "predic
 
 def fit_svm(train: DataFrame, title: str = "title", label: str = "category", *, c: float = 1.0,
             vocab_size: int = 1000, n_train: int | None = None) -> PipelineModel:
-    """M4: fit on training rows; C is mapped to ``regParam = 1 / (C * n_train)``."""
+    """M4: fit on training rows; C is mapped to ``regParam = 1 / (C * n_train)``.
+    The training rows are written once: every pipeline stage scans them."""
+    train = materialize(train)
     n = n_train if n_train is not None else train.count()
     return svm_pipeline(title, label, vocab_size=vocab_size, reg_param=1.0 / (c * max(n, 1))).fit(train)
 
@@ -76,6 +80,7 @@ def grid_search(train: DataFrame, title: str = "title", label: str = "category",
     """M5: k-fold grid over C scored by accuracy; returns the refitted best
     pipeline and ``[(C, mean accuracy)]``.  (The RBF-kernel half of the
     original grid has no exact distributed counterpart and is not searched.)"""
+    train = materialize(train)
     n = train.count()
     pipe = svm_pipeline(title, label, vocab_size=vocab_size)
     ovr = pipe.getStages()[-1]
