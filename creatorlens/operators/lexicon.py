@@ -51,3 +51,13 @@ def term_frequency(texts: DataFrame, terms: Sequence[str], text_col: str = "text
     hits = texts.select(F.explode(F.filter(pairs, lambda p: p["n"] > 0)).alias("p"))
     return (hits.groupBy(F.col("p.term").alias("term"))
             .agg(F.sum(F.col("p.n").cast("bigint")).alias("n")))
+
+
+def terms_from_table(lexicon: DataFrame, kinds: Sequence[str] | None = None, max_terms: int = 100_000) -> list[str]:
+    """U1 for a lexicon stored as a table ``(kind, term)``: size-checked and
+    returned as the bounded literal list the text operators compile in."""
+    df = lexicon if kinds is None else lexicon.where(F.col("kind").isin(list(kinds)))
+    rows = df.select("term").limit(max_terms + 1).collect()
+    if len(rows) > max_terms:
+        raise ValueError(f"more than {max_terms} lexicon terms")
+    return list(dict.fromkeys(r["term"] for r in rows if r["term"]))

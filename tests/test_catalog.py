@@ -48,3 +48,18 @@ def test_exclude_titles(spark):
     df = spark.createDataFrame([("Men",), ("men",), ("Dresses",), (None,)], "title string")
     got = sorted((r["title"] or "") for r in cat.exclude_titles(df).collect())
     assert got == ["", "Dresses", "men"]
+
+
+def test_rules_from_table(spark):
+    rules = spark.createDataFrame([(2, "beauty", "Makeup"), (1, "fitness", "Gym")], "priority int, category string, keyword string")
+    compiled = cat.rules_from_table(rules)
+    df = spark.createDataFrame([("Gym Makeup",), ("makeup bag",), ("hat",)], "title string")
+    got = [r["category"] for r in cat.classify_titles(df, rules=compiled).collect()]
+    assert got == ["fitness", "beauty", "fashion"]
+
+
+def test_terms_from_table(spark):
+    from creatorlens.operators.lexicon import lexicon_frame, lexicon_union, terms_from_table
+    lex = lexicon_frame(spark, lexicon_union(["vibe", "lit"], ["🔥"], ["#lit", "#viral"]))
+    assert terms_from_table(lex, ["hashtag"]) == ["#lit", "#viral"]
+    assert len(terms_from_table(lex)) == 5
