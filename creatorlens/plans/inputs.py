@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from creatorlens.functions.json import json_double
 from creatorlens.operators.features import collapse_above, engagement_rate_expr, engagement_rates
-from creatorlens.session import literal_frame, materialize, spread
+from creatorlens.session import literal_frame, materialize, scratch_path, spread
+from creatorlens.sources.sinks import write_parquet
 from creatorlens.sources.readers import read_table
 
 # test-data parameters (see FIXTURES.md §2)
@@ -55,9 +56,12 @@ def hashtag_from_events(spark: SparkSession, d: str) -> DataFrame:
 
 
 def feature_table(spark: SparkSession, d: str) -> DataFrame:
-    """The feature table written once (checkpoint in the shared folder) - the
-    ranking queries scan it more than once (maximum, then scores)."""
-    return materialize(features(spark, d))
+    """The feature table written once as parquet partitioned by category in
+    the shared folder (the ranking queries scan it more than once - maximum,
+    then scores - and a category filter only reads that category's files)."""
+    path = scratch_path(spark, "feature-table")
+    write_parquet(features(spark, d), path, partition_by=["category"])
+    return spark.read.parquet(path)
 
 
 def features(spark: SparkSession, d: str) -> DataFrame:

@@ -113,3 +113,32 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     shuffle is added where it cannot help."""
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
+# Settings for large inputs (hundreds of TB on ~1000 executors).  AQE picks the
+# final shuffle partition count from the advisory size, splits skewed join
+# partitions and coalesces small ones; file splits stay at 128 MB.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "128m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+
+def apply_cluster_settings(spark: SparkSession, overrides: dict | None = None) -> SparkSession:
+    """Apply :data:`CLUSTER_SETTINGS` (runtime SQL settings) to a session whose
+    cluster and ``spark.checkpoint.dir`` are configured by the platform."""
+    for k, v in {**CLUSTER_SETTINGS, **(overrides or {})}.items():
+        try:
+            spark.conf.set(k, v)
+        except Exception:  # noqa: BLE001 - static settings belong in the launch config
+            pass
+    return spark

@@ -38,3 +38,8 @@ def test_per_brand_topk_limited_before_shuffle(spark):
 def test_top15_is_take_ordered(spark):
     plan = _plan(E.queries()["r1_rank_category"](spark, SF))
     assert "TakeOrderedAndProject(limit=15" in plan
+
+
+def test_category_filter_prunes_feature_partitions(spark):
+    plan = _plan(E.queries()["r1_rank_category"](spark, SF))
+    assert "PartitionFilters: [(lower(trim(category" in plan and "= building)]" in plan
