@@ -78,6 +78,13 @@ def top_k_per(df: DataFrame, group: str, k: int = L.TOP_K, score: str = "similar
 
 
 # ---------------------------------------------------------------- scoring
+def _with_max(rows: DataFrame, col: str = "engagement_rate") -> DataFrame:
+    """The global maximum attached as column ``_m`` through ONE scalar
+    subquery (partial/final aggregate), staged in its own projection so every
+    later use reads the column instead of repeating the subquery."""
+    return rows.select("*", rows.agg(F.max(col)).scalar().alias("_m"))
+
+
 def _maybe_round(c: Column, digits: int | None) -> Column:
     return c if digits is None else F.round(c, digits)
 
@@ -102,8 +109,8 @@ def rank_in_category(features: DataFrame, category: str = L.DEFAULT_CATEGORY, *,
     F17 cosine -> K1/K2.  Output ``username, similarity_score``.
     """
     cat = validate_category(category, domain)
-    rows = normalize_category(features).where(F.col("category") == cat)
-    m = rows.agg(F.max("engagement_rate")).scalar()
+    rows = _with_max(normalize_category(features).where(F.col("category") == cat))
+    m = F.col("_m")
     t = F.lit(float(engagement_target))
     r = F.try_divide(F.col("engagement_rate"), m)
     b = t / F.greatest(m, t)
@@ -119,8 +126,8 @@ def rank_all(features: DataFrame, brand_category: str, *,
     one-hot over the categories present (learned), so it contributes
     ``category = brand_category`` to the dot product and 1 to each norm.
     Output ``username, category, similarity_score`` sorted by K1."""
-    rows = normalize_category(features)
-    m = rows.agg(F.max("engagement_rate")).scalar()
+    rows = _with_max(normalize_category(features))
+    m = F.col("_m")
     t = F.lit(float(engagement_target))
     r = F.try_divide(F.col("engagement_rate"), m)
     b = t / F.greatest(m, t)
@@ -133,12 +140,13 @@ def rank_baseline(features: DataFrame, *, engagement_target: float = L.SCRIPT_EN
                   hashtag_target: float = L.BRAND_HASHTAG_TARGET, digits: int | None = None) -> DataFrame:
     """Two-feature cosine of (normalised engagement, hashtag score) against
     (normalised brand engagement, brand hashtag target)."""
-    m = features.agg(F.max("engagement_rate")).scalar()
+    rows = _with_max(features)
+    m = F.col("_m")
     t = F.lit(float(engagement_target))
     r = F.try_divide(F.col("engagement_rate"), m)
     b = t / F.greatest(m, t)
     score = cosine([r, F.col("hashtag_score")], [b, F.lit(float(hashtag_target))])
-    return features.select("username", _maybe_round(score, digits).alias("similarity_score"))
+    return rows.select("username", _maybe_round(score, digits).alias("similarity_score"))
 
 
 def brand_search(features: DataFrame, category: str, engagement_pct: float, genz_audience: str | bool, *,
