@@ -99,7 +99,7 @@ def _prefilter(text: Column, terms: Sequence[str]) -> Column | None:
     return text.rlike(f"[{cls}]")
 
 
-def _lexicon_sum(text, terms: Sequence[str], per_term, case_insensitive: bool) -> Column:
+def _lexicon_sum(text, terms: Sequence[str], per_term, case_insensitive: bool, lowered=None) -> Column:
     """Sum of ``per_term(target, term)`` over distinct terms.
 
     With ``case_insensitive`` the terms are searched in the lower-cased text
@@ -107,13 +107,15 @@ def _lexicon_sum(text, terms: Sequence[str], per_term, case_insensitive: bool) -
     only terms that contain letters need it; caseless terms (``#``, ``$$$``,
     emoji) are searched in the raw text, which gives the same counts.  The pre-test runs on the raw text when every
     first character is caseless, so texts that cannot match never pay for
-    ``lower``.
+    ``lower``.  ``lowered``: an already lower-cased column of the same text
+    (computed once in an earlier projection, so many terms do not lower the
+    text again inside the conditional branch).
     """
     raw = _col(text)
     terms = [x for x in dict.fromkeys(terms) if x]
     if not terms:
         return F.lit(0)
-    low = F.lower(raw) if case_insensitive else raw
+    low = (_col(lowered) if lowered is not None else F.lower(raw)) if case_insensitive else raw
     parts = [per_term(raw if (not case_insensitive or _caseless(x)) else low, x) for x in terms]
     total = sum(parts[1:], parts[0])
     raw_ok = not case_insensitive or all(_caseless(x[0]) for x in terms)
@@ -129,15 +131,16 @@ def count_occurrences(text, term: str) -> Column:
     return ((F.octet_length(t) - F.octet_length(F.replace(t, F.lit(term), F.lit("")))) / F.lit(n)).cast("int")
 
 
-def occurrence_total(text, terms: Sequence[str], case_insensitive: bool = False) -> Column:
+def occurrence_total(text, terms: Sequence[str], case_insensitive: bool = False, lowered=None) -> Column:
     """total occurrences of every (distinct) term - an emoji sequence is
     matched as a whole, not per character."""
-    return _lexicon_sum(text, terms, count_occurrences, case_insensitive)
+    return _lexicon_sum(text, terms, count_occurrences, case_insensitive, lowered)
 
 
-def count_present(text, terms: Sequence[str], case_insensitive: bool = False) -> Column:
+def count_present(text, terms: Sequence[str], case_insensitive: bool = False, lowered=None) -> Column:
     """Number of distinct lexicon terms that occur as substrings."""
-    return _lexicon_sum(text, terms, lambda t, x: F.when(F.instr(t, x) > 0, 1).otherwise(0), case_insensitive)
+    return _lexicon_sum(text, terms, lambda t, x: F.when(F.instr(t, x) > 0, 1).otherwise(0), case_insensitive,
+                        lowered)
 
 
 def profile_url(username, prefix: str = "https://instagram.com/") -> Column:

@@ -115,7 +115,7 @@ def text_counts(texts: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- T3 / T4
 def trait_count(text: Column, *, keywords: Sequence[str] = L.GENZ_KEYWORDS,
                 emojis: Sequence[str] = L.GENZ_EMOJIS, hashtags: Sequence[str] = L.GENZ_HASHTAGS,
-                mode: str = "intent") -> Column:
+                mode: str = "intent", lowered: Column | None = None) -> Column:
     """Keyword tokens + emoji occurrences + distinct hashtags present.
 
     ``mode="intent"``: keywords on the cleaned text, emojis and hashtags on the
@@ -127,14 +127,15 @@ def trait_count(text: Column, *, keywords: Sequence[str] = L.GENZ_KEYWORDS,
         return kw
     if mode != "intent":
         raise ValueError("mode must be 'intent' or 'literal'")
-    return (kw + occurrence_total(text, emojis, case_insensitive=True)
-            + count_present(text, hashtags, case_insensitive=True))
+    return (kw + occurrence_total(text, emojis, case_insensitive=True, lowered=lowered)
+            + count_present(text, hashtags, case_insensitive=True, lowered=lowered))
 
 
-def hashtag_count(text: Column, *, hashtags: Sequence[str] = L.GENZ_HASHTAGS, mode: str = "intent") -> Column:
+def hashtag_count(text: Column, *, hashtags: Sequence[str] = L.GENZ_HASHTAGS, mode: str = "intent",
+                  lowered: Column | None = None) -> Column:
     """T4: distinct hashtags present (``literal`` mode searches the cleaned text)."""
     if mode == "intent":
-        return count_present(text, hashtags, case_insensitive=True)
+        return count_present(text, hashtags, case_insensitive=True, lowered=lowered)
     return count_present(clean_text(text), hashtags)
 
 
@@ -147,12 +148,14 @@ def collapse_above(score: Column, threshold: float = L.ALIGNMENT_THRESHOLD) -> C
 def scored_texts(texts: DataFrame, lexicon: DataFrame, *, keywords=L.GENZ_KEYWORDS,
                  emojis=L.GENZ_EMOJIS, hashtags=L.GENZ_HASHTAGS, mode: str = "intent",
                  negators=("not",)) -> DataFrame:
-    """Per text: traits (T3), hashtags (T4) and polarity."""
-    t = F.col("text")
-    return score_texts(texts, lexicon, id_col="text_id", carry=["username", "kind"],
+    """Per text: traits (T3), hashtags (T4) and polarity (T6).  The lower-cased
+    text is computed once in its own projection and shared by every term."""
+    t, low = F.col("text"), F.col("_low")
+    staged = texts.select("text_id", "username", "kind", "text", F.lower(t).alias("_low"))
+    return score_texts(staged, lexicon, id_col="text_id", carry=["username", "kind"],
                        extra={"traits": trait_count(t, keywords=keywords, emojis=emojis,
-                                                    hashtags=hashtags, mode=mode),
-                              "hashtags": hashtag_count(t, hashtags=hashtags, mode=mode)},
+                                                    hashtags=hashtags, mode=mode, lowered=low),
+                              "hashtags": hashtag_count(t, hashtags=hashtags, mode=mode, lowered=low)},
                        negators=negators)
 
 

@@ -44,11 +44,11 @@ def term_frequency(texts: DataFrame, terms: Sequence[str], text_col: str = "text
     ``len(terms)`` rows per partition before the shuffle.
     """
     terms = [t for t in dict.fromkeys(terms) if t]
-    raw = F.col(text_col)
-    low = F.lower(raw) if lower else raw
+    staged = texts.select(F.col(text_col).alias("_raw"), (F.lower(text_col) if lower else F.col(text_col)).alias("_low"))
+    raw, low = F.col("_raw"), F.col("_low")
     pairs = F.array(*[F.struct(F.lit(term).alias("term"),
                                count_occurrences(raw if _caseless(term) else low, term).alias("n")) for term in terms])
-    hits = texts.select(F.explode(F.filter(pairs, lambda p: p["n"] > 0)).alias("p"))
+    hits = staged.select(F.explode(F.filter(pairs, lambda p: p["n"] > 0)).alias("p"))
     return (hits.groupBy(F.col("p.term").alias("term"))
             .agg(F.sum(F.col("p.n").cast("bigint")).alias("n")))
 

@@ -150,27 +150,33 @@ def j4_keyword_tokens(spark, d):
         "doc_id", feat.trait_count(F.col("text"), keywords=I.TEST_KEYWORDS, mode="literal").alias("n_keywords"))
 
 
+def _lowered_documents(spark, d):
+    """documents with the lower-cased text computed once (shared by every term)."""
+    return I.documents(spark, d).select("doc_id", "text", F.lower("text").alias("_low"))
+
+
 @register("j5_hashtag_presence")
 def j5_hashtag_presence(spark, d):
     """Distinct lexicon terms present in the lower-cased raw text."""
-    return I.documents(spark, d).select(
-        "doc_id", feat.hashtag_count(F.col("text"), hashtags=I.TEST_HASHTAGS).alias("n_hashtags"))
+    return _lowered_documents(spark, d).select(
+        "doc_id", feat.hashtag_count(F.col("text"), hashtags=I.TEST_HASHTAGS, lowered=F.col("_low")).alias("n_hashtags"))
 
 
 @register("f15_sequence_occurrences")
 def f15_sequence_occurrences(spark, d):
     """occurrences of whole multi-character sequences (emoji lexicon + markers)."""
     from creatorlens import lexicons as LX
-    return I.documents(spark, d).select(
-        "doc_id", T.occurrence_total(F.col("text"), LX.GENZ_EMOJIS + I.TEST_MARKERS, case_insensitive=True).alias("n_sequences"))
+    return _lowered_documents(spark, d).select(
+        "doc_id", T.occurrence_total(F.col("text"), LX.GENZ_EMOJIS + I.TEST_MARKERS, case_insensitive=True,
+                                     lowered=F.col("_low")).alias("n_sequences"))
 
 
 @register("t3_trait_count")
 def t3_trait_count(spark, d):
     """T3 intent mode: keyword tokens + sequence occurrences + distinct hashtags."""
-    return I.documents(spark, d).select(
+    return _lowered_documents(spark, d).select(
         "doc_id", feat.trait_count(F.col("text"), keywords=I.TEST_KEYWORDS, emojis=I.TEST_MARKERS,
-                                   hashtags=I.TEST_HASHTAGS).alias("traits"))
+                                   hashtags=I.TEST_HASHTAGS, lowered=F.col("_low")).alias("traits"))
 
 
 @register("a10_term_frequency")
