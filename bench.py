@@ -19,7 +19,8 @@ HEADLINE = [
     "a1_engagement_rate", "j1_merge_features", "j2_prefix_match", "r1_rank_category", "r2_rank_all",
     "r4_many_brands", "t3_trait_count", "a10_term_frequency", "a6_alignment", "a9_sentiment_histogram",
     "n1_flatten_tree", "n2_classify_titles", "a16_roc_pr", "r5_ranking_evaluation", "a15_classification_report",
-    "t7_tfidf_documents", "a17_silhouette", "w2_sorted_silhouette", "w1_roc_curve",
+    "t7_tfidf_documents", "a17_silhouette", "w2_sorted_silhouette", "w1_roc_curve", "t3_genz_traits",
+    "a10_genz_term_frequency",
 ]
 
 

@@ -522,3 +522,24 @@ SQL["f18_one_hot"] = _with(BASE) + "SELECT username, " + ", ".join(
     for c in ["automobile", "building", "furniture", "household", "machinery"]) + " FROM feat"
 SQL["s8_titles_csv"] = SQL["n2_classify_titles"]
 SQL["r4_brand_search_no_genz"] = _r1("automobile", 0.75, 0.0)
+
+
+# ---------------------------------------------------------------- fixed audience lexicons
+_GENZ_TRAITS = (f"(CAST(len(list_filter({_tokens(_clean('text'))}, lambda x: x IN {_in_list(_LX.GENZ_KEYWORDS)})) AS INTEGER) + "
+                f"{_occ_total('lower(text)', _LX.GENZ_EMOJIS)} + {_present('lower(text)', _LX.GENZ_HASHTAGS)})")
+SQL["t3_genz_traits"] = f"SELECT doc_id, {_GENZ_TRAITS} AS traits FROM documents"
+
+
+def _a10_genz() -> str:
+    from creatorlens.operators.lexicon import lexicon_union
+    terms = [t for _, t in lexicon_union()]
+    vals = ", ".join(f"({_q(t)}, {len(t.encode())})" for t in terms)
+    return f"""
+WITH lex(term, nb) AS (VALUES {vals}),
+d AS (SELECT lower(text) AS t FROM documents)
+SELECT term, CAST(sum((strlen(t) - strlen(replace(t, term, ''))) // nb) AS BIGINT) AS n
+FROM d, lex GROUP BY term HAVING sum((strlen(t) - strlen(replace(t, term, ''))) // nb) > 0
+"""
+
+
+SQL["a10_genz_term_frequency"] = _a10_genz()

@@ -624,3 +624,21 @@ def r4_brand_search_no_genz(spark, d):
     """Automobile, 75 % engagement, Gen-Z audience no (target 0)."""
     return rank.brand_search(I.feature_table(spark, d), "Automobile", 75, "no", domain=I.test_categories(),
                              digits=I.ROUND)
+
+
+# ------------------------------------------------------------------ the fixed audience lexicons on whole texts
+from creatorlens import lexicons as LEX  # noqa: E402
+
+
+@register("t3_genz_traits")
+def t3_genz_traits(spark, d):
+    """T3 with the fixed keyword / emoji / hashtag lexicons over every document."""
+    return _lowered_documents(spark, d).select(
+        "doc_id", feat.trait_count(F.col("text"), lowered=F.col("_low")).alias("traits"))
+
+
+@register("a10_genz_term_frequency")
+def a10_genz_term_frequency(spark, d):
+    """T5/A10/U1 with the fixed union lexicon (keywords + emojis + hashtags) over every document."""
+    terms = [t for _, t in lex.lexicon_union()]
+    return lex.term_frequency(I.documents(spark, d), terms)
