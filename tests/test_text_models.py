@@ -80,3 +80,13 @@ def test_silhouette_mean_matches_mllib(spark):
     mll = ClusteringEvaluator(featuresCol="v", predictionCol="prediction").evaluate(v)
     assert mean == pytest.approx(mll, abs=1e-9)
     assert sil.where("id = 90").first()["silhouette"] == 0.0      # singleton
+
+
+def test_term_frequency_vectorized_path_matches_jvm_path(spark):
+    texts = ["Lit LIT lit 🔥🔥 #art #artist", "aaaa", "none here", None]
+    terms = ["lit", "aa", "#art", "🔥", "zz", "A"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    jvm = {r["term"]: r["n"] for r in lex.term_frequency(df, terms, vectorized_above=None).collect()}
+    vec_ = {r["term"]: r["n"] for r in lex.term_frequency(df, terms, vectorized_above=0).collect()}
+    exp = {t: sum(x.lower().count(t) for x in texts if x) for t in terms}
+    assert jvm == vec_ == {k: v for k, v in exp.items() if v > 0}
