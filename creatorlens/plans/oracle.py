@@ -543,3 +543,4 @@ FROM d, lex GROUP BY term HAVING sum((strlen(t) - strlen(replace(t, term, '')))
 
 
 SQL["a10_genz_term_frequency"] = _a10_genz()
+SQL["a6_alignment_from_posts"] = SQL["a6_alignment"]

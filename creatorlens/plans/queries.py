@@ -642,3 +642,21 @@ def a10_genz_term_frequency(spark, d):
     """T5/A10/U1 with the fixed union lexicon (keywords + emojis + hashtags) over every document."""
     terms = [t for _, t in lex.lexicon_union()]
     return lex.term_frequency(I.documents(spark, d), terms)
+
+
+@register("a6_alignment_from_posts")
+def a6_alignment_from_posts(spark, d):
+    """F11/U4/A2 -> A6: conversation turns written as post JSON lines
+    (user turn = caption, assistant turn = one comment), parsed back into the
+    caption/comment stream and scored; equals ``a6_alignment``."""
+    c = read_table(spark, d, "conversations").where(F.col("role").isin("user", "assistant"))
+    post = F.when(F.col("role") == "user", F.to_json(F.struct(F.col("text").alias("caption")))) \
+        .otherwise(F.to_json(F.struct(F.array(F.col("text")).alias("comments"))))
+    posts = c.select(F.col("conv_id").alias("username"),
+                     F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("post_id"),
+                     post.alias("value"))
+    texts = feat.post_texts(posts, id_col="post_id")
+    s = feat.alignment_scores(feat.scored_texts(texts, I.sentiment_lexicon(spark), keywords=I.TEST_KEYWORDS,
+                                                emojis=I.TEST_MARKERS, hashtags=I.TEST_HASHTAGS,
+                                                negators=I.TEST_NEGATORS))
+    return s.select("username", _r("alignment_genZ").alias("alignment_genZ"))
