@@ -51,3 +51,17 @@ def test_streaming_engagement_matches_batch(spark):
                           checkpoint=f"{d}/ckpt")
     got = {r["username"]: r["engagement_rate"] for r in spark.read.parquet(f"{d}/out").collect()}
     assert got == {"anna": pytest.approx(150.0), "bob": 0.0, "carl": None}
+
+
+def test_streaming_resumes_from_checkpoint(spark):
+    """A second run with the same checkpoint only reads the new files and the
+    state carries the earlier sums (restart after a failure behaves the same)."""
+    d = tempfile.mkdtemp(prefix="cl-stream2-")
+    infl = spark.createDataFrame([("anna", 10)], "username string, followers int")
+    _write(f"{d}/in/owner=anna/p1.txt", '{"like_count": 10}\n')
+    kw = dict(key_pattern=r"owner=([^/]+)/", checkpoint=f"{d}/ckpt")
+    run_engagement_stream(spark, f"{d}/in/*/", infl, f"{d}/out", **kw)
+    assert spark.read.parquet(f"{d}/out").first()["engagement_rate"] == pytest.approx(100.0)
+    _write(f"{d}/in/owner=anna/p2.txt", '{"like_count": 30}\n')
+    run_engagement_stream(spark, f"{d}/in/*/", infl, f"{d}/out", **kw)
+    assert spark.read.parquet(f"{d}/out").first()["engagement_rate"] == pytest.approx(200.0)
