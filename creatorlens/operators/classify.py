@@ -38,7 +38,7 @@ def fold_column(df: DataFrame, key: str, *, folds: int = 5, seed: int = 7, col:
     return df.withColumn(col, F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(folds)).cast("int"))
 
 
-def svm_pipeline(title: str = "title", label: str = "category", *, vocab_size: int = 1000,
+def svm_estimator(title: str = "title", label: str = "category", *, vocab_size: int = 1000,
                  reg_param: float = 0.01, max_iter: int = 50, parallelism: int = 4) -> Pipeline:
     """M4: tokens -> counts (top ``vocab_size`` terms) -> IDF -> L2 -> OvR(LinearSVC)."""
     return Pipeline(stages=[
@@ -66,7 +66,7 @@ def fit_svm(train: DataFrame, title: str = "title", label: str = "category", *,
     The training rows are written once: every pipeline stage scans them."""
     train = materialize(train)
     n = n_train if n_train is not None else train.count()
-    return svm_pipeline(title, label, vocab_size=vocab_size, reg_param=1.0 / (c * max(n, 1))).fit(train)
+    return svm_estimator(title, label, vocab_size=vocab_size, reg_param=1.0 / (c * max(n, 1))).fit(train)
 
 
 def predict(model: PipelineModel, df: DataFrame, out: str = "prediction") -> DataFrame:
@@ -82,7 +82,7 @@ def grid_search(train: DataFrame, title: str = "title", label: str = "category",
     original grid has no exact distributed counterpart and is not searched.)"""
     train = materialize(train)
     n = train.count()
-    pipe = svm_pipeline(title, label, vocab_size=vocab_size)
+    pipe = svm_estimator(title, label, vocab_size=vocab_size)
     ovr = pipe.getStages()[-1]
     svc = ovr.getClassifier()
     grid = ParamGridBuilder().addGrid(svc.regParam, [1.0 / (c * n * (folds - 1) / folds) for c in cs]).build()

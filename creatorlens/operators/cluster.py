@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creatorlens import lexicons as L
@@ -118,8 +118,8 @@ def cluster_titles(titles: DataFrame, *, text_col: str = "title", id_col: str =
                    k: int = L.KMEANS_K, seed: int = L.KMEANS_SEED) -> DataFrame:
     """The title clustering flow: TF-IDF (uni+bigrams, stop words, df limits)
     -> 2-D PCA (M2) -> k-means (M1).  Output ``id, title, projection, cluster``."""
-    from creatorlens.operators.vectorize import tfidf_vectors_pipeline
-    vec = tfidf_vectors_pipeline(text_col, ngram_range=(1, 2), stop_words=stop_words, min_df=min_df,
+    from creatorlens.operators.vectorize import tfidf_vectorizer
+    vec = tfidf_vectorizer(text_col, ngram_range=(1, 2), stop_words=stop_words, min_df=min_df,
                                  max_df=max_df).fit(titles).transform(titles)
     proj = PCA(k=2, inputCol="features", outputCol="_pca").fit(vec).transform(vec)
     km = KMeans(k=k, seed=seed, featuresCol="_pca", predictionCol="cluster").fit(proj).transform(proj)

@@ -95,7 +95,7 @@ def default_stop_words(spark=None, extra: Sequence[str] = ()) -> list[str]:
     return stop_word_union(StopWordsRemover.loadDefaultStopWords("english"), extra)
 
 
-def tfidf_vectors_pipeline(text_col: str = "title", *, ngram_range: tuple[int, int] = (1, 2),
+def tfidf_vectorizer(text_col: str = "title", *, ngram_range: tuple[int, int] = (1, 2),
                            stop_words: Sequence[str] | None = None, min_df: float = 1.0, max_df: float = 1.0,
                            vocab_size: int = 1 << 18, out: str = "features"):
     """T7 in MLlib form (sparse vectors for clustering / classification):
