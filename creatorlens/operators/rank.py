@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from creatorlens import lexicons as L
 from creatorlens.functions.text import format_score, profile_url
 from creatorlens.functions.vector import cosine
+from creatorlens.session import checked_broadcast
 
 
 # ---------------------------------------------------------------- P9 / P10 / P11
@@ -164,21 +165,21 @@ def brand_search(features: DataFrame, category: str, engagement_pct: float, genz
 
 
 def rank_for_brands(features: DataFrame, brands: DataFrame, *, k: int = L.TOP_K,
-                    digits: int | None = None) -> DataFrame:
+                    digits: int | None = None, max_brands: int = 100_000) -> DataFrame:
     """R1 for many brands at once (J7 as an equi-join on category).
 
     ``brands``: ``brand_id, category, intended_engagement_rate,
     target_audience_genZ``.  The per-category maximum is a grouped aggregate
-    (one row per category) joined on the category key; brands are a small
-    literal table, so they are broadcast.  Output ``brand_id, username,
-    similarity_score, rank``.
+    (one row per category) joined on the category key.  Output ``brand_id, username,
+    similarity_score, rank``.  The brand table is broadcast only when it has
+    at most ``max_brands`` rows (checked); a larger one is joined by shuffle.
     """
     rows = normalize_category(features)
     maxes = rows.groupBy("category").agg(F.max("engagement_rate").alias("_m"))
     b = brands.select("brand_id", F.lower(F.trim("category")).alias("category"),
                       F.col("intended_engagement_rate").cast("double").alias("_t"),
                       F.col("target_audience_genZ").cast("double").alias("_a"))
-    cand = rows.join(maxes, "category").join(F.broadcast(b), "category")
+    cand = rows.join(maxes, "category").join(checked_broadcast(b, max_brands), "category")
     r = F.try_divide(F.col("engagement_rate"), F.col("_m"))
     bn = F.col("_t") / F.greatest(F.col("_m"), F.col("_t"))
     score = brand_similarity(r, F.col("alignment_genZ"), F.lit(True), bn, F.col("_a"))
