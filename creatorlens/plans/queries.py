@@ -461,11 +461,12 @@ def m4_svm_report(spark, d):
 
 @register("m5_grid_search")
 def m5_grid_search(spark, d):
-    """M5: 5-fold cross-validated C in {0.1, 1, 10}; mean accuracy per C (rows-only)."""
+    """M5: 5-fold cross-validated kernel {linear, rbf} x C {0.1, 1, 10}; mean accuracy each (rows-only)."""
     data = _labelled_titles(spark, d)
     train = data.where(~F.col("is_test"))
     _, scores = cls.grid_search(train, key="p_partkey")
-    return literal_frame(spark, [(float(c), float(a)) for c, a in scores], "c double, cv_accuracy double")
+    return literal_frame(spark, [(k, float(c), float(a)) for k, c, a in scores],
+                         "kernel string, c double, cv_accuracy double")
 
 
 @register("m6_predict_titles")

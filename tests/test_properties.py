@@ -74,3 +74,18 @@ def test_mllib_tfidf_plus_tf_equals_long_form(spark):
         for j, x in enumerate(w):
             if v[j] > 0:
                 assert long_form[(r["id"], vocab[j])] == pytest.approx(x)
+
+
+def test_random_fourier_features_approximate_rbf_kernel(spark):
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from creatorlens.operators.kernels import RandomFourierFeatures
+    rng = np.random.default_rng(8)
+    X = rng.normal(size=(40, 5))
+    df = spark.createDataFrame([(i, [float(v) for v in x]) for i, x in enumerate(X)], "id long, x array<double>").withColumn(
+        "v", array_to_vector("x"))
+    model = RandomFourierFeatures(inputCol="v", outputCol="z", numFeatures=4000, gamma="0.2", seed=1).fit(df)
+    Z = np.array([r["z"] for r in model.transform(df).select("id", vector_to_array("z").alias("z")).orderBy("id").collect()])
+    K = np.exp(-0.2 * ((X[:, None, :] - X[None, :, :]) ** 2).sum(-1))
+    assert np.abs(Z @ Z.T - K).max() < 0.1
+    lin = RandomFourierFeatures(inputCol="v", outputCol="z", kernel="linear").fit(df).transform(df)
+    assert lin.select(vector_to_array("z")).first()[0] == pytest.approx(list(X[0]))
