@@ -31,6 +31,7 @@ def prefix_keys(df: DataFrame, key: str, out: str = "username") -> DataFrame:
     return df.withColumn(out, F.explode(F.expr(
         f"transform(sequence(1, greatest(length(`{key}`), 1)), i -> substring(`{key}`, 1, i))")))
 
+
 def match_to_influencers(per_key: DataFrame, influencers: DataFrame, *, key: str = "username",
                          sums: Sequence[str], match: str = "exact", how: str = "left") -> DataFrame:
     """Attach per-key partial sums to influencers.
