@@ -65,3 +65,13 @@ def test_streaming_resumes_from_checkpoint(spark):
     _write(f"{d}/in/owner=anna/p2.txt", '{"like_count": 30}\n')
     run_engagement_stream(spark, f"{d}/in/*/", infl, f"{d}/out", **kw)
     assert spark.read.parquet(f"{d}/out").first()["engagement_rate"] == pytest.approx(200.0)
+
+
+def test_whole_file_json_documents_flatten(spark):
+    from creatorlens.operators import catalog as cat
+    d = tempfile.mkdtemp(prefix="cl-json-")
+    _write(f"{d}/a.json", '{"navigation": [{"content": {"title": "A"},\n "children": [{"content": {"title": "B"}}]}]}')
+    _write(f"{d}/b.json", '{"navigation": [{"content": {"title": "C"}}]}')
+    docs = rd.read_json_documents(spark, d, whole_file=True)
+    got = sorted((r["doc_id"].rsplit("/", 1)[-1], r["pos"], r["title"]) for r in cat.titled(cat.flatten_tree(docs)).collect())
+    assert got == [("a.json", 0, "A"), ("a.json", 1, "B"), ("b.json", 0, "C")]
