@@ -544,3 +544,23 @@ FROM d, lex GROUP BY term HAVING sum((strlen(t) - strlen(replace(t, term, '')))
 
 SQL["a10_genz_term_frequency"] = _a10_genz()
 SQL["a6_alignment_from_posts"] = SQL["a6_alignment"]
+
+
+SQL["a1_engagement_prefix"] = _with(BASE) + """,
+pk AS (SELECT CAST(username AS VARCHAR) AS k, sum_likes, n_posts FROM per_user),
+pu AS (SELECT CAST(i.username AS VARCHAR) AS username, sum(pk.sum_likes) AS sum_likes, sum(pk.n_posts) AS n_posts
+       FROM (SELECT DISTINCT username FROM infl) i JOIN pk ON starts_with(pk.k, CAST(i.username AS VARCHAR))
+       GROUP BY 1)
+SELECT CAST(i.username AS VARCHAR) AS username,
+       round(CASE WHEN i.followers > 0 THEN pu.sum_likes / CAST(pu.n_posts AS DOUBLE) / i.followers * CAST(100 AS DOUBLE)
+                  ELSE CAST(0 AS DOUBLE) END, 6) AS engagement_rate
+FROM infl i LEFT JOIN pu ON pu.username = CAST(i.username AS VARCHAR)
+"""
+
+_SCORED_LITERAL = SCORED.replace(_TRAITS, f"CAST(len(list_filter({_tokens(_clean('text'))}, lambda x: x IN {_KW})) AS INTEGER)")
+SQL["a6_alignment_literal"] = "WITH " + _SCORED_LITERAL + """,
+g AS (SELECT username, sum(traits) AS tr, count(*) AS n, count(*) FILTER (WHERE polarity > 0) AS pos
+      FROM scored GROUP BY username),
+s AS (SELECT username, (tr + pos / CAST(greatest(n, 1) AS DOUBLE) * 100.0) / CAST(n AS DOUBLE) AS a FROM g)
+SELECT username, round(CASE WHEN a > 30 THEN 1.0 ELSE a END, 6) AS alignment_genZ FROM s
+"""

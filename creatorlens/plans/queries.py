@@ -661,3 +661,23 @@ def a6_alignment_from_posts(spark, d):
                                                 emojis=I.TEST_MARKERS, hashtags=I.TEST_HASHTAGS,
                                                 negators=I.TEST_NEGATORS))
     return s.select("username", _r("alignment_genZ").alias("alignment_genZ"))
+
+
+@register("a1_engagement_prefix")
+def a1_engagement_prefix(spark, d):
+    """A1 with J2 prefix mode (the file-glob behaviour): user "1" also collects
+    the posts of users "10".."19", "100".."149"."""
+    infl = I.influencers(spark, d).withColumn("username", F.col("username").cast("string"))
+    posts = I.posts(spark, d).withColumn("username", F.col("username").cast("string"))
+    rates = feat.engagement_rates(infl, posts, like_path=I.LIKE_PATH, match="prefix")
+    return rates.select("username", _r("engagement_rate").alias("engagement_rate"))
+
+
+@register("a6_alignment_literal")
+def a6_alignment_literal(spark, d):
+    """A6 in literal mode (D2): cleaning removes '#' and emoji first, so only keyword tokens count."""
+    s = feat.alignment_scores(feat.scored_texts(I.conversation_texts(spark, d), I.sentiment_lexicon(spark),
+                                                keywords=I.TEST_KEYWORDS, emojis=I.TEST_MARKERS,
+                                                hashtags=I.TEST_HASHTAGS, mode="literal",
+                                                negators=I.TEST_NEGATORS))
+    return s.select("username", _r("alignment_genZ").alias("alignment_genZ"))
