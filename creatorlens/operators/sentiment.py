@@ -37,24 +37,44 @@ def _dedup_lexicon(lexicon: DataFrame, max_broadcast_rows: int) -> DataFrame:
 def score_texts(texts: DataFrame, lexicon: DataFrame, *, id_col: str, text_col: str = "text",
                 carry: Sequence[str] = (), extra: dict | None = None,
                 negators: Sequence[str] = DEFAULT_NEGATORS, negation_factor: float = -0.5,
-                max_broadcast_rows: int = 5_000_000) -> DataFrame:
+                max_broadcast_rows: int = 5_000_000, inline_max: int = 64) -> DataFrame:
     """One row per text: ``id_col``, ``carry`` columns, ``extra`` in-row
     expressions (computed on the raw text before tokens are exploded) and
-    ``polarity``."""
+    ``polarity``.
+
+    A lexicon of at most ``inline_max`` words is compiled into a literal map
+    and every text is scored in place (no explode, no shuffle).  Larger
+    lexicons take the join plan: explode, broadcast hash join, re-aggregate.
+    """
     extra = dict(extra or {})
     keep = [id_col, *carry]
     prepared = texts.select(*keep, *[e.alias(n) for n, e in extra.items()],
                             tokens(clean_text(F.col(text_col))).alias("_toks"))
     pairs = F.zip_with(F.col("_toks"), F.concat(F.array(F.lit(None).cast("string")), F.col("_toks")),
                        lambda w, p: F.struct(w.alias("w"), p.alias("prev")))
+    negs = sorted({n.lower() for n in negators})
+
+    def factor(prev):
+        return (F.when(prev.isin(negs), F.lit(float(negation_factor))).otherwise(F.lit(1.0))
+                if negs else F.lit(1.0))
+
+    lex = _dedup_lexicon(lexicon, max_broadcast_rows)
+    small = lex.limit(inline_max + 1).collect() if inline_max else []
+    if inline_max and len(small) <= inline_max:
+        if not small:
+            return prepared.select(*keep, *extra.keys(), F.lit(0.0).alias("polarity"))
+        m = F.create_map(*[x for r in small for x in (F.lit(r["_lex_word"]), F.lit(float(r["_lex_pol"])))])
+        vals = F.filter(F.transform(pairs, lambda t: F.try_element_at(m, t["w"]) * factor(t["prev"])),
+                        lambda v: v.isNotNull())
+        staged = prepared.select(*keep, *extra.keys(), vals.alias("_vals"))
+        total = F.aggregate(F.col("_vals"), F.lit(0.0), lambda a, v: a + v)
+        pol = F.when(F.size("_vals") > 0, total / F.size("_vals")).otherwise(F.lit(0.0))
+        return staged.select(*keep, *extra.keys(), pol.alias("polarity"))
     exploded = prepared.select(*keep, *extra.keys(), F.explode_outer(pairs).alias("_t")).select(
         *keep, *extra.keys(), F.col("_t.w").alias("_w"), F.col("_t.prev").alias("_prev"))
-    lex = _dedup_lexicon(lexicon, max_broadcast_rows)
     joined = exploded.join(lex, exploded["_w"] == lex["_lex_word"], "left")
-    negs = sorted({n.lower() for n in negators})
-    factor = F.when(F.col("_prev").isin(negs), F.lit(float(negation_factor))).otherwise(F.lit(1.0)) if negs else F.lit(1.0)
     return (joined.groupBy(*keep, *extra.keys())
-            .agg(F.coalesce(F.avg(F.col("_lex_pol") * factor), F.lit(0.0)).alias("polarity")))
+            .agg(F.coalesce(F.avg(F.col("_lex_pol") * factor(F.col("_prev"))), F.lit(0.0)).alias("polarity")))
 
 
 def is_positive(polarity="polarity"):

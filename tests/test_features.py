@@ -86,3 +86,16 @@ def test_post_texts_caption_and_comments(spark):
     assert got == [("u1", "caption", "Hi"), ("u1", "comment", "a"), ("u1", "comment", "b"), ("u2", "comment", "only")]
     counts = {r["username"]: tuple(r[1:]) for r in feat.text_counts(feat.post_texts(posts)).collect()}
     assert counts == {"u1": (1, 2, 3), "u2": (0, 1, 1)}
+
+
+def test_inline_and_join_sentiment_paths_agree(spark):
+    texts = spark.createDataFrame([
+        ("t1", "good good not bad"), ("t2", "not good"), ("t3", ""), ("t4", None), ("t5", "BAD news, good!")],
+        "text_id string, text string")
+    lex = lexicon_frame(spark, {"good": 0.7, "bad": -0.7, "Good": 0.5})
+    inline = {r["text_id"]: r["polarity"] for r in score_texts(texts, lex, id_col="text_id").collect()}
+    joined = {r["text_id"]: r["polarity"] for r in score_texts(texts, lex, id_col="text_id", inline_max=0).collect()}
+    assert inline.keys() == joined.keys()
+    for k in inline:
+        assert inline[k] == pytest.approx(joined[k])
+    assert inline["t2"] == pytest.approx(-0.5 * 0.6)      # duplicate lexicon words are averaged
