@@ -4,10 +4,13 @@ Polarity of a text = mean polarity of its lexicon words, a word directly after a
 negator contributing ``negation_factor`` times its polarity; no lexicon word ->
 0.0.  The lexicon is an input table ``(word, polarity)``.
 
-Plan: tokens are exploded next to their predecessor, hash-joined with the
-broadcast lexicon (size checked) and re-aggregated per text.  All tokens of a
-text live in one input partition, so the partial aggregate collapses them
-before the shuffle: the exchange carries one small row per text, never the text.
+Plan: a small lexicon (up to ``inline_max`` words, checked) becomes a literal
+map and every text is scored in place - no explode, no shuffle.  A larger one
+takes the join plan: tokens are exploded next to their predecessor,
+hash-joined with the broadcast lexicon (size checked) and re-aggregated per
+text.  All tokens of a text live in one input partition, so the partial
+aggregate collapses them before the shuffle: the exchange carries one small
+row per text, never the text.
 """
 
 from __future__ import annotations
