@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
-from creatorlens.llm import bpe
+from creatorlens.llm import arc, bpe, chat, quality, secrets, tokenbin, topk, urls
 
 QUERIES = {
+    "op1_urls": urls.op1_urls,
+    "op2_topk": topk.op2_topk,
+    "op3_secrets": secrets.op3_secrets,
+    "op5_tokenbin": tokenbin.op5_tokenbin,
+    "op6_quality": quality.op6_quality,
+    "op7_chat": chat.op7_chat,
+    "op9_warc": arc.op9_warc,
     "op10_bpe": bpe.op10_bpe,
 }
 
 #: Queries that SQL can express; the others are tested against brute force in ``tests/llm``.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_topk": topk.SQL,
+    "op3_secrets": secrets.SQL,
+    "op7_chat": chat.SQL,
+    "op9_warc": arc.SQL,
+}

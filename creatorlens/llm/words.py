@@ -182,14 +182,23 @@ def _ngrams(hashes: np.ndarray, offsets: np.ndarray, n: int, whole: bool) -> tup
     return out, at
 
 
-def distinct(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each text's distinct values in ascending order, and their offsets."""
-    if not len(values):
-        return values, np.zeros(len(offsets), np.int64)
-    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    order = np.lexsort((values, text))
-    values, text = values[order], text[order]
-    keep = np.ones(len(values), bool)
-    keep[1:] = (values[1:] != values[:-1]) | (text[1:] != text[:-1])
-    values, text = values[keep], text[keep]
-    return values, np.searchsorted(text, np.arange(len(offsets)))
+def distinct(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each text's distinct values in ascending order, their offsets, and how often each occurs."""
+    values = values.copy()
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+        values[a:b].sort()  # many short sorts are far cheaper than one sort by text and value
+    first = np.ones(len(values), bool)
+    first[1:] = values[1:] != values[:-1]
+    first[offsets[:-1][offsets[:-1] < len(values)]] = True
+    at = np.flatnonzero(first)
+    return values[at], np.searchsorted(at, offsets), np.diff(np.append(at, len(values)))
+
+
+def segment_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sum of each text's values (rows of ``values``), 0 for an empty one."""
+    out = np.zeros((len(offsets) - 1, *values.shape[1:]), values.dtype)
+    full = np.flatnonzero(np.diff(offsets) > 0)
+    if len(full):
+        with np.errstate(over="ignore"):
+            out[full] = np.add.reduceat(values, offsets[full], axis=0)
+    return out
