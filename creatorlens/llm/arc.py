@@ -228,7 +228,7 @@ def write_warc(files: DataFrame, arc_folder: str, folder: str, revisiting: DataF
         stream = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
         for name, own in itertools.groupby(stream, key=lambda r: r[0]):
             next(own)  # the file's mark
-            out = name.replace(".arc", ".warc")
+            out = re.sub(r"\.arc(\.gz)?$", "", name) + ".warc.gz"
             with reader(arc_folder, name) as arc, writer(folder, out) as put:
                 info = f"software: creatorlens\r\nformat: WARC File Format 1.1\r\nconverted-from: {name}\r\n".encode()
                 put(*warc_record("warcinfo", [("WARC-Record-ID", record_id(out, -1)), ("WARC-Date", "1970-01-01T00:00:00Z"),
