@@ -44,7 +44,7 @@ def test_many_blocks(spark, monkeypatch):
 
 def test_large_components(spark):
     r = random.Random(4)
-    _check(spark, [(i, [float(r.randint(-2**26, 2**26)) for _ in range(3)]) for i in range(60)], 5)
+    _check(spark, [(i, [float(r.randint(-2**24, 2**24)) for _ in range(3)]) for i in range(60)], 5)
 
 
 def test_empty(spark):
