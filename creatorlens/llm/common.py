@@ -7,11 +7,16 @@ import os
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from creatorlens.llm.words import mark
 from creatorlens.session import ensure_checkpoint_dir
 
+MARK_BITS = 1 << 16, 1 << 28  # least and most bits of a mark table
+
 _serial = itertools.count()
 
 
@@ -55,3 +60,25 @@ def filesystem(uri: str):
     if "://" not in uri:
         return fs.LocalFileSystem(), os.path.abspath(uri)
     return fs.FileSystem.from_uri(uri)
+
+
+def mark_table(hashes: DataFrame) -> np.ndarray:
+    """A Bloom filter (packed bits) of a column of 64-bit hashes: 32 bits for each, within ``MARK_BITS``.  With
+    more hashes than that it only lets more others pass.  Tasks send the words of the table that they set."""
+    size = min(max(MARK_BITS[0], 1 << (32 * hashes.count() - 1).bit_length()), MARK_BITS[1])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed = np.zeros(size // 8, np.uint8)
+        for batch in batches:
+            mark(packed, batch.column(0).to_numpy().view(np.uint64))
+        words = packed.view(np.int64)
+        at = np.flatnonzero(words)
+        for first in range(0, len(at), 1 << 18):
+            some = at[first:first + (1 << 18)]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(words[some])], names=["at", "word"])
+
+    rows = hashes.mapInArrow(run, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word"))
+    found = rows.toArrow()  # at most size / 64 rows
+    words = np.zeros(size // 64, np.int64)
+    words[found.column("at").to_numpy()] = found.column("word").to_numpy()
+    return words.view(np.uint8)

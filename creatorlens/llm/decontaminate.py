@@ -25,38 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from creatorlens.llm.common import slices, table, written
-from creatorlens.llm.words import NON_ALNUM, WordHasher, mix, ngrams, segment_sums
+from creatorlens.llm.common import mark_table, slices, table, written
+from creatorlens.llm.words import NON_ALNUM, WordHasher, marked, mix, ngrams, segment_sums
 
 SEED, SEEDS_LEAST, HITS_LEAST, SCORE_LEAST = 3, 8, 2, 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
-MARKS = 1 << 20, 1 << 28  # least and most bits of a table (64 for each sequence)
 CELLS = 1 << 20  # of the alignments computed side by side
 _words = WordHasher(NON_ALNUM)
 
 
-def _bit(hashes: np.ndarray, size: int) -> np.ndarray:
-    return (mix(hashes) >> np.uint64(65 - size.bit_length())).astype(np.int64)
-
-
-def mark_table(hashes: DataFrame) -> np.ndarray:
-    """A bit table of the hashes, of bounded size whatever their number; more of them only let more pass."""
-    size = min(max(MARKS[0], 1 << (64 * hashes.count()).bit_length()), MARKS[1])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(size, bool)
-        for batch in batches:
-            bits[_bit(batch.column(0).to_numpy().view(np.uint64), size)] = True
-        packed = np.packbits(bits).view(np.int64)
-        at = np.flatnonzero(packed)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(packed[at])], names=["at", "word"])
-
-    found = hashes.mapInArrow(run, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()  # at most size / 64 rows
-    packed = np.zeros(size // 64, np.int64)
-    packed[found.column("at").to_numpy()] = found.column("word").to_numpy()
-    return packed
-
-
 def _lists(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat.view(np.int64) if flat.dtype == np.uint64 else flat))
 
@@ -87,7 +64,7 @@ def _grams(column: pa.Array) -> Iterator[tuple]:
 def document_counts(texts: DataFrame, marks: np.ndarray) -> DataFrame:
     """(hash, documents) of the marked sequences, counted per task and then summed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, held, size = np.unpackbits(marks.view(np.uint8)).view(bool), [], 0
+        held, size = [], 0
 
         def counted() -> pa.RecordBatch:
             values, counts = np.unique(np.concatenate(held), return_counts=True)
@@ -96,7 +73,7 @@ def document_counts(texts: DataFrame, marks: np.ndarray) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
                 for _, _, _, _, grams, at in _grams(part.column(0)):
-                    hit = np.flatnonzero(bits[_bit(grams, len(bits))])
+                    hit = np.flatnonzero(marked(marks, grams))
                     own = np.unique(np.stack([np.searchsorted(at, hit, side="right").astype(np.uint64), grams[hit]]), axis=1)[1] if len(hit) else grams[hit]
                     held.append(own)
                     size += len(own)
@@ -126,12 +103,11 @@ def passages(docs: DataFrame, marks: np.ndarray, reach: int, hits_least: int) ->
     id_type = docs.schema["id"].simpleString().split(":", 1)[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(marks.view(np.uint8)).view(bool)
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
                 ids = part.column(0)
                 for first, _, hashes, offsets, grams, at in _grams(part.column(1)):
-                    hit = np.flatnonzero(bits[_bit(grams, len(bits))])
+                    hit = np.flatnonzero(marked(marks, grams))
                     if not len(hit):
                         continue
                     row = np.searchsorted(at, hit, side="right") - 1

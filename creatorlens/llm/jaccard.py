@@ -1,26 +1,28 @@
 """N-gram Jaccard join by a prefix tree: documents whose shingle sets share 85 % of their union, and the
 components that these links form.
 
-A document's set holds the hashes of its distinct 4-word shingles in one global order: shingles found
-frequent in the corpus come last, the others in the order of their hashes.  Equal sets are one *node*.  Two
-sets that link share a shingle of their first |s| - ceil(0.85 |s|) + 1 in that order (their prefix).
+A document's set holds the hashes of its distinct 4-word shingles in one global order: the more documents
+share a shingle (once, twice, 4 or 16 times at least), the later it comes; among equals hashes decide.  Equal
+sets are one *node*.  Two sets that link share a shingle of their first |s| - ceil(0.85 |s|) + 1 in that order
+(their prefix), so a passage that many documents share seldom makes two of them meet.
 
-1. One pass over the texts gives every document's node and counts frequent shingles.
+1. One pass counts how often the upper 32 bits of the shingles' hashes occur.  Tasks send sorted, packed
+   numbers by ranges; the counts become bit tables of bounded size, which fix the order.
 2. One pass sends the prefix shingles; a partial aggregate finds those that two nodes or more share.  They
-   are marked in a bit table of fixed size.
-3. One pass keeps the nodes that own a marked shingle, with their sets.
+   are marked in a bit table of bounded size.
+3. One pass gives each document's node, and the sets of the nodes that own a marked shingle.
 4. Each node is compared with one centre, the smallest node met most often under its shingles.  This joins
    most copies of a large group in linear work; shingles whose nodes are all joined need no more.
 5. Of the other shingles, one for each distinct list of nodes is kept.  Its nodes are cut into blocks by
    length class and a hash, so that a task's sets have a bounded size, and blocks whose lengths allow a link
    meet.  There the sets form a trie; every set traverses it once, sharing the overlap of common paths, and
-   leaves subtrees whose remaining lengths cannot reach the threshold or whose sets are joined with it.
+   leaves subtrees whose remaining lengths cannot reach the threshold, whose sets are joined with it, or that
+   share an earlier shingle with it (that shingle's sets meet elsewhere).
 6. The links' components are found by alternating large and small stars.
 
 Links inside a component that is known already are not looked for, so a group of copies is never expanded
-into its pairs; no link between different components is lost.  Frequent shingles are found per few thousand
-documents and steer only the order, never the result.  Sets and nodes are told apart by 64 and 128 bits of
-hashes.
+into its pairs; no link between different components is lost.  The counts steer only the order, never the
+result.  Shingles and nodes are told apart by 61 and 128 bits of hashes.
 
 Words are runs of bytes other than blank and 09-0D, A-Z lower-cased.  A text of fewer words is one shingle;
 null texts and texts without words have an empty set and link with nothing.  Rows with equal ids are
@@ -37,31 +39,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creatorlens.llm.common import slices, table, written
-from creatorlens.llm.words import BLANKS, WordHasher, distinct, mix, ngrams, segment_sums
+from creatorlens.llm.common import mark_table, slices, table, written
+from creatorlens.llm.words import BLANKS, WordHasher, distinct, marked, mix, ngrams, segment_sums
 
 WORDS, PERCENT = 4, 85
-FREQUENT, FREQUENT_IN, COUNTED = 1 << 16, 4, 1 << 22  # kept; least documents of those counted at a time; shingles counted at a time
-MARKS = 1 << 20, 1 << 28  # least and most bits of the table of shared shingles (16 for each of them)
+LEVELS = (2, 4, 16)  # documents that share a shingle at least
+RANGES, COUNTED = 1 << 12, 1 << 22  # ranges of the 32-bit numbers counted apart; shingles packed at a time
+LEVEL_BITS = 1 << 16, 1 << 28  # least and most bits of a level's table (8 for each number)
 BLOCK_SHINGLES = 1 << 20  # sum of set sizes that a block may have, but for one set larger than that
-STRIDE = 16  # shingles of a trie's edge
+STRIDE = 32  # shingles of a trie's edge
 _words = WordHasher(BLANKS)
 
 
 # ---------------------------------------------------------------- sets
 
-def order_of(frequent: np.ndarray):
-    """Maps hashes to their places in the global order; ``frequent``: hashes, the most frequent last."""
-    by = np.argsort(frequent, kind="stable")
-    keys, place = frequent[by], by.astype(np.uint64) | np.uint64(1 << 63)
-
+def order_of(tables: list[np.ndarray]):
+    """Maps hashes to their places in the global order; ``tables``: packed bits of each level."""
     def order(hashes: np.ndarray) -> np.ndarray:
-        out = hashes >> np.uint64(1)
-        if len(keys):
-            at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-            known = keys[at] == hashes
-            out[known] = place[at[known]]
-        return out
+        number, level = hashes >> np.uint64(32), np.zeros(len(hashes), np.uint64)
+        for i, bits in enumerate(tables):
+            at = number >> np.uint64(32 - (len(bits) * 8).bit_length() + 1)
+            hit = (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1
+            level += hit.astype(np.uint64) * (level == i)
+        return level << np.uint64(61) | hashes >> np.uint64(3)
 
     return order
 
@@ -100,42 +100,111 @@ def _take(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)]
 
 
-def document_nodes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows (id, n, a, b) of the documents, and rows (token, count) of shingles frequent where they were counted."""
-    id_type = docs.schema[id_col].dataType.simpleString()
-    names = ["id", "n", "a", "b", "token", "count"]
+def packed_numbers(docs: DataFrame, text_col: str) -> DataFrame:
+    """(range, wide, numbers, often, times): sorted numbers of a range as gaps (16 bits; or 32, if wide), and
+    which of them occur several times among the documents packed together (equal sets count once)."""
+    span = (1 << 32) // RANGES
+    names = ["range", "wide", "numbers", "often", "times"]
+
+    def pack(held: list[np.ndarray]) -> pa.RecordBatch:
+        values, counts = np.unique((np.concatenate(held) >> np.uint64(32)).astype(np.uint32), return_counts=True)
+        cuts = np.searchsorted(values, np.arange(RANGES + 1, dtype=np.uint64) * np.uint64(span))
+        rows = []
+        for r, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
+            if a < b:
+                own, times = values[a:b] - np.uint32(r * span), counts[a:b]
+                gaps = np.diff(own, prepend=np.uint32(0))
+                wide, several = bool(gaps.max() >= 1 << 16), times > 1
+                rows.append((r, wide, gaps.astype(np.uint32 if wide else np.uint16).tobytes(), own[several].tobytes(),
+                             np.minimum(times[several], 255).astype(np.uint8).tobytes()))
+        types = [pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, id_arrow = [], 0, None
-
-        def frequent() -> pa.RecordBatch:
-            values, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, np.uint64), np.empty(0, np.int64))
-            values, counts = values[counts >= FREQUENT_IN], counts[counts >= FREQUENT_IN]
-            none = lambda kind: pa.nulls(len(values), kind)
-            return pa.RecordBatch.from_arrays([none(id_arrow), *[none(pa.int64())] * 3, pa.array(values.view(np.int64)), pa.array(counts, pa.int64())], names=names)
-
+        held, size, seen = [], 0, set()
         for batch in batches:
-            id_arrow = batch.column(0).type
             for part in slices(batch, text_col, 2 << 20):
-                sets, offsets = shingle_sets(part.column(1))
-                a, b = node_ids(sets, offsets)
-                empty, none = np.diff(offsets) == 0, pa.nulls(part.num_rows, pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(offsets)), pa.array(a, mask=empty), pa.array(b, mask=empty), none, none], names=names)
-                held.append(sets)
-                size += len(sets)
+                sets, offsets = shingle_sets(part.column(0))
+                for key, a, b in zip(node_ids(sets, offsets)[0].tolist(), offsets[:-1].tolist(), offsets[1:].tolist()):
+                    if b > a and key not in seen:
+                        seen.add(key)
+                        held.append(sets[a:b])
+                        size += b - a
                 if size > COUNTED:
-                    yield frequent()
-                    held, size = [], 0
+                    yield pack(held)
+                    held, size, seen = [], 0, set()
         if held:
-            yield frequent()
+            yield pack(held)
+
+    return docs.select(text_col).mapInArrow(run, "range int, wide boolean, numbers binary, often binary, times binary")
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {id_type}, n long, a long, b long, token long, count long")
 
+def shared_numbers(packed: DataFrame) -> DataFrame:
+    """(range, numbers, levels, n0, n1, ...): the numbers that reach a level, and how many reach each.  A task
+    holds the counts of one range, a million numbers at most."""
+    span, counts = (1 << 32) // RANGES, [f"n{i}" for i in range(len(LEVELS))]
 
-def prefixes(docs: DataFrame, text_col: str, frequent: np.ndarray) -> DataFrame:
+    def joined(values: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        value, time = np.concatenate(values), np.concatenate(times)
+        order = np.argsort(value, kind="stable")
+        value, time = value[order], time[order]
+        first = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+        return value[first], np.minimum(np.add.reduceat(time, first), 1 << 20)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for b in batches for r in zip(*(b.column(i) for i in range(5))))
+        for r, own in itertools.groupby(rows, key=lambda r: r[0].as_py()):
+            values, times, size = [], [], 0
+            for _, wide, gaps, often, more in own:
+                gaps = np.frombuffer(gaps.as_buffer(), np.uint32 if wide.as_py() else np.uint16)
+                often = np.frombuffer(often.as_buffer(), np.uint32)
+                values += [np.cumsum(gaps, dtype=np.uint32), often]
+                times += [np.ones(len(gaps), np.int32), np.frombuffer(more.as_buffer(), np.uint8).astype(np.int32) - 1]
+                size += len(gaps) + len(often)
+                if size > 2 * span:
+                    value, time = joined(values, times)
+                    values, times, size = [value], [time], len(value)
+            value, total = joined(values, times)
+            numbers, total = value[total >= LEVELS[0]], total[total >= LEVELS[0]]
+            levels = np.searchsorted(LEVELS, total, side="right")
+            yield pa.RecordBatch.from_arrays([
+                pa.array([r], pa.int32()), pa.array([numbers.astype(np.uint32).tobytes()]), pa.array([levels.astype(np.uint8).tobytes()]),
+                *[pa.array([int((levels > i).sum())], pa.int64()) for i in range(len(LEVELS))]], names=["range", "numbers", "levels", *counts])
+
+    rows = packed.repartition("range").sortWithinPartitions("range")
+    return rows.mapInArrow(run, f"range int, numbers binary, levels binary, {', '.join(f'{c} long' for c in counts)}")
+
+
+def level_tables(shared: DataFrame) -> list[np.ndarray]:
+    """The levels' packed bit tables; each range fills its own part of them."""
+    totals = shared.agg(*[F.coalesce(F.sum(f"n{i}"), F.lit(0)) for i in range(len(LEVELS))]).first()
+    sizes = [min(max(LEVEL_BITS[0], 1 << (8 * n).bit_length()), LEVEL_BITS[1]) for n in totals]
+    span = (1 << 32) // RANGES
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r, numbers, levels in zip(*(batch.column(i) for i in range(3))):
+                numbers, levels = np.frombuffer(numbers.as_buffer(), np.uint32), np.frombuffer(levels.as_buffer(), np.uint8)
+                blobs = []
+                for i, size in enumerate(sizes):
+                    bits = np.zeros(size // RANGES, bool)
+                    bits[numbers[levels > i] // (span // len(bits))] = True
+                    blobs.append(np.packbits(bits, bitorder="little").tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array([r.as_py()] * len(sizes), pa.int32()), pa.array(range(len(sizes)), pa.int32()), pa.array(blobs)],
+                                                 names=["range", "level", "bits"])
+
+    tables = [np.zeros(size // 8, np.uint8) for size in sizes]
+    found = shared.select("range", "numbers", "levels").mapInArrow(run, "range int, level int, bits binary").toArrow()  # at most the tables' bits
+    for r, i, bits in zip(*(c.to_pylist() for c in found.columns)):
+        part = len(tables[i]) // RANGES
+        tables[i][r * part:(r + 1) * part] = np.frombuffer(bits, np.uint8)
+    return tables
+
+
+def prefixes(docs: DataFrame, text_col: str, tables: list[np.ndarray]) -> DataFrame:
     """(token, a, b): the prefix shingles of every document's node."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = order_of(frequent)
+        order = order_of(tables)
         for batch in batches:
             for part in slices(batch, text_col, 2 << 20):
                 sets, offsets = shingle_sets(part.column(0))
@@ -147,62 +216,42 @@ def prefixes(docs: DataFrame, text_col: str, frequent: np.ndarray) -> DataFrame:
     return docs.select(text_col).mapInArrow(run, "token long, a long, b long")
 
 
-def _bit(tokens: np.ndarray, size: int) -> np.ndarray:
-    return (mix(tokens.view(np.uint64)) >> np.uint64(65 - size.bit_length())).astype(np.int64)
-
-
-def mark_table(tokens: DataFrame) -> np.ndarray:
-    """A table of bits in which the tokens are marked.  Its size is bounded: with more tokens it lets more
-    nodes pass that share nothing, who are found out by a join."""
-    size = min(max(MARKS[0], 1 << (16 * tokens.count()).bit_length()), MARKS[1])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(size, bool)
-        for batch in batches:
-            bits[_bit(batch.column(0).to_numpy(), size)] = True
-        packed = np.packbits(bits).view(np.int64)
-        at = np.flatnonzero(packed)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(packed[at])], names=["at", "word"])
-
-    rows = tokens.select("token").mapInArrow(run, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word"))
-    found = rows.toArrow()  # at most size / 64 rows
-    packed = np.zeros(size // 64, np.int64)
-    packed[found.column("at").to_numpy()] = found.column("word").to_numpy()
-    return packed
-
+def document_sets(docs: DataFrame, id_col: str, text_col: str, tables: list[np.ndarray], marks: np.ndarray) -> DataFrame:
+    """(id, n, a, b, hits, set) of the documents; hits and set (in the global order) of the nodes with a marked
+    shingle in their prefix, once per node and task."""
+    id_type = docs.schema[id_col].dataType.simpleString()
 
-def candidate_sets(docs: DataFrame, text_col: str, frequent: np.ndarray, marks: np.ndarray) -> DataFrame:
-    """(a, b, n, hits, set) of the nodes with a marked shingle in their prefix, in the global order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order, bits, seen = order_of(frequent), np.unpackbits(marks.view(np.uint8)).view(bool), set()
+        order, seen = order_of(tables), set()
         for batch in batches:
             for part in slices(batch, text_col, 2 << 20):
-                sets, offsets = shingle_sets(part.column(0))
+                sets, offsets = shingle_sets(part.column(1))
                 a, b = node_ids(sets, offsets)
                 sizes = np.diff(offsets)
                 some = prefix_sizes(sizes)
                 sets = sorted_sets(sets, offsets, order)
                 token = _take(sets, offsets[:-1], some)
-                hit = bits[_bit(token, len(bits))]
+                hit = marked(marks, token)
                 hits = segment_sums(hit.astype(np.int64), np.concatenate([[0], np.cumsum(some)]))
-                rows = []
+                mine = np.zeros(len(sizes), bool)
                 for i in np.flatnonzero(hits).tolist():
                     if (key := (int(a[i]), int(b[i]))) not in seen:  # copies within the task go no further
                         if len(seen) >= 200_000:
                             seen.clear()
                         seen.add(key)
-                        rows.append(i)
-                rows = np.array(rows, np.int64)
-                mine = np.zeros(len(sizes), bool)
-                mine[rows] = True
-                lists = lambda flat, count: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]), pa.int32()), pa.array(flat.view(np.int64)))
+                        mine[i] = True
+
+                def lists(flat: np.ndarray, count: np.ndarray) -> pa.Array:
+                    ends = np.concatenate([[0], np.cumsum(np.where(mine, count, 0))])
+                    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)), mask=pa.array(~mine))
+
+                empty = sizes == 0
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(a[rows]), pa.array(b[rows]), pa.array(sizes[rows]),
-                    lists(token[hit & np.repeat(mine, some)], hits[rows]), lists(_take(sets, offsets[:-1][rows], sizes[rows]), sizes[rows])],
-                    names=["a", "b", "n", "hits", "set"])
+                    part.column(0), pa.array(sizes), pa.array(a, mask=empty), pa.array(b, mask=empty),
+                    lists(token[hit & np.repeat(mine, some)], hits), lists(_take(sets, offsets[:-1][mine], sizes[mine]), sizes)],
+                    names=["id", "n", "a", "b", "hits", "set"])
 
-    found = docs.select(text_col).mapInArrow(run, "a long, b long, n long, hits array<long>, set array<long>")
-    return found.dropDuplicates(["a", "b"])
+    return docs.select(id_col, text_col).mapInArrow(run, f"id {id_type}, n long, a long, b long, hits array<long>, set array<long>")
 
 
 # ---------------------------------------------------------------- trie
@@ -246,8 +295,9 @@ class Trie:
             self.ends.append((alive[done], node[done]))
             alive, parent = alive[~done], node[~done]
 
-    def links(self, probe: np.ndarray, group: int) -> np.ndarray:
-        """The sets of other groups that link with ``probe`` (a subtree of one group, ``group``, is not entered)."""
+    def links(self, probe: np.ndarray, group: int, first: int = 0) -> np.ndarray:
+        """The sets of other groups that link with ``probe`` (a subtree of one group, ``group``, is not entered)
+        and share nothing with it that comes before ``first``."""
         overlap, out, n = np.zeros(1, np.int64), [], len(probe)
         reached = np.ones(1, bool)
         for (edge, offsets, parent, depth, shortest, longest, own), (ends, at) in zip(self.levels, self.ends):
@@ -261,6 +311,8 @@ class Trie:
             used = place[bounds[1:] - 1] + found[bounds[1:] - 1]  # of the probe, up to the edge's last value
             hope = here + np.minimum(longest[nodes] - depth[nodes], n - used)
             stay = hope >= least_overlap(n, shortest[nodes])
+            if first:
+                stay &= segment_sums((found & (values < first)).astype(np.int64), bounds) == 0
             overlap = np.zeros(len(parent), np.int64)
             overlap[nodes] = here
             reached = np.zeros(len(parent), bool)
@@ -273,9 +325,9 @@ class Trie:
         return np.concatenate(out) if out else np.empty(0, np.int64)
 
 
-def forest(keys: list[tuple], sets: list[np.ndarray], labels: list[tuple], sides: list[int] | None) -> list[tuple]:
+def forest(keys: list[tuple], sets: list[np.ndarray], labels: list[tuple], sides: list[int] | None, first: int = 0) -> list[tuple]:
     """Links (key, key) that join the components among these sets; with ``sides`` only sets of side 0 are asked
-    against sets of side 1."""
+    against sets of side 1.  Pairs that share a shingle before ``first`` are left to that shingle's sets."""
     names = {}
     group = np.array([names.setdefault(x, len(names)) for x in labels])
     root = list(range(len(names)))
@@ -292,7 +344,7 @@ def forest(keys: list[tuple], sets: list[np.ndarray], labels: list[tuple], sides
         return []
     trie, out = Trie([sets[i] for i in told], group[told]), []
     for i in asked:
-        for j in told[trie.links(sets[i], group[i])].tolist():
+        for j in told[trie.links(sets[i], group[i], first)].tolist():
             if (x := find(group[i])) != (y := find(group[j])):
                 root[max(x, y)] = min(x, y)
                 out.append((keys[i], keys[j]))
@@ -353,18 +405,18 @@ def trie_links(nodes: DataFrame, entries: DataFrame, labels: DataFrame) -> DataF
     useful = (spread.groupBy("key").agg(F.min("la").alias("x"), F.max("la").alias("y"), F.min("lb").alias("z"), F.max("lb").alias("w"))
               .filter((F.col("x") != F.col("y")) | (F.col("z") != F.col("w"))).select("key"))
     rows = spread.join(useful, "key").join(nodes.select("a", "b", "set"), ["a", "b"]).select(
-        "key", F.col("task.cross").alias("cross"), F.col("task.side").alias("side"), "a", "b", "la", "lb", "set")
+        "key", "token", F.col("task.cross").alias("cross"), F.col("task.side").alias("side"), "a", "b", "la", "lb", "set")
     rows = rows.repartition("key").sortWithinPartitions("key", "side", "a", "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def members() -> Iterator[tuple]:
             for batch in batches:
                 for i in range(batch.num_rows):
-                    yield (*(c[i].as_py() for c in batch.columns[:7]), batch.column(7)[i].values.to_numpy().view(np.uint64))
+                    yield (*(c[i].as_py() for c in batch.columns[:8]), batch.column(8)[i].values.to_numpy().view(np.uint64))
 
         for _, own in itertools.groupby(members(), key=lambda r: r[0]):
-            _, cross, side, a, b, la, lb, sets = zip(*own)
-            found = forest(list(zip(a, b)), list(sets), list(zip(la, lb)), list(side) if cross[0] else None)
+            _, token, cross, side, a, b, la, lb, sets = zip(*own)
+            found = forest(list(zip(a, b)), list(sets), list(zip(la, lb)), list(side) if cross[0] else None, token[0])
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([x[i][j] for x in found], pa.int64()) for i in (0, 1) for j in (0, 1)], names=["a", "b", "c", "d"])
 
@@ -399,16 +451,14 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of every row."""
     spark = docs.sparkSession
-    first = written(document_nodes(docs, id_col, text_col), "nodes")
-    known = first.filter(F.col("n").isNotNull()).select("id", "n", "a", "b")
-    top = (first.filter(F.col("token").isNotNull()).groupBy("token").agg(F.sum("count").alias("count"))
-           .orderBy(F.desc("count"), "token").limit(FREQUENT).collect())  # bounded by FREQUENT
-    frequent = np.array([r.token for r in reversed(top)], np.int64).view(np.uint64)
-    shared = (prefixes(docs, text_col, frequent).groupBy("token")
+    tables = level_tables(written(shared_numbers(packed_numbers(docs, text_col)), "shared-numbers"))
+    shared = (prefixes(docs, text_col, tables).groupBy("token")
               .agg(F.min("a").alias("x"), F.max("a").alias("y"), F.min("b").alias("z"), F.max("b").alias("w"))
               .filter((F.col("x") != F.col("y")) | (F.col("z") != F.col("w"))).select("token"))
     shared = written(shared, "shared-shingles")
-    nodes = written(candidate_sets(docs, text_col, frequent, mark_table(shared)), "candidate-sets")
+    every = written(document_sets(docs, id_col, text_col, tables, mark_table(shared)), "document-sets")
+    known = every.select("id", "n", "a", "b")
+    nodes = written(every.filter(F.col("hits").isNotNull()).select("a", "b", "n", "hits", "set").dropDuplicates(["a", "b"]), "candidate-sets")
     entries = written(nodes.select("a", "b", "n", F.explode("hits").alias("token")).join(shared, "token"), "entries")
     stars = written(star_links(nodes, entries), "star-links")
     links = stars.unionByName(trie_links(nodes, entries, labelled(nodes, stars)))

@@ -202,3 +202,31 @@ def segment_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
             out[full] = np.add.reduceat(values, offsets[full], axis=0)
     return out
+
+
+def _places(hashes: np.ndarray, size: int):
+    """Four bits of a table of ``size`` bits (a power of two) for each hash."""
+    down, mask = np.uint64(65 - size.bit_length()), np.uint64(size - 1)
+    for _ in range(2):
+        hashes = mix(hashes + np.uint64(1))
+        yield hashes >> down
+        yield hashes & mask
+
+
+def mark(packed: np.ndarray, hashes: np.ndarray) -> None:
+    """Mark hashes in a Bloom filter (packed bits)."""
+    for at in _places(hashes, len(packed) * 8):
+        np.bitwise_or.at(packed, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+
+
+def marked(packed: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes may be marked: all that are, and about one in five thousand others at 32 bits for each."""
+    out = np.zeros(len(hashes), bool)
+    left = np.arange(len(hashes))
+    first, *rest = _places(hashes, len(packed) * 8)
+    left = left[(packed[first >> np.uint64(3)] >> (first & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+    for at in rest:
+        at = at[left]
+        left = left[(packed[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+    out[left] = True
+    return out
