@@ -12,10 +12,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 WORD_CLASS = r"[\p{L}\p{N}_]"
 SPACE_CHARS = r"\t-\r \x1c-\x1f\x{85}\p{Z}"
@@ -101,28 +99,47 @@ def _prefilter(text: Column, terms: Sequence[str]) -> Column | None:
     return text.rlike(f"[{cls}]")
 
 
-def _lexicon_sum(text, terms: Sequence[str], per_term, case_insensitive: bool, lowered=None) -> Column:
-    """Sum of ``per_term(target, term)`` over distinct terms.
+def overlaps_itself(term: str) -> bool:
+    """Whether two occurrences of ``term`` can overlap (a proper prefix is also a suffix)."""
+    return any(term[:i] == term[-i:] for i in range(1, len(term)))
+
+
+def _trie_pattern(terms: Sequence[str]) -> str:
+    """A regular expression in the shape of the terms' prefix tree; it matches the longest term at a place."""
+    ends, below = "" in terms, {}
+    for t in sorted(t for t in set(terms) if t):
+        below.setdefault(t[0], []).append(t[1:])
+    options = [f"\\x{{{ord(c):X}}}{_trie_pattern(rest)}" for c, rest in below.items()]
+    if not options:
+        return ""
+    return f"(?:{'|'.join(options)})" + ("?" if ends else "")
+
+
+def term_hits(text, terms: Sequence[str]) -> Column:
+    """One pass over the text: at every place where a term starts, the longest such term."""
+    return F.regexp_extract_all(_col(text), F.lit(f"(?=({_trie_pattern(terms)}))"), F.lit(1))
+
+
+def shorter_terms(terms: Sequence[str]) -> dict[str, list[str]]:
+    """For the terms that start with other terms: those others, which occur wherever the term does."""
+    known = set(terms)
+    found = {t: [t[:i] for i in range(1, len(t)) if t[:i] in known] for t in known}
+    return {t: own for t, own in sorted(found.items()) if own}
+
+
+def _searched(text, terms: Sequence[str], case_insensitive: bool, lowered) -> tuple[Column, Column | None]:
+    """The text to search, and a cheap test without which no term occurs.
 
     With ``case_insensitive`` the terms are searched in the lower-cased text
-    (terms are used as given, so a term with capitals never matches) - but
-    only terms that contain letters need it; caseless terms (``#``, ``$$$``,
-    emoji) are searched in the raw text, which gives the same counts.  The pre-test runs on the raw text when every
-    first character is caseless, so texts that cannot match never pay for
-    ``lower``.  ``lowered``: an already lower-cased column of the same text
-    (computed once in an earlier projection, so many terms do not lower the
-    text again inside the conditional branch).
+    (terms are used as given, so a term with capitals never matches).  The test
+    runs on the raw text when every first character is caseless, so texts that
+    cannot match never pay for ``lower``.  ``lowered``: an already lower-cased
+    column of the same text.
     """
     raw = _col(text)
-    terms = [x for x in dict.fromkeys(terms) if x]
-    if not terms:
-        return F.lit(0)
     low = (_col(lowered) if lowered is not None else F.lower(raw)) if case_insensitive else raw
-    parts = [per_term(raw if (not case_insensitive or _caseless(x)) else low, x) for x in terms]
-    total = sum(parts[1:], parts[0])
     raw_ok = not case_insensitive or all(_caseless(x[0]) for x in terms)
-    pre = _prefilter(raw if raw_ok else low, terms)
-    return total if pre is None else F.when(pre, total).otherwise(F.lit(0))
+    return low, _prefilter(raw if raw_ok else low, terms)
 
 
 def count_occurrences(text, term: str) -> Column:
@@ -135,14 +152,37 @@ def count_occurrences(text, term: str) -> Column:
 
 def occurrence_total(text, terms: Sequence[str], case_insensitive: bool = False, lowered=None) -> Column:
     """total occurrences of every (distinct) term - an emoji sequence is
-    matched as a whole, not per character."""
-    return _lexicon_sum(text, terms, count_occurrences, case_insensitive, lowered)
+    matched as a whole, not per character.  One pass finds the places of all
+    terms; those that can overlap themselves are counted apart, left to right."""
+    terms = [x for x in dict.fromkeys(terms) if x]
+    if not terms:
+        return F.lit(0)
+    low, pre = _searched(text, terms, case_insensitive, lowered)
+    plain, again = [t for t in terms if not overlaps_itself(t)], [t for t in terms if overlaps_itself(t)]
+    parts = [count_occurrences(low, t) for t in again]
+    if plain:
+        hits, inner = term_hits(low, plain), shorter_terms(plain)
+        if inner:
+            extra = F.create_map(*[x for t, own in inner.items() for x in (F.lit(t), F.lit(len(own)))])
+            parts.append(F.aggregate(hits, F.lit(0), lambda n, h: n + 1 + F.coalesce(F.try_element_at(extra, h), F.lit(0))))
+        else:
+            parts.append(F.size(hits))
+    total = sum(parts[1:], parts[0])
+    return total if pre is None else F.when(pre, total).otherwise(F.lit(0))
 
 
 def count_present(text, terms: Sequence[str], case_insensitive: bool = False, lowered=None) -> Column:
-    """Number of distinct lexicon terms that occur as substrings."""
-    return _lexicon_sum(text, terms, lambda t, x: F.when(F.instr(t, x) > 0, 1).otherwise(0), case_insensitive,
-                        lowered)
+    """Number of distinct lexicon terms that occur as substrings (one pass)."""
+    terms = [x for x in dict.fromkeys(terms) if x]
+    if not terms:
+        return F.lit(0)
+    low, pre = _searched(text, terms, case_insensitive, lowered)
+    found, inner = F.array_distinct(term_hits(low, terms)), shorter_terms(terms)
+    if inner:
+        names = F.create_map(*[x for t, own in inner.items() for x in (F.lit(t), F.array(*map(F.lit, [t, *own])))])
+        found = F.array_distinct(F.flatten(F.transform(found, lambda h: F.coalesce(F.try_element_at(names, h), F.array(h)))))
+    total = F.size(found)
+    return total if pre is None else F.when(pre, total).otherwise(F.lit(0))
 
 
 def profile_url(username, prefix: str = "https://instagram.com/") -> Column:
@@ -153,29 +193,3 @@ def profile_url(username, prefix: str = "https://instagram.com/") -> Column:
 def format_score(score, digits: int = 2) -> Column:
     """Score rounded for display (half-up, like ``toFixed``)."""
     return F.round(_col(score), digits)
-
-
-def term_counts_vectorized(raw, lowered, terms: Sequence[str], lowered_terms: Sequence[bool]) -> Column:
-    """F7 for a long term list as one Arrow-batched pandas UDF: ``array<int>``
-    of non-overlapping occurrence counts, aligned with ``terms``.
-
-    Spark's byte-wise substring search compares at every position (tens of
-    MB/s per term), which makes hundreds of terms over long texts the hot
-    spot; Python's ``str.count`` runs the same leftmost non-overlapping count
-    with a fast C search.  Term ``i`` is counted in ``lowered`` when
-    ``lowered_terms[i]``, otherwise in ``raw``.  Spark still partitions the
-    texts and aggregates the counts.
-    """
-    plan = list(zip(terms, lowered_terms, strict=True))
-
-    @pandas_udf("array<int>")
-    def _counts(r: pd.Series, lo: pd.Series) -> pd.Series:
-        out = []
-        for a, b in zip(r, lo):
-            if a is None or b is None:
-                out.append(None)
-            else:
-                out.append([(b if use_low else a).count(t) for t, use_low in plan])
-        return pd.Series(out, dtype=object)
-
-    return _counts(_col(raw), _col(lowered))

@@ -94,13 +94,10 @@ def exclude_titles(df: DataFrame, title_col: str = "title",
     return df.where(~F.col(title_col).isin(list(dict.fromkeys(exclusions))) | F.col(title_col).isNull())
 
 
-def rules_from_table(rules: DataFrame, max_rules: int = 10_000) -> list[tuple[int, str, str]]:
+def rules_from_table(rules: DataFrame) -> list[tuple[int, str, str]]:
     """J6 with the rules kept as a table ``(priority, category, keyword)``.
 
-    A rule table is configuration, not data: its size is checked (at most
-    ``max_rules`` rows are read) and it is compiled into the CASE expression of
-    :func:`classify_title`, which avoids a nested-loop ``contains`` join."""
-    rows = rules.select("priority", "category", "keyword").limit(max_rules + 1).collect()
-    if len(rows) > max_rules:
-        raise ValueError(f"more than {max_rules} title rules")
-    return [(int(r["priority"]), r["category"], r["keyword"]) for r in rows]
+    A rule table is configuration, not data: it is compiled into the CASE
+    expression of :func:`classify_title`, which avoids a nested-loop
+    ``contains`` join."""
+    return [(int(r["priority"]), r["category"], r["keyword"]) for r in rules.select("priority", "category", "keyword").collect()]

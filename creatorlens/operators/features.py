@@ -43,9 +43,10 @@ def match_to_influencers(per_key: DataFrame, influencers: DataFrame, *, key: str
     if match == "exact":
         stats = per_key.withColumnRenamed(key, "username") if key != "username" else per_key
     elif match == "prefix":
+        # the prefixes are summed per task before they travel, so a one-letter prefix is one row per task
         stats = (prefix_keys(per_key.withColumnRenamed(key, "_file_key"), "_file_key", "username")
-                 .join(influencers.select("username").distinct(), "username", "left_semi")
-                 .groupBy("username").agg(*[F.sum(c).alias(c) for c in sums]))
+                 .groupBy("username").agg(*[F.sum(c).alias(c) for c in sums])
+                 .join(influencers.select("username").distinct(), "username", "left_semi"))
     else:
         raise ValueError(f"match must be 'exact' or 'prefix', got {match!r}")
     return influencers.join(stats, "username", how)
@@ -91,18 +92,17 @@ def post_texts(posts: DataFrame, *, key: str = "username", value: str = "value",
     into per-user arrays: a user with a third of all posts would otherwise
     become one giant row in one task.
     """
-    base = posts.select(F.col(key).alias("username"),
-                        (F.col(id_col) if id_col else F.monotonically_increasing_id()).alias("post_id"),
+    # one scan; each JSON is read into its parts once, and these become one list per post.  Without an
+    # id column a post is named by its user and line, so ids do not depend on files or retries
+    own = F.col(id_col).cast("string") if id_col else F.sha2(F.concat_ws("\n", F.col(key).cast("string"), F.col(value)), 256)
+    base = posts.select(F.col(key).alias("username"), own.alias("post_id"),
                         json_string(value, "$.caption").alias("caption"),
                         json_string_array(value, "$.comments").alias("comments"))
-    captions = base.where(F.col("caption").isNotNull()).select(
-        "username", F.concat_ws(":", F.col("post_id").cast("string"), F.lit("c")).alias("text_id"),
-        F.lit("caption").alias("kind"), F.col("caption").alias("text"))
-    comments = base.select("username", "post_id", F.posexplode("comments").alias("i", "text")).where(
-        F.col("text").isNotNull()).select(
-        "username", F.concat_ws(":", F.col("post_id").cast("string"), F.col("i").cast("string")).alias("text_id"),
-        F.lit("comment").alias("kind"), "text")
-    return captions.unionByName(comments)
+    caption = F.array(F.struct(F.lit("c").alias("part"), F.lit("caption").alias("kind"), F.col("caption").alias("text")))
+    comments = F.transform(F.coalesce("comments", F.array().cast("array<string>")), lambda t, i: F.struct(
+        i.cast("string").alias("part"), F.lit("comment").alias("kind"), t.alias("text")))
+    return (base.select("username", "post_id", F.explode(F.concat(caption, comments)).alias("t")).where(F.col("t.text").isNotNull())
+            .select("username", F.concat_ws(":", "post_id", "t.part").alias("text_id"), "t.kind", "t.text"))
 
 
 def text_counts(texts: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Lexicon operators over texts (U1, T5, A10, P19, J4, J5 as table operators).
 
 Lexicons here are bounded literal lists (hundreds of terms), so they are
-compiled into the projection - one hash-set probe per token for J4, one
-substring scan per term for J5/A10 - instead of being joined row by row.
+compiled into the projection - one hash-set probe per token for J4, one pass
+with a prefix-tree pattern for J5/A10 - instead of being joined row by row.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creatorlens import lexicons as L
-from creatorlens.functions.text import _caseless, _prefilter, count_occurrences, term_counts_vectorized
+from creatorlens.functions.text import _prefilter, count_occurrences, overlaps_itself, shorter_terms, term_hits
 from creatorlens.session import literal_frame
 
 
@@ -34,51 +34,41 @@ def lexicon_frame(spark: SparkSession, entries: Sequence[tuple[str, str]]) -> Da
     return literal_frame(spark, list(entries), "kind string, term string")
 
 
-def term_frequency(texts: DataFrame, terms: Sequence[str], text_col: str = "text",
-                   lower: bool = True, vectorized_above: int | None = 32) -> DataFrame:
+def term_frequency(texts: DataFrame, terms: Sequence[str], text_col: str = "text", lower: bool = True) -> DataFrame:
     """Corpus frequency of each term - non-overlapping substring
     occurrences per text (case-folded), summed over texts; zero counts dropped.
 
-    Per text the counts form one array (one scan per term); only non-zero
-    entries are exploded, and the partial aggregate reduces them to at most
-    ``len(terms)`` rows per partition before the shuffle.  Lexicons longer
-    than ``vectorized_above`` terms are counted by one Arrow-batched pandas
-    UDF (``functions.text.term_counts_vectorized``), whose C substring search
-    is far faster than per-term JVM scans; ``None`` keeps the JVM path.
+    One pass over a text yields the longest term at each place where one starts;
+    the hits are reduced to one row per term and partition before the shuffle,
+    and a hit then also counts for the terms it starts with.  The few terms that
+    can overlap themselves are counted apart, left to right.
     """
+    spark = texts.sparkSession
     terms = [t for t in dict.fromkeys(terms) if t]
-    staged = texts.select(F.col(text_col).alias("_raw"), (F.lower(text_col) if lower else F.col(text_col)).alias("_low"))
-    raw, low = F.col("_raw"), F.col("_low")
-
-    def counts(group):
-        return F.array(*[F.struct(F.lit(term).alias("term"),
-                                  count_occurrences(raw if _caseless(term) else low, term).alias("n"))
-                         for term in group])
-
-    # terms that start with a letter are scanned on every text; the others
-    # (hashtags, emoji, markers) only when one of their first characters occurs
-    worded = [t for t in terms if t[0].isalpha()]
-    gated = [t for t in terms if not t[0].isalpha()]
-    parts = [counts(worded)] if worded else []
-    if gated:
-        pre = _prefilter(raw if all(_caseless(t[0]) for t in gated) else low, gated)
-        empty = F.array().cast("array<struct<term:string,n:int>>")
-        parts.append(F.when(pre, counts(gated)).otherwise(empty) if pre is not None else counts(gated))
-    pairs = parts[0] if len(parts) == 1 else F.concat(*parts)
-    if vectorized_above is not None and len(terms) > vectorized_above:
-        counts_arr = term_counts_vectorized(raw, low, terms, [lower and not _caseless(t) for t in terms])
-        pairs = F.arrays_zip(F.array(*[F.lit(t) for t in terms]).alias("term"), counts_arr.alias("n"))
-        pairs = F.transform(pairs, lambda p: F.struct(p["term"].alias("term"), p["n"].alias("n")))
-    hits = staged.select(F.explode(F.filter(pairs, lambda p: p["n"] > 0)).alias("p"))
-    return (hits.groupBy(F.col("p.term").alias("term"))
-            .agg(F.sum(F.col("p.n").cast("bigint")).alias("n")))
-
-
-def terms_from_table(lexicon: DataFrame, kinds: Sequence[str] | None = None, max_terms: int = 100_000) -> list[str]:
-    """U1 for a lexicon stored as a table ``(kind, term)``: size-checked and
-    returned as the bounded literal list the text operators compile in."""
+    schema = "term string, n bigint"
+    if not terms:
+        return spark.createDataFrame([], schema)
+    plain, again = [t for t in terms if not overlaps_itself(t)], [t for t in terms if overlaps_itself(t)]
+    low = texts.select((F.lower(text_col) if lower else F.col(text_col)).alias("_low"))
+    counted = []
+    if plain:
+        longest = low.select(F.explode(term_hits("_low", plain)).alias("hit")).groupBy("hit").agg(F.count(F.lit(1)).alias("n"))
+        inner = shorter_terms(plain)
+        own = literal_frame(spark, [(t, x) for t in plain for x in [t, *inner.get(t, [])]], "hit string, term string")
+        counted.append(longest.join(own, "hit").select("term", "n"))
+    if again:
+        pairs = F.array(*[F.struct(F.lit(t).alias("term"), count_occurrences("_low", t).cast("bigint").alias("n")) for t in again])
+        pre = _prefilter(F.col("_low"), again)
+        rows = low.where(pre) if pre is not None else low
+        counted.append(rows.select(F.inline(pairs)).where(F.col("n") > 0))
+    both = counted[0] if len(counted) == 1 else counted[0].unionByName(counted[1])
+    return both.groupBy("term").agg(F.sum("n").alias("n"))
+
+
+def terms_from_table(lexicon: DataFrame, kinds: Sequence[str] | None = None) -> list[str]:
+    """U1 for a lexicon stored as a table ``(kind, term)``: the distinct terms as
+    the list that the text operators compile in.  A lexicon is configuration: it
+    must fit into an expression."""
     df = lexicon if kinds is None else lexicon.where(F.col("kind").isin(list(kinds)))
-    rows = df.select("term").limit(max_terms + 1).collect()
-    if len(rows) > max_terms:
-        raise ValueError(f"more than {max_terms} lexicon terms")
-    return list(dict.fromkeys(r["term"] for r in rows if r["term"]))
+    rows = df.select("term").where(F.length("term") > 0).distinct().collect()
+    return sorted(r["term"] for r in rows)

@@ -4,13 +4,12 @@ Polarity of a text = mean polarity of its lexicon words, a word directly after a
 negator contributing ``negation_factor`` times its polarity; no lexicon word ->
 0.0.  The lexicon is an input table ``(word, polarity)``.
 
-Plan: a small lexicon (up to ``inline_max`` words, checked) becomes a literal
-map and every text is scored in place - no explode, no shuffle.  A larger one
-takes the join plan: tokens are exploded next to their predecessor,
-hash-joined with the broadcast lexicon (size checked) and re-aggregated per
-text.  All tokens of a text live in one input partition, so the partial
-aggregate collapses them before the shuffle: the exchange carries one small
-row per text, never the text.
+Plan: a text's polarity depends on its tokens alone.  Tokens are exploded next
+to their predecessor, joined with the lexicon and averaged per token list (named
+by its hash), and the texts join these averages.  All tokens of a text live in
+one input partition, so the partial aggregate collapses them before the
+shuffle: the exchanges carry one small row per text, never the text.  Which
+side of the lexicon join travels is left to Spark's own size statistics.
 """
 
 from __future__ import annotations
@@ -21,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creatorlens.functions.text import clean_text, tokens
-from creatorlens.session import checked_broadcast, literal_frame, materialize
+from creatorlens.session import literal_frame, materialize
 
 DEFAULT_NEGATORS = ("not",)
 
@@ -31,53 +30,30 @@ def lexicon_frame(spark, entries: dict[str, float] | Sequence[tuple[str, float]]
     return literal_frame(spark, rows, "word string, polarity double")
 
 
-def _dedup_lexicon(lexicon: DataFrame, max_broadcast_rows: int) -> DataFrame:
-    lex = (lexicon.select(F.lower(F.col("word")).alias("_lex_word"), F.col("polarity").cast("double").alias("_lex_pol"))
-           .groupBy("_lex_word").agg(F.avg("_lex_pol").alias("_lex_pol")))
-    return checked_broadcast(lex, max_broadcast_rows)
+def _dedup_lexicon(lexicon: DataFrame) -> DataFrame:
+    """One polarity per lower-cased word; entries without word or polarity are left out."""
+    return (lexicon.select(F.lower(F.col("word")).alias("_w"), F.col("polarity").cast("double").alias("_pol"))
+            .where(F.col("_w").isNotNull() & F.col("_pol").isNotNull()).groupBy("_w").agg(F.avg("_pol").alias("_pol")))
 
 
 def score_texts(texts: DataFrame, lexicon: DataFrame, *, id_col: str, text_col: str = "text",
                 carry: Sequence[str] = (), extra: dict | None = None,
-                negators: Sequence[str] = DEFAULT_NEGATORS, negation_factor: float = -0.5,
-                max_broadcast_rows: int = 5_000_000, inline_max: int = 64) -> DataFrame:
-    """One row per text: ``id_col``, ``carry`` columns, ``extra`` in-row
-    expressions (computed on the raw text before tokens are exploded) and
-    ``polarity``.
-
-    A lexicon of at most ``inline_max`` words is compiled into a literal map
-    and every text is scored in place (no explode, no shuffle).  Larger
-    lexicons take the join plan: explode, broadcast hash join, re-aggregate.
-    """
+                negators: Sequence[str] = DEFAULT_NEGATORS, negation_factor: float = -0.5) -> DataFrame:
+    """One row per input row: ``id_col``, ``carry`` columns, ``extra`` in-row
+    expressions (computed on the raw text) and ``polarity``."""
     extra = dict(extra or {})
     keep = [id_col, *carry]
-    prepared = texts.select(*keep, *[e.alias(n) for n, e in extra.items()],
-                            tokens(clean_text(F.col(text_col))).alias("_toks"))
+    toks = texts.select(*keep, *[e.alias(n) for n, e in extra.items()], tokens(clean_text(F.col(text_col))).alias("_toks"))
+    staged = toks.withColumn("_list", F.sha2(F.concat_ws(" ", "_toks"), 256))
     pairs = F.zip_with(F.col("_toks"), F.concat(F.array(F.lit(None).cast("string")), F.col("_toks")),
                        lambda w, p: F.struct(w.alias("w"), p.alias("prev")))
     negs = sorted({n.lower() for n in negators})
-
-    def factor(prev):
-        return (F.when(prev.isin(negs), F.lit(float(negation_factor))).otherwise(F.lit(1.0))
-                if negs else F.lit(1.0))
-
-    lex = _dedup_lexicon(lexicon, max_broadcast_rows)
-    small = lex.limit(inline_max + 1).collect() if inline_max else []
-    if inline_max and len(small) <= inline_max:
-        if not small:
-            return prepared.select(*keep, *extra.keys(), F.lit(0.0).alias("polarity"))
-        m = F.create_map(*[x for r in small for x in (F.lit(r["_lex_word"]), F.lit(float(r["_lex_pol"])))])
-        vals = F.filter(F.transform(pairs, lambda t: F.try_element_at(m, t["w"]) * factor(t["prev"])),
-                        lambda v: v.isNotNull())
-        staged = prepared.select(*keep, *extra.keys(), vals.alias("_vals"))
-        total = F.aggregate(F.col("_vals"), F.lit(0.0), lambda a, v: a + v)
-        pol = F.when(F.size("_vals") > 0, total / F.size("_vals")).otherwise(F.lit(0.0))
-        return staged.select(*keep, *extra.keys(), pol.alias("polarity"))
-    exploded = prepared.select(*keep, *extra.keys(), F.explode_outer(pairs).alias("_t")).select(
-        *keep, *extra.keys(), F.col("_t.w").alias("_w"), F.col("_t.prev").alias("_prev"))
-    joined = exploded.join(lex, exploded["_w"] == lex["_lex_word"], "left")
-    return (joined.groupBy(*keep, *extra.keys())
-            .agg(F.coalesce(F.avg(F.col("_lex_pol") * factor(F.col("_prev"))), F.lit(0.0)).alias("polarity")))
+    factor = (F.when(F.col("_t.prev").isin(negs), F.lit(float(negation_factor))).otherwise(F.lit(1.0)) if negs else F.lit(1.0))
+    words = staged.select("_list", F.explode(pairs).alias("_t")).select("_list", F.col("_t.w").alias("_w"), factor.alias("_f"))
+    # a list that several texts share is counted for each of them, which leaves its mean as it is
+    means = words.join(_dedup_lexicon(lexicon), "_w").groupBy("_list").agg(F.avg(F.col("_pol") * F.col("_f")).alias("polarity"))
+    return (staged.drop("_toks").join(means, "_list", "left")
+            .select(*keep, *extra.keys(), F.coalesce("polarity", F.lit(0.0)).alias("polarity")))
 
 
 def is_positive(polarity="polarity"):

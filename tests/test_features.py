@@ -88,14 +88,23 @@ def test_post_texts_caption_and_comments(spark):
     assert counts == {"u1": (1, 2, 3), "u2": (0, 1, 1)}
 
 
-def test_inline_and_join_sentiment_paths_agree(spark):
-    texts = spark.createDataFrame([
-        ("t1", "good good not bad"), ("t2", "not good"), ("t3", ""), ("t4", None), ("t5", "BAD news, good!")],
-        "text_id string, text string")
-    lex = lexicon_frame(spark, {"good": 0.7, "bad": -0.7, "Good": 0.5})
-    inline = {r["text_id"]: r["polarity"] for r in score_texts(texts, lex, id_col="text_id").collect()}
-    joined = {r["text_id"]: r["polarity"] for r in score_texts(texts, lex, id_col="text_id", inline_max=0).collect()}
-    assert inline.keys() == joined.keys()
-    for k in inline:
-        assert inline[k] == pytest.approx(joined[k])
-    assert inline["t2"] == pytest.approx(-0.5 * 0.6)      # duplicate lexicon words are averaged
+def _brute_polarity(text, lex, negators=("not",)):
+    words = tokens_of(text)
+    hit = [lex[w] * (-0.5 if i and words[i - 1] in negators else 1.0) for i, w in enumerate(words) if w in lex]
+    return sum(hit) / len(hit) if hit else 0.0
+
+
+def tokens_of(text):
+    return [w.strip("!,.").lower() for w in (text or "").split() if w.strip("!,.")]
+
+
+@pytest.mark.parametrize("filler", [0, 62, 63, 500])
+def test_sentiment_is_the_same_for_lexicons_of_any_size(spark, filler):
+    """Texts that share an id or their words keep a row each; entries without word or polarity count for nothing."""
+    rows = [("t1", "good good not bad"), ("t2", "not good"), ("t3", ""), ("t4", None), ("t5", "BAD news, good!"), ("t1", "bad"), ("t1", "bad"), (None, "good")]
+    texts = spark.createDataFrame(rows, "text_id string, text string")
+    own = {"good": 0.7, "bad": -0.7, **{f"w{i}": 1.0 for i in range(filler)}}
+    entries = [*own.items(), ("Good", 0.5), (None, 1.0), ("news", None)]
+    got = sorted([(r["text_id"] or "", round(r["polarity"], 9)) for r in score_texts(texts, lexicon_frame(spark, entries), id_col="text_id").collect()])
+    lex = {**own, "good": 0.6}                             # duplicate lexicon words are averaged
+    assert got == sorted([(i or "", round(_brute_polarity(t, lex), 9)) for i, t in rows])

@@ -82,11 +82,17 @@ def test_silhouette_mean_matches_mllib(spark):
     assert sil.where("id = 90").first()["silhouette"] == 0.0      # singleton
 
 
-def test_term_frequency_vectorized_path_matches_jvm_path(spark):
-    texts = ["Lit LIT lit 🔥🔥 #art #artist", "aaaa", "none here", None]
-    terms = ["lit", "aa", "#art", "🔥", "zz", "A"]
+def test_term_frequency_counts_like_str_count(spark):
+    texts = ["Lit LIT lit 🔥🔥 #art #artist 🔥🔥🔥", "aaaa abab ababab", "none here", None, "", "listlit (x) [y] a.b a+b"]
+    terms = ["lit", "aa", "#art", "#artist", "🔥", "🔥🔥", "zz", "A", "abab", "ab", "a", "(x)", "[y]", "a.b", "a+", "li", ""]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
-    jvm = {r["term"]: r["n"] for r in lex.term_frequency(df, terms, vectorized_above=None).collect()}
-    vec_ = {r["term"]: r["n"] for r in lex.term_frequency(df, terms, vectorized_above=0).collect()}
-    exp = {t: sum(x.lower().count(t) for x in texts if x) for t in terms}
-    assert jvm == vec_ == {k: v for k, v in exp.items() if v > 0}
+    got = {r["term"]: r["n"] for r in lex.term_frequency(df, terms).collect()}
+    want = {t: sum(x.lower().count(t) for x in texts if x) for t in terms if t}
+    assert got == {k: v for k, v in want.items() if v > 0}
+    from creatorlens.functions import text as tx
+    row = df.select("text", tx.occurrence_total("text", terms, True).alias("n"), tx.count_present("text", terms, True).alias("p")).collect()
+    for r in row:
+        low = (r["text"] or "").lower()
+        if r["text"] is not None:
+            assert r["n"] == sum(low.count(t) for t in terms if t) and r["p"] == sum(t in low for t in terms if t)
+    assert lex.term_frequency(df, []).collect() == []
