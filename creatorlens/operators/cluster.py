@@ -6,10 +6,9 @@ cluster C with n_C points, vector sum S_C and sum of squared norms Q_C,
     mean_{y in C} ||x - y||^2 = (n_C ||x||^2 - 2 x.S_C + Q_C) / n_C
 
 (own cluster: divide by n_C - 1, the point itself adds 0).  The per-cluster
-statistics are one aggregate (vector sums by posexplode + partial aggregation,
-so a huge cluster is just more partial rows); the k statistics rows travel as
-one scalar-subquery value, and every point is scored in place - no pair of
-points is ever formed.
+statistics are one aggregate with MLlib's vector summariser (a huge cluster is
+just more partial rows); the k statistics rows travel as one scalar-subquery
+value, and every point is scored in place - no pair of points is ever formed.
 """
 
 from __future__ import annotations
@@ -17,6 +16,7 @@ from __future__ import annotations
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,25 +30,23 @@ def _dot(a: Column, b: Column) -> Column:
 
 
 def cluster_stats(points: DataFrame, cluster: str = "cluster", features: str = "features") -> DataFrame:
-    """Per cluster: ``n``, ``s`` (vector sum, array<double>), ``q`` (sum of squared norms)."""
+    """Per cluster: ``n``, ``s`` (vector sum, array<double>), ``q`` (sum of squared norms),
+    by one aggregate with MLlib's vector summariser."""
     x = F.col(features).cast("array<double>")
-    base = points.select(F.col(cluster).alias("cluster"), x.alias("_x"))
-    sums = (base.select("cluster", F.posexplode("_x").alias("i", "v")).groupBy("cluster", "i")
-            .agg(F.sum("v").alias("v")))
-    vec = sums.groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("_iv"))
-    scal = base.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum(_dot(F.col("_x"), F.col("_x"))).alias("q"))
-    return scal.join(vec, "cluster").select("cluster", "n", F.transform("_iv", lambda e: e["v"]).alias("s"), "q")
+    base = points.select(F.col(cluster).alias("cluster"), array_to_vector(x).alias("_v"), _dot(x, x).alias("_xx"))
+    sums = base.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), Summarizer.sum(F.col("_v")).alias("_s"), F.sum("_xx").alias("q"))
+    return sums.select("cluster", "n", vector_to_array("_s").alias("s"), "q")
 
 
 def silhouette(points: DataFrame, id_col: str = "id", cluster: str = "cluster",
-               features: str = "features", max_clusters: int = 10_000) -> DataFrame:
+               features: str = "features") -> DataFrame:
     """Per-point silhouette (squared Euclidean); singleton cluster -> 0.
-    Output ``id_col, cluster, silhouette``."""
+    Output ``id_col, cluster, silhouette``.
+
+    Every point meets the statistics of all k clusters, one array that Spark
+    ships once per plan; k is the clustering's own parameter and has no limit here."""
     stats = cluster_stats(points, cluster, features)
-    allstats = stats.agg(F.collect_list(F.struct("cluster", "n", "s", "q")).alias("all"))
-    checked = allstats.select(F.when(F.size("all") <= max_clusters, F.col("all"))
-                              .otherwise(F.raise_error(F.lit("too many clusters for silhouette"))))
-    st = checked.scalar()
+    st = stats.agg(F.collect_list(F.struct("cluster", "n", "s", "q"))).scalar()
     x = F.col(features).cast("array<double>")
     staged = points.select(F.col(id_col), F.col(cluster).alias("cluster"), x.alias("_x"), st.alias("_st"))
     xx = _dot(F.col("_x"), F.col("_x"))
@@ -92,25 +90,30 @@ def sorted_within_cluster(sil: DataFrame, id_col: str = "id") -> DataFrame:
     return ranked.select(*sil.columns, F.col("cum__one").cast("int").alias("rank"))
 
 
+def pca_model(vectors: DataFrame, k: int = 2):
+    """M2: the fitted components over the vector column ``_vec``."""
+    return PCA(k=k, inputCol="_vec", outputCol="_pca").fit(vectors)
+
+
 def project(points: DataFrame, features: str = "features", k: int = 2, out: str = "projection") -> DataFrame:
     """M2: PCA to ``k`` dimensions (replaces the single-machine t-SNE)."""
     v = points.withColumn("_vec", array_to_vector(F.col(features).cast("array<double>")))
-    model = PCA(k=k, inputCol="_vec", outputCol="_pca").fit(v)
+    model = pca_model(v, k)
     return model.transform(v).withColumn(out, vector_to_array("_pca")).drop("_vec", "_pca")
 
 
 def kmeans(points: DataFrame, features: str = "features", k: int = L.KMEANS_K, seed: int = L.KMEANS_SEED,
            out: str = "cluster") -> DataFrame:
     """M1: k-means (k-means|| initialisation, fixed seed)."""
-    v = points.withColumn("_vec", array_to_vector(F.col(features).cast("array<double>")))
-    model = KMeans(k=k, seed=seed, featuresCol="_vec", predictionCol=out).fit(v)
-    return model.transform(v).drop("_vec")
+    return kmeans_with_centres(points, features, k, seed, out)[0]
 
 
-def silhouette_vectors(points: DataFrame, id_col: str = "id", cluster: str = "cluster",
-                       features: str = "features") -> DataFrame:
-    """A17 for an ML vector column (converted to arrays first)."""
-    return silhouette(points.withColumn("_arr", vector_to_array(F.col(features))), id_col, cluster, "_arr")
+def kmeans_with_centres(points: DataFrame, features: str = "features", k: int = L.KMEANS_K, seed: int = L.KMEANS_SEED,
+                        out: str = "cluster") -> tuple[DataFrame, list[list[float]]]:
+    """M1 with the k centres."""
+    v = points.withColumn("_vec", array_to_vector(F.col(features).cast("array<double>")))
+    model = KMeans(k=k, seed=seed, featuresCol="_vec", predictionCol=out).fit(v)
+    return model.transform(v).drop("_vec"), [c.tolist() for c in model.clusterCenters()]
 
 
 def cluster_titles(titles: DataFrame, *, text_col: str = "title", id_col: str = "id",

@@ -2,10 +2,10 @@
 
 A running sum over a global order is usually written as
 ``sum(x).over(Window.orderBy(k))``, which moves every row into ONE task.  Here
-rows are bucketed by approximate quantiles of the order key (a deterministic
-scalar subquery), each bucket computes its local running sum in parallel, the
-per-bucket totals (one row per bucket) become offsets, and the offsets are
-added back with a broadcast join of that bucket-count-sized table.
+the rows are dealt by ranges of (group, order key, tie-break), so every
+partition holds a stretch of the order; each stretch computes its local running
+sum, the totals of the stretches (one row per group and partition) become
+offsets, and these are joined back.
 """
 
 from __future__ import annotations
@@ -15,42 +15,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from creatorlens.session import materialize
+
 
 def running_sums(df: DataFrame, key: str, cols: Sequence[str], *, descending: bool = False,
                  partition_by: Sequence[str] = (), tiebreak: Sequence[str] = (),
-                 prefix: str = "cum_", num_buckets: int | None = None, accuracy: int = 10_000) -> DataFrame:
+                 prefix: str = "cum_") -> DataFrame:
     """Adds ``prefix + c`` = inclusive running sum of ``c`` ordered by ``key``
     (then ``tiebreak``), restarting for every ``partition_by`` group.
 
-    Buckets come from approximate quantiles of ``key`` over all rows, so a
-    group holding a third of the data is still spread over many buckets.
-    Equal keys always share a bucket; rows that tie on ``key`` and
-    ``tiebreak`` are summed in an arbitrary but consistent order.
+    The ranges are cut by Spark from a sample of the rows; a group or a key that
+    holds a third of the data is spread over many of them as far as the
+    tie-break tells its rows apart.  Rows that tie on ``key`` and ``tiebreak``
+    are summed in an arbitrary but consistent order.  The dealt rows are written
+    once, so the stretch of a row is the same in both uses.
     """
-    spark = df.sparkSession
-    n = max(1, num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
-    k = F.col(key)
-    if n > 1:
-        probs = [i / n for i in range(1, n)]
-        bounds = df.agg(F.percentile_approx(k, probs, accuracy)).scalar()
-        # the bounds become a column first: subqueries may not sit inside a
-        # higher-order function; the bucket is the number of bounds below key
-        staged = df.select("*", bounds.alias("_bounds"))
-        bucket = F.size(F.filter(F.col("_bounds"), lambda b: b < k))
-    else:
-        staged, bucket = df, F.lit(0)
-    if descending:
-        bucket = F.lit(n - 1) - bucket
     direction = F.desc if descending else F.asc
     order = [direction(key), *[direction(t) for t in tiebreak]]
     groups = list(partition_by)
-    b = staged.select(*df.columns, bucket.alias("_bucket"))
-    w_local = (Window.partitionBy(*groups, "_bucket").orderBy(*order)
+    b = materialize(df.repartitionByRange(*groups, *order).withColumn("_stretch", F.spark_partition_id()))
+    w_local = (Window.partitionBy(*groups, "_stretch").orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = b.select("*", *[F.sum(c).over(w_local).alias(f"_lc_{c}") for c in cols])
-    totals = b.groupBy(*groups, "_bucket").agg(*[F.sum(c).alias(f"_pt_{c}") for c in cols])
-    w_prev = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*groups, "_bucket", *[F.coalesce(F.sum(f"_pt_{c}").over(w_prev), F.lit(0))
-                                                  .alias(f"_off_{c}") for c in cols])
-    joined = local.join(F.broadcast(offsets) if not groups else offsets, [*groups, "_bucket"])
+    totals = b.groupBy(*groups, "_stretch").agg(*[F.sum(c).alias(f"_pt_{c}") for c in cols])
+    w_prev = Window.partitionBy(*groups).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*groups, "_stretch", *[F.coalesce(F.sum(f"_pt_{c}").over(w_prev), F.lit(0))
+                                                   .alias(f"_off_{c}") for c in cols])
+    joined = local.join(offsets, [*groups, "_stretch"])
     return joined.select(*df.columns, *[(F.col(f"_lc_{c}") + F.col(f"_off_{c}")).alias(prefix + c) for c in cols])

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from creatorlens import lexicons as L
 from creatorlens.functions.text import format_score, profile_url
 from creatorlens.functions.vector import cosine
-from creatorlens.session import checked_broadcast
 
 
 # ---------------------------------------------------------------- P9 / P10 / P11
@@ -79,11 +78,16 @@ def top_k_per(df: DataFrame, group: str, k: int = L.TOP_K, score: str = "similar
 
 
 # ---------------------------------------------------------------- scoring
+def largest(col: str = "engagement_rate") -> Column:
+    """A3: the maximum of the numbers; NULL and NaN rates are passed over."""
+    return F.max(F.when(~F.isnan(col), F.col(col)))
+
+
 def _with_max(rows: DataFrame, col: str = "engagement_rate") -> DataFrame:
     """The global maximum attached as column ``_m`` through ONE scalar
     subquery (partial/final aggregate), staged in its own projection so every
     later use reads the column instead of repeating the subquery."""
-    return rows.select("*", rows.agg(F.max(col)).scalar().alias("_m"))
+    return rows.select("*", rows.agg(largest(col)).scalar().alias("_m"))
 
 
 def _maybe_round(c: Column, digits: int | None) -> Column:
@@ -114,7 +118,7 @@ def rank_in_category(features: DataFrame, category: str = L.DEFAULT_CATEGORY, *,
     m = F.col("_m")
     t = F.lit(float(engagement_target))
     r = F.try_divide(F.col("engagement_rate"), m)
-    b = t / F.greatest(m, t)
+    b = F.try_divide(t, F.greatest(m, t))
     score = brand_similarity(r, F.col("alignment_genZ"), F.lit(True), b, F.lit(float(audience_target)))
     out = rows.select("username", _maybe_round(score, digits).alias("similarity_score"))
     return out if k is None else top_k(out, k)
@@ -131,10 +135,10 @@ def rank_all(features: DataFrame, brand_category: str, *,
     m = F.col("_m")
     t = F.lit(float(engagement_target))
     r = F.try_divide(F.col("engagement_rate"), m)
-    b = t / F.greatest(m, t)
+    b = F.try_divide(t, F.greatest(m, t))
     same = F.coalesce(F.col("category") == F.lit(brand_category.lower().strip()), F.lit(False))
     score = brand_similarity(r, F.col("alignment_genZ"), same, b, F.lit(float(audience_target)))
-    return rows.select("username", "category", _maybe_round(score, digits).alias("similarity_score"))
+    return sort_by_score(rows.select("username", "category", _maybe_round(score, digits).alias("similarity_score")))
 
 
 def rank_baseline(features: DataFrame, *, engagement_target: float = L.SCRIPT_ENGAGEMENT_TARGET,
@@ -145,7 +149,7 @@ def rank_baseline(features: DataFrame, *, engagement_target: float = L.SCRIPT_EN
     m = F.col("_m")
     t = F.lit(float(engagement_target))
     r = F.try_divide(F.col("engagement_rate"), m)
-    b = t / F.greatest(m, t)
+    b = F.try_divide(t, F.greatest(m, t))
     score = cosine([r, F.col("hashtag_score")], [b, F.lit(float(hashtag_target))])
     return rows.select("username", _maybe_round(score, digits).alias("similarity_score"))
 
@@ -165,26 +169,32 @@ def brand_search(features: DataFrame, category: str, engagement_pct: float, genz
 
 
 def rank_for_brands(features: DataFrame, brands: DataFrame, *, k: int = L.TOP_K,
-                    digits: int | None = None, max_brands: int = 100_000) -> DataFrame:
+                    digits: int | None = None) -> DataFrame:
     """R1 for many brands at once (J7 as an equi-join on category).
 
     ``brands``: ``brand_id, category, intended_engagement_rate,
-    target_audience_genZ``.  The per-category maximum is a grouped aggregate
-    (one row per category) joined on the category key.  Output ``brand_id, username,
-    similarity_score, rank``.  The brand table is broadcast only when it has
-    at most ``max_brands`` rows (checked); a larger one is joined by shuffle.
+    target_audience_genZ``.  Brands that want the same (category, rate,
+    audience) get the same ranking, so the distinct targets are scored and cut
+    to k rows each, and the brands join these.  The per-category maximum is a
+    grouped aggregate (one row per category).  Which side travels is left to
+    Spark's own size statistics.  Output ``brand_id, username,
+    similarity_score, rank``.
     """
     rows = normalize_category(features)
-    maxes = rows.groupBy("category").agg(F.max("engagement_rate").alias("_m"))
+    maxes = rows.groupBy("category").agg(largest().alias("_m"))
+    target = ["category", "_t", "_a"]
     b = brands.select("brand_id", F.lower(F.trim("category")).alias("category"),
                       F.col("intended_engagement_rate").cast("double").alias("_t"),
                       F.col("target_audience_genZ").cast("double").alias("_a"))
-    cand = rows.join(maxes, "category").join(checked_broadcast(b, max_brands), "category")
+    wanted = b.select(*target).distinct().withColumn("_target", F.struct(*target))
+    cand = rows.join(maxes, "category").join(wanted, "category")
     r = F.try_divide(F.col("engagement_rate"), F.col("_m"))
-    bn = F.col("_t") / F.greatest(F.col("_m"), F.col("_t"))
+    bn = F.try_divide(F.col("_t"), F.greatest(F.col("_m"), F.col("_t")))
     score = brand_similarity(r, F.col("alignment_genZ"), F.lit(True), bn, F.col("_a"))
-    scored = cand.select("brand_id", "username", _maybe_round(score, digits).alias("similarity_score"))
-    return top_k_per(scored, "brand_id", k)
+    scored = cand.select("_target", "username", _maybe_round(score, digits).alias("similarity_score"))
+    best = top_k_per(scored, "_target", k)
+    return (b.withColumn("_target", F.struct(*target)).join(best, "_target")
+            .select("brand_id", "username", "similarity_score", "rank"))
 
 
 # ---------------------------------------------------------------- P20

@@ -168,3 +168,34 @@ def test_stop_word_union_and_page(spark, feats):
     ranked = rank.rank_all(feats, "fashion")
     full = [r["username"] for r in rank.sort_by_score(ranked).collect()]
     assert [r["username"] for r in rank.page(ranked, 1, size=2).collect()] == full[2:4]
+
+
+def test_zero_target_and_nan_rates(spark):
+    """0/0 gives no score instead of an error; a NaN rate leaves the others' scores alone."""
+    nan = float("nan")
+    f = spark.createDataFrame([("a", "fitness", 0.0, 1.0, 0.0), ("b", "fitness", 0.0, 0.5, 0.0)],
+                              "username string, category string, engagement_rate double, alignment_genZ double, hashtag_score double")
+    assert [tuple(r) for r in rank.brand_search(f, "fitness", 0, "yes").collect()] == [("a", None), ("b", None)]
+    assert {r["similarity_score"] for r in rank.rank_all(f, "fitness", engagement_target=0).collect()} == {None}
+    assert {r["similarity_score"] for r in rank.rank_baseline(f, engagement_target=0).collect()} == {None}
+    brands = spark.createDataFrame([(1, "fitness", 0.0, 1.0), (2, "fitness", 0.0, 1.0)],
+                                   "brand_id long, category string, intended_engagement_rate double, target_audience_genZ double")
+    assert len(rank.rank_for_brands(f, brands).collect()) == 4
+    rates = [("a", 2.0), ("b", 4.0), ("c", nan), ("d", None)]
+    g = spark.createDataFrame([(u, "fitness", r, 1.0) for u, r in rates], "username string, category string, engagement_rate double, alignment_genZ double")
+    with_nan = {r["username"]: r["similarity_score"] for r in rank.rank_in_category(g, "fitness").collect()}
+    without = {r["username"]: r["similarity_score"] for r in rank.rank_in_category(g.where("username in ('a', 'b')"), "fitness").collect()}
+    assert with_nan["a"] == without["a"] and with_nan["b"] == without["b"]
+
+
+@pytest.mark.parametrize("partitions", ["8", "300"])
+def test_running_sums_at_any_partition_count(spark, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        rows = [(i, 0.0 if i % 2 else float(i % 7), 1) for i in range(500)]
+        df = spark.createDataFrame(rows, "id long, k double, one int")
+        got = {r["id"]: r["cum_one"] for r in running_sums(df, "k", ["one"], tiebreak=["id"]).collect()}
+        assert got == {i: n + 1 for n, (_, i) in enumerate(sorted((k, i) for i, k, _ in rows))}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
