@@ -1,5 +1,4 @@
-"""Session helpers: a local builder for tests/bench, the shared scratch folder,
-and a size-checked broadcast."""
+"""Session helpers: a local builder for tests/bench and the shared scratch folder."""
 
 from __future__ import annotations
 
@@ -36,15 +35,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is used as is.  Only
-    when it is unset (local tests) a fresh folder under the system temp dir is
-    created and registered.
+    On a cluster that setting points at shared storage and is used as is; there
+    it must be set.  Only on a ``local`` master, where executors and driver are
+    one process, a fresh folder under the system temp dir stands in for it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not conf and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not conf:
         conf = tempfile.mkdtemp(prefix="creatorlens-ckpt-")
     sc.setCheckpointDir(conf)
@@ -54,7 +55,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
-    base = base[len("file:"):] if base.startswith("file:") and not base.startswith("file://") else base
     return f"{base.rstrip('/')}/tables/{name}-{os.getpid()}-{next(_counter)}"
 
 
@@ -68,17 +68,6 @@ def _count():
 _counter = _count()
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
-
-    The probe reads at most ``max_rows + 1`` rows, so its cost is bounded even
-    when the side turns out to be large; beyond the bound the plain DataFrame
-    is returned and Spark shuffles (or AQE converts at run time).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def literal_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
     """A small DataFrame from Python literals, built JVM-side (``inline`` of a
     literal array) so that no Python worker is needed to scan it.
@@ -106,15 +95,6 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over at least the cluster's default parallelism when
-    the scan produced fewer partitions (a few large row groups).  Large inputs
-    already have more splits than cores and are returned unchanged, so no
-    shuffle is added where it cannot help."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
-
-
 # Settings for large inputs (hundreds of TB on ~1000 executors).  AQE picks the
 # final shuffle partition count from the advisory size, splits skewed join
 # partitions and coalesces small ones; file splits stay at 128 MB.
@@ -129,16 +109,15 @@ CLUSTER_SETTINGS = {
     "spark.sql.shuffle.partitions": "20000",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+# Settings that only the launch of a session can make.
+LAUNCH_SETTINGS = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+
 
 def apply_cluster_settings(spark: SparkSession, overrides: dict | None = None) -> SparkSession:
     """Apply :data:`CLUSTER_SETTINGS` (runtime SQL settings) to a session whose
     cluster and ``spark.checkpoint.dir`` are configured by the platform."""
     for k, v in {**CLUSTER_SETTINGS, **(overrides or {})}.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # noqa: BLE001 - static settings belong in the launch config
-            pass
+        spark.conf.set(k, v)
     return spark

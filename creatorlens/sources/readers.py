@@ -56,25 +56,29 @@ def read_features_csv(spark: SparkSession, path: str, schema: StructType | None
     return reader.schema(schema).csv(path)
 
 
-def read_post_files(spark: SparkSession, path: str, key_pattern: str = r"([^/]+?)(?:\.[^./]*)?$") -> DataFrame:
+POST_FILE_KEY = r"([^/]+?)(?:\.(?:txt|json|jsonl|ndjson))?(?:\.gz)?$"
+
+
+def read_post_files(spark: SparkSession, path: str, key_pattern: str = POST_FILE_KEY) -> DataFrame:
     """Every post line of every file under ``path`` in one scan.
 
-    Output ``file_key, value``: ``file_key`` is the file name (extension
-    stripped by ``key_pattern``), which J2 matches to user names exactly or by
+    Output ``file_key, value``: ``file_key`` is the file name without a text
+    or JSON extension (dots of user names stay), which J2 matches to user names exactly or by
     prefix.  One JSON document per line, as the post metadata is written.
     """
     df = spark.read.option("recursiveFileLookup", True).text(path)
     name = F.regexp_extract(F.col("_metadata.file_path"), key_pattern, 1)
-    return df.select(F.url_decode(name).alias("file_key"), F.col("value"))
+    # the path is percent-encoded; a plus sign in it is a plus sign
+    return df.select(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("file_key"), F.col("value"))
 
 
 def read_json_documents(spark: SparkSession, path: str, whole_file: bool = True) -> DataFrame:
     """Raw JSON documents, one per file (``wholetext``) or one per line.
-    Output ``doc_id`` (file path, or path:line position) and ``json``."""
+    Output ``doc_id`` (file path, or path and the line's hash) and ``json``."""
     if whole_file:
         df = spark.read.text(path, wholetext=True)
         return df.select(F.col("_metadata.file_path").alias("doc_id"), F.col("value").alias("json"))
     df = spark.read.text(path)
     return df.select(F.concat_ws(":", F.col("_metadata.file_path"),
-                                 F.monotonically_increasing_id().cast("string")).alias("doc_id"),
+                                 F.sha2(F.col("value"), 256)).alias("doc_id"),
                      F.col("value").alias("json"))

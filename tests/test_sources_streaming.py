@@ -75,3 +75,21 @@ def test_whole_file_json_documents_flatten(spark):
     docs = rd.read_json_documents(spark, d, whole_file=True)
     got = sorted((r["doc_id"].rsplit("/", 1)[-1], r["pos"], r["title"]) for r in cat.titled(cat.flatten_tree(docs)).collect())
     assert got == [("a.json", 0, "A"), ("a.json", 1, "B"), ("b.json", 0, "C")]
+
+
+def test_post_files_keep_dots_and_signs_of_names(spark):
+    d = tempfile.mkdtemp(prefix="cl-names-")
+    for name in ("john.doe", "anna.json", "bob", "c+d.txt", "é x.jsonl", "eve.v2.txt"):
+        _write(f"{d}/in/{name}", '{"like_count": 1}\n')
+    got = {r["file_key"] for r in rd.read_post_files(spark, f"{d}/in").collect()}
+    assert got == {"john.doe", "anna", "bob", "c+d", "é x", "eve.v2"}
+
+
+def test_checkpoint_folder_must_be_named_off_local_masters():
+    from types import SimpleNamespace
+
+    from creatorlens.session import ensure_checkpoint_dir
+    nothing = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: nothing, master="spark://host:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=nothing))
