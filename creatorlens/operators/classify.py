@@ -5,23 +5,24 @@
 * M4: TF-IDF features -> one-vs-rest linear SVM.  ``regParam = 1 / (C * n)``
   maps the soft-margin constant C onto MLlib's regularisation.
 * M5: 5-fold cross-validated grid over kernel {linear, rbf} x C (accuracy),
-  folds by the same hash; rbf = random Fourier features (approximate).
+  folds by the same hash; rbf = random Fourier features (approximate).  The
+  vectors of a fold are made once per kernel and written; only the classifier is
+  fitted for each C.
 * M6: the fitted pipeline scores any table of titles in batch.
 
-The vectoriser is fitted inside the pipeline on the training rows only.
-MLlib's IDF is ln((n + 1) / (df + 1)) (no ``+ 1``); the exact long-form
-variant lives in ``operators.vectorize``.
+The vectoriser is fitted on the training rows only; its weights are
+ln((n + 1) / (df + 1)) + 1, as in the long form (``operators.vectorize``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, OneVsRest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator
-from pyspark.ml.feature import CountVectorizer, IDF, IndexToString, Normalizer, RegexTokenizer, StringIndexer
+from pyspark.ml.feature import CountVectorizer, IndexToString, Normalizer, RegexTokenizer, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +30,10 @@ from creatorlens.session import materialize
 
 
 def hash_split(df: DataFrame, key: str, *, test_percent: int = 20, seed: int = 42, col: str = "is_test") -> DataFrame:
-    """M3: ``is_test`` for about ``test_percent`` % of rows, stable per key."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(100))
+    """M3: ``is_test`` for about ``test_percent`` % of rows, stable per key (an
+    md5 of seed and key, so any engine can repeat the split)."""
+    text = F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))
+    bucket = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 100
     return df.withColumn(col, bucket < test_percent)
 
 
@@ -40,20 +43,20 @@ def fold_column(df: DataFrame, key: str, *, folds: int = 5, seed: int = 7, col:
 
 
 def svm_estimator(title: str = "title", label: str = "category", *, vocab_size: int = 1000,
-                  reg_param: float = 0.01, max_iter: int = 50, parallelism: int = 4,
+                  reg_param: float = 0.01, max_iter: int = 30, tol: float = 1e-4, parallelism: int = 4,
                   kernel: str = "linear") -> Pipeline:
     """M4: tokens -> counts (top ``vocab_size`` terms) -> IDF -> L2 -> kernel map
     (identity, or random Fourier features for ``rbf``) -> OvR(LinearSVC)."""
-    from creatorlens.operators.kernels import RandomFourierFeatures
+    from creatorlens.operators.kernels import RandomFourierFeatures, SmoothIDF
     return Pipeline(stages=[
         StringIndexer(inputCol=label, outputCol="_label", handleInvalid="keep"),
         RegexTokenizer(inputCol=title, outputCol="_tokens", pattern=r"[\p{L}\p{N}_]{2,}", gaps=False,
                        toLowercase=True),
         CountVectorizer(inputCol="_tokens", outputCol="_tf", vocabSize=vocab_size),
-        IDF(inputCol="_tf", outputCol="_tfidf"),
+        SmoothIDF(inputCol="_tf", outputCol="_tfidf"),
         Normalizer(inputCol="_tfidf", outputCol="_unit", p=2.0),
         RandomFourierFeatures(inputCol="_unit", outputCol="_features", kernel=kernel),
-        OneVsRest(classifier=LinearSVC(regParam=reg_param, maxIter=max_iter), featuresCol="_features",
+        OneVsRest(classifier=LinearSVC(regParam=reg_param, maxIter=max_iter, tol=tol), featuresCol="_features",
                   labelCol="_label", predictionCol="_pred", parallelism=parallelism),
     ])
 
@@ -81,21 +84,31 @@ def predict(model: PipelineModel, df: DataFrame, out: str = "prediction") -> Dat
 
 def grid_search(train: DataFrame, title: str = "title", label: str = "category", key: str = "id", *,
                 cs: Sequence[float] = (0.1, 1.0, 10.0), kernels: Sequence[str] = ("linear", "rbf"),
-                folds: int = 5, vocab_size: int = 1000,
+                folds: int = 5, vocab_size: int = 1000, max_iter: int = 10, tol: float = 1e-2,
                 parallelism: int = 6) -> tuple[PipelineModel, list[tuple[str, float, float]]]:
     """M5: k-fold grid over kernel x C scored by accuracy; returns the refitted
     best pipeline and ``[(kernel, C, mean accuracy)]``.  ``rbf`` is the random
     Fourier feature approximation (``operators.kernels``)."""
-    train = materialize(train)
-    n = train.count()
-    pipe = svm_estimator(title, label, vocab_size=vocab_size)
-    rff, ovr = pipe.getStages()[-2], pipe.getStages()[-1]
-    svc = ovr.getClassifier()
-    n_fit = n * (folds - 1) / folds
-    combos = [(k, c) for k in kernels for c in cs]
-    grid = [{rff.kernel: k, ovr.classifier: svc.copy({svc.regParam: 1.0 / (c * n_fit)})} for k, c in combos]
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, numFolds=folds, parallelism=parallelism,
-                        foldCol="fold", evaluator=MulticlassClassificationEvaluator(
-                            labelCol="_label", predictionCol="_pred", metricName="accuracy"))
-    model = cv.fit(fold_column(train, key, folds=folds))
-    return model.bestModel, [(k, c, m) for (k, c), m in zip(combos, model.avgMetrics)]
+    data = materialize(fold_column(train, key, folds=folds))
+    n = data.count()
+    evaluator = MulticlassClassificationEvaluator(labelCol="_label", predictionCol="_pred", metricName="accuracy")
+
+    def fold_scores(fold: int) -> list[tuple[str, float, float]]:
+        rest, held = data.where(F.col("fold") != fold), data.where(F.col("fold") == fold)
+        out = []
+        for kernel in kernels:
+            *features, ovr = svm_estimator(title, label, vocab_size=vocab_size, max_iter=max_iter, tol=tol, parallelism=1, kernel=kernel).getStages()
+            vectors = Pipeline(stages=features).fit(rest)
+            fit, test = (materialize(vectors.transform(part).select("_label", "_features")) for part in (rest, held))
+            for c in cs:
+                svc = ovr.getClassifier()
+                model = ovr.copy({ovr.classifier: svc.copy({svc.regParam: folds / (c * max(n, 1) * max(folds - 1, 1))})}).fit(fit)
+                out.append((kernel, c, evaluator.evaluate(model.transform(test))))
+        return out
+
+    with ThreadPoolExecutor(parallelism) as pool:  # the driver only waits for Spark's jobs
+        got = [row for rows in pool.map(fold_scores, range(folds)) for row in rows]
+    scores = [(k, c, sum(a for x, y, a in got if (x, y) == (k, c)) / folds) for k in kernels for c in cs]
+    kernel, c, _ = max(scores, key=lambda s: s[2])
+    best = svm_estimator(title, label, vocab_size=vocab_size, reg_param=1.0 / (c * max(n, 1)), max_iter=max_iter, tol=tol, kernel=kernel)
+    return best.fit(data), scores

@@ -16,9 +16,12 @@ import numpy as np
 import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
+from pyspark.ml.feature import IDF, ElementwiseProduct
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, HasSeed
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -89,3 +92,17 @@ class RandomFourierFeaturesModel(Model, _RFFParams):
         that = super().copy(extra)
         that.dim, that.gammaValue = self.dim, self.gammaValue
         return that
+
+
+class SmoothIDF(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """IDF weights ``ln((n + 1) / (df + 1)) + 1``: MLlib's IDF plus one, so a term of
+    every document keeps its count.  Fits MLlib's IDF, returns a JVM scaling."""
+
+    @keyword_only
+    def __init__(self, *, inputCol: str | None = None, outputCol: str | None = None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset):
+        idf = IDF(inputCol=self.getInputCol(), outputCol=self.getOutputCol()).fit(dataset).idf.toArray()
+        return ElementwiseProduct(scalingVec=Vectors.dense(idf + 1.0), inputCol=self.getInputCol(), outputCol=self.getOutputCol())

@@ -97,12 +97,14 @@ def default_stop_words(spark=None, extra: Sequence[str] = ()) -> list[str]:
 
 def tfidf_vectorizer(text_col: str = "title", *, ngram_range: tuple[int, int] = (1, 2),
                            stop_words: Sequence[str] | None = None, min_df: float = 1.0, max_df: float = 1.0,
-                           vocab_size: int = 1 << 18, out: str = "features"):
+                           vocab_size: int = 2**31 - 1, out: str = "features"):
     """T7 in MLlib form (sparse vectors for clustering / classification):
-    tokens -> stop words -> n-grams -> counts with df limits -> IDF -> L2.
-    MLlib's IDF is ln((n + 1) / (df + 1)) (no ``+ 1``)."""
+    tokens -> stop words -> n-grams -> counts with df limits -> IDF -> L2, with
+    the weights of the long form: ln((n + 1) / (df + 1)) + 1.  By default every
+    term is kept (``vocab_size`` is a feature limit for those who want one)."""
+    from creatorlens.operators.kernels import SmoothIDF
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import CountVectorizer, IDF, NGram, Normalizer, RegexTokenizer, SQLTransformer
+    from pyspark.ml.feature import CountVectorizer, NGram, Normalizer, RegexTokenizer, SQLTransformer
     from pyspark.ml.feature import StopWordsRemover
     stages = [RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=TOKEN_PATTERN, gaps=False),
               StopWordsRemover(inputCol="_tok", outputCol="_tok1", stopWords=list(stop_words or []))]
@@ -116,5 +118,5 @@ def tfidf_vectorizer(text_col: str = "title", *, ngram_range: tuple[int, int] =
             cols.append(f"_ng{n}")
     stages.append(SQLTransformer(statement=f"SELECT *, concat({', '.join(cols)}) AS _terms FROM __THIS__"))
     stages += [CountVectorizer(inputCol="_terms", outputCol="_tf", minDF=min_df, maxDF=max_df, vocabSize=vocab_size),
-               IDF(inputCol="_tf", outputCol="_idf"), Normalizer(inputCol="_idf", outputCol=out, p=2.0)]
+               SmoothIDF(inputCol="_tf", outputCol="_idf"), Normalizer(inputCol="_idf", outputCol=out, p=2.0)]
     return Pipeline(stages=stages)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from creatorlens.functions.json import json_double
 from creatorlens.operators.features import collapse_above, engagement_rate_expr, engagement_rates
-from creatorlens.session import literal_frame, materialize, scratch_path, spread
+from creatorlens.session import literal_frame, materialize, scratch_path
 from creatorlens.sources.sinks import write_parquet
 from creatorlens.sources.readers import read_table
 
@@ -97,15 +97,13 @@ TEST_NEGATORS = ("not", "to", "in")
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
-    """documents, spread over all cores when the file has few row groups
-    (text work is CPU-bound; large inputs are left as scanned)."""
-    return spread(read_table(spark, d, "documents"))
+    return read_table(spark, d, "documents")
 
 
 def conversation_texts(spark: SparkSession, d: str) -> DataFrame:
     """conversations as texts: conv_id = user, user turns = captions,
-    assistant turns = comments, system turns ignored (U4)."""
-    c = spread(read_table(spark, d, "conversations").where(F.col("role").isin("user", "assistant")))
+    all other turns = comments (U4)."""
+    c = read_table(spark, d, "conversations")
     return c.select(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("text_id"),
                     F.col("conv_id").alias("username"),
                     F.when(F.col("role") == "user", F.lit("caption")).otherwise(F.lit("comment")).alias("kind"),
@@ -117,37 +115,35 @@ def sentiment_lexicon(spark: SparkSession) -> DataFrame:
 
 
 # ---------------------------------------------------------------- catalogue inputs
-TREE_CHUNK = 64          # suppliers per tree document (bounds each document)
 TEST_RULES = [(1, "fitness", "ring"), (1, "fitness", "Gear"), (2, "beauty", "red"), (2, "beauty", "gizmo"),
               (2, "beauty", "PLATE")]
 TEST_EXCLUSIONS = ["small ring", "red widget", "blue bolt", "hot gear"]
 
 
 def category_trees(spark: SparkSession, d: str) -> DataFrame:
-    """region -> nation -> supplier as JSON tree documents ``(doc_id, json)``.
-
-    One document per (nation, block of TREE_CHUNK supplier keys), so every
-    document - and every collect_list building it - has a bounded size.
-    """
-    sup = read_table(spark, d, "supplier").select(
-        "s_suppkey", "s_name", "s_nationkey", F.floor(F.col("s_suppkey") / TREE_CHUNK).alias("chunk"))
-    leaves = sup.groupBy("s_nationkey", "chunk").agg(
-        F.array_sort(F.collect_list(F.struct("s_suppkey", "s_name"))).alias("sups"))
-    nation = read_table(spark, d, "nation")
-    region = read_table(spark, d, "region")
-    j = leaves.join(nation, leaves.s_nationkey == nation.n_nationkey).join(region, nation.n_regionkey == region.r_regionkey)
-
-    def node(alias, title, children=None):
-        fields = [alias.alias("alias"), F.struct(title.alias("title")).alias("content")]
+    """JSON tree documents ``(doc_id, json)``: one per region with its nations
+    below it (a handful), and one per supplier, whose node lies below a node
+    without a title.  Every name occurs once, and no document grows with the data."""
+    def node(alias, title=None, children=None):
+        fields = [alias.alias("alias")]
+        if title is not None:
+            fields.append(F.struct(title.alias("title")).alias("content"))
         if children is not None:
             fields.append(children.alias("children"))
         return F.struct(*fields)
 
-    sup_nodes = F.transform(F.col("sups"), lambda s: node(s["s_name"], s["s_name"]))
-    tree = F.struct(F.array(node(F.col("r_name"), F.col("r_name"),
-                                 F.array(node(F.col("n_name"), F.col("n_name"), sup_nodes)))).alias("navigation"))
-    return j.select(F.concat_ws("-", F.col("s_nationkey").cast("string"), F.col("chunk").cast("string")).alias("doc_id"),
-                    F.to_json(tree).alias("json"))
+    def document(prefix, key, root):
+        return F.concat(F.lit(prefix), key.cast("string")).alias("doc_id"), F.to_json(F.struct(F.array(root).alias("navigation"))).alias("json")
+
+    nations = read_table(spark, d, "nation").groupBy("n_regionkey").agg(
+        F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("nations"))
+    region = read_table(spark, d, "region")
+    regions = region.join(nations, region.r_regionkey == nations.n_regionkey, "left")
+    below = F.transform(F.coalesce("nations", F.array().cast("array<struct<n_nationkey:bigint,n_name:string>>")), lambda n: node(n["n_name"], n["n_name"]))
+    top = regions.select(*document("r", F.col("r_regionkey"), node(F.col("r_name"), F.col("r_name"), below)))
+    supplier = read_table(spark, d, "supplier")
+    leaf = node(F.col("s_name"), F.col("s_name"))
+    return top.unionByName(supplier.select(*document("s", F.col("s_suppkey"), node(F.lit("supplier"), None, F.array(leaf)))))
 
 
 def part_titles(spark: SparkSession, d: str) -> DataFrame:

