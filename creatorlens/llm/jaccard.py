@@ -4,7 +4,8 @@ components that these links form.
 A document's set holds the hashes of its distinct 4-word shingles in one global order: the more documents
 share a shingle (once, twice, 4 or 16 times at least), the later it comes; among equals hashes decide.  Equal
 sets are one *node*.  Two sets that link share a shingle of their first |s| - ceil(0.85 |s|) + 1 in that order
-(their prefix), so a passage that many documents share seldom makes two of them meet.
+(their prefix), and the first that they share lies in the short prefix of the smaller set, of
+|s| - ceil(170 |s| / 185) + 1; so a passage that many documents share seldom makes two of them meet.
 
 1. One pass counts how often the upper 32 bits of the shingles' hashes occur.  Tasks send sorted, packed
    numbers by ranges; the counts become bit tables of bounded size, which fix the order.
@@ -88,6 +89,17 @@ def prefix_sizes(sizes: np.ndarray) -> np.ndarray:
     return np.where(sizes > 0, sizes - -(-PERCENT * sizes // 100) + 1, 0)
 
 
+def least_overlap(x, y):
+    """The smallest intersection with which sets of these sizes link: 100 i >= 85 (x + y - i)."""
+    return -(-PERCENT * (x + y) // (100 + PERCENT))
+
+
+def in_short_prefix(sizes: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Which of the prefixes' shingles belong to the short prefixes, too."""
+    rank = np.arange(int(some.sum())) - np.repeat(np.cumsum(some) - some, some)
+    return rank <= np.repeat(sizes - least_overlap(sizes, sizes), some)
+
+
 def sorted_sets(sets: np.ndarray, offsets: np.ndarray, order) -> np.ndarray:
     out = order(sets)
     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
@@ -202,7 +214,7 @@ def level_tables(shared: DataFrame) -> list[np.ndarray]:
 
 
 def prefixes(docs: DataFrame, text_col: str, tables: list[np.ndarray]) -> DataFrame:
-    """(token, a, b): the prefix shingles of every document's node."""
+    """(token, a, b, short): the prefix shingles of every document's node; short is 1 in the short prefix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = order_of(tables)
         for batch in batches:
@@ -211,14 +223,16 @@ def prefixes(docs: DataFrame, text_col: str, tables: list[np.ndarray]) -> DataFr
                 a, b = node_ids(sets, offsets)
                 some = prefix_sizes(np.diff(offsets))
                 token = _take(sorted_sets(sets, offsets, order), offsets[:-1], some)
-                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(np.repeat(a, some)), pa.array(np.repeat(b, some))], names=["token", "a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(np.repeat(a, some)), pa.array(np.repeat(b, some)),
+                                                  pa.array(in_short_prefix(np.diff(offsets), some).astype(np.int8))], names=["token", "a", "b", "short"])
 
-    return docs.select(text_col).mapInArrow(run, "token long, a long, b long")
+    return docs.select(text_col).mapInArrow(run, "token long, a long, b long, short byte")
 
 
 def document_sets(docs: DataFrame, id_col: str, text_col: str, tables: list[np.ndarray], marks: np.ndarray) -> DataFrame:
-    """(id, n, a, b, hits, set) of the documents; hits and set (in the global order) of the nodes with a marked
-    shingle in their prefix, once per node and task."""
+    """(id, n, a, b, hits, short, set) of the documents; the last three for the nodes with a marked shingle in
+    their prefix, once per node and task: the marked shingles of the prefix, how many of them lie in the short
+    one, and the set, all in the global order."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,7 +246,8 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, tables: list[np.n
                 sets = sorted_sets(sets, offsets, order)
                 token = _take(sets, offsets[:-1], some)
                 hit = marked(marks, token)
-                hits = segment_sums(hit.astype(np.int64), np.concatenate([[0], np.cumsum(some)]))
+                bounds = np.concatenate([[0], np.cumsum(some)])
+                hits, short = (segment_sums(x.astype(np.int64), bounds) for x in (hit, hit & in_short_prefix(sizes, some)))
                 mine = np.zeros(len(sizes), bool)
                 for i in np.flatnonzero(hits).tolist():
                     if (key := (int(a[i]), int(b[i]))) not in seen:  # copies within the task go no further
@@ -248,19 +263,14 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, tables: list[np.n
                 empty = sizes == 0
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array(sizes), pa.array(a, mask=empty), pa.array(b, mask=empty),
-                    lists(token[hit & np.repeat(mine, some)], hits), lists(_take(sets, offsets[:-1][mine], sizes[mine]), sizes)],
-                    names=["id", "n", "a", "b", "hits", "set"])
+                    lists(token[hit & np.repeat(mine, some)], hits), pa.array(short, mask=~mine), lists(_take(sets, offsets[:-1][mine], sizes[mine]), sizes)],
+                    names=["id", "n", "a", "b", "hits", "short", "set"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {id_type}, n long, a long, b long, hits array<long>, set array<long>")
+    return docs.select(id_col, text_col).mapInArrow(run, f"id {id_type}, n long, a long, b long, hits array<long>, short long, set array<long>")
 
 
 # ---------------------------------------------------------------- trie
 
-def least_overlap(x, y):
-    """The smallest intersection with which sets of these sizes link: 100 i >= 85 (x + y - i)."""
-    return -(-PERCENT * (x + y) // (100 + PERCENT))
-
-
 class Trie:
     """Sets of ascending numbers in a tree whose edges hold ``STRIDE`` of them (a set's last edge fewer).
 
@@ -381,9 +391,9 @@ def trie_links(nodes: DataFrame, entries: DataFrame, labels: DataFrame) -> DataF
     """(a, b, c, d): links that join what the labels leave apart, found by tries of bounded blocks."""
     entries = entries.join(labels, ["a", "b"])
     open_ = entries.groupBy("token").agg(
-        F.min("la").alias("x"), F.max("la").alias("y"), F.min("lb").alias("z"), F.max("lb").alias("w"), F.count("*").alias("count"),
+        F.min("la").alias("x"), F.max("la").alias("y"), F.min("lb").alias("z"), F.max("lb").alias("w"), F.count("*").alias("count"), F.max("short").alias("short"),
         F.bit_xor(F.xxhash64("a", "b")).alias("who"), F.bit_xor(F.xxhash64("b", "a")).alias("also"))
-    open_ = open_.filter((F.col("x") != F.col("y")) | (F.col("z") != F.col("w")))
+    open_ = open_.filter(((F.col("x") != F.col("y")) | (F.col("z") != F.col("w"))) & (F.col("short") == 1))
     open_ = open_.groupBy("who", "also", "count").agg(F.min("token").alias("token")).select("token")
     # lengths of one class differ by less than the threshold allows: a set links within its class and the next
     sized = entries.join(open_, "token").withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1000 / (10 * PERCENT - 1)))).cast("int"))
@@ -399,11 +409,11 @@ def trie_links(nodes: DataFrame, entries: DataFrame, labels: DataFrame) -> DataF
         t > F.col("block"), F.array(task(1, F.col("class"), F.col("block"), t, 0))).otherwise(F.array(task(1, F.col("class"), t, F.col("block"), 1)))))
     up = F.when(F.col("above").isNotNull(), F.transform(upto(F.col("above")), lambda t: task(2, F.col("class"), F.col("block"), t, 0))).otherwise(none)
     down = F.when(F.col("below").isNotNull(), F.transform(upto(F.col("below")), lambda t: task(2, F.col("class") - 1, t, F.col("block"), 1))).otherwise(none)
-    spread = (sized.withColumn("block", block).select("token", "a", "b", "la", "lb", F.explode(F.concat(same, up, down)).alias("task"))
+    spread = (sized.withColumn("block", block).select("token", "a", "b", "la", "lb", "short", F.explode(F.concat(same, up, down)).alias("task"))
               .withColumn("key", F.xxhash64("token", "task.cross", "task.low", "task.i", "task.j")))
-    # a task of one label has nothing to join
-    useful = (spread.groupBy("key").agg(F.min("la").alias("x"), F.max("la").alias("y"), F.min("lb").alias("z"), F.max("lb").alias("w"))
-              .filter((F.col("x") != F.col("y")) | (F.col("z") != F.col("w"))).select("key"))
+    # a task of one label has nothing to join, nor has one without a short prefix
+    useful = (spread.groupBy("key").agg(F.min("la").alias("x"), F.max("la").alias("y"), F.min("lb").alias("z"), F.max("lb").alias("w"), F.max("short").alias("short"))
+              .filter(((F.col("x") != F.col("y")) | (F.col("z") != F.col("w"))) & (F.col("short") == 1)).select("key"))
     rows = spread.join(useful, "key").join(nodes.select("a", "b", "set"), ["a", "b"]).select(
         "key", "token", F.col("task.cross").alias("cross"), F.col("task.side").alias("side"), "a", "b", "la", "lb", "set")
     rows = rows.repartition("key").sortWithinPartitions("key", "side", "a", "b")
@@ -453,13 +463,14 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = docs.sparkSession
     tables = level_tables(written(shared_numbers(packed_numbers(docs, text_col)), "shared-numbers"))
     shared = (prefixes(docs, text_col, tables).groupBy("token")
-              .agg(F.min("a").alias("x"), F.max("a").alias("y"), F.min("b").alias("z"), F.max("b").alias("w"))
-              .filter((F.col("x") != F.col("y")) | (F.col("z") != F.col("w"))).select("token"))
+              .agg(F.min("a").alias("x"), F.max("a").alias("y"), F.min("b").alias("z"), F.max("b").alias("w"), F.max("short").alias("short"))
+              .filter(((F.col("x") != F.col("y")) | (F.col("z") != F.col("w"))) & (F.col("short") == 1)).select("token"))
     shared = written(shared, "shared-shingles")
     every = written(document_sets(docs, id_col, text_col, tables, mark_table(shared)), "document-sets")
     known = every.select("id", "n", "a", "b")
-    nodes = written(every.filter(F.col("hits").isNotNull()).select("a", "b", "n", "hits", "set").dropDuplicates(["a", "b"]), "candidate-sets")
-    entries = written(nodes.select("a", "b", "n", F.explode("hits").alias("token")).join(shared, "token"), "entries")
+    nodes = written(every.filter(F.col("hits").isNotNull()).select("a", "b", "n", "hits", "short", "set").dropDuplicates(["a", "b"]), "candidate-sets")
+    entries = nodes.select("a", "b", "n", "short", F.posexplode("hits").alias("at", "token"))
+    entries = written(entries.select("a", "b", "n", "token", (F.col("at") < F.col("short")).cast("byte").alias("short")).join(shared, "token"), "entries")
     stars = written(star_links(nodes, entries), "star-links")
     links = stars.unionByName(trie_links(nodes, entries, labelled(nodes, stars)))
     roots = components(spark, links)
