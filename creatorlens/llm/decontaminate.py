@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from creatorlens.llm.common import mark_table, slices, table, written
 from creatorlens.llm.words import NON_ALNUM, WordHasher, marked, mix, ngrams, segment_sums
 
-SEED, SEEDS_LEAST, HITS_LEAST, SCORE_LEAST = 3, 8, 2, 0.5
+SEED, SEEDS_LEAST, HITS_LEAST, SCORE_LEAST = 3, 24, 2, 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 CELLS = 1 << 20  # of the alignments computed side by side
 _words = WordHasher(NON_ALNUM)
