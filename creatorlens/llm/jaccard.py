@@ -37,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from creatorlens.llm.common import mark_table, slices, table, written
@@ -45,7 +45,7 @@ from creatorlens.llm.words import BLANKS, WordHasher, distinct, marked, mix, ngr
 
 WORDS, PERCENT = 4, 85
 LEVELS = (2, 4, 16)  # documents that share a shingle at least
-RANGES, COUNTED = 1 << 12, 1 << 22  # ranges of the 32-bit numbers counted apart; shingles packed at a time
+RANGES, COUNTED = 1 << 12, 1 << 21  # ranges of the 32-bit numbers counted apart; shingles packed at a time
 LEVEL_BITS = 1 << 16, 1 << 28  # least and most bits of a level's table (8 for each number)
 BLOCK_SHINGLES = 1 << 20  # sum of set sizes that a block may have, but for one set larger than that
 STRIDE = 32  # shingles of a trie's edge
@@ -135,7 +135,7 @@ def packed_numbers(docs: DataFrame, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, seen = [], 0, set()
         for batch in batches:
-            for part in slices(batch, text_col, 2 << 20):
+            for part in slices(batch, text_col, 1 << 20):
                 sets, offsets = shingle_sets(part.column(0))
                 for key, a, b in zip(node_ids(sets, offsets)[0].tolist(), offsets[:-1].tolist(), offsets[1:].tolist()):
                     if b > a and key not in seen:
@@ -207,9 +207,10 @@ def level_tables(shared: DataFrame) -> list[np.ndarray]:
 
     tables = [np.zeros(size // 8, np.uint8) for size in sizes]
     found = shared.select("range", "numbers", "levels").mapInArrow(run, "range int, level int, bits binary").toArrow()  # at most the tables' bits
-    for r, i, bits in zip(*(c.to_pylist() for c in found.columns)):
-        part = len(tables[i]) // RANGES
-        tables[i][r * part:(r + 1) * part] = np.frombuffer(bits, np.uint8)
+    for batch in found.to_batches():
+        for r, i, bits in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            part = len(tables[i]) // RANGES
+            tables[i][r * part:(r + 1) * part] = np.frombuffer(bits.as_buffer(), np.uint8)
     return tables
 
 
@@ -218,7 +219,7 @@ def prefixes(docs: DataFrame, text_col: str, tables: list[np.ndarray]) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = order_of(tables)
         for batch in batches:
-            for part in slices(batch, text_col, 2 << 20):
+            for part in slices(batch, text_col, 1 << 20):
                 sets, offsets = shingle_sets(part.column(0))
                 a, b = node_ids(sets, offsets)
                 some = prefix_sizes(np.diff(offsets))
@@ -238,7 +239,7 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, tables: list[np.n
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, seen = order_of(tables), set()
         for batch in batches:
-            for part in slices(batch, text_col, 2 << 20):
+            for part in slices(batch, text_col, 1 << 20):
                 sets, offsets = shingle_sets(part.column(1))
                 a, b = node_ids(sets, offsets)
                 sizes = np.diff(offsets)
@@ -433,14 +434,20 @@ def trie_links(nodes: DataFrame, entries: DataFrame, labels: DataFrame) -> DataF
     return rows.mapInArrow(run, "a long, b long, c long, d long")
 
 
-def components(spark: SparkSession, links: DataFrame) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(a, b, ra, rb): the smallest node (ra, rb) of each linked node's component, by alternating stars.
 
-    Each round is written to the shared folder; the number of rounds grows with the logarithm of the longest
-    path.
+    A round is one job: the new edges are written to the shared folder and summed up on their way; equal sums
+    end the search.  The number of rounds grows with the logarithm of the longest path.
     """
+    def kept(edges: DataFrame) -> tuple[DataFrame, dict]:
+        sums = Observation()
+        both = (F.xxhash64("u", "v"), F.xxhash64("v", "u"))
+        edges = edges.observe(sums, F.count(F.lit(1)).alias("n"), *[F.bit_xor(h).alias(f"x{i}") for i, h in enumerate(both)])
+        return written(edges, "edges"), sums.get
+
     point = lambda x, y: F.struct(F.col(x).alias("a"), F.col(y).alias("b"))
-    edges = written(links.select(point("a", "b").alias("u"), point("c", "d").alias("v")).filter(F.col("u") != F.col("v")).distinct(), "edges")
+    edges, before = kept(links.select(point("a", "b").alias("u"), point("c", "d").alias("v")).filter(F.col("u") != F.col("v")).distinct())
     while True:
         # large star: each node's larger neighbours meet the smallest of the neighbourhood
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -449,18 +456,15 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         # small star: each node's smaller neighbours and itself meet the smallest of them (edges run from large to small)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
-        small = (small.filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        small = written(small, "edges")
-        same = lambda e: tuple(e.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0)), F.coalesce(F.sum(F.xxhash64("v", "u") % (1 << 31)), F.lit(0))).first())
-        if same(small) == same(edges):
-            return small.select("u.a", "u.b", F.col("v.a").alias("ra"), F.col("v.b").alias("rb"))
-        edges = small
+        edges, after = kept(small.filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+                            .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        if after == before:
+            return edges.select("u.a", "u.b", F.col("v.a").alias("ra"), F.col("v.b").alias("rb"))
+        before = after
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of every row."""
-    spark = docs.sparkSession
     tables = level_tables(written(shared_numbers(packed_numbers(docs, text_col)), "shared-numbers"))
     shared = (prefixes(docs, text_col, tables).groupBy("token")
               .agg(F.min("a").alias("x"), F.max("a").alias("y"), F.min("b").alias("z"), F.max("b").alias("w"), F.max("short").alias("short"))
@@ -473,7 +477,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     entries = written(entries.select("a", "b", "n", "token", (F.col("at") < F.col("short")).cast("byte").alias("short")).join(shared, "token"), "entries")
     stars = written(star_links(nodes, entries), "star-links")
     links = stars.unionByName(trie_links(nodes, entries, labelled(nodes, stars)))
-    roots = components(spark, links)
+    roots = components(links)
     # the smallest id of each node, then of each component
     least = known.filter(F.col("n") > 0).groupBy("a", "b").agg(F.min("id").alias("least"))
     rooted = least.join(roots, ["a", "b"], "left").select("a", "b", "least", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb"))
