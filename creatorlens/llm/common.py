@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import itertools
 import os
 import uuid
@@ -19,6 +20,12 @@ MARK_BITS = 1 << 16, 1 << 28  # least and most bits of a mark table
 
 _serial = itertools.count()
 
+# Python workers live long: have glibc give numpy's large blocks back when they are freed
+try:
+    ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+except (OSError, AttributeError):  # another C library
+    pass
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
