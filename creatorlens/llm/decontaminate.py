@@ -1,11 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds join passages with test items, Smith-Waterman scores them.
+"""Benchmark decontamination: n-gram seeds, weighted by rarity, join passages with test items; Smith-Waterman scores them.
 
 1. The documents that hold each 3-word sequence of the benchmark are counted (per task first).
-2. Each item's seeds are the rarer half of its sequences, ``SEEDS_LEAST`` at least.  They are marked in a bit
-   table of bounded size, so documents are searched where they are scanned.
-3. Around two seed hits or more a passage of the document is cut out, wide enough for the longest item;
-   passages that meet become one.  Equal passages of many documents are handled once.
-4. Passages and items that share two different seeds (all, of an item with one) are aligned word by word:
+2. All of an item's sequences that any document holds are its seeds.  Its rarer half of them are rare seeds.
+   Seeds and rare seeds are marked in bit tables of bounded size, so documents are searched where they are scanned.
+3. Around two seed hits, or one of a rare seed, a passage of the document is cut out, wide enough for the longest
+   item; passages that meet become one.  Equal passages of many documents are handled once.
+4. Passages and items that share two different seeds, or a rare one of the item, are aligned word by word:
    local alignment with match 2, mismatch and gap -1.  The score is divided by that of a perfect copy, so
    edited and paraphrased copies keep most of it; ``SCORE_LEAST`` or more is a leak.
 
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from creatorlens.llm.common import mark_table, slices, table, written
 from creatorlens.llm.words import NON_ALNUM, WordHasher, marked, mix, ngrams, segment_sums
 
-SEED, SEEDS_LEAST, HITS_LEAST, SCORE_LEAST = 3, 24, 2, 0.5
+SEED, HITS_LEAST, SCORE_LEAST = 3, 2, 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 CELLS = 1 << 20  # of the alignments computed side by side
 _words = WordHasher(NON_ALNUM)
@@ -86,20 +86,20 @@ def document_counts(texts: DataFrame, marks: np.ndarray) -> DataFrame:
     return texts.mapInArrow(run, "hash long, documents long").groupBy("hash").agg(F.sum("documents").alias("documents"))
 
 
-def rare_seeds(items: DataFrame, counts: DataFrame) -> DataFrame:
-    """(item_id, hash, seeds): each item's rarer sequences and their number."""
+def weighted_seeds(items: DataFrame, counts: DataFrame) -> DataFrame:
+    """(item_id, hash, weight): each item's sequences that documents hold; one of the rarer half counts for
+    ``HITS_LEAST`` hits."""
     grams = items.select("item_id", F.explode(F.array_distinct("grams")).alias("hash"))
     spread = grams.groupBy("hash").agg(F.count("*").alias("items"))
-    known = (grams.join(spread, "hash").join(counts, "hash", "left")
-             .withColumn("often", F.coalesce("documents", F.lit(0)) * F.col("items")))
+    known = grams.join(spread, "hash").join(counts, "hash").withColumn("often", F.col("documents") * F.col("items"))
     by = Window.partitionBy("item_id")
     ranked = known.select("item_id", "hash", F.row_number().over(by.orderBy("often", "hash")).alias("rank"), F.count("*").over(by).alias("n"))
-    most = F.least("n", F.greatest(F.lit(SEEDS_LEAST), F.ceil(F.col("n") / 2)))
-    return ranked.filter(F.col("rank") <= most).select("item_id", "hash", most.cast("int").alias("seeds"))
+    return ranked.select("item_id", "hash", F.when(F.col("rank") <= F.ceil(F.col("n") / 2), HITS_LEAST).otherwise(1).alias("weight"))
 
 
-def passages(docs: DataFrame, marks: np.ndarray, reach: int, hits_least: int) -> DataFrame:
-    """(id, start, key, also, words, hits): passages of ``reach`` words around their marked sequences."""
+def passages(docs: DataFrame, marks: np.ndarray, rare: np.ndarray, reach: int) -> DataFrame:
+    """(id, start, key, also, words, hits): passages of ``reach`` words around ``HITS_LEAST`` sequences of
+    ``marks`` or one of ``rare``."""
     id_type = docs.schema["id"].simpleString().split(":", 1)[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +116,7 @@ def passages(docs: DataFrame, marks: np.ndarray, reach: int, hits_least: int) ->
                     new[1:] = (row[1:] != row[:-1]) | (place[1:] - place[:-1] > 2 * reach)
                     starts = np.flatnonzero(new)
                     ends = np.append(starts[1:], len(hit))
-                    wide = ends - starts >= hits_least
+                    wide = (ends - starts >= HITS_LEAST) | np.logical_or.reduceat(marked(rare, grams[hit]), starts)
                     starts, ends = starts[wide], ends[wide]
                     if not len(starts):
                         continue
@@ -201,13 +201,13 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     rows = docs.select(F.col(id_col).alias("id"), F.lower(text_col).alias("text"))
     grams = known.select(F.explode("grams").alias("hash")).distinct()
     counts = document_counts(rows.select("text"), mark_table(grams))
-    seeds = written(rare_seeds(known, counts), "seeds")
-    reach, fewest = known.agg(F.max(F.size("words"))).first()[0], seeds.agg(F.min("seeds")).first()[0]
-    found = written(passages(rows, mark_table(seeds.select("hash").distinct()), (reach or 0) + (reach or 0) // 2 + 1, min(HITS_LEAST, fewest or 1)), "passages")
+    seeds = written(weighted_seeds(known, counts), "seeds")
+    reach = known.agg(F.max(F.size("words"))).first()[0] or 0
+    marks, rare = (mark_table(some.select("hash").distinct()) for some in (seeds, seeds.filter(F.col("weight") == HITS_LEAST)))
+    found = written(passages(rows, marks, rare, reach + reach // 2 + 1), "passages")
     own = found.dropDuplicates(["key", "also"])
     hits = own.select("key", "also", F.explode("hits").alias("hash")).join(seeds, "hash")
-    pairs = (hits.groupBy("key", "also", "item_id").agg(F.count("*").alias("hits"), F.first("seeds").alias("seeds"))
-             .filter(F.col("hits") >= F.least(F.lit(HITS_LEAST), "seeds")).select("key", "also", "item_id"))
+    pairs = hits.groupBy("key", "also", "item_id").agg(F.sum("weight").alias("weight")).filter(F.col("weight") >= HITS_LEAST).select("key", "also", "item_id")
     both = pairs.join(known.select("item_id", F.col("words").alias("item")), "item_id").join(own.select("key", "also", "words"), ["key", "also"])
     scores = written(similarity(both).filter(F.col("score") >= least), "scores")
     best = found.select("id", "start", "key", "also").join(scores, ["key", "also"])

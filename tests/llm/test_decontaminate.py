@@ -61,6 +61,41 @@ def test_a_much_copied_item(spark):
     assert _run(spark, docs, items) == leaks | {(1000 + i, 0) for i in range(300)}
 
 
+def _edited(seed, copies):
+    """Items of 50 to 100 words; each in documents with 20 to 30 % of its words replaced, alike in all ``copies``."""
+    r = random.Random(seed)
+    words = [f"w{i}" for i in range(3000)]
+    text = lambda n: [r.choice(words) for _ in range(n)]
+    items = [(i, text(r.randint(50, 100))) for i in range(40)]
+    docs, leaks = [(1000 + i, " ".join(text(200))) for i in range(50)], set()
+    for k, item in items:
+        own = item[:]
+        for at in r.sample(range(len(own)), int(len(own) * r.uniform(0.2, 0.3))):
+            own[at] = f"odd{r.randrange(1000)}"
+        assert brute_align(item, own) >= D.SCORE_LEAST * D.MATCH * len(item)
+        for _ in range(copies):
+            leaks.add((len(leaks), k))
+            docs.append((len(leaks) - 1, " ".join(text(30) + own + text(30))))
+    return docs, [(i, " ".join(t)) for i, t in items], leaks
+
+
+def test_much_edited_long_items_in_one_document(spark):
+    docs, items, leaks = _edited(3, 1)
+    assert _run(spark, docs, items) == leaks
+
+
+def test_much_edited_long_items_in_many_documents(spark):
+    docs, items, leaks = _edited(4, 20)
+    assert _run(spark, docs, items) == leaks
+
+
+def test_a_single_shared_sequence(spark):
+    """One rare sequence is enough for an alignment."""
+    items = [(1, "a b c d e f g h i")]
+    docs = [(1, "a b c x e f x h i"), (2, "p q a b c r s t"), (3, "nothing of it")]
+    assert _run(spark, docs, items) == {(1, 1)}
+
+
 def test_messy_tables(spark):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "just three words"), (4, "two words"), (None, "two, words"), (5, "w"), (6, messy.texts()[6]), (7, messy.texts()[6]),
                                    (8, "unrelated item of quite other words altogether")], "item_id long, text string")
