@@ -13,6 +13,7 @@ from creatorlens.llm import bpe, decontaminate, jaccard, quality, secrets
 from creatorlens.llm.common import table, written
 
 QUALITY_LEAST = 0.5
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,8 +28,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each component of near copies (4-word shingles, Jaccard 0.85)."""
-    return jaccard.one_of_each(docs)
+    """Keep one document of each component of near copies (5-word shingles, Jaccard 0.8)."""
+    return jaccard.one_of_each(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from creatorlens.llm.words import mark
 from creatorlens.session import ensure_checkpoint_dir
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 MARK_BITS = 1 << 16, 1 << 28  # least and most bits of a mark table
 
 _serial = itertools.count()
@@ -39,9 +40,18 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: what follows scans the copy, so neither a
-    second use nor a lost executor repeats the work before it."""
-    path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    second use nor a lost executor repeats the work before it.  The write's own shuffle files, which nothing reads
+    after it, are deleted."""
+    path, conf = shared_folder(df.sparkSession, name), df.sparkSession.conf
+    before = conf.get(CLEAN_UP, None)
+    conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            conf.unset(CLEAN_UP)
+        else:
+            conf.set(CLEAN_UP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,5 +1,6 @@
 """N-gram Jaccard join by a prefix tree: documents whose shingle sets share 85 % of their union, and the
-components that these links form.
+components that these links form.  The words of a shingle and the percentage are parameters (4 and 85 here and
+by default).
 
 A document's set holds the hashes of its distinct 4-word shingles in one global order: the more documents
 share a shingle (once, twice, 4 or 16 times at least), the later it comes; among equals hashes decide.  Equal
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 from creatorlens.llm.common import mark_table, slices, table, written
 from creatorlens.llm.words import BLANKS, WordHasher, distinct, marked, mix, ngrams, segment_sums
 
-WORDS, PERCENT = 4, 85
+WORDS, PERCENT = 4, 85  # of the query and by default
 LEVELS = (2, 4, 16)  # documents that share a shingle at least
 RANGES, COUNTED = 1 << 12, 1 << 21  # ranges of the 32-bit numbers counted apart; shingles packed at a time
 LEVEL_BITS = 1 << 16, 1 << 28  # least and most bits of a level's table (8 for each number)
@@ -67,11 +68,11 @@ def order_of(tables: list[np.ndarray]):
     return order
 
 
-def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(column: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Each text's distinct shingle hashes and their offsets."""
     sets, ends = [np.empty(0, np.uint64)], [np.zeros(1, np.int64)]
     for _, _, hashes, offsets in _words.texts(column):
-        own, at, _ = distinct(*ngrams(hashes, offsets, WORDS, whole_if_shorter=True))
+        own, at, _ = distinct(*ngrams(hashes, offsets, words, whole_if_shorter=True))
         sets.append(own)
         ends.append(ends[-1][-1] + at[1:])
     return np.concatenate(sets), np.concatenate(ends)
@@ -85,19 +86,19 @@ def node_ids(sets: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return a.view(np.int64), b.view(np.int64)
 
 
-def prefix_sizes(sizes: np.ndarray) -> np.ndarray:
-    return np.where(sizes > 0, sizes - -(-PERCENT * sizes // 100) + 1, 0)
+def prefix_sizes(sizes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    return np.where(sizes > 0, sizes - -(-percent * sizes // 100) + 1, 0)
 
 
-def least_overlap(x, y):
-    """The smallest intersection with which sets of these sizes link: 100 i >= 85 (x + y - i)."""
-    return -(-PERCENT * (x + y) // (100 + PERCENT))
+def least_overlap(x, y, percent: int = PERCENT):
+    """The smallest intersection with which sets of these sizes link: 100 i >= percent (x + y - i)."""
+    return -(-percent * (x + y) // (100 + percent))
 
 
-def in_short_prefix(sizes: np.ndarray, some: np.ndarray) -> np.ndarray:
+def in_short_prefix(sizes: np.ndarray, some: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Which of the prefixes' shingles belong to the short prefixes, too."""
     rank = np.arange(int(some.sum())) - np.repeat(np.cumsum(some) - some, some)
-    return rank <= np.repeat(sizes - least_overlap(sizes, sizes), some)
+    return rank <= np.repeat(sizes - least_overlap(sizes, sizes, percent), some)
 
 
 def sorted_sets(sets: np.ndarray, offsets: np.ndarray, order) -> np.ndarray:
@@ -112,7 +113,7 @@ def _take(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)]
 
 
-def packed_numbers(docs: DataFrame, text_col: str) -> DataFrame:
+def packed_numbers(docs: DataFrame, text_col: str, words: int = WORDS) -> DataFrame:
     """(range, wide, numbers, often, times): sorted numbers of a range as gaps (16 bits; or 32, if wide), and
     which of them occur several times among the documents packed together (equal sets count once)."""
     span = (1 << 32) // RANGES
@@ -136,7 +137,7 @@ def packed_numbers(docs: DataFrame, text_col: str) -> DataFrame:
         held, size, seen = [], 0, set()
         for batch in batches:
             for part in slices(batch, text_col, 1 << 20):
-                sets, offsets = shingle_sets(part.column(0))
+                sets, offsets = shingle_sets(part.column(0), words)
                 for key, a, b in zip(node_ids(sets, offsets)[0].tolist(), offsets[:-1].tolist(), offsets[1:].tolist()):
                     if b > a and key not in seen:
                         seen.add(key)
@@ -214,23 +215,24 @@ def level_tables(shared: DataFrame) -> list[np.ndarray]:
     return tables
 
 
-def prefixes(docs: DataFrame, text_col: str, tables: list[np.ndarray]) -> DataFrame:
+def prefixes(docs: DataFrame, text_col: str, tables: list[np.ndarray], words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(token, a, b, short): the prefix shingles of every document's node; short is 1 in the short prefix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = order_of(tables)
         for batch in batches:
             for part in slices(batch, text_col, 1 << 20):
-                sets, offsets = shingle_sets(part.column(0))
+                sets, offsets = shingle_sets(part.column(0), words)
                 a, b = node_ids(sets, offsets)
-                some = prefix_sizes(np.diff(offsets))
+                some = prefix_sizes(np.diff(offsets), percent)
                 token = _take(sorted_sets(sets, offsets, order), offsets[:-1], some)
                 yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(np.repeat(a, some)), pa.array(np.repeat(b, some)),
-                                                  pa.array(in_short_prefix(np.diff(offsets), some).astype(np.int8))], names=["token", "a", "b", "short"])
+                                                  pa.array(in_short_prefix(np.diff(offsets), some, percent).astype(np.int8))], names=["token", "a", "b", "short"])
 
     return docs.select(text_col).mapInArrow(run, "token long, a long, b long, short byte")
 
 
-def document_sets(docs: DataFrame, id_col: str, text_col: str, tables: list[np.ndarray], marks: np.ndarray) -> DataFrame:
+def document_sets(docs: DataFrame, id_col: str, text_col: str, tables: list[np.ndarray], marks: np.ndarray,
+                  words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(id, n, a, b, hits, short, set) of the documents; the last three for the nodes with a marked shingle in
     their prefix, once per node and task: the marked shingles of the prefix, how many of them lie in the short
     one, and the set, all in the global order."""
@@ -240,15 +242,15 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, tables: list[np.n
         order, seen = order_of(tables), set()
         for batch in batches:
             for part in slices(batch, text_col, 1 << 20):
-                sets, offsets = shingle_sets(part.column(1))
+                sets, offsets = shingle_sets(part.column(1), words)
                 a, b = node_ids(sets, offsets)
                 sizes = np.diff(offsets)
-                some = prefix_sizes(sizes)
+                some = prefix_sizes(sizes, percent)
                 sets = sorted_sets(sets, offsets, order)
                 token = _take(sets, offsets[:-1], some)
                 hit = marked(marks, token)
                 bounds = np.concatenate([[0], np.cumsum(some)])
-                hits, short = (segment_sums(x.astype(np.int64), bounds) for x in (hit, hit & in_short_prefix(sizes, some)))
+                hits, short = (segment_sums(x.astype(np.int64), bounds) for x in (hit, hit & in_short_prefix(sizes, some, percent)))
                 mine = np.zeros(len(sizes), bool)
                 for i in np.flatnonzero(hits).tolist():
                     if (key := (int(a[i]), int(b[i]))) not in seen:  # copies within the task go no further
@@ -279,7 +281,8 @@ class Trie:
     its parent and the edge's content.
     """
 
-    def __init__(self, sets: list[np.ndarray], group: np.ndarray):
+    def __init__(self, sets: list[np.ndarray], group: np.ndarray, percent: int = PERCENT):
+        self.percent = percent
         self.sizes = np.array([len(s) for s in sets])
         self.levels = []  # per level: edge values and offsets, parents, depth, smallest and largest set size, group
         flat, starts = np.concatenate(sets), np.concatenate([[0], np.cumsum(self.sizes)])[:-1]
@@ -321,7 +324,7 @@ class Trie:
             here = overlap[parent[nodes]] + segment_sums(found.astype(np.int64), bounds)
             used = place[bounds[1:] - 1] + found[bounds[1:] - 1]  # of the probe, up to the edge's last value
             hope = here + np.minimum(longest[nodes] - depth[nodes], n - used)
-            stay = hope >= least_overlap(n, shortest[nodes])
+            stay = hope >= least_overlap(n, shortest[nodes], self.percent)
             if first:
                 stay &= segment_sums((found & (values < first)).astype(np.int64), bounds) == 0
             overlap = np.zeros(len(parent), np.int64)
@@ -329,14 +332,14 @@ class Trie:
             reached = np.zeros(len(parent), bool)
             reached[nodes[stay]] = True
             if len(ends):
-                good = reached[at] & (overlap[at] >= least_overlap(n, self.sizes[ends]))
+                good = reached[at] & (overlap[at] >= least_overlap(n, self.sizes[ends], self.percent))
                 out.append(ends[good])
             if not reached.any():
                 break
         return np.concatenate(out) if out else np.empty(0, np.int64)
 
 
-def forest(keys: list[tuple], sets: list[np.ndarray], labels: list[tuple], sides: list[int] | None, first: int = 0) -> list[tuple]:
+def forest(keys: list[tuple], sets: list[np.ndarray], labels: list[tuple], sides: list[int] | None, first: int = 0, percent: int = PERCENT) -> list[tuple]:
     """Links (key, key) that join the components among these sets; with ``sides`` only sets of side 0 are asked
     against sets of side 1.  Pairs that share a shingle before ``first`` are left to that shingle's sets."""
     names = {}
@@ -353,7 +356,7 @@ def forest(keys: list[tuple], sets: list[np.ndarray], labels: list[tuple], sides
     told = np.array([i for i in range(len(sets)) if sides is None or sides[i] == 1], np.int64)
     if not len(asked) or not len(told) or len(names) < 2:
         return []
-    trie, out = Trie([sets[i] for i in told], group[told]), []
+    trie, out = Trie([sets[i] for i in told], group[told], percent), []
     for i in asked:
         for j in told[trie.links(sets[i], group[i], first)].tolist():
             if (x := find(group[i])) != (y := find(group[j])):
@@ -365,17 +368,17 @@ def forest(keys: list[tuple], sets: list[np.ndarray], labels: list[tuple], sides
 # ---------------------------------------------------------------- links
 
 def star_links(nodes: DataFrame, entries: DataFrame) -> DataFrame:
-    """(a, b, c, d): each node's link with its centre (c, d), if they link."""
+    """(a, b, c, d): each node's link with its centre (c, d), if they link; ``nodes`` say the percentage."""
     centres = entries.groupBy("token").agg(F.min(F.struct("a", "b")).alias("z")).select("token", F.col("z.a").alias("c"), F.col("z.b").alias("d"))
     met = entries.join(centres, "token").filter((F.col("a") != F.col("c")) | (F.col("b") != F.col("d")))
     counted = met.groupBy("a", "b", "c", "d").agg(F.count("*").alias("times"))
     best = counted.groupBy("a", "b").agg(F.max(F.struct("times", "c", "d")).alias("best")).select("a", "b", "best.c", "best.d")
-    own = nodes.select("a", "b", "set", "n")
+    own = nodes.select("a", "b", "set", "n", "percent")
     other = nodes.select(F.col("a").alias("c"), F.col("b").alias("d"), F.col("set").alias("other"), F.col("n").alias("m"))
-    near = (F.least("n", "m") * 100 >= F.greatest("n", "m") * PERCENT)
+    near = (F.least("n", "m") * 100 >= F.greatest("n", "m") * F.col("percent"))
     both = best.join(own, ["a", "b"]).join(other, ["c", "d"]).filter(near)
     shared = F.size(F.array_intersect("set", "other"))
-    return both.filter(shared * (100 + PERCENT) >= (F.col("n") + F.col("m")) * PERCENT).select("a", "b", "c", "d")
+    return both.filter(shared * (100 + F.col("percent")) >= (F.col("n") + F.col("m")) * F.col("percent")).select("a", "b", "c", "d")
 
 
 def labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -388,7 +391,7 @@ def labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
             .select("a", "b", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb")))
 
 
-def trie_links(nodes: DataFrame, entries: DataFrame, labels: DataFrame) -> DataFrame:
+def trie_links(nodes: DataFrame, entries: DataFrame, labels: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(a, b, c, d): links that join what the labels leave apart, found by tries of bounded blocks."""
     entries = entries.join(labels, ["a", "b"])
     open_ = entries.groupBy("token").agg(
@@ -397,7 +400,7 @@ def trie_links(nodes: DataFrame, entries: DataFrame, labels: DataFrame) -> DataF
     open_ = open_.filter(((F.col("x") != F.col("y")) | (F.col("z") != F.col("w"))) & (F.col("short") == 1))
     open_ = open_.groupBy("who", "also", "count").agg(F.min("token").alias("token")).select("token")
     # lengths of one class differ by less than the threshold allows: a set links within its class and the next
-    sized = entries.join(open_, "token").withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1000 / (10 * PERCENT - 1)))).cast("int"))
+    sized = entries.join(open_, "token").withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1000 / (10 * percent - 1)))).cast("int"))
     blocks = (sized.groupBy("token", "class").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")))
     around = lambda by, name: blocks.select("token", (F.col("class") - by).alias("class"), F.col("blocks").alias(name))
     sized = (sized.join(blocks, ["token", "class"]).join(around(1, "above"), ["token", "class"], "left")
@@ -427,7 +430,7 @@ def trie_links(nodes: DataFrame, entries: DataFrame, labels: DataFrame) -> DataF
 
         for _, own in itertools.groupby(members(), key=lambda r: r[0]):
             _, token, cross, side, a, b, la, lb, sets = zip(*own)
-            found = forest(list(zip(a, b)), list(sets), list(zip(la, lb)), list(side) if cross[0] else None, token[0])
+            found = forest(list(zip(a, b)), list(sets), list(zip(la, lb)), list(side) if cross[0] else None, token[0], percent)
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([x[i][j] for x in found], pa.int64()) for i in (0, 1) for j in (0, 1)], names=["a", "b", "c", "d"])
 
@@ -463,20 +466,21 @@ def components(links: DataFrame) -> DataFrame:
         before = after
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) of every row."""
-    tables = level_tables(written(shared_numbers(packed_numbers(docs, text_col)), "shared-numbers"))
-    shared = (prefixes(docs, text_col, tables).groupBy("token")
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(id, n_shingles, component_id) of every row; links share ``percent`` of their shingles of ``words`` words."""
+    tables = level_tables(written(shared_numbers(packed_numbers(docs, text_col, words)), "shared-numbers"))
+    shared = (prefixes(docs, text_col, tables, words, percent).groupBy("token")
               .agg(F.min("a").alias("x"), F.max("a").alias("y"), F.min("b").alias("z"), F.max("b").alias("w"), F.max("short").alias("short"))
               .filter(((F.col("x") != F.col("y")) | (F.col("z") != F.col("w"))) & (F.col("short") == 1)).select("token"))
     shared = written(shared, "shared-shingles")
-    every = written(document_sets(docs, id_col, text_col, tables, mark_table(shared)), "document-sets")
+    every = written(document_sets(docs, id_col, text_col, tables, mark_table(shared), words, percent), "document-sets")
     known = every.select("id", "n", "a", "b")
     nodes = written(every.filter(F.col("hits").isNotNull()).select("a", "b", "n", "hits", "short", "set").dropDuplicates(["a", "b"]), "candidate-sets")
+    nodes = nodes.withColumn("percent", F.lit(percent))
     entries = nodes.select("a", "b", "n", "short", F.posexplode("hits").alias("at", "token"))
     entries = written(entries.select("a", "b", "n", "token", (F.col("at") < F.col("short")).cast("byte").alias("short")).join(shared, "token"), "entries")
     stars = written(star_links(nodes, entries), "star-links")
-    links = stars.unionByName(trie_links(nodes, entries, labelled(nodes, stars)))
+    links = stars.unionByName(trie_links(nodes, entries, labelled(nodes, stars), percent))
     roots = components(links)
     # the smallest id of each node, then of each component
     least = known.filter(F.col("n") > 0).groupBy("a", "b").agg(F.min("id").alias("least"))
@@ -487,9 +491,9 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             .select("id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id")))
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The documents with the smallest id of their component; of rows equal in id and text, one."""
-    found = jaccard_join(docs, id_col, text_col)
+    found = jaccard_join(docs, id_col, text_col, words, percent)
     kept = found.filter(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("__kept")).distinct()
     rows = docs.join(kept, F.col(id_col) == F.col("__kept"), "left_semi").dropDuplicates([id_col, text_col])
     return rows.unionByName(docs.filter(F.col(id_col).isNull()))

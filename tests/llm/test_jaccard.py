@@ -126,3 +126,37 @@ def test_prefix_and_threshold():
         for m in (n, n + 1, n + 7):
             want = next((i for i in range(min(n, m) + 1) if 100 * i >= 85 * (n + m - i)), None)
             assert want is None or jaccard.least_overlap(n, m) == want
+
+
+def _kept(rows, words, percent):
+    """The ids whose component (of ``words``-word shingles, ``percent`` of the union) has none smaller."""
+    sets = []
+    for _, text in rows:
+        own = re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        sets.append(({tuple(own[i:i + words]) for i in range(len(own) - words + 1)} or {tuple(own)}) if own else set())
+    least = list(range(len(rows)))
+    changed = True
+    while changed:
+        changed = False
+        for i in range(len(rows)):
+            for j in range(i):
+                both = len(sets[i] & sets[j])
+                if both and 100 * both >= percent * len(sets[i] | sets[j]) and least[i] != least[j]:
+                    low = i if rows[least[i]][0] < rows[least[j]][0] else j
+                    least[i] = least[j] = least[low]
+                    changed = True
+    return {rows[k][0] for k in range(len(rows)) if least[k] == k}
+
+
+@pytest.mark.parametrize("words,percent", [(5, 80), (3, 60)])
+def test_other_words_and_percentages(spark, words, percent):
+    rows = corpus(5, groups=8)
+    got = jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"), words=words, percent=percent)
+    assert {r.doc_id for r in got.collect()} == _kept(rows, words, percent)
+
+
+def test_pipeline_stage_takes_five_words_and_four_fifths(spark):
+    import corpus_pipeline
+    rows = corpus(6, groups=8)
+    got = corpus_pipeline.jaccard_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert {r.doc_id for r in got.collect()} == _kept(rows, 5, 80) != _kept(rows, 4, 85)
