@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creatorlens.llm.words import mark
@@ -55,6 +55,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_keys(id_col: str, text_col: str) -> tuple[Column, Column]:
+    """128 bits (k, l) that name a row's id and text, never null."""
+    name = F.to_json(F.struct(F.col(id_col).alias("id")))
+    return F.xxhash64(name, F.lit(0), F.col(text_col)).alias("k"), F.xxhash64(F.col(text_col), F.lit(1), name).alias("l")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    while name.lower() in [c.lower() for c in df.columns]:
+        name = f"_{name}"
+    return name
+
+
 def slices(batch: pa.RecordBatch, text: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part's texts take about ``most`` bytes (one row at least)."""
     import pyarrow.compute as pc

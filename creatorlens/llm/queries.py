@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from creatorlens.llm import arc, bpe, chat, decontaminate, jaccard, quality, secrets, tokenbin, topk, urls
+from creatorlens.llm import arc, bpe, chat, decontaminate, jaccard, lexical, quality, repair, repeats, secrets, tokenbin, topk, urls
 
 
 def pipeline(spark, sf_dir):
@@ -21,6 +21,9 @@ QUERIES = {
     "op8_jaccard": jaccard.op8_jaccard,
     "op9_warc": arc.op9_warc,
     "op10_bpe": bpe.op10_bpe,
+    "op11_repeats": repeats.op11_repeats,
+    "op12_search": lexical.op12_search,
+    "op13_repair": repair.op13_repair,
     "pipeline": pipeline,
 }
 
@@ -31,4 +34,7 @@ SQL: dict[str, str] = {
     "op7_chat": chat.SQL,
     "op8_jaccard": jaccard.SQL,
     "op9_warc": arc.SQL,
+    "op11_repeats": repeats.SQL,
+    "op12_search": lexical.SQL,
+    "op13_repair": repair.SQL,
 }

@@ -60,13 +60,13 @@ NON_ALNUM = bytes(c for c in range(128) if not chr(c).isalnum())
 
 
 class WordHasher:
-    """Splits texts at ``separators`` (ASCII bytes), lower-cases A-Z and hashes the words."""
+    """Splits texts at ``separators`` (ASCII bytes), lower-cases A-Z (or not) and hashes the words."""
 
-    def __init__(self, separators: bytes = BLANKS):
+    def __init__(self, separators: bytes = BLANKS, lower_case: bool = True):
         self.is_word = np.ones(256, bool)
         self.is_word[list(separators)] = False
         lower = np.arange(256)
-        lower[65:91] += 32
+        lower[65:91] += 32 * lower_case
         self.value = np.where(self.is_word, _VALUES[lower], np.uint64(0)).astype(np.uint64)
 
     def _chunk(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

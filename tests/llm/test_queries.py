@@ -15,4 +15,4 @@ def test_equals_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert [n.split("_")[0] for n in QUERIES] == [*(f"op{i}" for i in range(1, 11)), "pipeline"]
+    assert [n.split("_")[0] for n in QUERIES] == [*(f"op{i}" for i in range(1, 14)), "pipeline"]
