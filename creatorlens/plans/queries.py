@@ -746,3 +746,79 @@ def u2_stop_words(spark, d):
     stops = vec.stop_word_union(TITLE_STOP_WORDS, ["red", "new", "blue"])
     terms = I.part_titles(spark, d).select(F.explode(vec.analyze(F.col("title"), stop_words=stops)).alias("term"))
     return terms.groupBy("term").agg(F.count("*").alias("n"))
+
+
+# ------------------------------------------------------------------ phrases, modifiers, tables as lexicons
+from creatorlens.functions import text as tx  # noqa: E402
+from creatorlens.operators import kernel_svm as ksv  # noqa: E402
+from creatorlens.operators import neighbour_map as nmap  # noqa: E402
+from creatorlens.operators import phrases as phr  # noqa: E402
+
+
+@register("t2_word_tokens")
+def t2_word_tokens(spark, d):
+    """T2 in full: contractions, quotes, ellipses and punctuation as tokens of their own, over every conversation turn."""
+    c = I.conversation_texts(spark, d).select("text_id", tx.treebank_tokens("text").alias("t"), tx.word_tokens("text").alias("w"))
+    return c.select("text_id", F.array_join("t", " ").alias("tokens"), F.size("w").alias("n_words"))
+
+
+@register("t3_phrase_traits")
+def t3_phrase_traits(spark, d):
+    """T3/J4 in intent mode: lexicon entries of several words, the longest at each place, some only as written."""
+    return phr.count_phrases(I.documents(spark, d), I.phrase_lexicon(spark, d), id_col="doc_id")
+
+
+@register("t6_modified_polarity")
+def t6_modified_polarity(spark, d):
+    """T6 with intensifiers, entries of several words and negation at a distance."""
+    s = sent.score_modified(I.conversation_texts(spark, d), I.modified_lexicon(spark), id_col="text_id")
+    return s.select("text_id", _r("polarity").alias("polarity"), (F.col("polarity") > 0).alias("positive"))
+
+
+@register("j5_lexicon_table")
+def j5_lexicon_table(spark, d):
+    """J5 with a lexicon stored as a table: distinct terms that each document holds as substrings."""
+    return lex.terms_present(I.documents(spark, d), I.term_table(spark, d), id_col="doc_id")
+
+
+@register("m2_neighbour_map")
+def m2_neighbour_map(spark, d):
+    """M2: every embedding placed on the landmark t-SNE map."""
+    p = nmap.neighbour_map(_embeddings(spark, d))
+    return p.select("id", (F.size("projection") == 2).alias("placed"))
+
+
+@register("m2_map_trustworthiness")
+def m2_map_trustworthiness(spark, d):
+    """M2: trustworthiness of the t-SNE map and of PCA on the same rows, and whether the map's is better."""
+    both = materialize(nmap.neighbour_map(clu.project(_embeddings(spark, d), out="pca")))
+    t = nmap.trustworthiness(both, "id", "features", {"tsne": "projection", "pca": "pca"})
+    value = lambda m: F.max(F.when(F.col("method") == m, F.col("trustworthiness")))
+    return t.agg(F.max("n").alias("n"), F.max("queries").alias("queries"), _r(value("tsne"), 4).alias("tsne"), _r(value("pca"), 4).alias("pca"),
+                 (value("tsne") > value("pca")).alias("better"))
+
+
+def _kernel_svc(spark, d):
+    """(model, scored test rows) of the one-vs-one RBF classifier on title vectors."""
+    data = materialize(_labelled_titles(spark, d))
+    train = data.where(~F.col("is_test"))
+    vectors = cls.title_vectors(train)
+    model = ksv.fit_kernel_svm(cls.with_title_vectors(vectors, train), "category", "features", "p_partkey")
+    return model, ksv.predict_kernel_svm(model, cls.with_title_vectors(vectors, data.where(F.col("is_test"))), "features").drop("features")
+
+
+@register("m4_kernel_svc_report")
+def m4_kernel_svc_report(spark, d):
+    """M4: one-vs-one RBF classifier: support of each class among the test rows, whether every pair's KKT gap over all
+    training rows is below the tolerance, and whether the accuracy beats the largest class."""
+    model, scored = _kernel_svc(spark, d)
+    support = materialize(scored).groupBy(F.col("category").alias("label")).agg(
+        F.count("*").alias("support"), F.sum((F.col("category") == F.col("prediction")).cast("long")).alias("hit"))
+    total = support.agg(F.struct((F.max("support") / F.sum("support")).alias("share"), (F.sum("hit") / F.sum("support")).alias("hit")).alias("t")).scalar()
+    return support.select("label", "support", F.lit(bool(model.gap <= 1e-3)).alias("converged"), (total["hit"] > total["share"]).alias("beats_majority"))
+
+
+@register("m4_kernel_svc_predictions")
+def m4_kernel_svc_predictions(spark, d):
+    """M4/M6: the test titles, each with a known class voted for."""
+    return _kernel_svc(spark, d)[1].select("p_partkey", "title", "category", F.col("prediction").isin(TITLE_CLASSES).alias("known"))
