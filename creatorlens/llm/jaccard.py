@@ -15,7 +15,8 @@ sets are one *node*.  Two sets that link share a shingle of their first |s| - ce
 3. One pass gives each document's node, and the sets of the nodes that own a marked shingle.
 4. Each node is compared with one centre, the smallest node met most often under its shingles.  This joins
    most copies of a large group in linear work; shingles whose nodes are all joined need no more.
-5. Of the other shingles, one for each distinct list of nodes is kept.  Its nodes are cut into blocks by
+5. Of the other shingles, one for each distinct list of nodes is kept; shingles whose nodes overlap share a group as
+   long as its sets fit a block, so that each set travels there once.  A group's nodes are cut into blocks by
    length class and a hash, so that a task's sets have a bounded size, and blocks whose lengths allow a link
    meet.  There the sets form a trie; every set traverses it once, sharing the overlap of common paths, and
    leaves subtrees whose remaining lengths cannot reach the threshold, whose sets are joined with it, or that
@@ -38,10 +39,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creatorlens.llm.common import mark_table, slices, table, written
+from creatorlens.llm.common import free_name, mark_table, row_keys, slices, table, written
 from creatorlens.llm.words import BLANKS, WordHasher, distinct, marked, mix, ngrams, segment_sums
 
 WORDS, PERCENT = 4, 85  # of the query and by default
@@ -233,9 +234,9 @@ def prefixes(docs: DataFrame, text_col: str, tables: list[np.ndarray], words: in
 
 def document_sets(docs: DataFrame, id_col: str, text_col: str, tables: list[np.ndarray], marks: np.ndarray,
                   words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(id, n, a, b, hits, short, set) of the documents; the last three for the nodes with a marked shingle in
-    their prefix, once per node and task: the marked shingles of the prefix, how many of them lie in the short
-    one, and the set, all in the global order."""
+    """(id, k, l, n, a, b, hits, short, set) of the documents; k and l name id and text, the last three are for the
+    nodes with a marked shingle in their prefix, once per node and task: the marked shingles of the prefix, how many
+    of them lie in the short one, and the set, all in the global order."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,11 +266,12 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, tables: list[np.n
 
                 empty = sizes == 0
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array(sizes), pa.array(a, mask=empty), pa.array(b, mask=empty),
+                    part.column(0), part.column(2), part.column(3), pa.array(sizes), pa.array(a, mask=empty), pa.array(b, mask=empty),
                     lists(token[hit & np.repeat(mine, some)], hits), pa.array(short, mask=~mine), lists(_take(sets, offsets[:-1][mine], sizes[mine]), sizes)],
-                    names=["id", "n", "a", "b", "hits", "short", "set"])
+                    names=["id", "k", "l", "n", "a", "b", "hits", "short", "set"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {id_type}, n long, a long, b long, hits array<long>, short long, set array<long>")
+    return docs.select(id_col, text_col, *row_keys(id_col, text_col)).mapInArrow(
+        run, f"id {id_type}, k long, l long, n long, a long, b long, hits array<long>, short long, set array<long>")
 
 
 # ---------------------------------------------------------------- trie
@@ -373,6 +375,7 @@ def star_links(nodes: DataFrame, entries: DataFrame) -> DataFrame:
     met = entries.join(centres, "token").filter((F.col("a") != F.col("c")) | (F.col("b") != F.col("d")))
     counted = met.groupBy("a", "b", "c", "d").agg(F.count("*").alias("times"))
     best = counted.groupBy("a", "b").agg(F.max(F.struct("times", "c", "d")).alias("best")).select("a", "b", "best.c", "best.d")
+    best = written(best, "best-centres")
     own = nodes.select("a", "b", "set", "n", "percent")
     other = nodes.select(F.col("a").alias("c"), F.col("b").alias("d"), F.col("set").alias("other"), F.col("n").alias("m"))
     near = (F.least("n", "m") * 100 >= F.greatest("n", "m") * F.col("percent"))
@@ -391,17 +394,41 @@ def labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
             .select("a", "b", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb")))
 
 
+def families(sized: DataFrame) -> DataFrame:
+    """``sized`` with (token, first): shingles whose nodes overlap become one group, where each set travels once.
+
+    A shingle takes the smallest number within two steps over nodes and shingles.  A group whose sets have
+    ``BLOCK_SHINGLES`` at most is named by that number, and all its pairs meet there (``first`` 0); the shingles of
+    larger groups stay by themselves, and their pairs meet under the first shingle that they share."""
+    group = sized.select("token", "a", "b", F.col("token").alias("g"))
+    for _ in range(2):
+        near = group.groupBy("a", "b").agg(F.min("g").alias("least"))
+        told = group.join(near, ["a", "b"]).groupBy("token").agg(F.min("least").alias("g"))
+        group = written(sized.select("token", "a", "b").join(told, "token"), "groups")
+    rows = sized.join(group.select("token", "g").distinct(), "token")
+    small = rows.select("g", "a", "b", "n").distinct().groupBy("g").agg(F.sum("n").alias("all")).filter(F.col("all") <= BLOCK_SHINGLES).select("g", F.lit(True).alias("small"))
+    rows = rows.join(small, "g", "left").withColumn("small", F.coalesce("small", F.lit(False)))
+    name = F.when(F.col("small"), F.xxhash64(F.lit("group"), "g")).otherwise(F.xxhash64(F.lit("shingle"), "token"))
+    named = rows.withColumns({"first": F.when(F.col("small"), F.lit(0).cast("long")).otherwise(F.col("token")), "token": name})
+    return written(named.groupBy("token", "first", "a", "b", "n", "la", "lb", "class").agg(F.max("short").alias("short")), "families")
+
+
 def trie_links(nodes: DataFrame, entries: DataFrame, labels: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(a, b, c, d): links that join what the labels leave apart, found by tries of bounded blocks."""
-    entries = entries.join(labels, ["a", "b"])
-    open_ = entries.groupBy("token").agg(
+    """(a, b, c, d): links that join what the labels leave apart, found by tries of bounded blocks.
+
+    What is used again is written first (labels, open shingles, their entries, the blocks' rows), so that no job has
+    a plan that grows with the steps before it."""
+    labels = written(labels, "labels")
+    open_ = entries.join(labels, ["a", "b"]).groupBy("token").agg(
         F.min("la").alias("x"), F.max("la").alias("y"), F.min("lb").alias("z"), F.max("lb").alias("w"), F.count("*").alias("count"), F.max("short").alias("short"),
         F.bit_xor(F.xxhash64("a", "b")).alias("who"), F.bit_xor(F.xxhash64("b", "a")).alias("also"))
     open_ = open_.filter(((F.col("x") != F.col("y")) | (F.col("z") != F.col("w"))) & (F.col("short") == 1))
-    open_ = open_.groupBy("who", "also", "count").agg(F.min("token").alias("token")).select("token")
+    open_ = written(open_.groupBy("who", "also", "count").agg(F.min("token").alias("token")).select("token"), "open-shingles")
     # lengths of one class differ by less than the threshold allows: a set links within its class and the next
-    sized = entries.join(open_, "token").withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1000 / (10 * percent - 1)))).cast("int"))
+    sized = entries.join(open_, "token").join(labels, ["a", "b"]).withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1000 / (10 * percent - 1)))).cast("int"))
+    sized = families(written(sized, "open-entries"))
     blocks = (sized.groupBy("token", "class").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")))
+    blocks = written(blocks, "blocks")
     around = lambda by, name: blocks.select("token", (F.col("class") - by).alias("class"), F.col("blocks").alias(name))
     sized = (sized.join(blocks, ["token", "class"]).join(around(1, "above"), ["token", "class"], "left")
              .join(around(-1, "below"), ["token", "class"], "left"))
@@ -413,13 +440,14 @@ def trie_links(nodes: DataFrame, entries: DataFrame, labels: DataFrame, percent:
         t > F.col("block"), F.array(task(1, F.col("class"), F.col("block"), t, 0))).otherwise(F.array(task(1, F.col("class"), t, F.col("block"), 1)))))
     up = F.when(F.col("above").isNotNull(), F.transform(upto(F.col("above")), lambda t: task(2, F.col("class"), F.col("block"), t, 0))).otherwise(none)
     down = F.when(F.col("below").isNotNull(), F.transform(upto(F.col("below")), lambda t: task(2, F.col("class") - 1, t, F.col("block"), 1))).otherwise(none)
-    spread = (sized.withColumn("block", block).select("token", "a", "b", "la", "lb", "short", F.explode(F.concat(same, up, down)).alias("task"))
+    spread = (sized.withColumn("block", block).select("token", "first", "a", "b", "la", "lb", "short", F.explode(F.concat(same, up, down)).alias("task"))
               .withColumn("key", F.xxhash64("token", "task.cross", "task.low", "task.i", "task.j")))
+    spread = written(spread, "block-rows")
     # a task of one label has nothing to join, nor has one without a short prefix
     useful = (spread.groupBy("key").agg(F.min("la").alias("x"), F.max("la").alias("y"), F.min("lb").alias("z"), F.max("lb").alias("w"), F.max("short").alias("short"))
               .filter(((F.col("x") != F.col("y")) | (F.col("z") != F.col("w"))) & (F.col("short") == 1)).select("key"))
     rows = spread.join(useful, "key").join(nodes.select("a", "b", "set"), ["a", "b"]).select(
-        "key", "token", F.col("task.cross").alias("cross"), F.col("task.side").alias("side"), "a", "b", "la", "lb", "set")
+        "key", "first", F.col("task.cross").alias("cross"), F.col("task.side").alias("side"), "a", "b", "la", "lb", "set")
     rows = rows.repartition("key").sortWithinPartitions("key", "side", "a", "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -429,8 +457,8 @@ def trie_links(nodes: DataFrame, entries: DataFrame, labels: DataFrame, percent:
                     yield (*(c[i].as_py() for c in batch.columns[:8]), batch.column(8)[i].values.to_numpy().view(np.uint64))
 
         for _, own in itertools.groupby(members(), key=lambda r: r[0]):
-            _, token, cross, side, a, b, la, lb, sets = zip(*own)
-            found = forest(list(zip(a, b)), list(sets), list(zip(la, lb)), list(side) if cross[0] else None, token[0], percent)
+            _, first, cross, side, a, b, la, lb, sets = zip(*own)
+            found = forest(list(zip(a, b)), list(sets), list(zip(la, lb)), list(side) if cross[0] else None, first[0], percent)
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([x[i][j] for x in found], pa.int64()) for i in (0, 1) for j in (0, 1)], names=["a", "b", "c", "d"])
 
@@ -440,14 +468,12 @@ def trie_links(nodes: DataFrame, entries: DataFrame, labels: DataFrame, percent:
 def components(links: DataFrame) -> DataFrame:
     """(a, b, ra, rb): the smallest node (ra, rb) of each linked node's component, by alternating stars.
 
-    A round is one job: the new edges are written to the shared folder and summed up on their way; equal sums
-    end the search.  The number of rounds grows with the logarithm of the longest path.
+    Each round writes the new edges to the shared folder and sums up the copy; equal sums end the search.  The
+    number of rounds grows with the logarithm of the longest path.
     """
-    def kept(edges: DataFrame) -> tuple[DataFrame, dict]:
-        sums = Observation()
-        both = (F.xxhash64("u", "v"), F.xxhash64("v", "u"))
-        edges = edges.observe(sums, F.count(F.lit(1)).alias("n"), *[F.bit_xor(h).alias(f"x{i}") for i, h in enumerate(both)])
-        return written(edges, "edges"), sums.get
+    def kept(edges: DataFrame) -> tuple[DataFrame, tuple]:
+        edges = written(edges, "edges")
+        return edges, tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first())
 
     point = lambda x, y: F.struct(F.col(x).alias("a"), F.col(y).alias("b"))
     edges, before = kept(links.select(point("a", "b").alias("u"), point("c", "d").alias("v")).filter(F.col("u") != F.col("v")).distinct())
@@ -466,15 +492,15 @@ def components(links: DataFrame) -> DataFrame:
         before = after
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(id, n_shingles, component_id) of every row; links share ``percent`` of their shingles of ``words`` words."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Every row's (id, k, l, n, a, b), and (a, b, least, ra, rb): the nodes with their smallest id and their component."""
     tables = level_tables(written(shared_numbers(packed_numbers(docs, text_col, words)), "shared-numbers"))
     shared = (prefixes(docs, text_col, tables, words, percent).groupBy("token")
               .agg(F.min("a").alias("x"), F.max("a").alias("y"), F.min("b").alias("z"), F.max("b").alias("w"), F.max("short").alias("short"))
               .filter(((F.col("x") != F.col("y")) | (F.col("z") != F.col("w"))) & (F.col("short") == 1)).select("token"))
     shared = written(shared, "shared-shingles")
     every = written(document_sets(docs, id_col, text_col, tables, mark_table(shared), words, percent), "document-sets")
-    known = every.select("id", "n", "a", "b")
+    known = every.select("id", "k", "l", "n", "a", "b")
     nodes = written(every.filter(F.col("hits").isNotNull()).select("a", "b", "n", "hits", "short", "set").dropDuplicates(["a", "b"]), "candidate-sets")
     nodes = nodes.withColumn("percent", F.lit(percent))
     entries = nodes.select("a", "b", "n", "short", F.posexplode("hits").alias("at", "token"))
@@ -482,21 +508,32 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     stars = written(star_links(nodes, entries), "star-links")
     links = stars.unionByName(trie_links(nodes, entries, labelled(nodes, stars), percent))
     roots = components(links)
-    # the smallest id of each node, then of each component
     least = known.filter(F.col("n") > 0).groupBy("a", "b").agg(F.min("id").alias("least"))
     rooted = least.join(roots, ["a", "b"], "left").select("a", "b", "least", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb"))
-    rooted = written(rooted, "roots")
+    return known, written(rooted, "roots")
+
+
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(id, n_shingles, component_id) of every row; links share ``percent`` of their shingles of ``words`` words."""
+    known, rooted = _grouped(docs, id_col, text_col, words, percent)
     named = rooted.groupBy("ra", "rb").agg(F.min("least").alias("component_id"))
     return (known.join(rooted.join(named, ["ra", "rb"]).select("a", "b", "component_id"), ["a", "b"], "left")
             .select("id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id")))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The documents with the smallest id of their component; of rows equal in id and text, one."""
-    found = jaccard_join(docs, id_col, text_col, words, percent)
-    kept = found.filter(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("__kept")).distinct()
-    rows = docs.join(kept, F.col(id_col) == F.col("__kept"), "left_semi").dropDuplicates([id_col, text_col])
-    return rows.unionByName(docs.filter(F.col(id_col).isNull()))
+    """One row of each component: that of the smallest id (null ids last; by hashes among equal ones).  Rows without
+    words link with nothing and stay; of rows equal in id and text, one."""
+    known, rooted = _grouped(docs, id_col, text_col, words, percent)
+    place = F.struct(F.col("id").isNull().alias("late"), "id", "a", "b", "k", "l")
+    first = known.filter(F.col("n") > 0).groupBy("a", "b").agg(F.min(place).alias("p"))  # copies meet here, before the join
+    best = first.join(rooted, ["a", "b"]).groupBy("ra", "rb").agg(F.min("p").alias("p")).select("p.k", "p.l")
+    kept = best.unionByName(known.filter(F.col("n") == 0).select("k", "l").distinct())
+    k, l = row_keys(id_col, text_col)
+    name = free_name(docs, "k"), free_name(docs, "l")
+    rows = docs.withColumns({name[0]: k, name[1]: l})
+    kept = kept.select(F.col("k").alias(name[0]), F.col("l").alias(name[1]))
+    return rows.join(kept, list(name), "left_semi").dropDuplicates(list(name)).select(*docs.columns)
 
 
 def op8_jaccard(spark, sf_dir: str) -> DataFrame:

@@ -160,3 +160,20 @@ def test_pipeline_stage_takes_five_words_and_four_fifths(spark):
     rows = corpus(6, groups=8)
     got = corpus_pipeline.jaccard_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
     assert {r.doc_id for r in got.collect()} == _kept(rows, 5, 80) != _kept(rows, 4, 85)
+
+
+def test_one_row_of_each_by_row(spark):
+    """Rows with equal or null ids are documents of their own; of each component one row stays."""
+    words = " ".join(f"w{i}" for i in range(40))
+    other = " ".join(f"v{i}" for i in range(40))
+    rows = [(3, words), (5, words), (5, other), (None, other), (None, "just alone here now"), (None, "just alone here now"), (8, None), (8, None), (9, " ")]
+    got = jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted([tuple(r) for r in got], key=repr) == sorted([(3, words), (5, other), (None, "just alone here now"), (8, None), (9, " ")], key=repr)
+
+
+def test_leaves_the_session_usable(spark):
+    """Fitted linear models still score after a join in the same session."""
+    from creatorlens.plans.queries import QUERIES
+    assert jaccard.op8_jaccard(spark, "/root/testdata/sf0.001").count()
+    for name in ("m4_svm_test_predictions", "m6_predict_titles"):
+        assert QUERIES[name](spark, "/root/testdata/sf0.001").collect()
