@@ -10,22 +10,25 @@ from tests.llm import messy
 PATTERNS = [re.compile(secrets.ASSIGN, re.A), re.compile("AKIA[A-Z0-9]+"), re.compile("[0-9a-f]+")]
 
 
+def _live(v):
+    return len(v) >= 20 and re.search("[0-9]", v) and re.search("[A-Za-z]", v) and len(set(v)) >= secrets.DISTINCT_LEAST
+
+
 def brute(rows):
     """(id, base, spans) by Python's re; rows: (id, text, owner, repository)."""
-    base, held = [], []
-    for _, text, _, _ in rows:
+    base, held, owners = [], [], defaultdict(set)
+    for _, text, owner, _ in rows:
         text = text or ""
-        spans = [(m.start(), 0, m.end()) for m in PATTERNS[0].finditer(text) if len(m[2]) >= 12]
-        spans += [(m.start(), 1, m.end()) for m in PATTERNS[1].finditer(text) if len(m[0]) >= 18]
-        spans += [(m.start(), 2, m.end()) for m in PATTERNS[2].finditer(text) if len(m[0]) >= 16]
-        base.append(sorted(spans))
-        held.append([(m.start(), 3, m.end(), m[0]) for m in re.finditer(secrets.CANDIDATE, text)
-                     if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]) and len(set(m[0])) >= secrets.DISTINCT_LEAST
-                     and not any(a < m.end() and m.start() < b for a, _, b in spans)])
-    owners = defaultdict(set)
-    for (_, _, owner, _), own in zip(rows, held):
-        for *_, value in own:
+        found = [(m.start(), 0, m.end(), m[2]) for m in PATTERNS[0].finditer(text) if len(m[2]) >= 12]
+        found += [(m.start(), 1, m.end(), m[0]) for m in PATTERNS[1].finditer(text) if len(m[0]) >= 18]
+        found += [(m.start(), 2, m.end(), m[0]) for m in PATTERNS[2].finditer(text) if len(m[0]) >= 16]
+        spans = sorted(f[:3] for f in found)
+        base.append(spans)
+        bare = [(m.start(), 3, m.end(), m[0]) for m in re.finditer(secrets.CANDIDATE, text) if _live(m[0])]
+        for *_, value in found + bare:
             owners[value].add(owner)
+        held.append([(e - len(v), 3, e, v) for _, _, e, v in found if _live(v)]
+                    + [c for c in bare if not any(a < c[2] and c[0] < b for a, _, b in spans)])
     return [(r[0], b, sorted(b + [h[:3] for h in own if len(owners[h[3]]) == 1])) for r, b, own in zip(rows, base, held)]
 
 
@@ -105,7 +108,7 @@ def _owned(spark):
 
 def test_owners_of_assigned_values_count(spark):
     got = {r.doc_id: r for r in secrets.find_secrets(_owned(spark)).collect()}
-    assert got[3]["spans"] == [] and [s.kind for s in got[5]["spans"]] == [3] == [s.kind for s in got[6]["spans"]]
+    assert got[3]["spans"] == [] and [(s.start, s.kind, s.end) for s in got[4]["spans"]] == [(0, 0, 27), (6, 3, 27)] and [s.kind for s in got[5]["spans"]] == [3] == [s.kind for s in got[6]["spans"]]
     told = {i: [(v.kind, v.owners, v.repositories, v["class"]) for v in r["values"]] for i, r in got.items()}
     assert told == {**{i: [(0, 4, 4, "copied")] for i in range(3)}, 3: [(3, 4, 4, "copied")], 4: [(0, 1, 1, "own")],
                     5: [(3, 1, 2, "shared")], 6: [(3, 1, 2, "shared")]}
@@ -124,3 +127,8 @@ def test_query_keeps_to_its_sql(spark, tmp_path):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
     status, _, _, message = compare(spark, con, "op3_secrets", secrets.op3_secrets, secrets.SQL, str(tmp_path))
     assert status == "ok", message
+
+
+def test_the_query_counts_values_of_the_tables(spark):
+    got = [c for r in secrets.op3_secrets(spark, "/root/testdata/sf0.01").select("classes").collect() for c in r.classes.split(",") if c]
+    assert len(got) > 50 and {c.split(":")[-1] for c in got} >= {"copied", "own"}
