@@ -57,3 +57,24 @@ def test_query_on_messy_rows(spark, tmp_path, monkeypatch):
 def test_no_conversations(spark, tmp_path):
     spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     assert [r.conv_id for r in chat.op7_chat(spark, str(tmp_path)).collect()] == [-1]
+
+
+def test_a_hot_conversation_of_ties(spark):
+    """Rows of one conversation, turn and role over many ranges: the order, and so the digest, is that of the texts."""
+    import hashlib
+    import random
+    from pyspark.sql import functions as F
+    r = random.Random(4)
+    texts = [f"{r.randrange(10**6)} {'x' * r.randrange(80)}" for _ in range(3000)] * 2
+    turns = spark.createDataFrame([("c", 1, 0, "user", t, "turn row") for t in texts], "conv string, turn long, part int, role string, text string, layout string")
+    want = hashlib.sha256("".join(f"user\n{t}\n" for t in sorted(texts)).encode()).hexdigest()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (3, 8):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            (row,) = chat.read_turns(chat.format_turns(turns.repartition(5))).select("conv", F.col("turns_sha256").alias("sha")).collect()
+            assert row.sha == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
