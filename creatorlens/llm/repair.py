@@ -249,8 +249,8 @@ def pieces(rows: DataFrame, conv_type: str) -> DataFrame:
         while some := list(itertools.islice(rows, 500)):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some), types)], names=names)
 
-    order = ["conv_id", "turn", "role", "text"]
-    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = (rows.repartitionByRange("conv_id", "turn", "role", F.substring("text", 1, 64))  # in the order of the sort; no whole text is sampled
+             .sortWithinPartitions("conv_id", "turn", "role", "text"))
     return dealt.select("conv_id", "role", "kind", "copies").mapInArrow(run, schema)
 
 
