@@ -3,7 +3,7 @@ from creatorlens.llm import decontaminate, quality
 from creatorlens.llm.common import table
 from tests.llm import messy
 from tests.llm.test_bpe import PATH
-from tests.llm.test_jaccard import brute
+from tests.llm.test_jaccard import _kept
 from tests.llm.test_secrets import brute as brute_secrets
 
 SF = "/root/testdata/sf0.001"
@@ -19,7 +19,7 @@ def test_stages_against_brute_force(spark):
             score = {r.doc_id: r.score for r in quality.scored(docs, quality.train(docs, table(spark, SF, "labels"))).collect()}
             want = [r for r in rows if score[r.doc_id] >= 0.5]
         elif name == "n-gram Jaccard join":
-            keep = {i for i, _, c in brute([(r.doc_id, r.text) for r in rows]) if i == c}
+            keep = _kept([(r.doc_id, r.text) for r in rows], 5, 80)
             want = [r for r in rows if r.doc_id in keep]
         elif name == "benchmark decontamination":
             bad = {r.id for r in decontaminate.leaks(docs, table(spark, SF, "benchmark")).collect()}
