@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from creatorlens import lexicons as L
 from creatorlens.functions.text import char_class
 from creatorlens.operators.phrases import SALTS, join_back
-from creatorlens.session import literal_frame
+from creatorlens.session import literal_frame, materialize
 
 
 def lexicon_union(keywords: Sequence[str] = L.GENZ_KEYWORDS, emojis: Sequence[str] = L.GENZ_EMOJIS,
@@ -97,6 +97,7 @@ def terms_from_table(lexicon: DataFrame, kinds: Sequence[str] | None = None) ->
 
 
 GRAM = 3
+BROADCAST_TERMS = 100_000
 
 
 def terms_present(texts: DataFrame, lexicon: DataFrame, *, id_col: str, text_col: str = "text", q: int = GRAM, lower: bool = True) -> DataFrame:
@@ -115,7 +116,10 @@ def terms_present(texts: DataFrame, lexicon: DataFrame, *, id_col: str, text_col
     held = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     index = grams.join(held, "gram").groupBy("term").agg(F.min(F.struct("n", "gram")).alias("g")).select("term", F.col("g.gram").alias("gram"))
     staged = texts.select(F.col(id_col).alias(id_col), F.coalesce(text, F.lit("")).alias("_text"))
-    staged = staged.withColumns({"_list": F.sha2("_text", 256), "_salt": F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int")})
+    index = materialize(index)
+    if index.count() <= BROADCAST_TERMS:  # a checked size; a larger index travels by its grams
+        index = F.broadcast(index)
+    staged = staged.withColumns({"_list": F.unhex(F.md5("_text")), "_salt": F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int")})
     every = F.concat(*[pieces(F.col("_text"), n) for n in range(1, q + 1)])
     met = (staged.select("_list", F.explode(F.array_distinct(every)).alias("gram")).join(index, "gram")
            .groupBy("_list").agg(F.collect_set("term").alias("_terms")))

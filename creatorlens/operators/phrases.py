@@ -44,8 +44,9 @@ def phrase_hits(texts: DataFrame, lexicon: DataFrame, *, key: str, token_col: st
     """(key, hits): for texts with any hit, the sorted array<struct<at, shorter, values...>>; ``shorter`` is minus the
     hit's words.  ``lexicon``: phrase, exact (whether capitals count) and ``values``.  Rows of equal ``key`` must have
     equal tokens; their hits are listed once.  Entries of more than ``longest`` words never match."""
-    runs = texts.select(key, F.explode(token_runs(token_col, longest)).alias("r")).select(key, "r.*")
     entries = lexicon.select(normal_phrase("phrase").alias("phrase"), F.coalesce(F.col("exact"), F.lit(False)).alias("exact"), *values).where("phrase IS NOT NULL")
+    most = entries.agg(F.max(F.size(F.split("phrase", " ")))).first()[0] or 1
+    runs = texts.select(key, F.explode(token_runs(token_col, min(longest, most))).alias("r")).select(key, "r.*")
     entries = entries.select(F.lower("phrase").alias("_p"), F.col("phrase").alias("_as_is"), "exact", *values)
     met = runs.withColumn("_p", F.lower("phrase")).join(entries, "_p").where(~F.col("exact") | (F.col("phrase") == F.col("_as_is")))
     hit = F.struct("at", (-F.col("len")).alias("shorter"), *values)
