@@ -2,13 +2,15 @@
 
 Every vector carries its distances to ``PIVOTS`` pivots.  For a query q, a candidate x and any pivot p the
 triangle inequality gives d(q, x) >= |d(q, p) - d(x, p)|, and with the norms the greatest of these lower
-bounds gives an upper bound of the score: q.x <= (|q|^2 + |x|^2 - lower^2) / 2.  Candidates are evaluated in
-the order of their bounds until no bound left reaches the k-th best score so far, so the result is exact.
+bounds gives an upper bound of the score: q.x <= (|q|^2 + |x|^2 - lower^2) / 2.  Each query evaluates the
+candidates in the order of its own bounds, ``STEP`` at a time, until no bound left reaches its k-th best score
+so far, so the result is exact.  ``evaluated`` is how many candidates a query's scores were computed for.
 
 Queries and candidates meet in blocks (a stated query set against all rows): block sizes are bounded, copies
 of one vector spread over the blocks by a hash of their id, and each block hands on k rows per query at most.
 The pivots, and the seeds whose scores start every query's k-th best, come from a bounded sample of ``SAMPLE``
-rows (those with the smallest hash); they steer the work and never the result.
+rows (those with the smallest hash); they steer the work and never the result.  A pivot is chosen for what it
+adds to the greatest lower bounds of ``PAIRS`` pairs of sample rows.
 
 Components are floor(64 * x).  Vectors that are null or hold null or non-finite components take no part; a
 shorter vector counts as padded with zeros.  A query row is compared with all rows of other ids; repeated rows
@@ -28,9 +30,9 @@ from pyspark.sql import functions as F
 
 from creatorlens.llm.common import table, written
 
-PIVOTS, SAMPLE = 32, 2000
+PIVOTS, SAMPLE, PAIRS = 512, 2000, 2048
 QUERY_BLOCK, CANDIDATE_BLOCK = 2048, 4096
-TILE, STEP = 128, 1024
+TILE, STEP = 32, 256
 SCALE = 64
 
 
@@ -66,17 +68,22 @@ def dense(rows, width: int) -> np.ndarray:
 
 
 def choose_pivots(sample: np.ndarray, count: int) -> np.ndarray:
-    """Farthest first: each pivot is the sample row farthest from those chosen before."""
-    if not len(sample):
+    """Sample rows with the most pruning power: each adds the most to the sum, over ``PAIRS`` pairs of sample
+    rows, of the greatest lower bound that the pivots chosen before give."""
+    if len(sample) < 2:
         return sample
-    chosen, far = [0], ((sample - sample[0]) ** 2).sum(1)
+    at = np.random.default_rng(5).integers(0, len(sample), (2, PAIRS))
+    near = pivot_distances(sample, sample).astype(np.float32)
+    gain = np.abs(near[at[0]] - near[at[1]]).T.copy()  # pivot x pair
+    chosen, lower = [], np.zeros(PAIRS, np.float32)
     while len(chosen) < min(count, len(sample)):
-        i = int(far.argmax())
-        if far[i] <= 0:
+        i = int(np.maximum(gain, lower).sum(1).argmax())
+        better = np.maximum(gain[i], lower)
+        if not (better > lower).any():
             break
         chosen.append(i)
-        far = np.minimum(far, ((sample - sample[i]) ** 2).sum(1))
-    return sample[chosen]
+        lower = better
+    return sample[chosen or [0]]
 
 
 def pivot_distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -97,50 +104,53 @@ class Eliminator:
 
     def __init__(self, ids: pa.Array, x: np.ndarray, table_: np.ndarray, k: int):
         self.null, self.ids = ids.is_null().to_numpy(zero_copy_only=False), ids.fill_null(2**63 - 1).to_numpy()
-        self.x, self.table, self.k = x, table_.astype(np.float32), k
+        self.x, self.near, self.k = x, np.ascontiguousarray(table_.T, np.float32), k
         self.square = (x ** 2).sum(1)
-        self.evaluated = 0
 
-    def search(self, own: np.ndarray, q: np.ndarray, table_: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(query, candidate, score) for a tile of queries with ids ``own``; ``least``: a score that each
-        query's k-th best is known to reach."""
+    def bounds(self, q: np.ndarray, table_: np.ndarray) -> np.ndarray:
+        """Upper bounds of the scores of a tile of queries (rows) with all candidates."""
         table_ = table_.astype(np.float32)
-        lower = np.zeros((len(q), len(self.x)), np.float32)
+        lower, gap = np.zeros((2, len(q), len(self.x)), np.float32)
         for p in range(table_.shape[1]):
-            np.maximum(lower, np.abs(table_[:, p, None] - self.table[None, :, p]), out=lower)
-        slack = np.float32(1e-5) * max(table_.max(initial=0), self.table.max(initial=0)) + np.float32(1e-3)
+            np.subtract(table_[:, p, None], self.near[p], out=gap)
+            np.abs(gap, out=gap)
+            np.maximum(lower, gap, out=lower)
+        slack = np.float32(1e-5) * max(table_.max(initial=0), self.near.max(initial=0)) + np.float32(1e-3)
         lower = np.maximum(lower - slack, 0).astype(np.float64)
         bound = ((q ** 2).sum(1)[:, None] + self.square - lower ** 2) / 2
-        bound += 1 + 1e-9 * np.abs(bound)
-        best = least.astype(np.float64)
-        order = np.argsort(-(bound - np.where(np.isfinite(best), best, -1e300)[:, None]).max(0), kind="stable")
-        found = (np.empty(0, np.int64),) * 2 + (np.empty(0),)
-        for first in range(0, len(order), STEP):
-            rest = order[first:]
-            if not (bound[:, rest] >= best[:, None]).any():
-                break
-            some = rest[:STEP]
-            asked = np.flatnonzero((bound[:, some] >= best[:, None]).any(1))
-            score = products(q[asked], self.x[some])
-            self.evaluated += score.size
-            keep = (score >= best[asked][:, None]) & ((self.ids[some] != own[asked][:, None]) | self.null[some])
-            i, j = np.nonzero(keep)
-            found = self._best(np.concatenate([found[0], asked[i]]), np.concatenate([found[1], some[j]]),
-                               np.concatenate([found[2], score[i, j]]))
-            rank = np.arange(len(found[0])) - np.searchsorted(found[0], found[0])
-            last = rank == self.k - 1
-            best[found[0][last]] = np.maximum(best[found[0][last]], found[2][last].astype(np.float64))
-        return found
-
-    def _best(self, query: np.ndarray, candidate: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        order = np.lexsort((self.ids[candidate], self.null[candidate], -score, query))
-        query, candidate, score = query[order], candidate[order], score[order]
-        keep = np.arange(len(query)) - np.searchsorted(query, query) < self.k
-        return query[keep], candidate[keep], score[keep]
+        return bound + 1 + 1e-9 * np.abs(bound)
+
+    def search(self, own: np.ndarray, q: np.ndarray, table_: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(query, candidate, score) and each query's number of evaluated candidates, for a tile of queries with ids
+        ``own``; ``least``: a score that each query's k-th best is known to reach."""
+        out, counts = [], np.zeros(len(q), np.int64)
+        for i, bound in enumerate(self.bounds(q, table_)):
+            bound[(self.ids == own[i]) & ~self.null] = -np.inf  # not its own rows
+            best = float(least[i])
+            order = np.flatnonzero(bound >= best)
+            order = order[np.argsort(-bound[order], kind="stable")]
+            order = order[bound[order] > -np.inf]
+            found, scores = np.empty(0, np.int64), np.empty(0)
+            for first in range(0, len(order), STEP):
+                some = order[first:first + STEP]
+                some = some[bound[some] >= best]
+                if not len(some):
+                    break
+                score = products(q[i:i + 1], self.x[some])[0]
+                counts[i] += len(some)
+                keep = score >= best
+                found, scores = np.concatenate([found, some[keep]]), np.concatenate([scores, score[keep]])
+                order_ = np.lexsort((self.ids[found], self.null[found], -scores))[:self.k]
+                found, scores = found[order_], scores[order_]
+                if len(found) == self.k:
+                    best = max(best, float(scores[-1]))
+            out.append((np.full(len(found), i), found, scores))
+        whole = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
+        return (*whole, counts)
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(query_id, rank, vec_id, score): each query row's k highest scores, ties to the smaller id.
+    """(query_id, rank, vec_id, score, evaluated): each query row's k highest scores, ties to the smaller id.
 
     ``is_query`` is a condition on the column ``id``.
     """
@@ -149,7 +159,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
     mixed = F.xxhash64("id", F.lit(7))
     n, width, asked = rows.agg(F.count("*"), F.max(F.size("v")), F.count_if(is_query)).first()
     if not n or not asked:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long, evaluated long")
     sample = rows.orderBy(mixed, "id", "v").limit(SAMPLE).collect()  # bounded by SAMPLE
     seeds, seed_ids = dense([r.v for r in sample], width), np.array([-1 if r.id is None else r.id for r in sample], np.int64)
     pivots = choose_pivots(seeds, PIVOTS)
@@ -157,11 +167,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
     def with_table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = dense(batch.column("v").to_pylist(), width)
-            flat = pivot_distances(x, pivots)
+            flat = pivot_distances(x, pivots).astype(np.float32)
             lists = lambda m: pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1) * m.shape[1], pa.int32()), pa.array(m.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column("id"), lists(x), lists(flat)], names=["id", "v", "near"])
 
-    tabled = rows.mapInArrow(with_table, "id long, v array<double>, near array<double>")
+    tabled = rows.mapInArrow(with_table, "id long, v array<double>, near array<float>")
     query_blocks, blocks = math.ceil(asked / QUERY_BLOCK), math.ceil(n / CANDIDATE_BLOCK)
     place = F.xxhash64("id", "v", F.lit(11))
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
@@ -173,39 +183,44 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
         flat = column.combine_chunks()
         return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
 
-    schema = pa.schema([("query_id", pa.int64()), ("asked", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+    schema = pa.schema([("query_id", pa.int64()), ("asked", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("evaluated", pa.int64())])
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
         block = Eliminator(right.column("id").combine_chunks(), matrix(right.column("v")), matrix(right.column("near")), k)
         own, q, near = left.column("id").to_numpy(), matrix(left.column("v")), matrix(left.column("near"))
-        order = np.lexsort((near.min(1), near.argmin(1)))  # queries near one pivot share a tile
+        asked_ = left.column("asked").to_numpy()
         out = []
-        for first in range(0, len(order), TILE):
-            tile = order[first:first + TILE]
+        for first in range(0, len(own), TILE):
+            tile = np.arange(first, min(first + TILE, len(own)))
             least = np.full(len(tile), -np.inf)
             if len(seeds) > k:
                 score = products(q[tile], seeds).astype(np.float64)
                 score[seed_ids == own[tile][:, None]] = -np.inf  # a null id's seed may be left out too
                 least = np.partition(score, len(seeds) - k, axis=1)[:, len(seeds) - k]
                 least = least - np.abs(least) * 1e-12
-            i, j, score = block.search(own[tile], q[tile], near[tile], least)
+            i, j, score, counts = block.search(own[tile], q[tile], near[tile], least)
             limit = 2**63 - 1
             whole = [max(min(int(s), limit), -limit - 1) for s in score] if score.dtype == object else np.clip(score, -limit, limit).astype(np.int64)
-            out.append((own[tile][i], left.column("asked").to_numpy()[tile][i], right.column("id").take(pa.array(j)), whole))
-        return pa.concat_tables([pa.table([pa.array(a), pa.array(b), c.combine_chunks(), pa.array(d, pa.int64())], schema=schema) for a, b, c, d in out])
+            out.append(pa.table([pa.array(own[tile][i]), pa.array(asked_[tile][i]), right.column("id").take(pa.array(j)).combine_chunks(),
+                                 pa.array(whole, pa.int64()), pa.nulls(len(i), pa.int64())], schema=schema))
+            out.append(pa.table([pa.array(own[tile]), pa.array(asked_[tile]), pa.nulls(len(tile), pa.int64()), pa.nulls(len(tile), pa.int64()),
+                                 pa.array(counts)], schema=schema))  # a row per query and block that counts
+        return pa.concat_tables(out)
 
     queries = queries.withColumn("asked", F.xxhash64("id", "v"))
     best = queries.groupBy("a", "b").cogroup(candidates.groupBy("a", "b")).applyInArrow(
-        search, "query_id long, asked long, vec_id long, score long")
-    order = Window.partitionBy("query_id", "asked").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
-    return (best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+        search, "query_id long, asked long, vec_id long, score long, evaluated long")
+    one = Window.partitionBy("query_id", "asked")
+    order = one.orderBy(F.desc_nulls_last("score"), F.asc_nulls_last("vec_id"))
+    return (best.withColumn("rank", F.row_number().over(order)).withColumn("total", F.sum("evaluated").over(one))
+            .filter((F.col("rank") <= k) & F.col("score").isNotNull())
+            .select("query_id", "rank", "vec_id", "score", F.col("total").alias("evaluated")))
 
 
 def op2_topk(spark, sf_dir: str) -> DataFrame:
-    return top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20).drop("evaluated")
 
 
 SQL = """
