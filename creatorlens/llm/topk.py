@@ -175,7 +175,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
     query_blocks, blocks = math.ceil(asked / QUERY_BLOCK), math.ceil(n / CANDIDATE_BLOCK)
     place = F.xxhash64("id", "v", F.lit(11))
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    candidates = tabled.withColumn("b", F.pmod(place, F.lit(blocks)).cast("int")).withColumn("a", every(query_blocks))
+    # own names for the candidates: both sides come from one plan, and with equal names a later drop() lost their columns
+    candidates = (tabled.select(F.col("id").alias("vec"), F.col("v").alias("x"), F.col("near").alias("far"),
+                                F.pmod(place, F.lit(blocks)).cast("int").alias("b")).withColumn("a", every(query_blocks)))
     queries = (tabled.filter(is_query).dropDuplicates(["id", "v"])
                .withColumn("a", F.pmod(place, F.lit(query_blocks)).cast("int")).withColumn("b", every(blocks)))
 
@@ -188,7 +190,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
-        block = Eliminator(right.column("id").combine_chunks(), matrix(right.column("v")), matrix(right.column("near")), k)
+        block = Eliminator(right.column("vec").combine_chunks(), matrix(right.column("x")), matrix(right.column("far")), k)
         own, q, near = left.column("id").to_numpy(), matrix(left.column("v")), matrix(left.column("near"))
         asked_ = left.column("asked").to_numpy()
         out = []
@@ -203,7 +205,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
             i, j, score, counts = block.search(own[tile], q[tile], near[tile], least)
             limit = 2**63 - 1
             whole = [max(min(int(s), limit), -limit - 1) for s in score] if score.dtype == object else np.clip(score, -limit, limit).astype(np.int64)
-            out.append(pa.table([pa.array(own[tile][i]), pa.array(asked_[tile][i]), right.column("id").take(pa.array(j)).combine_chunks(),
+            out.append(pa.table([pa.array(own[tile][i]), pa.array(asked_[tile][i]), right.column("vec").take(pa.array(j)).combine_chunks(),
                                  pa.array(whole, pa.int64()), pa.nulls(len(i), pa.int64())], schema=schema))
             out.append(pa.table([pa.array(own[tile]), pa.array(asked_[tile]), pa.nulls(len(tile), pa.int64()), pa.nulls(len(tile), pa.int64()),
                                  pa.array(counts)], schema=schema))  # a row per query and block that counts

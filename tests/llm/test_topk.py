@@ -47,6 +47,13 @@ def test_large_components(spark):
     _check(spark, [(i, [float(r.randint(-2**24, 2**24)) for _ in range(3)]) for i in range(60)], 5)
 
 
+def test_query_of_the_given_table(spark):
+    """The registered query, whose plan drops a column."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select("vec_id", "embedding").collect()
+    got = [tuple(r) for r in topk.op2_topk(spark, "/root/testdata/sf0.001").collect()]
+    assert sorted(got) == sorted(brute([tuple(r) for r in rows], lambda i: i % 20 == 0, 20))
+
+
 def test_empty(spark):
     for rows in ([], [(1, [1.0])], [(20, [1.0])], [(20, None)]):
         df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
