@@ -1,57 +1,97 @@
 """Category tree -> titles -> rule labels.
 
-N1 walks arbitrarily deep JSON trees with a recursive CTE over ``VARIANT``:
-one step per tree level, every step a distributed explode of the previous
-level's ``children``; pre-order is the lexicographic order of the child-index
-path.  Documents are processed in parallel; no tree is walked on the driver.
+N1 walks JSON trees of any depth inside tasks: a document is one row, its nodes
+leave in pre-order with their paths, and Spark's ``VARIANT`` functions read each
+node's own fields.  No tree is walked on the driver, and documents are shuffled
+only to be spread over the tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creatorlens import lexicons as L
 
-_RECURSIVE_WALK = """
-WITH RECURSIVE nodes(doc_id, path, node) AS (
-  SELECT d.doc_id, array(e.pos), e.value
-  FROM {docs} AS d,
-       LATERAL variant_explode(try_variant_get(try_parse_json(d.json), '$.navigation', 'variant')) AS e
-  UNION ALL
-  SELECT n.doc_id, array_append(n.path, e.pos), e.value
-  FROM nodes AS n,
-       LATERAL variant_explode(try_variant_get(n.node, '$.children', 'variant')) AS e
-)
-SELECT doc_id, path, size(path) - 1 AS depth,
-       try_variant_get(node, '$.alias', 'string') AS alias,
-       try_variant_get(node, '$.content.title', 'string') AS title
-FROM nodes
-"""
-
-
-def flatten_tree(docs: DataFrame, *, with_position: bool = True, row_limit: int = -1) -> DataFrame:
+NODES = 4096  # nodes in one Arrow batch at most
+PLACES = 1 << 18  # and places of their paths, which a chain of n levels has n * n / 2 of
+
+
+def _no_constant(name: str):
+    raise ValueError(name)  # JSON has no NaN or Infinity
+
+
+def walk(navigation) -> Iterator[tuple[list[int], str]]:
+    """(path, own fields as JSON) of the nodes below a list, in pre-order, with an explicit stack."""
+    levels = [(iter(navigation), 0)] if isinstance(navigation, list) else []
+    path: list[int] = []
+    while levels:
+        rest, at = levels[-1]
+        node = next(rest, levels)
+        if node is levels:
+            levels.pop()
+            path = path[:-1]
+            continue
+        levels[-1] = (rest, at + 1)
+        here = [*path, at]
+        fields = node if isinstance(node, dict) else {}
+        content = fields.get("content")
+        own = {"alias": fields.get("alias"), "title": content.get("title") if isinstance(content, dict) else None}
+        yield here, json.dumps({k: v for k, v in own.items() if v is not None})
+        below = fields.get("children")
+        if isinstance(below, list) and below:
+            path = here
+            levels.append((iter(below), 0))
+
+
+def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows() -> pa.RecordBatch:
+        ids = batch.column(0).take(pa.array([i] * len(paths), pa.int64()))
+        return pa.RecordBatch.from_arrays([ids, pa.array(paths, pa.list_(pa.int32())), pa.array(range(first, first + len(paths)), pa.int32()),
+                                           pa.array(own, pa.string())], names=["doc_id", "path", "pos", "own"])
+
+    for batch in batches:
+        for i, text in enumerate(batch.column(1)):
+            try:
+                tree = json.loads(text.as_py() or "null", parse_constant=_no_constant)
+            except ValueError:  # not JSON: no nodes
+                continue
+            first, places, paths, own = 0, 0, [], []
+            for path, fields in walk(tree.get("navigation") if isinstance(tree, dict) else None):
+                paths.append(path)
+                own.append(fields)
+                places += len(path)
+                if len(paths) >= NODES or places >= PLACES:
+                    yield rows()
+                    first, places, paths, own = first + len(paths), 0, [], []
+            if paths:
+                yield rows()
+
+
+def flatten_tree(docs: DataFrame, *, with_position: bool = True) -> DataFrame:
     """Every node of every tree document.
 
     ``docs``: ``doc_id, json`` where json is ``{"navigation": [node...]}`` and a
     node is ``{"alias", "content": {"title"}, "children": [node...]}``; any part
     may be missing.  Output ``doc_id, path, depth, alias, title`` (+ ``pos``, the
     0-based pre-order position inside the document).  Nodes without a title are
-    kept (their children are visited); filter with :func:`titled`.
-    ``row_limit`` sets ``spark.sql.cteRecursionRowLimit`` (-1: unlimited).
+    kept (their children are visited); filter with :func:`titled`.  Null and
+    unreadable documents have no nodes; list elements that are no objects are nodes
+    without alias and title.  The only bound on depth is the JSON reader's (about
+    10,000 nested brackets, 5,000 levels): past it the job fails with its
+    ``RecursionError`` rather than drop nodes.
     """
-    spark = docs.sparkSession
-    # Spark stops a recursive CTE after 1,000,000 produced rows by default; a
-    # catalogue of many documents legitimately produces more.  JSON trees
-    # have no cycles, and the depth limit (100 levels) still applies.
-    spark.conf.set("spark.sql.cteRecursionRowLimit", str(row_limit))
-    out = spark.sql(_RECURSIVE_WALK, docs=docs.select("doc_id", "json"))
-    if with_position:
-        w = Window.partitionBy("doc_id").orderBy("path")
-        out = out.withColumn("pos", F.row_number().over(w) - 1)
-    return out
+    docs = docs.select("doc_id", F.col("json").cast("string"))
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    nodes = docs.mapInArrow(_walked, f"doc_id {id_type}, path array<int>, pos int, own string")
+    own = F.try_parse_json("own")
+    return nodes.select("doc_id", "path", (F.size("path") - 1).alias("depth"),
+                        F.try_variant_get(own, "$.alias", "string").alias("alias"),
+                        F.try_variant_get(own, "$.title", "string").alias("title"), *(["pos"] if with_position else []))
 
 
 def titled(nodes: DataFrame, col: str = "title") -> DataFrame:

@@ -565,7 +565,7 @@ def s10_records(spark, d):
 
 
 # ------------------------------------------------------------------ streaming
-from creatorlens.streaming import run_engagement_stream  # noqa: E402
+from creatorlens.streaming import engagement_table, run_engagement_stream  # noqa: E402
 
 
 @register("st1_engagement_stream")
@@ -577,7 +577,7 @@ def st1_engagement_stream(spark, d):
     out = scratch_path(spark, "stream-rates")
     run_engagement_stream(spark, f"{src}/*/", I.influencers(spark, d), out, key_pattern=r"owner=([^/]+)/",
                           like_path=I.LIKE_PATH, key_type="bigint", checkpoint=scratch_path(spark, "stream-checkpoint"))
-    return spark.read.parquet(out).select("username", _r("engagement_rate").alias("engagement_rate"))
+    return engagement_table(spark, out).select("username", _r("engagement_rate").alias("engagement_rate"))
 
 
 # ------------------------------------------------------------------ mapping / encoding

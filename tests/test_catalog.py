@@ -37,6 +37,33 @@ def test_flatten_tree_preorder_matches_recursion(spark):
     assert all_nodes == 9
 
 
+def test_a_thousand_levels_and_session_settings(spark):
+    """A chain of 1,500 nodes beside a wide tree; the caller's settings stay as they are."""
+    tree = None
+    for level in reversed(range(1500)):
+        tree = {"content": {"title": f"t{level}"}, "children": [{"alias": "leaf"}, *([tree] if tree else [])]}
+    wide = {"navigation": [{"content": {"title": str(i)}} for i in range(9000)]}
+    before = spark.conf.get("spark.sql.cteRecursionRowLimit", None)
+    docs = spark.createDataFrame([(1, json.dumps({"navigation": [tree]})), (2, json.dumps(wide)), (3, None)], "doc_id long, json string")
+    nodes = cat.flatten_tree(docs)
+    deep = cat.titled(nodes.where("doc_id = 1")).orderBy("pos").collect()
+    assert [(r["title"], r["depth"], r["pos"]) for r in deep] == [(f"t{i}", i, 2 * i) for i in range(1500)]
+    assert [r["path"] for r in deep[:3]] == [[0], [0, 1], [0, 1, 1]]
+    rows = nodes.where("doc_id = 2").orderBy("pos").collect()
+    assert [(r["title"], r["pos"], r["path"]) for r in rows] == [(str(i), i, [i]) for i in range(9000)]
+    assert spark.conf.get("spark.sql.cteRecursionRowLimit", None) == before
+
+
+def test_odd_trees(spark):
+    """Values of other types, missing parts, invalid documents."""
+    texts = ['{"navigation": [1, null, "x", [2], {"alias": 5, "content": {"title": true}}, {"content": "no", "children": {"a": 1}}]}',
+             '{"navigation": {"a": {}}}', "[1]", '{"navigation": [NaN]}', "", '{"navigation": [{"alias": "é\\n", "children": [null]}]}']
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, json string")
+    got = [tuple(r) for r in cat.flatten_tree(docs).select("doc_id", "path", "alias", "title").orderBy("doc_id", "pos").collect()]
+    assert got == [(0, [0], None, None), (0, [1], None, None), (0, [2], None, None), (0, [3], None, None), (0, [4], "5", "true"), (0, [5], None, None),
+                   (5, [0], "é\n", None), (5, [0, 0], None, None)]
+
+
 def test_classify_titles_priority_and_default(spark):
     df = spark.createDataFrame([("SALE Activewear Makeup",), ("Makeup",), ("Jeans",), ("Jeans",), ("running",)],
                                "title string")
