@@ -32,7 +32,7 @@ from creatorlens.llm.common import table, written
 
 PIVOTS, SAMPLE, PAIRS = 512, 2000, 2048
 QUERY_BLOCK, CANDIDATE_BLOCK = 2048, 4096
-TILE, STEP = 32, 256
+TILE, STEP = 16, 256
 SCALE = 64
 
 
@@ -106,17 +106,24 @@ class Eliminator:
         self.null, self.ids = ids.is_null().to_numpy(zero_copy_only=False), ids.fill_null(2**63 - 1).to_numpy()
         self.x, self.near, self.k = x, np.ascontiguousarray(table_.T, np.float32), k
         self.square = (x ** 2).sum(1)
+        self.unit = self.whole = None
+
+    def _in_units(self, unit: float) -> np.ndarray:
+        if self.unit != unit:
+            self.unit, self.whole = unit, (self.near / unit).astype(np.int16)
+        return self.whole
 
     def bounds(self, q: np.ndarray, table_: np.ndarray) -> np.ndarray:
         """Upper bounds of the scores of a tile of queries (rows) with all candidates."""
-        table_ = table_.astype(np.float32)
-        lower, gap = np.zeros((2, len(q), len(self.x)), np.float32)
+        most = max(table_.max(initial=0), self.near.max(initial=0))
+        unit = max(float(most) / 32000, 1e-300)  # distances in 16 bits: a gap of whole units is at most one too large
+        asked, near = (table_ / unit).astype(np.int16), self._in_units(unit)
+        lower, gap = np.zeros((2, len(q), len(self.x)), np.int16)
         for p in range(table_.shape[1]):
-            np.subtract(table_[:, p, None], self.near[p], out=gap)
+            np.subtract(asked[:, p, None], near[p], out=gap)
             np.abs(gap, out=gap)
             np.maximum(lower, gap, out=lower)
-        slack = np.float32(1e-5) * max(table_.max(initial=0), self.near.max(initial=0)) + np.float32(1e-3)
-        lower = np.maximum(lower - slack, 0).astype(np.float64)
+        lower = np.maximum((lower - 1.0) * unit - (1e-5 * float(most) + 1e-3), 0)
         bound = ((q ** 2).sum(1)[:, None] + self.square - lower ** 2) / 2
         return bound + 1 + 1e-9 * np.abs(bound)
 
