@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from creatorlens import lexicons as L
 from creatorlens.functions.text import format_score, profile_url
 from creatorlens.functions.vector import cosine
+from creatorlens.session import materialize
 
 
 # ---------------------------------------------------------------- P9 / P10 / P11
@@ -168,30 +169,86 @@ def brand_search(features: DataFrame, category: str, engagement_pct: float, genz
                             audience_target=target, k=k, domain=domain, digits=digits)
 
 
+GRID = 32  # cells on each axis of a category's (rate, alignment) plane
+
+
+def _angle(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+    """Angle between (x1, y1, 1) and (x2, y2, 1)."""
+    cos = (x1 * x2 + y1 * y2 + 1.0) / (F.sqrt(x1 * x1 + y1 * y1 + 1.0) * F.sqrt(x2 * x2 + y2 * y2 + 1.0))
+    return F.acos(F.greatest(F.least(cos, F.lit(1.0)), F.lit(-1.0)))
+
+
+def _grid_rows(features: DataFrame, k: int) -> DataFrame:
+    """The influencers with their place ``_r, _g`` in the category's plane and their ``_cell`` (-1: no numbers).
+
+    Of the rows at one place only the first ``k`` by name can be among the best, so copies of one place don't pile up;
+    rows whose score is null, or NaN, whatever the target count as one place each."""
+    rows = normalize_category(features)
+    rows = rows.join(rows.groupBy("category").agg(largest().alias("_m")), "category")
+    rows = rows.select("category", "username", "engagement_rate", "alignment_genZ", "_m", F.try_divide("engagement_rate", "_m").alias("_r"),
+                       F.col("alignment_genZ").cast("double").alias("_g"))
+    number = lambda c: ~F.isnan(c) & (F.abs(c) < float("inf"))
+    kind = F.when(F.col("_r").isNull() | F.col("_g").isNull(), 0).when(number(F.col("_r")) & number(F.col("_g")), 2).otherwise(1)
+    rows = rows.withColumn("_kind", kind)
+    place = [F.when(F.col("_kind") == 2, F.col(c)) for c in ("_r", "_g")]
+    rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy("category", "_kind", *place).orderBy("username"))).where(F.col("_n") <= k).drop("_n")
+    rows = materialize(rows)  # scanned three times below
+    numbers = rows.where("_kind = 2")
+    spans = numbers.groupBy("category").agg(*[f(c).alias(f"{n}{c}") for c in ("_r", "_g") for n, f in (("lo", F.min), ("hi", F.max))])
+
+    def step(c: str) -> Column:
+        share = F.try_divide(F.col(c) - F.col(f"lo{c}"), F.col(f"hi{c}") - F.col(f"lo{c}"))
+        return F.least(F.floor(F.coalesce(share, F.lit(0.0)) * GRID), F.lit(GRID - 1)).cast("int")
+
+    cell = F.when(F.col("_kind") == 2, step("_r") * GRID + step("_g")).otherwise(F.lit(-1))
+    return rows.join(spans, "category", "left").withColumn("_cell", cell).drop("lo_r", "hi_r", "lo_g", "hi_g", "_kind")
+
+
+def brand_candidates(features: DataFrame, brands: DataFrame, *, k: int = L.TOP_K, digits: int | None = None) -> DataFrame:
+    """The (target, influencer) pairs that :func:`rank_for_brands` scores.
+
+    In a category the score depends on two numbers, so influencers are dealt to the cells of a grid over that plane.  The
+    angle between a target and a cell's middle, and the cell's angular radius, bound the scores of its rows from both
+    sides.  A target's cells by falling lower bound, until they hold ``k`` rows, give a score that its k-th best reaches;
+    only cells whose upper bound reaches it are joined, by (category, cell).  Exact: bounds are widened by more than the
+    rounding of the arithmetic and of ``digits``; targets without numbers meet all cells."""
+    rows = _grid_rows(features, k)
+    x = lambda c: (F.col(f"lo{c}") + F.col(f"hi{c}")) / 2
+    corners = [_angle(x("_r"), x("_g"), F.col(f"{i}_r"), F.col(f"{j}_g")) for i in ("lo", "hi") for j in ("lo", "hi")]
+    cells = (rows.groupBy("category", "_cell", "_m").agg(F.count(F.lit(1)).alias("_rows"), *[f(c).alias(f"{n}{c}") for c in ("_r", "_g") for n, f in (("lo", F.min), ("hi", F.max))])
+             .withColumn("_wide", F.greatest(*corners)))
+    wanted = brands.select(F.lower(F.trim("category")).alias("category"), F.col("intended_engagement_rate").cast("double").alias("_t"),
+                           F.col("target_audience_genZ").cast("double").alias("_a")).distinct()
+    met = cells.join(wanted, "category").withColumn("_b", F.try_divide("_t", F.greatest("_m", "_t")))
+    off = _angle(F.col("_b"), F.col("_a"), x("_r"), x("_g"))
+    sure = (F.col("_cell") >= 0) & (F.col("_wide") < 1.5) & ~F.isnan(off)
+    slack = 1e-7 + (0.0 if digits is None else 10.0 ** -digits)
+    met = met.withColumns({"_low": F.when(sure, F.cos(F.least(off + F.col("_wide"), F.lit(3.2))) - 1e-7), "_high": F.when(sure, F.cos(F.greatest(off - F.col("_wide"), F.lit(0.0))) + slack)})
+    target = Window.partitionBy("category", "_t", "_a")
+    met = met.withColumn("_held", F.sum(F.when(F.col("_low").isNotNull(), F.col("_rows"))).over(target.orderBy(F.desc_nulls_last("_low"), "_cell")))
+    met = met.withColumn("_least", F.max(F.when(F.col("_held") >= k, F.col("_low"))).over(target))
+    kept = met.where(F.coalesce(F.col("_high") >= F.col("_least"), F.lit(True))).select("category", "_cell", "_t", "_a", "_b")
+    return rows.join(kept, ["category", "_cell"])
+
+
 def rank_for_brands(features: DataFrame, brands: DataFrame, *, k: int = L.TOP_K,
                     digits: int | None = None) -> DataFrame:
-    """R1 for many brands at once (J7 as an equi-join on category).
+    """R1 for many brands at once (J7 as an equi-join on category and cell).
 
     ``brands``: ``brand_id, category, intended_engagement_rate,
     target_audience_genZ``.  Brands that want the same (category, rate,
-    audience) get the same ranking, so the distinct targets are scored and cut
-    to k rows each, and the brands join these.  The per-category maximum is a
-    grouped aggregate (one row per category).  Which side travels is left to
-    Spark's own size statistics.  Output ``brand_id, username,
+    audience) get the same ranking, so the distinct targets meet the influencers
+    of the cells that can hold their k best (:func:`brand_candidates`), are cut
+    to k rows each, and the brands join these.  Output ``brand_id, username,
     similarity_score, rank``.
     """
-    rows = normalize_category(features)
-    maxes = rows.groupBy("category").agg(largest().alias("_m"))
     target = ["category", "_t", "_a"]
     b = brands.select("brand_id", F.lower(F.trim("category")).alias("category"),
                       F.col("intended_engagement_rate").cast("double").alias("_t"),
                       F.col("target_audience_genZ").cast("double").alias("_a"))
-    wanted = b.select(*target).distinct().withColumn("_target", F.struct(*target))
-    cand = rows.join(maxes, "category").join(wanted, "category")
-    r = F.try_divide(F.col("engagement_rate"), F.col("_m"))
-    bn = F.try_divide(F.col("_t"), F.greatest(F.col("_m"), F.col("_t")))
-    score = brand_similarity(r, F.col("alignment_genZ"), F.lit(True), bn, F.col("_a"))
-    scored = cand.select("_target", "username", _maybe_round(score, digits).alias("similarity_score"))
+    cand = brand_candidates(features, brands, k=k, digits=digits)
+    score = brand_similarity(F.col("_r"), F.col("alignment_genZ"), F.lit(True), F.col("_b"), F.col("_a"))
+    scored = cand.select(F.struct(*target).alias("_target"), "username", _maybe_round(score, digits).alias("similarity_score"))
     best = top_k_per(scored, "_target", k)
     return (b.withColumn("_target", F.struct(*target)).join(best, "_target")
             .select("brand_id", "username", "similarity_score", "rank"))

@@ -199,3 +199,30 @@ def test_running_sums_at_any_partition_count(spark, partitions):
         assert got == {i: n + 1 for n, (_, i) in enumerate(sorted((k, i) for i, k, _ in rows))}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_rank_for_brands_prunes_and_equals_scoring_every_pair(spark):
+    """Grid bounds against all pairs: hot places, null and NaN rates, odd targets, rounding, fewer rows than k."""
+    import random
+    r = random.Random(3)
+    rows = [(f"u{i:05d}", "a" if i % 9 else "b", r.random() ** 2, r.random()) for i in range(4000)]
+    rows += [(f"h{i:05d}", "a", 0.25, 0.5) for i in range(1000)] + [(f"n{i}", "a", None, 0.5) for i in range(40)]
+    rows += [("x1", "a", float("nan"), 0.2), ("x2", "a", 0.3, None), ("x3", "c", 0.0, 0.0), ("x4", "a", -0.5, -2.0), (None, "a", 0.25, 0.5)]
+    f = spark.createDataFrame(rows, "username string, category string, engagement_rate double, alignment_genZ double")
+    wants = [(r.random(), float(r.random() > 0.5)) for _ in range(20)] + [(0.0, 0.0), (None, 1.0), (5.0, float("nan")), (0.25, 0.5)]
+    brands = spark.createDataFrame([(i, c, t, a) for i, (t, a) in enumerate(wants) for c in ("a", "B ", "c", "d")],
+                                   "brand_id int, category string, intended_engagement_rate double, target_audience_genZ double")
+    rows_ = rank.normalize_category(f)
+    rows_ = rows_.join(rows_.groupBy("category").agg(rank.largest().alias("m")), "category")
+    pairs = rows_.join(rank.normalize_category(brands), "category")
+    b = F.try_divide("intended_engagement_rate", F.greatest("m", "intended_engagement_rate"))
+    score = rank.brand_similarity(F.try_divide("engagement_rate", "m"), F.col("alignment_genZ"), F.lit(True), b, F.col("target_audience_genZ"))
+    for digits in (None, 2):
+        every = pairs.select(F.struct("brand_id", "category").alias("w"), "brand_id", "username", (score if digits is None else F.round(score, digits)).alias("similarity_score"))
+        want = rank.top_k_per(every, "w", 15).select("brand_id", "username", "similarity_score", "rank").collect()
+        got = rank.rank_for_brands(f, brands, k=15, digits=digits).collect()
+        assert sorted(map(repr, got)) == sorted(map(repr, want))
+    numbers = brands.where("intended_engagement_rate is not null and not isnan(target_audience_genZ)")
+    scored, every = rank.brand_candidates(f, numbers, k=15).count(), f.join(rank.normalize_category(numbers), "category").count()
+    print(scored, every)
+    assert scored < every / 5
