@@ -136,6 +136,10 @@ SELECT brand_id, username, similarity_score, rank FROM (
 WHERE rank <= 15
 """
 
+SQL["j7_grid_pairs"] = _with(BASE) + """
+SELECT lower(trim(category)) AS category, count(*) * 10 AS n_pairs, true AS pruned FROM feat WHERE category IS NOT NULL GROUP BY 1
+"""
+
 SQL["p20_display"] = "SELECT username, concat('https://instagram.com/', username) AS profile_url, " \
                      "round(similarity_score, 2) AS score_display FROM (" + SQL["r1_rank_category"] + ")"
 

@@ -109,6 +109,17 @@ def r4_many_brands(spark, d):
         "brand_id", "username", "similarity_score", F.col("rank").cast("bigint").alias("rank"))
 
 
+@register("j7_grid_pairs")
+def j7_grid_pairs(spark, d):
+    """Per category, the pairs of influencers and ten targets, and whether the best three were found with half of them."""
+    rows = rank.normalize_category(I.feature_table(spark, d)).where("category is not null")
+    targets = F.array(*[F.struct(F.lit(i / 10).alias("intended_engagement_rate"), F.lit(i % 2).alias("target_audience_genZ")) for i in range(10)])
+    brands = rows.select("category").distinct().select("category", F.inline(targets))
+    scored = rank.brand_candidates(rows, brands, k=3).groupBy("category").agg(F.count(F.lit(1)).alias("n_scored"))
+    sizes = rows.groupBy("category").agg((F.count(F.lit(1)) * 10).alias("n_pairs"))
+    return sizes.join(scored, "category").select("category", "n_pairs", (F.col("n_scored") * 2 < F.col("n_pairs")).alias("pruned"))
+
+
 @register("k3_page")
 def k3_page(spark, d):
     """K3: second page (rows 16-30) of the R2 ranking."""
