@@ -14,8 +14,12 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from creatorlens import lexicons as L
+from creatorlens.operators.lexicon import automaton, shippable, term_candidates
+from creatorlens.operators.phrases import SALTS
+from creatorlens.session import materialize
 
 NODES = 4096  # nodes in one Arrow batch at most
 PLACES = 1 << 18  # and places of their paths, which a chain of n levels has n * n / 2 of
@@ -99,6 +103,13 @@ def titled(nodes: DataFrame, col: str = "title") -> DataFrame:
     return nodes.where(F.col(col).isNotNull() & (F.col(col) != ""))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    while name.lower() in [c.lower() for c in df.columns]:
+        name = f"_{name}"
+    return name
+
+
 def classify_title(title: Column, rules: Sequence[tuple[int, str, str]] | None = None,
                    default: str = L.DEFAULT_TITLE_CATEGORY) -> Column:
     """Category of the first rule group (by priority) with a keyword
@@ -127,6 +138,50 @@ def classify_titles(df: DataFrame, title_col: str = "title", rules=None,
     return df.withColumn("category", classify_title(F.col(title_col), rules, default))
 
 
+def classify_titles_by_table(df: DataFrame, rules: DataFrame, title_col: str = "title", default: str = L.DEFAULT_TITLE_CATEGORY) -> DataFrame:
+    """N2/J6 with the rules kept as a table ``(priority, category, keyword)`` of any size: adds ``category``.
+
+    Among the keywords that occur in the title, case-insensitively, the least (priority, category) decides; ``default``
+    if none does, also for null titles.  An empty keyword occurs in every title that isn't null; rules without keyword,
+    priority or category never apply.  A table of checked size travels with the tasks as one automaton; a larger one
+    meets the distinct titles by the keywords' grams (``lexicon.term_candidates``).  Both give the same."""
+    rule = F.struct(F.col("priority").cast("int").alias("priority"), F.col("category").cast("string").alias("category"))
+    best = rules.dropna(subset=["priority", "category", "keyword"]).select(F.lower("keyword").alias("term"), rule.alias("rule"))
+    best = materialize(best.groupBy("term").agg(F.min("rule").alias("rule")))
+    fields = [f for f in df.schema if f.name.lower() != "category"]
+    if shippable(best):
+        rows = sorted((r.rule.priority, r.rule.category, r.term) for r in best.collect())  # bounded by the check
+        always = next((i for i, r in enumerate(rows) if not r[2]), len(rows))
+        names = [r[1] for r in rows]
+        low = free_name(df, "_low")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            numbers = [i for i, r in enumerate(rows) if r[2]]
+            found = automaton([rows[i][2] for i in numbers])
+            for batch in batches:
+                out = []
+                for title in batch.column(low).to_pylist():
+                    held = found.iter(title) if numbers and title else ()
+                    first = len(rows) if title is None else min([always, *(numbers[i] for _, i in held)])
+                    out.append(names[first] if first < len(rows) else default)
+                yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(out, pa.string())], names=[*(f.name for f in fields), "category"])
+
+        staged = df.select(*(F.col(f"`{f.name}`") for f in fields), F.lower(title_col).alias(low))
+        return staged.mapInArrow(run, StructType([*fields, StructField("category", StringType())]))
+    low, salt, row, part, title = (free_name(df, c) for c in ("_low", "_salt", "_row", "_part", "_title"))
+    staged = df.select(*(F.col(f"`{f.name}`") for f in fields), F.lower(title_col).alias(low))
+    staged = staged.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    titles = staged.where(F.col(low).isNotNull()).select(F.col(low).alias(title)).distinct()
+    terms = best.where(F.length("term") > 0)
+    met = term_candidates(titles, terms, title, title).where(F.contains(F.col(title), F.col("term"))).join(terms, "term")
+    # a title that many rows repeat meets its rule in SALTS parts
+    met = met.groupBy(title).agg(F.min("rule").alias(row)).withColumn(part, F.explode(F.array(*map(F.lit, range(SALTS)))))
+    every = best.where(F.col("term") == "").agg(F.min("rule")).scalar()
+    joined = staged.join(met, (F.col(low) == F.col(title)) & (F.col(salt) == F.col(part)), "left")
+    chosen = F.when(F.col(low).isNotNull(), F.least(F.col(row), every))
+    return joined.select(*(F.col(f"`{f.name}`") for f in fields), F.coalesce(chosen["category"], F.lit(default)).alias("category"))
+
+
 def exclude_titles(df: DataFrame, title_col: str = "title",
                    exclusions: Sequence[str] = L.IRRELEVANT_TITLES) -> DataFrame:
     """Drop rows whose title is on the exclusion list (exact match;

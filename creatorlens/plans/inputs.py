@@ -180,3 +180,9 @@ def term_table(spark: SparkSession, d: str) -> DataFrame:
     """A substring lexicon stored as a table: the blank-delimited words of the benchmark items, lower-cased."""
     words = F.split(F.lower("text"), r"[ \t-\r]+")
     return read_table(spark, d, "benchmark").select(F.explode(words).alias("term")).where("term <> ''").distinct()
+
+
+def rule_table(spark: SparkSession, d: str) -> DataFrame:
+    """Title rules stored as a table: the first word of every part's name, for its brand, at its least size."""
+    part = read_table(spark, d, "part").select(F.substring_index("p_name", " ", 1).alias("keyword"), F.col("p_brand").alias("category"), "p_size")
+    return part.groupBy("category", "keyword").agg(F.min("p_size").alias("priority")).select("priority", "category", "keyword")

@@ -686,3 +686,8 @@ SELECT doc_id, CAST(coalesce(n, 0) AS INTEGER) AS n_terms FROM documents LEFT JO
 SQL["m2_neighbour_map"] = "SELECT vec_id AS id, true AS placed FROM embeddings"
 SQL["m4_kernel_svc_report"] = f"SELECT {_CLASSIFY} AS label, count(*) AS support, true AS converged, true AS beats_majority FROM part WHERE {_TEST} GROUP BY 1"
 SQL["m4_kernel_svc_predictions"] = SQL["m4_svm_test_predictions"]
+SQL["n2_classify_by_table"] = """
+WITH rules AS (SELECT min(p_size) AS priority, p_brand AS category, split_part(p_name, ' ', 1) AS keyword FROM part GROUP BY 2, 3),
+names AS (SELECT p_name, arg_min(category, (priority, category)) AS category FROM (SELECT DISTINCT p_name FROM part) p
+          JOIN rules ON contains(lower(p_name), lower(keyword)) GROUP BY 1)
+SELECT p_partkey, p_name AS title, coalesce(category, 'fashion') AS category FROM part LEFT JOIN names USING (p_name)"""

@@ -263,6 +263,12 @@ def n2_classify_titles(spark, d):
     return cat.classify_titles(I.part_titles(spark, d), "title", I.TEST_RULES).select("p_partkey", "title", "category")
 
 
+@register("n2_classify_by_table")
+def n2_classify_by_table(spark, d):
+    """N2/J6 with the rules stored as a table: every name's first word votes for its brand, sizes are priorities."""
+    return cat.classify_titles_by_table(I.part_titles(spark, d), I.rule_table(spark, d)).select("p_partkey", "title", "category")
+
+
 @register("n2_category_counts")
 def n2_category_counts(spark, d):
     """N2 summary: titles per rule label."""
@@ -414,6 +420,13 @@ def a17_silhouette_summary(spark, d):
     return s.select("cluster", _r("mean_silhouette").alias("mean_silhouette"), "n")
 
 
+@register("a17_euclidean_silhouette")
+def a17_euclidean_silhouette(spark, d):
+    """Euclidean silhouette of the labelled embeddings in the plane of their two principal axes, with its proven interval."""
+    points = clu.project(_embeddings(spark, d), out="plane")
+    return plane.plane_silhouette(points, "id", "cluster", "plane")
+
+
 @register("a18_cluster_membership")
 def a18_cluster_membership(spark, d):
     """Cluster sizes and number of clusters."""
@@ -764,6 +777,7 @@ from creatorlens.functions import text as tx  # noqa: E402
 from creatorlens.operators import kernel_svm as ksv  # noqa: E402
 from creatorlens.operators import neighbour_map as nmap  # noqa: E402
 from creatorlens.operators import phrases as phr  # noqa: E402
+from creatorlens.operators import plane_silhouette as plane  # noqa: E402
 
 
 @register("t2_word_tokens")

@@ -90,3 +90,26 @@ def test_terms_from_table(spark):
     lex = lexicon_frame(spark, lexicon_union(["vibe", "lit"], ["🔥"], ["#lit", "#viral"]))
     assert terms_from_table(lex, ["hashtag"]) == ["#lit", "#viral"]
     assert len(terms_from_table(lex)) == 5
+
+
+def test_rules_stored_as_a_table(spark, monkeypatch):
+    """Every keyword of any number of rules, by automaton and by joins, against all rules on all titles."""
+    import random
+
+    from creatorlens.operators import lexicon as lex
+    r = random.Random(4)
+    word = lambda a, b: "".join(r.choices("abcdeÉ ", k=r.randrange(a, b)))
+    titles = [word(0, 14) for _ in range(150)] + [None, "", "ABCDE abcde", "x"] + ["abc"] * 40
+    rules = [(r.randrange(0, 9), f"cat{r.randrange(0, 6)}", word(1, 5)) for _ in range(60)]
+    rules += [(None, "cat1", "a"), (0, None, "a"), (0, "never", None), (3, "cat9", "abc"), (3, "cat8", "ABC")]
+    df = spark.createDataFrame([(i, t, "x", "y", "z") for i, t in enumerate(titles)], "id long, title string, category string, term string, _low string")
+    for extra in ([], [(7, "all", "")], None):
+        own = [] if extra is None else rules + extra
+        good = [x for x in own if None not in x]
+        want = [(i, min(((p, c) for p, c, k in good if t is not None and k.lower() in t.lower()), default=(0, "other"))[1]) for i, t in enumerate(titles)]
+        table = spark.createDataFrame(own, "priority int, category string, keyword string")
+        for most in (100_000, 0 if own else -1):
+            monkeypatch.setattr(lex, "AUTOMATON_TERMS", most)
+            got = cat.classify_titles_by_table(df, table, default="other")
+            assert got.columns == ["id", "title", "term", "_low", "category"]
+            assert sorted((x.id, x.category) for x in got.collect()) == want

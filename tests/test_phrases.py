@@ -118,13 +118,17 @@ def test_treebank_tokens(spark):
     assert got["Wait... (it's 3,000 dollars!)"].w == ["Wait", "it", "'s", "3,000", "dollars"]
 
 
-def test_terms_of_a_table(spark):
+def test_terms_of_a_table(spark, monkeypatch):
     r = random.Random(3)
     alphabet = "abcé😂 "
     rows = ["".join(r.choices(alphabet, k=r.randrange(0, 40))) for _ in range(80)]
     terms = list({"".join(r.choices(alphabet, k=r.randrange(1, 6))) for _ in range(300)}) + ["", None, "a", "A", "ab"]
     df = spark.createDataFrame(list(enumerate(rows)) + [(3, "AbC"), (200, None), (201, "ab" * 20_000)], "id long, text string").repartition(3)
-    got = lex.terms_present(df, spark.createDataFrame([(t,) for t in terms], "term string"), id_col="id").collect()
+    lexicon = spark.createDataFrame([(t,) for t in terms], "term string")
+    got = lex.terms_present(df, lexicon, id_col="id").collect()
+    monkeypatch.setattr(lex, "AUTOMATON_TERMS", 3)
+    assert sorted(tuple(r) for r in lex.terms_present(df, lexicon, id_col="id").collect()) == sorted(tuple(r) for r in got)
+    assert {r.n_terms for r in lex.terms_present(df, lexicon.where("term is null"), id_col="id").collect()} == {0}
     known = {t for t in terms if t}
     want = [(i, sum(t in x.lower() for t in known)) for i, x in [*enumerate(rows), (3, "AbC"), (200, ""), (201, "ab" * 20_000)]]
     assert sorted(tuple(r) for r in got) == sorted(want)
