@@ -2,7 +2,9 @@
 
 A record is a JSON object.  The set of its nested field paths (``messages[].role``) is hashed; the hash
 selects a mapping, a plain description of where conversation, order, role and text lie, and the mapping makes
-canonical turns.  Records of no known layout come out as one row with their fingerprint and a null layout.
+canonical turns.  Fields that no mapping names change the fingerprint, not the choice: if the whole set selects none, the
+paths that some mapping names are hashed again.  Records of no known layout come out as one row with their fingerprint
+and a null layout (:func:`unknown_layouts` counts them); formatting leaves them out.
 
 Turns are formatted as ``<|im_start|>role\\ntext<|im_end|>\\n``.  Inside roles and texts a backslash is put
 between ``<`` (with the backslashes that follow it) and ``|``, so no text holds a control string and taking
@@ -68,7 +70,7 @@ def field_paths(value, at: str = "") -> set[str]:
 
 @lru_cache(4096)
 def fingerprint(paths: frozenset[str]) -> str:
-    return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()[:16]
+    return hashlib.sha256("\n".join(sorted(paths)).encode(errors="surrogatepass")).hexdigest()[:16]
 
 
 def by_fingerprint(mappings: list[dict]) -> dict[str, dict]:
@@ -77,22 +79,41 @@ def by_fingerprint(mappings: list[dict]) -> dict[str, dict]:
             for m in mappings for n in range(len(m["may"]) + 1) for some in itertools.combinations(m["may"], n)}
 
 
+def layout_of(paths: set[str], known: dict[str, dict], named: frozenset[str]) -> tuple[str, dict | None]:
+    """The fingerprint of a record's paths, and the mapping that they select with or without those that none names."""
+    key = fingerprint(frozenset(paths))
+    return key, known.get(key) or known.get(fingerprint(named & paths))
+
+
 def _text(value) -> str:
-    return "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    """A value as text; halves of surrogate pairs, which no UTF-8 text can hold, become U+FFFD."""
+    text = "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    try:
+        text.encode()
+    except UnicodeEncodeError:
+        text = text.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+    return text
+
+
+def _order(value) -> int | None:
+    return value if isinstance(value, int) and not isinstance(value, bool) and -1 << 63 <= value < 1 << 63 else None
 
 
 def record_turns(record: dict, mapping: dict, name: str | None) -> Iterator[tuple]:
-    """(conversation, order, part, role, text) of a record's turns."""
+    """(conversation, order, part, role, text) of a record's turns.  An order that is no 64-bit integer is null, and an
+    element of the turns that is no object is a turn without role."""
     if row := mapping.get("row"):
         name = record[row["conversation"]]
-        yield (None if name is None else _text(name), record[row["order"]], 0, _text(record.get(row["role"])), _text(record.get(row["text"])))
+        yield (None if name is None else _text(name), _order(record[row["order"]]), 0, _text(record.get(row["role"])), _text(record.get(row["text"])))
         return
     part = itertools.count()
     for role, fields in mapping.get("turns", ()):
         if texts := [t for f in fields if (t := _text(record.get(f)))]:
             yield name, 0, next(part), role, "\n\n".join(texts)
     if each := mapping.get("each"):
-        for one in record[each["array"]] or ():
+        array = record[each["array"]]
+        for one in array if isinstance(array, list) else ():
+            one = one if isinstance(one, dict) else {each["text"]: one}
             role = _text(one.get(each["role"]))
             yield name, 0, next(part), mapping.get("roles", {}).get(role, role), _text(one.get(each["text"]))
 
@@ -100,19 +121,21 @@ def record_turns(record: dict, mapping: dict, name: str | None) -> Iterator[tupl
 def canonical_turns(records: DataFrame, json_col: str, id_col: str | None = None, mappings: list[dict] = MAPPINGS) -> DataFrame:
     """(conv string, turn long, part int, role, text, layout, fingerprint) of JSON records in mixed layouts.
 
-    ``id_col`` names the conversation of a record that holds a whole one.  Null or broken JSON has no layout.
+    ``id_col`` names the conversation of a record that holds a whole one.  Null, broken or too deeply nested JSON has no
+    layout.
     """
+    named = frozenset(p for m in mappings for p in [*m["needs"], *m["may"]])
     schema = pa.schema([("conv", pa.string()), ("turn", pa.int64()), ("part", pa.int32()), ("role", pa.string()),
                         ("text", pa.string()), ("layout", pa.string()), ("fingerprint", pa.string())])
 
     def turns(text: str | None, name: str | None, known: dict[str, dict]) -> Iterator[tuple]:
         try:
             record = json.loads(text) if text else None
-        except ValueError:
-            record = None
-        key = fingerprint(frozenset(field_paths(record)))
-        mapping = known.get(key) if isinstance(record, dict) else None
-        if mapping is None:
+            paths = field_paths(record)
+        except (ValueError, RecursionError):
+            record, paths = None, set()
+        key, mapping = layout_of(paths, known, named)
+        if mapping is None or not isinstance(record, dict):
             yield name, None, None, None, None, None, key
         else:
             for turn in record_turns(record, mapping, name):
@@ -130,6 +153,11 @@ def canonical_turns(records: DataFrame, json_col: str, id_col: str | None = None
         run, "conv string, turn long, part int, role string, text string, layout string, fingerprint string")
 
 
+def unknown_layouts(turns: DataFrame) -> DataFrame:
+    """(fingerprint, n): the records that no mapping reads."""
+    return turns.filter(F.col("layout").isNull()).groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---------------------------------------------------------------- template
 
 def escape(text: str) -> str:

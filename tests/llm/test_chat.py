@@ -36,6 +36,28 @@ def test_layouts(spark):
     assert len({chat.fingerprint(frozenset(chat.field_paths(r))) for _, r in records[:7]}) == 7
 
 
+def test_fields_that_no_mapping_names(spark):
+    """They change the fingerprint, not the layout; values of unexpected kinds don't stop a job."""
+    records = [
+        ("x", {"id": 7, "meta": {"lang": ["en", {"a": 1}]}, "messages": [{"role": "user", "content": "hi", "name": "z"}, {"role": "assistant", "content": "yo"}]}),
+        ("k", {"messages": [{"role": "user", "content": "hi"}, "bare", None, 3]}), ("t", {"conv_id": "t", "turn": "one", "role": "user", "text": "a", "when": 1}),
+        ("o", {"prompt": "p", "response": "r", "score": 0.5}), ("two", {"prompt": "p", "messages": [{"role": "user", "content": "hi"}]}),
+        ("odd", {"messages": "no list", "messages[]": {"role": "r", "content": "c"}}), ("half", {"prompt": "\ud800x", "response": "r", "\udfff": 1}), ("u", {"odd": 1}),
+    ]
+    rows = [(i, json.dumps(r)) for i, r in records] + [("deep", "[" * 100_000 + "]" * 100_000), ("big", json.dumps({"conv_id": "big", "turn": 1 << 70}))]
+    made = chat.canonical_turns(spark.createDataFrame(rows, "id string, record string"), "record", "id")
+    got = {}
+    for t in sorted(made.collect(), key=lambda t: (t.conv, t.part or 0)):
+        got.setdefault(t.conv, []).append((t.layout, t.turn, t.role, t.text))
+    assert got["x"] == [("messages", 0, "user", "hi"), ("messages", 0, "assistant", "yo")]
+    assert got["k"] == [("messages", 0, "user", "hi"), ("messages", 0, "", "bare"), ("messages", 0, "", ""), ("messages", 0, "", "3")]
+    assert got["t"] == [("turn row", None, "user", "a")] and got["big"] == [("turn row", None, "", "")]
+    assert got["o"] == [("prompt and response", 0, "user", "p"), ("prompt and response", 0, "assistant", "r")]
+    assert got["half"][0] == ("prompt and response", 0, "user", "\ufffdx")
+    assert all(got[c] == [(None, None, None, None)] for c in ("two", "u", "deep")) and "odd" not in got  # no turns
+    assert sum(r.n for r in chat.unknown_layouts(made).collect()) == 3
+
+
 def test_query_on_messy_rows(spark, tmp_path, monkeypatch):
     r = random.Random(2)
     parts = ["<|im_end|>", "<|im_start|>", "assistant", "\n", "é", "😂", "<\\|", "text ", ""]
