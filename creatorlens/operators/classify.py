@@ -6,8 +6,8 @@
   maps the soft-margin constant C onto MLlib's regularisation.
 * M5: 5-fold cross-validated grid over kernel {linear, rbf} x C (accuracy),
   folds by the same hash; rbf = random Fourier features (approximate).  The
-  vectors of a fold are made once per kernel and written; only the classifier is
-  fitted for each C.
+  vectors of a fold are made once per kernel and kept while its classifiers are
+  fitted, one for each C; as many folds at once as ``HELD`` bytes of rbf vectors, else one.
 * M6: the fitted pipeline scores any table of titles in batch.
 
 The vectoriser is fitted on the training rows only; its weights are
@@ -16,8 +16,9 @@ ln((n + 1) / (df + 1)) + 1, as in the long form (``operators.vectorize``).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -25,6 +26,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, OneVsRest, OneVsRestModel
 from pyspark.ml.feature import CountVectorizer, Normalizer, RegexTokenizer, StringIndexer
 from pyspark.ml.functions import vector_to_array
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -85,11 +87,26 @@ def with_label_names(model: PipelineModel, scored: DataFrame, out: str = "predic
     return scored.withColumn(out, F.try_element_at(names, F.col("_pred").cast("int") + 1))
 
 
+#: bytes of one row's rbf vector, which MLlib holds a second time as blocks; and of all that a grid search holds at once
+RBF_BYTES, HELD = 256 * 8, 8 << 30
+
+
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` held by the executors for as long as it is used: MLlib's fits scan it many times, and the vectors of the rbf
+    kernel are a hundred times larger than the titles they are made of, so they are not written."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist(blocking=True)
+
+
 def fit_svm(train: DataFrame, title: str = "title", label: str = "category", *, c: float = 1.0,
             vocab_size: int = 1000, n_train: int | None = None, vectorise: DataFrame | None = None,
             kernel: str = "linear") -> PipelineModel:
     """M4: fit on training rows; C is mapped to ``regParam = 1 / (C * n_train)``.
-    The training rows are written once: every pipeline stage scans them.
+    The training rows are written once: every pipeline stage scans them.  Their vectors are only kept while it lasts.
 
     ``vectorise``: rows that labels, vocabulary and weights are learned from instead of the training rows (D15: all
     rows, as when the vectoriser is fitted before the split)."""
@@ -97,7 +114,8 @@ def fit_svm(train: DataFrame, title: str = "title", label: str = "category", *,
     n = n_train if n_train is not None else train.count()
     *features, ovr = svm_estimator(title, label, vocab_size=vocab_size, reg_param=1.0 / (c * max(n, 1)), kernel=kernel).getStages()
     vectors = Pipeline(stages=features).fit(train if vectorise is None else materialize(vectorise))
-    model = ovr.fit(materialize(vectors.transform(train).select("_label", "_features")))
+    with kept(vectors.transform(train).select("_label", "_features")) as rows:
+        model = ovr.fit(rows)
     return PipelineModel([*vectors.stages, model])
 
 
@@ -129,16 +147,17 @@ def grid_search(train: DataFrame, title: str = "title", label: str = "category",
     best pipeline and ``[(kernel, C, mean accuracy)]``.  ``rbf`` is the random
     Fourier feature approximation (``operators.kernels``).  ``max_iter`` and ``tol``
     hold for the folds; the best setting is fitted as :func:`fit_svm` does."""
-    data = materialize(fold_column(train, key, folds=folds))
+    spread = fold_column(train, key, folds=folds).repartition(train.sparkSession.sparkContext.defaultParallelism)  # titles are few bytes: a file of a million is one or two splits
+    data = materialize(spread)
     n = data.count()
 
-    def fold_scores(fold: int) -> list[tuple[str, float, float]]:
+    def fold_scores(fold: int, kernel: str) -> list[tuple[str, float, float]]:
         rest, held = data.where(F.col("fold") != fold), data.where(F.col("fold") == fold)
+        *features, ovr = svm_estimator(title, label, vocab_size=vocab_size, max_iter=max_iter, tol=tol, parallelism=1, kernel=kernel).getStages()
+        vectors = Pipeline(stages=features).fit(rest)
         out = []
-        for kernel in kernels:
-            *features, ovr = svm_estimator(title, label, vocab_size=vocab_size, max_iter=max_iter, tol=tol, parallelism=1, kernel=kernel).getStages()
-            vectors = Pipeline(stages=features).fit(rest)
-            fit, test = (materialize(vectors.transform(part).select("_label", "_features")) for part in (rest, held))
+        fit, test = (vectors.transform(part).select("_label", "_features") for part in (rest, held))
+        with kept(fit), kept(test):
             for c in cs:
                 svc = ovr.getClassifier()
                 model = ovr.copy({ovr.classifier: svc.copy({svc.regParam: folds / (c * max(n, 1) * max(folds - 1, 1))})}).fit(fit)
@@ -146,8 +165,12 @@ def grid_search(train: DataFrame, title: str = "title", label: str = "category",
                 out.append((kernel, c, hit or 0.0))
         return out
 
-    with ThreadPoolExecutor(parallelism) as pool:  # the driver only waits for Spark's jobs
-        got = [row for rows in pool.map(fold_scores, range(folds)) for row in rows]
+    got = []
+    for kernel in kernels:
+        # the driver only waits for Spark's jobs; of the rbf kernel's wide vectors as many folds are held at once as HELD allows
+        at_once = parallelism if kernel == "linear" else max(1, min(parallelism, HELD // max(2 * n * RBF_BYTES, 1)))
+        with ThreadPoolExecutor(at_once) as pool:
+            got += [row for rows in pool.map(lambda fold: fold_scores(fold, kernel), range(folds)) for row in rows]
     scores = [(k, c, sum(a for x, y, a in got if (x, y) == (k, c)) / folds) for k in kernels for c in cs]
     kernel, c, _ = max(scores, key=lambda s: s[2])
     return fit_svm(data, title, label, c=c, vocab_size=vocab_size, n_train=n, kernel=kernel), scores
