@@ -3,8 +3,10 @@
 Every vector carries its distances to ``PIVOTS`` pivots.  For a query q, a candidate x and any pivot p the
 triangle inequality gives d(q, x) >= |d(q, p) - d(x, p)|, and with the norms the greatest of these lower
 bounds gives an upper bound of the score: q.x <= (|q|^2 + |x|^2 - lower^2) / 2.  Each query evaluates the
-candidates in the order of its own bounds, ``STEP`` at a time, until no bound left reaches its k-th best score
-so far, so the result is exact.  ``evaluated`` is how many candidates a query's scores were computed for.
+candidates with its ``STEP`` highest bounds, then those whose bounds still reach its k-th best score: in the order
+of its bounds, ``STEP`` at a time, or, where the queries of a tile leave mostly the same ones, all by one matrix
+product.  No other candidate can be among the k best, so the result is exact.  ``evaluated`` is how many
+candidates a query's bounds left to be scored.
 
 Queries and candidates meet in blocks (a stated query set against all rows): block sizes are bounded, copies
 of one vector spread over the blocks by a hash of their id, and each block hands on k rows per query at most.
@@ -33,6 +35,7 @@ from creatorlens.llm.common import table, written
 PIVOTS, SAMPLE, PAIRS = 512, 2000, 2048
 QUERY_BLOCK, CANDIDATE_BLOCK = 2048, 4096
 TILE, STEP = 16, 256
+SHARED = 4  # a tile is scored by one product if its queries leave at least 1 / SHARED of that product open
 SCALE = 64
 
 
@@ -130,28 +133,45 @@ class Eliminator:
     def search(self, own: np.ndarray, q: np.ndarray, table_: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(query, candidate, score) and each query's number of evaluated candidates, for a tile of queries with ids
         ``own``; ``least``: a score that each query's k-th best is known to reach."""
-        out, counts = [], np.zeros(len(q), np.int64)
-        for i, bound in enumerate(self.bounds(q, table_)):
-            bound[(self.ids == own[i]) & ~self.null] = -np.inf  # not its own rows
-            best = float(least[i])
-            order = np.flatnonzero(bound >= best)
-            order = order[np.argsort(-bound[order], kind="stable")]
-            order = order[bound[order] > -np.inf]
-            found, scores = np.empty(0, np.int64), np.empty(0)
-            for first in range(0, len(order), STEP):
-                some = order[first:first + STEP]
-                some = some[bound[some] >= best]
-                if not len(some):
-                    break
-                score = products(q[i:i + 1], self.x[some])[0]
-                counts[i] += len(some)
-                keep = score >= best
-                found, scores = np.concatenate([found, some[keep]]), np.concatenate([scores, score[keep]])
-                order_ = np.lexsort((self.ids[found], self.null[found], -scores))[:self.k]
-                found, scores = found[order_], scores[order_]
-                if len(found) == self.k:
-                    best = max(best, float(scores[-1]))
-            out.append((np.full(len(found), i), found, scores))
+        bounds, counts = self.bounds(q, table_), np.zeros(len(q), np.int64)
+        bounds[(self.ids == own[:, None]) & ~self.null] = -np.inf  # not its own rows
+        best = [float(s) for s in least]
+        found = [(np.empty(0, np.int64), np.empty(0))] * len(q)
+
+        def score(i: int, some: np.ndarray, scores: np.ndarray) -> None:
+            counts[i] += len(some)
+            keep = scores >= best[i]
+            at, all_ = np.concatenate([found[i][0], some[keep]]), np.concatenate([found[i][1], scores[keep]])
+            order = np.lexsort((self.ids[at], self.null[at], -all_))[:self.k]
+            found[i] = at[order], all_[order]
+            if len(order) == self.k:
+                best[i] = max(best[i], float(all_[order[-1]]))
+
+        open_ = (bounds >= least[:, None]) & (bounds > -np.inf)
+        for i, bound in enumerate(bounds):  # the highest bounds first: their scores raise what the others must reach
+            some = np.argpartition(-bound, STEP - 1)[:STEP] if len(bound) > STEP else np.arange(len(bound))
+            some = some[open_[i, some]]
+            if len(some):
+                score(i, some, products(q[i:i + 1], self.x[some])[0])
+            open_[i, some] = False
+            open_[i] &= bound >= best[i]
+        union = np.flatnonzero(open_.any(0))
+        if open_.sum() * SHARED >= len(q) * len(union):  # most queries of the tile need the same candidates: one product
+            together = products(q, self.x[union])
+            for i in np.flatnonzero(open_.any(1)):
+                own_ = open_[i, union]
+                score(i, union[own_], together[i, own_])
+        else:
+            for i in np.flatnonzero(open_.any(1)):
+                order = np.flatnonzero(open_[i])
+                order = order[np.argsort(-bounds[i, order], kind="stable")]
+                for first in range(0, len(order), STEP):
+                    some = order[first:first + STEP]
+                    some = some[bounds[i, some] >= best[i]]
+                    if not len(some):
+                        break
+                    score(i, some, products(q[i:i + 1], self.x[some])[0])
+        out = [(np.full(len(at), i), at, scores) for i, (at, scores) in enumerate(found)]
         whole = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
         return (*whole, counts)
 
