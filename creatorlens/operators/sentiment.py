@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creatorlens.functions.text import clean_text, tokens
-from creatorlens.operators.phrases import LONGEST, join_back, keyed, phrase_hits
+from creatorlens.operators.phrases import LONGEST, join_back, keyed, lettered, phrase_hits
 from creatorlens.session import literal_frame, materialize
 
 DEFAULT_NEGATORS = ("not",)
@@ -103,10 +103,11 @@ def score_modified(texts: DataFrame, lexicon: DataFrame, *, id_col: str, text_co
                               F.col("intensity").cast("double").alias("intensity"), F.coalesce("negates", F.lit(False)).alias("negates"))
                .groupBy("phrase").agg(F.avg("polarity").alias("polarity"), F.coalesce(F.avg("intensity"), F.lit(1.0)).alias("intensity"), F.max("negates").alias("negates"))
                .withColumn("exact", F.lit(False)))
-    staged = keyed(texts.select(id_col, *carry, tokens(clean_text(F.col(text_col))).alias("_toks")), "_toks", id_col)
-    hits = phrase_hits(staged, entries, key="_list", token_col="_toks", values=["polarity", "intensity", "negates"], longest=longest)
+    staged = keyed(texts.select(id_col, *carry, lettered(text_col).alias("_raw")), "_raw", id_col)
+    cleaned = staged.select("_list", tokens(clean_text(F.get("_raw", F.lit(0)))).alias("_toks"))
+    hits = phrase_hits(cleaned, entries, key="_list", token_col="_toks", values=["polarity", "intensity", "negates"], longest=longest)
     found = hits.select("_list", modified_polarity("hits", window, negation_factor).alias("polarity"))
-    return join_back(staged.drop("_toks"), found).select(id_col, *carry, F.coalesce("polarity", F.lit(0.0)).alias("polarity"))
+    return join_back(staged.drop("_raw"), found).select(id_col, *carry, F.coalesce("polarity", F.lit(0.0)).alias("polarity"))
 
 
 def is_positive(polarity="polarity"):

@@ -46,6 +46,27 @@ def test_phrases_against_brute_force(spark):
     assert phrases.count_phrases(df.limit(0), spark.createDataFrame(lexicon, "phrase string, exact boolean"), id_col="id").collect() == []
 
 
+def test_only_runs_that_can_match_are_joined(spark):
+    """The texts are cleaned once, and of their runs only those of the lexicon go on; copies of an entry are one."""
+    r = random.Random(7)
+    rows = [[f"{r.choice('xyz')}{r.randrange(1000)}" for _ in range(200)] for _ in range(40)]
+    rows[3][10:12], rows[5][0:3], rows[5][199:] = ["Glow", "UP"], ["É", "glow", "up"], ["OTP"]
+    rows += [["É"], [], None, ["otp"], ["w"] * 600_000 + ["no", "Cap"]]
+    texts = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "k long, t array<string>").repartition(3)
+    lexicon = spark.createDataFrame([("glow up", False, 1)] * 50 + [("Glow Up", False, 1), ("OTP", True, 2), ("é", None, 3), ("no Cap", True, 4), ("no cap", True, 5), ("a b c d e", False, 6)],
+                                    "phrase string, exact boolean, v int")
+    runs = phrases.marked_runs(texts, "k", "t", phrases.entry_marks(lexicon.where("v < 6")), 2)
+    assert sorted((x.k, x.at, x.len, x.phrase) for x in runs.collect() if x.phrase.lower() in ("é", "glow up", "otp", "no cap")) == [
+        (3, 10, 2, "Glow UP"), (5, 0, 1, "É"), (5, 1, 2, "glow up"), (5, 199, 1, "OTP"), (40, 0, 1, "É"), (43, 0, 1, "otp"), (44, 600_000, 2, "no Cap")]
+    assert runs.where("k < 44").count() < 100
+    got = {x.k: [tuple(h) for h in x.hits] for x in phrases.phrase_hits(texts, lexicon, key="k", token_col="t", values=["v"]).collect()}
+    assert got == {3: [(10, -2, 1)], 5: [(0, -1, 3), (1, -2, 1), (199, -1, 2)], 40: [(0, -1, 3)], 44: [(600_000, -2, 4)]}
+    assert phrases.phrase_hits(texts, lexicon.limit(0), key="k", token_col="t").collect() == []
+    counted = phrases.count_phrases(spark.createDataFrame([(1, "no cap")], "id long, text string"), lexicon.drop("v"), id_col="id")
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("http[") == 1 and "explode(concat" not in plan and [tuple(x) for x in counted.collect()] == [(1, 1)]
+
+
 def test_planted_slang_is_found(spark):
     from creatorlens import lexicons as L
     df = spark.createDataFrame([(1, "That fit hits different, no cap! glow up W"), (2, "w l otp"), (3, "OTP")], "id long, text string")
