@@ -14,3 +14,13 @@ def spark():
     s = local_session("4", shuffle_partitions=8, app="creatorlens-tests")
     yield s
     s.stop()
+
+
+@pytest.fixture(autouse=True)
+def nothing_stays_cached():
+    """What a test caches is let go when it ends; others look at what the session holds."""
+    yield
+    from pyspark.sql import SparkSession
+    s = SparkSession.getActiveSession()
+    if s is not None:
+        s.catalog.clearCache()
