@@ -6,8 +6,8 @@
   maps the soft-margin constant C onto MLlib's regularisation.
 * M5: 5-fold cross-validated grid over kernel {linear, rbf} x C (accuracy),
   folds by the same hash; rbf = random Fourier features (approximate).  The
-  vectors of a fold are made once per kernel and kept while its classifiers are
-  fitted, one for each C; as many folds at once as ``HELD`` bytes of rbf vectors, else one.
+  sparse vectors of a fold are made once and kept while its classifiers, those of
+  all kernels, C and classes, are fitted side by side (``operators.joint_svm``).
 * M6: the fitted pipeline scores any table of titles in batch.
 
 The vectoriser is fitted on the training rows only; its weights are
@@ -23,14 +23,17 @@ from contextlib import contextmanager
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, OneVsRest, OneVsRestModel
+from pyspark.ml.classification import LinearSVC, LinearSVCModel, OneVsRest, OneVsRestModel
 from pyspark.ml.feature import CountVectorizer, Normalizer, RegexTokenizer, StringIndexer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.wrapper import JavaParams
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from creatorlens.operators.joint_svm import Fitted, fit_together, shares
 from creatorlens.session import materialize
 
 
@@ -87,10 +90,6 @@ def with_label_names(model: PipelineModel, scored: DataFrame, out: str = "predic
     return scored.withColumn(out, F.try_element_at(names, F.col("_pred").cast("int") + 1))
 
 
-#: bytes of one row's rbf vector, which MLlib holds a second time as blocks; and of all that a grid search holds at once
-RBF_BYTES, HELD = 256 * 8, 8 << 30
-
-
 @contextmanager
 def kept(df: DataFrame) -> Iterator[DataFrame]:
     """``df`` held by the executors for as long as it is used: MLlib's fits scan it many times, and the vectors of the rbf
@@ -104,21 +103,40 @@ def kept(df: DataFrame) -> Iterator[DataFrame]:
 
 def fit_svm(train: DataFrame, title: str = "title", label: str = "category", *, c: float = 1.0,
             vocab_size: int = 1000, n_train: int | None = None, vectorise: DataFrame | None = None,
-            kernel: str = "linear") -> PipelineModel:
+            kernel: str = "linear", solver: str = "mllib") -> PipelineModel:
     """M4: fit on training rows; C is mapped to ``regParam = 1 / (C * n_train)``.
     The training rows are written once: every pipeline stage scans them.  Their vectors are only kept while it lasts.
 
+    ``solver="joint"``: the same problem, but the classifiers of all classes share each pass (``operators.joint_svm``),
+    and of the rbf kernel's vectors none are stored.
+
     ``vectorise``: rows that labels, vocabulary and weights are learned from instead of the training rows (D15: all
     rows, as when the vectoriser is fitted before the split)."""
     train = materialize(train)
     n = n_train if n_train is not None else train.count()
     *features, ovr = svm_estimator(title, label, vocab_size=vocab_size, reg_param=1.0 / (c * max(n, 1)), kernel=kernel).getStages()
     vectors = Pipeline(stages=features).fit(train if vectorise is None else materialize(vectorise))
+    if solver == "joint":
+        svc, classes = ovr.getClassifier(), len(vectors.stages[0].labels) + 1
+        with kept(PipelineModel(vectors.stages[:-1]).transform(train).select("_label", "_unit")) as rows:
+            one, = fit_together(rows, [vectors.stages[-1].kernel_map()], classes, [svc.getRegParam()], max_iter=svc.getMaxIter(), tol=svc.getTol())
+        return PipelineModel([*vectors.stages, one_vs_rest(ovr, one)])
     with kept(vectors.transform(train).select("_label", "_features")) as rows:
         model = ovr.fit(rows)
     return PipelineModel([*vectors.stages, model])
 
 
+def one_vs_rest(ovr: OneVsRest, fitted: Fitted) -> OneVsRestModel:
+    """The model that ``ovr`` makes of classifiers that were fitted together, one for each class."""
+    svc = ovr.getClassifier()
+    svc = svc.copy({svc.featuresCol: ovr.getFeaturesCol(), svc.predictionCol: ovr.getPredictionCol()})
+    models = []
+    for weights, offset in zip(fitted.weights.T, fitted.offsets, strict=True):
+        made = JavaParams._new_java_obj("org.apache.spark.ml.classification.LinearSVCModel", svc.uid, Vectors.dense(weights), float(offset))
+        models.append(svc._copyValues(LinearSVCModel(made)))
+    return ovr._copyValues(OneVsRestModel(models=models))
+
+
 def predict(model: PipelineModel, df: DataFrame, out: str = "prediction") -> DataFrame:
     """M6: batch scoring of new titles."""
     *features, ovr = model.stages
@@ -150,27 +168,20 @@ def grid_search(train: DataFrame, title: str = "title", label: str = "category",
     spread = fold_column(train, key, folds=folds).repartition(train.sparkSession.sparkContext.defaultParallelism)  # titles are few bytes: a file of a million is one or two splits
     data = materialize(spread)
     n = data.count()
+    regs = [folds / (c * max(n, 1) * max(folds - 1, 1)) for c in cs]
 
-    def fold_scores(fold: int, kernel: str) -> list[tuple[str, float, float]]:
+    def fold_scores(fold: int) -> list[list[float]]:
         rest, held = data.where(F.col("fold") != fold), data.where(F.col("fold") == fold)
-        *features, ovr = svm_estimator(title, label, vocab_size=vocab_size, max_iter=max_iter, tol=tol, parallelism=1, kernel=kernel).getStages()
-        vectors = Pipeline(stages=features).fit(rest)
-        out = []
-        fit, test = (vectors.transform(part).select("_label", "_features") for part in (rest, held))
-        with kept(fit), kept(test):
-            for c in cs:
-                svc = ovr.getClassifier()
-                model = ovr.copy({ovr.classifier: svc.copy({svc.regParam: folds / (c * max(n, 1) * max(folds - 1, 1))})}).fit(fit)
-                hit = linear_scores(model, test).agg(F.avg((F.col("_pred") == F.col("_label")).cast("double"))).first()[0]
-                out.append((kernel, c, hit or 0.0))
-        return out
-
-    got = []
-    for kernel in kernels:
-        # the driver only waits for Spark's jobs; of the rbf kernel's wide vectors as many folds are held at once as HELD allows
-        at_once = parallelism if kernel == "linear" else max(1, min(parallelism, HELD // max(2 * n * RBF_BYTES, 1)))
-        with ThreadPoolExecutor(at_once) as pool:
-            got += [row for rows in pool.map(lambda fold: fold_scores(fold, kernel), range(folds)) for row in rows]
-    scores = [(k, c, sum(a for x, y, a in got if (x, y) == (k, c)) / folds) for k in kernels for c in cs]
+        *stages, _, _ = svm_estimator(title, label, vocab_size=vocab_size).getStages()
+        vectors = Pipeline(stages=stages).fit(rest)
+        classes = len(vectors.stages[0].labels) + 1  # and that of labels which only other folds have
+        fit, test = (vectors.transform(part).select("_label", "_unit") for part in (rest, held))
+        with kept(fit):
+            maps = [svm_estimator(kernel=kernel).getStages()[-2].fit(fit).kernel_map() for kernel in kernels]
+            return shares(test, fit_together(fit, maps, classes, regs, max_iter=max_iter, tol=tol), classes)
+
+    with ThreadPoolExecutor(max(1, min(parallelism, folds))) as pool:  # the driver only waits for Spark's jobs
+        got = list(pool.map(fold_scores, range(folds)))
+    scores = [(kernel, c, sum(fold[k][i] for fold in got) / folds) for k, kernel in enumerate(kernels) for i, c in enumerate(cs)]
     kernel, c, _ = max(scores, key=lambda s: s[2])
-    return fit_svm(data, title, label, c=c, vocab_size=vocab_size, n_train=n, kernel=kernel), scores
+    return fit_svm(data, title, label, c=c, vocab_size=vocab_size, n_train=n, kernel=kernel, solver="joint"), scores

@@ -12,6 +12,8 @@ estimator covers both kernels of a parameter grid.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pandas as pd
 from pyspark import keyword_only
@@ -27,6 +29,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 
+@functools.lru_cache(maxsize=32)
+def projection(d: int, width: int, gamma: float, seed: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """``W``, ``b`` and the factor of ``z(x)`` for vectors of ``d`` values: the same wherever they are drawn."""
+    rng = np.random.default_rng(seed)
+    w = rng.normal(0.0, np.sqrt(2.0 * gamma), size=(d, width))
+    return w, rng.uniform(0.0, 2.0 * np.pi, size=width), float(np.sqrt(2.0 / width))
+
+
 class _RFFParams(HasInputCol, HasOutputCol, HasSeed):
     kernel = Param(Params._dummy(), "kernel", "linear or rbf", typeConverter=TypeConverters.toString)
     numFeatures = Param(Params._dummy(), "numFeatures", "random features D", typeConverter=TypeConverters.toInt)
@@ -69,14 +79,16 @@ class RandomFourierFeaturesModel(Model, _RFFParams):
         super().__init__()
         self.dim, self.gammaValue = dim, gammaValue
 
+    def kernel_map(self) -> "Kernel":
+        """What :mod:`joint_svm` needs to make these features from the input column itself."""
+        from creatorlens.operators.joint_svm import Kernel
+        name, d = self.getOrDefault(self.kernel), self.dim
+        return Kernel(name, d, d if name == "linear" else self.getOrDefault(self.numFeatures), self.gammaValue, self.getOrDefault(self.seed))
+
     def _transform(self, df: DataFrame) -> DataFrame:
         if self.getOrDefault(self.kernel) == "linear":
             return df.withColumn(self.getOutputCol(), F.col(self.getInputCol()))
-        D, d = self.getOrDefault(self.numFeatures), self.dim
-        rng = np.random.default_rng(self.getOrDefault(self.seed))
-        W = rng.normal(0.0, np.sqrt(2.0 * self.gammaValue), size=(d, D))
-        b = rng.uniform(0.0, 2.0 * np.pi, size=D)
-        scale = np.sqrt(2.0 / D)
+        W, b, scale = projection(self.dim, self.getOrDefault(self.numFeatures), self.gammaValue, self.getOrDefault(self.seed))
 
         @pandas_udf("array<double>")
         def project(x: pd.Series) -> pd.Series:
